@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import decontamination, fingerprints, language_id, license_scan, mixing, near_dedup, secret_scan, token_output, toxicity
+from lakeloom.llm import decontamination, fingerprints, language_id, license_scan, mixing, near_dedup, secret_scan, substring_dedup, token_output, toxicity
 from lakeloom.llm.common import shared_dir, written
 
 
@@ -53,9 +53,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.RepeatedPassages(_read(spark, sf_dir, "documents")).report()
+
+
 def queries() -> dict:
     """Name to query, for the entry module."""
-    return {f.__name__: f for f in (op1_token_output, op2_near_dedup, op3_mixing, op4_license_scan, op5_language_id, op6_secret_scan, op7_fingerprints, op8_toxicity, op9_decontamination)}
+    return {f.__name__: f for f in (op1_token_output, op2_near_dedup, op3_mixing, op4_license_scan, op5_language_id, op6_secret_scan, op7_fingerprints, op8_toxicity, op9_decontamination, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
