@@ -33,7 +33,8 @@ def merge_into(spark: SparkSession, name: str, source: DataFrame, keys: list[str
     fresh = f"{name}__next"
     merge_upsert(spark.table(name), source, keys).write.mode("overwrite").saveAsTable(fresh)
     spark.sql(f"drop table {name}")
-    spark.sql(f"alter table {fresh} rename to {name.rpartition('.')[2]}" if "." not in name else f"alter table {fresh} rename to {name}")
+    spark.sql(f"alter table {fresh} rename to {name}")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

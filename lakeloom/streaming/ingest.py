@@ -38,4 +38,5 @@ def stream_into(spark: SparkSession, folder: str, table: str, checkpoint: str, n
 
     query = without_replays(landing_stream(spark, folder)).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    spark.catalog.refreshTable(table)  # the batches swapped its files in a session of their own
     return spark.table(table)
