@@ -10,6 +10,8 @@ page and a read of a ``doc_id`` range touches only the pages that hold it.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -21,40 +23,119 @@ from lakeloom.llm.common import pick
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
-#: Words whose ids a worker keeps; the table is emptied when it is full.
-KEPT_WORDS = 300_000
+#: Words whose ids a worker keeps, in each of two generations; the older one is dropped when the newer is full.
+KEPT_WORDS = 400_000
+#: Cores handed to the tokenizer in one string.
+TOGETHER = 100
 
-_TOKENIZERS: dict = {}
-_WORDS: dict = {}
+_ENCODERS: dict = {}
+#: A full stop or comma between a letter and white space.
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+#: Punctuation that may follow a run of letters: the tokenizer parts the two, whatever they are.
+_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'_")
 
 
-def _encoder(vocabulary: str):
-    """Ids of a text as little-endian unsigned 32-bit bytes, by the tokenizers library, with ids of words kept.
+class _Encoder:
+    """Ids of texts as little-endian unsigned 32-bit bytes, by the tokenizers library, with the ids of words kept.
 
     The tokenizer normalises and merges within runs between white space and drops the white space itself, so the ids of
-    a text are those of the words between ASCII white space (``bytes.split``) in turn; other white space stays in them.
+    a text are those of the words between ASCII white space (``bytes.split``) in turn. It parts letters from other
+    characters and lower-cases them, so a word of letters and punctuation has the ids of its lower-cased letters and
+    then those of its punctuation. Many such cores are encoded as one string; each ends with an end-of-word id.
     """
-    if vocabulary not in _TOKENIZERS:
+
+    def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(vocabulary)
-        _TOKENIZERS[vocabulary] = tokenizer
-        _WORDS[vocabulary] = {}
-    tokenizer, kept = _TOKENIZERS[vocabulary], _WORDS[vocabulary]
-
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
-        new = list({w for words in split for w in words if w not in kept})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                kept[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(kept.__getitem__, words)) for words in split]
-
-    return encode
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {}
+        entries = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(entries.values()) + 1, bool)
+        self.ends[[i for t, i in entries.items() if t.endswith("</w>")]] = True
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_cores(self, cores: list[bytes]) -> None:
+        """Keep the ids of lower-cased runs of letters.
+
+        ASCII letters pass the tokenizer's normaliser and splitter unchanged, so its model takes them as they are.
+        Others go through all of it, many in one string; a group without one end-of-word id each goes singly.
+        """
+        merge = self.tokenizer.model.tokenize
+        for core in cores:
+            if core.isascii():
+                ids = [t.id for t in merge(core.decode())]
+                self.words[core] = struct.pack(f"<{len(ids)}I", *ids)
+        cores = [c for c in cores if not c.isascii()]
+        groups = [cores[i : i + TOGETHER] for i in range(0, len(cores), TOGETHER)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(group) and stops[-1] == len(ids):
+                raw, at = ids.tobytes(), 0
+                for core, stop in zip(group, (4 * stops).tolist()):
+                    self.words[core] = raw[at:stop]
+                    at = stop
+            else:
+                self.words.update(zip(group, self._plain([c.decode() for c in group])))
+
+    def _core(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """A word as its letters and the punctuation behind them; None if it isn't made like that."""
+        letters = word.rstrip(_MARKS)
+        if letters.isalpha():  # ASCII, lower case already
+            return letters, word[len(letters) :]
+        text = letters.decode()
+        # These two lower-case by context or to two characters, which the tokenizer does otherwise.
+        if text.isalpha() and "\u03a3" not in text and "\u0130" not in text:
+            return text.lower().encode(), word[len(letters) :]
+        return None
+
+    def _learn(self, new: set[bytes]) -> None:
+        words, older, split, whole, wanted = self.words, self.older, [], [], set()
+        for w in new:
+            got = older.get(w)
+            if got is not None:
+                words[w] = got
+            elif w.isalpha():
+                wanted.add(w)
+            elif parts := self._core(w):
+                split.append((w, *parts))
+                core = parts[0]
+                if core not in words:
+                    if core in older:
+                        words[core] = older[core]
+                    else:
+                        wanted.add(core)
+            else:
+                whole.append(w)
+        self._encode_cores(list(wanted))
+        marks = [m for m in {m for _, _, m in split} if m and m not in self.marks]
+        self.marks.update(zip(marks, self._plain([m.decode() for m in marks])))
+        words.update(zip(whole, self._plain([w.decode() for w in whole])))
+        tails = self.marks
+        words.update((w, words[core] + tails[mark] if mark else words[core]) for w, core, mark in split)
+        if len(tails) > KEPT_WORDS:
+            tails.clear()
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        # Lower case first, and the commonest punctuation apart: fewer different words, the same ids.
+        split = [_STOP.sub(rb" \1", t.lower()).split() for t in texts]
+        if len(self.words) > KEPT_WORDS:
+            self.words, self.older = {}, self.words
+        new = set().union(*split).difference(self.words)
+        if new:
+            self._learn(new)
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+
+def _encoder(vocabulary: str) -> _Encoder:
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = _Encoder(vocabulary)
+    return _ENCODERS[vocabulary]
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
@@ -72,9 +153,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame
         shard, start = TaskContext.get().partitionId(), 0
         encode = _encoder(vocabulary)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
             for lo in range(0, len(texts), 500):
-                parts = [p + end for p in encode([t or "" for t in texts[lo : lo + 500]])]
+                parts = [p + end for p in encode([t or b"" for t in texts[lo : lo + 500]])]
                 counts = np.fromiter((len(p) // 4 for p in parts), np.int64, len(parts))
                 stops = np.concatenate([[0], np.cumsum(counts)])
                 values = pa.array(np.frombuffer(b"".join(parts), "<i4"))
