@@ -184,12 +184,12 @@ _NAME_VALUES = "(values " + ", ".join(f"({i}, '{t.replace(chr(39), chr(39) * 2)}
 
 
 def _names(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 40).alias("name"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("name"))
     parts = table(spark, d, "part").select((F.col("p_partkey") + 10000000).alias("id"), F.col("p_name").alias("name"))
     return docs.unionByName(parts).unionByName(spark.createDataFrame([(i + 20000000, t) for i, t in _ACCENTED_ROWS], "id bigint, name string"))
 
 
-_NAMES_SQL = f"""names as (select doc_id as id, substr(text, 1, 40) as name from documents union all select p_partkey + 10000000, p_name from part
+_NAMES_SQL = f"""names as (select doc_id as id, text as name from documents union all select p_partkey + 10000000, p_name from part
  union all select id + 20000000, name from {_NAME_VALUES})"""
 
 
@@ -499,43 +499,43 @@ def context_weights(spark, d):
     return six(features.context_weights(m, ratings))
 
 
-_RATES = f"rates as (select player_id, min({_POSITION}) as position_group, coalesce(sum(games_minutes), 0)::double as minutes, coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as goals from player_v where fixture_id % 40 = 1 group by 1)"
+_RATES = f"rates as (select player_id, team_id, min({_POSITION}) as position_group, coalesce(sum(games_minutes), 0)::double as minutes, coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as goals from player_v group by 1, 2)"
 _PRIOR = lambda k: f"case position_group when 'F' then {S.POSITION_PRIORS['F'][k]} when 'D' then {S.POSITION_PRIORS['D'][k]} when 'G' then {S.POSITION_PRIORS['G'][k]} else {S.POSITION_PRIORS['M'][k]} end::double"
 _SHRUNK = f"""shrunk as (select *, w * p90 + (1 - w) * {_PRIOR(0)} as shots_per_90, least(greatest(w * ot + (1 - w) * {_PRIOR(1)}, 0.01), 0.99) as on_target, least(greatest(w * cv + (1 - w) * {_PRIOR(2)}, 0.01), 0.99) as conversion
  from (select *, least(1.0, minutes / 450.0) as w, case when minutes > 0 then shots / minutes * 90.0 else {_PRIOR(0)} end as p90, case when shots > 0 then shots_on / shots else {_PRIOR(1)} end as ot, case when shots_on > 0 then goals / shots_on else {_PRIOR(2)} end as cv from rates))"""
 
 
 def _rates(spark, d):
-    some = view(spark, d, "player_v").where("fixture_id % 40 = 1").withColumn("group", S.position_group(F.col("games_position")))
-    groups = some.groupBy("player_id").agg(F.min("group").alias("group"))
-    return features.player_rates(some, ["player_id"]).join(groups, "player_id")
+    some = view(spark, d, "player_v").withColumn("group", S.position_group(F.col("games_position")))
+    groups = some.groupBy("player_id", "team_id").agg(F.min("group").alias("group"))
+    return features.player_rates(some, ["player_id", "team_id"]).join(groups, ["player_id", "team_id"])
 
 
-@query(f"with {_RATES} select player_id, minutes, shots, shots_on, goals from rates".replace("where fixture_id % 40 = 1 ", ""), "player_v")
+@query(f"with {_RATES} select player_id, team_id, minutes, shots, shots_on, goals from rates", "player_v")
 def player_rates(spark, d):
-    return features.player_rates(view(spark, d, "player_v"), ["player_id"])
+    return features.player_rates(view(spark, d, "player_v"), ["player_id", "team_id"])
 
 
-@query(f"with {_RATES}, {_SHRUNK} select player_id, position_group, round(w, 6) as weight, round(shots_per_90, 6) as shots_per_90, round(on_target, 6) as on_target, round(conversion, 6) as conversion from shrunk", "player_v")
+@query(f"with {_RATES}, {_SHRUNK} select player_id, team_id, position_group, round(w, 6) as weight, round(shots_per_90, 6) as shots_per_90, round(on_target, 6) as on_target, round(conversion, 6) as conversion from shrunk", "player_v")
 def shrunk_rates(spark, d):
-    return six(features.shrunk_rates(_rates(spark, d), F.col("group")).select("player_id", "position_group", "weight", "shots_per_90", "on_target", "conversion"))
+    return six(features.shrunk_rates(_rates(spark, d), F.col("group")).select("player_id", "team_id", "position_group", "weight", "shots_per_90", "on_target", "conversion"))
 
 
 _PROJECTED = "shots_per_90 * 1.1 as l"
 
 
-@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk) select player_id, round(l, 6) as mean_shots, round(l * on_target, 6) as mean_on_target, round(l * on_target * conversion, 6) as mean_goals, round(l * (1 - on_target), 6) as mean_missed, round(1 - exp(-l), 6) as any_shot from p""", "player_v")
+@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk) select player_id, team_id, round(l, 6) as mean_shots, round(l * on_target, 6) as mean_on_target, round(l * on_target * conversion, 6) as mean_goals, round(l * (1 - on_target), 6) as mean_missed, round(1 - exp(-l), 6) as any_shot from p""", "player_v")
 def shot_projection(spark, d):
     out = features.shot_projection(features.shrunk_rates(_rates(spark, d), F.col("group")), F.lit(1.1))
-    return six(out.select("player_id", "mean_shots", "mean_on_target", "mean_goals", "mean_missed", "any_shot"))
+    return six(out.select("player_id", "team_id", "mean_shots", "mean_on_target", "mean_goals", "mean_missed", "any_shot"))
 
 
-@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk where position_group != 'G') select player_id, position_group as position, round(l, 4) as projected_shots, round(l * on_target, 4) as projected_on_target, round((1 - exp(-l)) * 100, 4) as any_shot_percent
- from p order by projected_shots desc, player_id limit 40""", "player_v")
+@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk where position_group != 'G') select player_id, team_id, position_group as position, round(l, 4) as projected_shots, round(l * on_target, 4) as projected_on_target, round((1 - exp(-l)) * 100, 4) as any_shot_percent
+ from p order by projected_shots desc, player_id, team_id limit 40""", "player_v")
 def projection_matrix(spark, d):
-    out = features.shot_projection(features.shrunk_rates(_rates(spark, d), F.col("group")), F.lit(1.1)).withColumn("team_id", F.lit(0))
-    matrix = features.projection_matrix(out).select("player_id", "position", "projected_shots", "projected_on_target", "any_shot_percent")
-    return keyed.top_k(matrix, [F.desc("projected_shots"), F.col("player_id")], 40)
+    out = features.shot_projection(features.shrunk_rates(_rates(spark, d), F.col("group")), F.lit(1.1))
+    matrix = features.projection_matrix(out).select("player_id", "team_id", "position", "projected_shots", "projected_on_target", "any_shot_percent")
+    return keyed.top_k(matrix, [F.desc("projected_shots"), F.col("player_id"), F.col("team_id")], 40)
 
 
 @query("""with t as (select fixture_id, team_id, sum(coalesce(shots_total, 0)) as shots from player_v group by 1, 2),
@@ -784,14 +784,14 @@ def recency_weights(spark, d):
 # --- files and tables ---
 
 
-@query("select cast(fixture_id as varchar) as key, status_short, concat('Team ', cast(home_team_id as varchar)) as home_team from match_v where fixture_id % 20 = 1", "match_v")
+@query("select cast(fixture_id as varchar) as key, status_short, concat('Team ', cast(home_team_id as varchar)) as home_team from match_v", "match_v")
 def keyed_json_bootstrap(spark, d):
     info = F.struct(F.struct("status_short", team_name(F.col("home_team_id")).alias("home_team")).alias("match_info"))
-    some = view(spark, d, "match_v").where("fixture_id % 20 = 1")
-    # One object for each block of hundred keys, as the cache holds one a file.
-    objects = some.groupBy(F.floor(F.col("fixture_id") / 2000).alias("block")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("fixture_id").cast("string"), info)))).alias("value"))
+    some = view(spark, d, "match_v")
+    # One object for each block of a hundred keys, each in a file of its own lines.
+    objects = some.groupBy(F.floor(F.col("fixture_id") / 100).alias("block")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("fixture_id").cast("string"), info)))).alias("value"))
     path = scratch(spark, "keyed")
-    objects.select("value").repartition(4).write.option("maxRecordsPerFile", 1).text(path)
+    objects.select("value").write.option("maxRecordsPerFile", 1).text(path)
     got = io.read_keyed_json(spark, path, "struct<match_info struct<status_short string, home_team string>>".replace("match_info struct", "match_info:struct").replace("status_short string", "status_short:string").replace("home_team string", "home_team:string"))
     return got.select("key", "value.match_info.status_short", "value.match_info.home_team")
 
@@ -848,7 +848,7 @@ def elo_conservation(spark, d):
 
 
 def _landed(spark, d, copies):
-    payloads = player_payloads(view(spark, d, "player_v")).where("fixture_id % 4 = 1")
+    payloads = player_payloads(view(spark, d, "player_v"))
     rows = payloads.select(F.col("fixture_id").cast("int").alias("fixture_id"), F.to_timestamp(F.lit(AS_OF)).alias("landed_at"), "raw_payload")
     folder = scratch(spark, "landing")
     for _ in range(copies):
@@ -856,14 +856,14 @@ def _landed(spark, d, copies):
     return folder
 
 
-@query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, player_id, games_minutes, shots_total, shots_on, goals_total from silver where fixture_id % 4 = 1", "player_v")
+@query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, player_id, games_minutes, shots_total, shots_on, goals_total from silver", "player_v")
 def stream_bronze_to_silver(spark, d):
     name = f"lakeloom_{uuid.uuid4().hex}"
     out = ingest.stream_into(spark, _landed(spark, d, 2), name, scratch(spark, "stream"), silver.silver_player_stats, ["fixture_id", "team_id", "player_id"])
     return out.select("fixture_id", "team_id", "player_id", "games_minutes", "shots_total", "shots_on", "goals_total")
 
 
-@query("select cast(fixture_id as int) as fixture_id, count(*) as n_landed from (select distinct fixture_id from player_v where fixture_id % 4 = 1) group by 1", "player_v")
+@query("select cast(fixture_id as int) as fixture_id, count(*) as n_landed from (select distinct fixture_id from player_v) group by 1", "player_v")
 def stream_dedup(spark, d):
     out = scratch(spark, "deduplicated")
     once = ingest.without_replays(ingest.landing_stream(spark, _landed(spark, d, 3)))
