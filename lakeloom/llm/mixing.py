@@ -103,7 +103,8 @@ def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFra
     short = permuted(F.col("blocks") - 1, F.col("blocks"), F.col("number"), F.col("passes"), inverse=True)
     s = s.withColumn("short_at", short).withColumn("missing", F.col("blocks") * block - F.col("source_size"))
     # Runs are dealt out before they are unfolded, so that a large source's draws come from many tasks.
-    runs = s.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(draws - 1) div {RUN}")))).repartition("number", "run")
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = s.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(draws - 1) div {RUN}")))).repartition(tasks, "number", "run")
     first = F.col("run") * RUN
     k = F.explode(F.sequence(first, F.least(first + RUN, F.col("draws")) - 1))
     draws = runs.withColumn("k", k).withColumn("pass", F.expr("k div blocks")).withColumn("nth", F.col("k") % F.col("blocks"))
@@ -132,10 +133,12 @@ def pieces(rows: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` with their places (without text), and the draws. The texts are read once, for the sizes."""
+    """The rows of ``docs`` with their places (without text), and the draws. The texts are read once, for the sizes.
+
+    The draws are written, so that what joins them is planned by their true size."""
     sizes = written(sized(docs), "mix-sizes")
     sources = written(targets(sizes, weights, cap), "mix-sources")
-    return placed(sizes, sources), slots(sources)
+    return placed(sizes, sources), written(slots(sources), "mix-draws")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
