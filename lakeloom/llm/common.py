@@ -34,9 +34,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count shows at most ``limit`` rows, else unchanged (a shuffle join follows)."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS, weight: str = "1") -> DataFrame:
+    """``df`` with a broadcast hint if its rows weigh at most ``limit`` in all, else unchanged (a shuffle join follows).
+
+    A row weighs 1, or what the SQL expression ``weight`` says, such as the length of an array it carries.
+    """
+    if weight == "1":
+        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    total = df.agg(F.coalesce(F.sum(F.expr(weight)), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= limit else df
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

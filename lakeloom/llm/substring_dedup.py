@@ -216,10 +216,12 @@ class RepeatedPassages:
         else:
             found = self.located(distinct)
         every = found.unionByName(later).unionByName(whole)
-        return written(every.groupBy("d", "t").agg(F.collect_set(F.struct("start", "stop")).alias("ranges")), "ranges")
+        gathered = every.groupBy("d", "t").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+        return written(gathered.mapInArrow(_merged, gathered.schema), "ranges")
 
     def _with_ranges(self) -> DataFrame:
-        return self.docs.join(small_side(self.ranges()), ["d", "t"], "left").select("doc_id", "text", "ranges")
+        ranges = small_side(self.ranges(), weight="1 + size(ranges)")
+        return self.docs.join(ranges, ["d", "t"], "left").select("doc_id", "text", "ranges")
 
     def report(self) -> DataFrame:
         """Per row: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by a space). Null text: no words."""
@@ -251,6 +253,24 @@ class RepeatedPassages:
         return self._with_ranges().mapInArrow(run, "doc_id long, text string")
 
 
+def _merged(batches):
+    """Ranges of each document joined where they touch; a range to the end stands for all."""
+    for batch in batches:
+        out = []
+        for ranges in batch.column(2).to_pylist():
+            runs: list[dict] = []
+            if any(r["stop"] < 0 for r in ranges):
+                runs.append({"start": 0, "stop": -1})
+            else:
+                for r in sorted(ranges, key=lambda r: r["start"]):
+                    if runs and r["start"] <= runs[-1]["stop"]:
+                        runs[-1]["stop"] = max(runs[-1]["stop"], r["stop"])
+                    else:
+                        runs.append(r)
+            out.append(runs)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], names=["d", "t", "ranges"])
+
+
 def _kept(text: str | None, ranges: list | None, window: int) -> tuple[list[bytes], int]:
     """Words kept of a text, and how many it had. A copy shorter than a window keeps all its words."""
     words = (text or "").encode().split()
