@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import id_text, pick
+from lakeloom.llm.common import id_text, pick, written
 
 # Kinds of identity terms; a term is swapped for the next one of its line.
 IDENTITY_TERMS = [
@@ -33,8 +33,10 @@ SWAP = {t: line[(i + 1) % len(line)] for line in IDENTITY_TERMS for i, t in enum
 
 #: Bound of the fit: labelled rows taken of each class, the first by a hash of their number.
 ROWS_OF_CLASS = 4096
-#: Bound of the model: features kept, those whose presence tells most about the class.
-FEATURES = 8192
+#: Bound of the model: features kept, those whose presence tells most about the class; of few rows a quarter as many.
+FEATURES = 1000
+#: Lengths of the word beginnings that are features beside whole words.
+BEGINNINGS = range(4, 9)
 #: Weight of the counterfactual penalty.
 PENALTY = 1.0
 
@@ -43,9 +45,13 @@ _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
 def features(text: str) -> set[str]:
-    """Lower-cased words of a text, and the first four and five letters of longer ones (marked by a star)."""
-    words = set(_WORD.findall(text.lower()))
-    return words | {w[:4] + "*" for w in words if len(w) > 4} | {w[:5] + "*" for w in words if len(w) > 5}
+    """Lower-cased words of a text and the beginnings of longer ones (marked by a star)."""
+    out = set(_WORD.findall(text.lower()))
+    return out.union(*[_beginnings(w) for w in out])
+
+
+def _beginnings(word: str) -> list[str]:
+    return [word[:n] + "*" for n in BEGINNINGS if len(word) > n]
 
 
 def swapped(sentence: str) -> str:
@@ -58,68 +64,98 @@ def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
 
 
-def fit(texts: list[str], labels: list[int], penalty: float = PENALTY, steps: int = 300) -> dict:
-    """Weights of the features and a bias, by full-batch Adam on log loss + L2 + counterfactual penalty.
+def fit(rows: list[list[int]], labels: list[int], plus: list[list[int]], minus: list[list[int]], n: int, penalty: float = PENALTY, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Weights of ``n`` features and a bias, by full-batch Adam on log loss + L2 + counterfactual penalty.
 
-    Without a row of either class nothing can be learned: all weights are zero and the bias gives a score below 0.5.
+    ``rows`` are the features of each labelled text; ``plus`` and ``minus`` those that a swap of identity terms takes from
+    a sentence and gives it. Both classes weigh the same.
     """
     y = np.array(labels, float)
-    if not len(y) or y.min() == y.max():
-        return {"bias": -3.0, "weights": {}}
-    sets = [features(t) for t in texts]
-    counts: dict[str, list[int]] = {}
-    for s, label in zip(sets, labels):
-        for f in s:
-            counts.setdefault(f, [0, 0])[label] += 1
-    pos, neg = y.sum(), len(y) - y.sum()
-    least = 3 if len(y) > 200 else 1
-
-    def told(c: list[int]) -> float:
-        p, q = c[1] / pos, c[0] / neg
-        return (p - q) ** 2 / (p + q)
-
-    best = sorted((f for f, c in counts.items() if sum(c) >= least), key=lambda f: (-told(counts[f]), f))[:FEATURES]
-    index = {f: i for i, f in enumerate(best)}
-    ids, row = _flat([sorted(index[f] for f in s if f in index) for s in sets])
-    pairs = []
-    for t in texts:
-        for sentence in _SENTENCE.findall(t):
-            if any(w in SWAP for w in _WORD.findall(sentence.lower())):
-                a, b = features(sentence), features(swapped(sentence))
-                pairs.append(([index[f] for f in a - b if f in index], [index[f] for f in b - a if f in index]))
-    plus, plus_row = _flat([a for a, _ in pairs])
-    minus, minus_row = _flat([b for _, b in pairs])
-    weight = np.where(y > 0, 0.5 / pos, 0.5 / neg)
-    n = len(best)
+    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    (ids, row), (gone, gone_row), (new, new_row), pairs = _flat(rows), _flat(plus), _flat(minus), len(plus)
     w, bias = np.zeros(n), 0.0
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, steps + 1):
         z = np.bincount(row, w[ids], len(y)) + bias
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        grad = np.append(np.bincount(ids, error[row], n) + 1e-5 * w, error.sum())
+        grad = np.append(np.bincount(ids, error[row], n) + 1e-4 * w, error.sum())
         if pairs:
-            change = (np.bincount(plus_row, w[plus], len(pairs)) - np.bincount(minus_row, w[minus], len(pairs))) * (2 * penalty / len(pairs))
-            grad[:n] += np.bincount(plus, change[plus_row], n) - np.bincount(minus, change[minus_row], n)
+            change = (np.bincount(gone_row, w[gone], pairs) - np.bincount(new_row, w[new], pairs)) * (2 * penalty / pairs)
+            grad[:n] += np.bincount(gone, change[gone_row], n) - np.bincount(new, change[new_row], n)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, bias = w - move[:n], bias - move[n]
-    return {"bias": float(bias), "weights": {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4}}
+    return w, float(bias)
+
+
+def _count_features(batches):
+    """How many texts of either class hold each feature, summed over a task's rows."""
+    counts: dict[str, list[int]] = {}
+    for batch in batches:
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for f in features(text):
+                counts.setdefault(f, [0, 0])[label] += 1
+    names = list(counts)
+    for lo in range(0, len(names), 50_000):
+        part = names[lo : lo + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([counts[f][k] for f in part], pa.int64()) for k in (0, 1))], names=["feature", "neg", "pos"])
+
+
+def _indexed(index: dict[str, int]):
+    """Rows with the chosen features of each text, and of its sentences that name a group, by number."""
+
+    def run(batches):
+        numbers = pa.list_(pa.int32())
+        for batch in batches:
+            ids, plus, minus = [], [], []
+            for text in batch.column(1).to_pylist():
+                ids.append(sorted(index[f] for f in features(text) if f in index))
+                gone, new = [], []
+                for sentence in _SENTENCE.findall(text):
+                    if any(w in SWAP for w in _WORD.findall(sentence.lower())):
+                        a, b = features(sentence), features(swapped(sentence))
+                        gone.append(sorted(index[f] for f in a - b if f in index))
+                        new.append(sorted(index[f] for f in b - a if f in index))
+                kept = [i for i, pair in enumerate(zip(gone, new)) if any(pair)]
+                plus.append([gone[i] for i in kept])
+                minus.append([new[i] for i in kept])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ids, numbers), pa.array(plus, pa.list_(numbers)), pa.array(minus, pa.list_(numbers))], names=["doc_id", "toxic", "ids", "plus", "minus"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, rows_of_class: int = ROWS_OF_CLASS, penalty: float = PENALTY) -> dict:
     """Fit on at most ``rows_of_class`` labelled rows of each class; label rows are chosen first, then their texts read.
 
-    Rows with a null label, number or text are left out; a number with several label rows counts with each of them.
+    Texts stay in tasks: these count the features, the FEATURES that tell most are chosen, and only their numbers reach
+    the driver. Rows with a null label, number or text are left out; a number with several label rows counts with each
+    of them. Without a row of either class nothing can be learned: the bias alone gives a score below 0.5.
     """
     chosen = None
     marked = pick(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null")
     for label in (0, 1):
         part = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_of_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # Bounded by 2 * rows_of_class rows of two numbers.
-    rows = pick(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.toxic, r.text))
-    return fit([r.text for r in rows], [int(r.toxic) for r in rows], penalty)
+    # At most 2 * rows_of_class rows of two numbers are broadcast.
+    rows = pick(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    rows = written(rows, "toxicity-sample")
+    of_class = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    neg, pos = of_class.get(0, 0), of_class.get(1, 0)
+    if not neg or not pos:
+        return {"bias": -3.0, "weights": {}}
+    total = neg + pos
+    counts = rows.select("text", "toxic").mapInArrow(_count_features, "feature string, neg long, pos long").groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    share = (F.col("neg") + F.col("pos")) / total
+    # How far the share of toxic texts with the feature lies above the others', in standard errors.
+    told = (F.col("pos") / pos - F.col("neg") / neg) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + 1e-12)
+    room = min(FEATURES, max(100, total // 4))
+    best = counts.where(F.col("pos") >= (3 if total > 200 else 1)).orderBy(told.desc(), "feature").select("feature").limit(room).collect()
+    index = {r.feature: i for i, r in enumerate(best)}
+    encoded = rows.mapInArrow(_indexed(index), "doc_id long, toxic int, ids array<int>, plus array<array<int>>, minus array<array<int>>").collect()
+    encoded.sort(key=lambda r: (r.doc_id, r.toxic, r.ids))
+    plus, minus = ([p for r in encoded for p in r[side]] for side in ("plus", "minus"))
+    w, bias = fit([r.ids for r in encoded], [r.toxic for r in encoded], plus, minus, len(index), penalty)
+    return {"bias": bias, "weights": {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4}}
 
 
 #: Words whose features a worker keeps; emptied when full.
@@ -134,7 +170,7 @@ def _scorer(model: dict, key: str):
     weights, kept, bias = model["weights"], _KEPT["words"], model["bias"]
 
     def of(word: str) -> tuple[str, ...]:
-        return tuple(f for f in (word, *([word[:4] + "*"] if len(word) > 4 else []), *([word[:5] + "*"] if len(word) > 5 else [])) if f in weights)
+        return tuple(f for f in (word, *_beginnings(word)) if f in weights)
 
     def score(text: str) -> float:
         found: set[str] = set()

@@ -358,7 +358,7 @@ def test_toxicity_awkward(spark, awkward, empty):
     assert toxicity.keep_clean(awkward, labels.limit(0)).columns == awkward.columns
 
 
-def test_swapping_a_group_name_hardly_moves_the_score():
+def test_swapping_a_group_name_hardly_moves_the_score(spark):
     rng = np.random.default_rng(1)
     texts, labels = [], []
     for i in range(400):
@@ -372,7 +372,9 @@ def test_swapping_a_group_name_hardly_moves_the_score():
         w = model["weights"]
         return abs(sum(w.get(f, 0) for f in ("muslim", "musl*", "musli*")) - sum(w.get(f, 0) for f in ("christian", "chri*", "chris*")))
 
-    plain, fair = toxicity.fit(texts, labels, penalty=0.0), toxicity.fit(texts, labels, penalty=5.0)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    plain, fair = toxicity.train(docs, marks, penalty=0.0), toxicity.train(docs, marks, penalty=5.0)
     assert gap(fair) < 0.5 * gap(plain)
 
 
