@@ -24,7 +24,7 @@ from lakeloom.llm.common import pick
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
 #: Words whose ids a worker keeps, in each of two generations; the older one is dropped when the newer is full.
-KEPT_WORDS = 320_000
+KEPT_WORDS = 280_000
 #: Cores handed to the tokenizer in one string.
 TOGETHER = 100
 

@@ -159,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_class: int = ROWS_OF_CLASS
 
 
 #: Words whose features a worker keeps; emptied when full.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 60_000
 _KEPT: dict = {}
 
 
