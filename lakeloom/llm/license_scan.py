@@ -1,10 +1,11 @@
-"""Licence scan: lines of a text and whole licence files are compared with licence templates by the cosine of their
-sparse TF-IDF vectors; a file without a licence of its own takes that of the nearest directory above it."""
+"""Licence scan: lines of a text, runs of lines and the whole text are compared with licence templates by the cosine of
+their sparse TF-IDF vectors; a file without a licence of its own takes that of the nearest directory above it."""
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +48,8 @@ def terms(text: str) -> list[str]:
 
 
 VOCABULARY = sorted({t for _, text in TEMPLATES for t in terms(text)})
+#: Consecutive lines are joined up to so many terms: four times the longest template. Paragraphs and whole texts have no limit.
+RUN_TERMS = 4 * max(len(terms(text)) for _, text in TEMPLATES)
 
 
 def document_frequencies(docs: DataFrame) -> tuple[dict[str, int], int]:
@@ -110,8 +113,83 @@ class Scorer:
         i = max(dots, key=lambda i: (round(dots[i], 12), -i))
         return dots[i], self.vectors[i][0]
 
+    def reachable(self, words: set[str], cosine: float) -> list[int]:
+        """Templates that some text of ``words`` could reach: by Cauchy's inequality the cosine is at most the length of
+        the template's vector over the terms both hold, however often the text repeats them."""
+        held: dict[int, float] = {}
+        for w in words:
+            for i, y in self.index.get(w, ()):
+                held[i] = held.get(i, 0.0) + y * y
+        return [i for i, x in held.items() if x >= cosine * cosine - 1e-9]
+
+    def scan(self, text: str, cosine: float) -> tuple[float, str, int] | None:
+        """The best cosine of at least ``cosine``, its licence and first line: of every line, every run of consecutive
+        lines of at most RUN_TERMS terms, every paragraph and the whole text. The first of equal ones."""
+        lines = [(n, words) for n, line in enumerate(text.split("\n")) if (words := terms(line))]
+        counts = Counter(w for _, words in lines for w in words)
+        near = frozenset(self.reachable(counts.keys(), cosine))
+        if not near:
+            return None
+        native = {w: [(i, y) for i, y in self.index[w] if i in near] for w in counts if w in self.index}
+        native = {w: held for w, held in native.items() if held}
+        # Terms of no reachable template only lengthen a run's vector. Beyond this square of a length, what the run may
+        # hold of a template, with each term as often as in the whole text, can't make up for it.
+        most: dict[int, float] = {}
+        for w, held in native.items():
+            for i, _ in held:
+                most[i] = most.get(i, 0.0) + ((1 + math.log(counts[w])) * self.idf[w]) ** 2
+        limit = max(most[i] for i in near) * (1 / cosine**2 - 1) * (1 + 1e-9) if cosine > 0 else math.inf
+        top, found = cosine - 1e-12, None
+        for a in range(len(lines)):
+            # A run that begins or ends with a line without any term of a template is worse than the run without it.
+            if native.keys().isdisjoint(lines[a][1]):
+                continue
+            for b, value in self._runs(lines, a, native, limit):
+                if round(value, 12) > round(top, 12) or (found is None and value >= top):
+                    top, found = value, (a, b)
+        breaks = [0, *(i for i in range(1, len(lines)) if lines[i][0] != lines[i - 1][0] + 1), len(lines)]
+        for a, b in [*zip(breaks, breaks[1:]), (0, len(lines))]:
+            words = [w for _, line in lines[a:b] for w in line]
+            if len(words) > RUN_TERMS and self.reachable(set(words), cosine):
+                value = self.best(" ".join(words))[0]
+                if round(value, 12) > round(top, 12):
+                    top, found = value, (a, b)
+        if found is None:
+            return None
+        got = self.best(" ".join(w for _, line in lines[found[0] : found[1]] for w in line))
+        return (*got, lines[found[0]][0]) if got[0] >= cosine else None
 
-#: A line is compared if it holds one of these; every template does, so no line that a template could reach is left out
+    def _runs(self, lines: list[tuple[int, list[str]]], a: int, native: dict[str, list[tuple[int, float]]], limit: float):
+        """Ends (exclusive) and best cosines of the runs that begin with line ``a``, grown line by line."""
+        counts: dict[str, int] = {}
+        dots: dict[int, float] = {}
+        squares = foreign = 0.0
+        size = 0
+        for b in range(a, len(lines)):
+            words, useful = lines[b][1], False
+            size += len(words)
+            if size > RUN_TERMS and b > a:
+                return
+            for w in words:
+                c = counts[w] = counts.get(w, 0) + 1
+                weight = self.idf.get(w, self.unseen)
+                old = (1 + math.log(c - 1)) * weight if c > 1 else 0.0
+                new = (1 + math.log(c)) * weight
+                squares += new * new - old * old
+                held = native.get(w)
+                if held:
+                    useful = True
+                    for i, y in held:
+                        dots[i] = dots.get(i, 0.0) + (new - old) * y
+                else:
+                    foreign += new * new - old * old
+                    if foreign > limit:
+                        return
+            if useful:
+                yield b + 1, max(dots.values()) / math.sqrt(squares)
+
+
+#: A text is compared if it holds one of these; every template does, so no text that a template could reach is left out
 #: but for those that share only its other words.
 _HINT = re.compile(r"licen[sc]e|permission|permitted|redistribut|copyright|spdx|waived|subject to the terms|free software", re.I)
 
@@ -119,31 +197,18 @@ _HINT = re.compile(r"licen[sc]e|permission|permitted|redistribut|copyright|spdx|
 def scan_licenses(docs: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Per row of ``docs`` (doc_id, path, text): doc_id, path, license (null if none), license_score, license_line.
 
-    Every line of the whole text is a candidate header, and so is the whole text if it has at most twenty lines. The
-    best line wins, the first of equal ones. Null text: no licence.
+    Every line of the whole text is a candidate header, and so are runs of consecutive lines, paragraphs and the whole
+    text, at every length of the text (``Scorer.scan``). The best wins, the first of equal ones; license_line is its
+    first line. Null text: no licence.
     """
     scorer = docs.sparkSession.sparkContext.broadcast(document_frequencies(docs))
 
     def run(batches):
         score = Scorer(*scorer.value)
-        known: dict[str, tuple[float, str] | None] = {}
         for batch in batches:
             found = []
             for text in batch.column(2).to_pylist():
-                best = (0.0, None, None)
-                if text and _HINT.search(text):
-                    lines = text.split("\n")
-                    for i, line in enumerate([*lines, *([" ".join(lines)] if 1 < len(lines) <= 20 else [])]):
-                        if not _HINT.search(line):
-                            continue
-                        if line not in known:
-                            if len(known) > 10_000:
-                                known.clear()
-                            known[line] = score.best(line)
-                        got = known[line]
-                        if got and got[0] >= cosine and got[0] > best[0]:
-                            best = (got[0], got[1], min(i, len(lines) - 1))
-                found.append(best)
+                found.append((text and _HINT.search(text) and score.scan(text, cosine)) or (0.0, None, None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([b[1] for b in found], pa.string()), pa.array([b[0] for b in found], pa.float64()), pa.array([b[2] for b in found], pa.int32())],
                 names=["doc_id", "path", "license", "license_score", "license_line"],

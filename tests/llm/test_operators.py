@@ -237,6 +237,39 @@ def test_license_scorer_matches_plain_cosine(docs):
     assert scorer.best(line)[0] == pytest.approx(max(dots)[0])
 
 
+def test_wrapped_licenses_are_found_in_long_files(spark):
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    code = [f"alpha{i} beta{i} gamma{i} delta{i}" for i in range(60)]
+    blanks = "\n\n".join(license_scan.TEMPLATES[1][1].split())
+    files = spark.createDataFrame(
+        [(1, "a/LICENSE", "\n".join([*code[:30], gpl, *code[30:]])), (2, "a/x.py", "\n".join(code)), (3, "b/LICENSE", blanks), (4, "b/c/y.py", "none"), (5, "z.py", "\n".join([gpl, *code])), (6, "c/LICENSE", f"{blanks}\n" * 7)]
+        + [(100 + i, f"d/{i}.py", f"some other words {i}") for i in range(200)],
+        "doc_id long, path string, text string",
+    )
+    scanned = license_scan.scan_licenses(files)
+    got = table(scanned)
+    assert [(got[d].license, got[d].license_line) for d in (1, 2, 3, 4, 5, 6)] == [("GPL-3.0", 30), (None, None), ("MIT", 0), (None, None), ("GPL-3.0", 0), ("MIT", 0)]
+    effective = table(license_scan.inherit(scanned))
+    assert effective[2].effective_license == "GPL-3.0" and effective[4].effective_license == "MIT"
+
+
+def test_license_scan_matches_all_runs(docs):
+    scorer = license_scan.Scorer(*license_scan.document_frequencies(docs))
+    pool = [w for _, text in license_scan.TEMPLATES for w in license_scan.terms(text)] + ["house", "river", "the"] * 20
+    rng = np.random.default_rng(5)
+    hits = 0
+    for _ in range(150):
+        lines = [" ".join(rng.choice(pool, rng.integers(0, 5))) for _ in range(4)]
+        words = license_scan.TEMPLATES[rng.integers(len(license_scan.TEMPLATES))][1].split()
+        lines += [" ".join(words[i : i + 7]) for i in range(0, len(words), 7)] + [" ".join(rng.choice(pool, rng.integers(0, 5))) for _ in range(3)]
+        runs = [scorer.best(" ".join(lines[a:b])) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)]
+        want = max((r[0] for r in runs if r), default=0)
+        got = scorer.scan("\n".join(lines), 0.75)
+        assert (got[0] == pytest.approx(want)) if want >= 0.75 else got is None
+        hits += got is not None
+    assert 50 < hits
+
+
 # --- 5 ---
 
 
