@@ -34,6 +34,9 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "Copyright. All rights reserved."),
 ]
+#: A template that counts only where this term of it stands: "All rights reserved." alone is a page's footer, and reaches
+#: the cosine limit without it.
+REQUIRED = {"Proprietary": "copyright"}
 #: A licence file's base name.
 LICENSE_FILE = r"(?i)^(un)?licen[sc]e(\..*)?$|^copying(\..*)?$|^notice(\..*)?$"
 #: Least cosine of a line and a template.
@@ -89,6 +92,7 @@ class Scorer:
         self.idf = {t: math.log((1 + documents) / (1 + frequencies.get(t, 0))) + 1 for t in VOCABULARY}
         self.unseen = math.log(1 + documents) + 1
         self.vectors = [(name, self.vector(terms(text))) for name, text in TEMPLATES]
+        self.required = [REQUIRED.get(name) for name, _ in TEMPLATES]
         self.index: dict[str, list[tuple[int, float]]] = {}
         for i, (_, v) in enumerate(self.vectors):
             for t, x in v.items():
@@ -105,9 +109,11 @@ class Scorer:
     def best(self, line: str) -> tuple[float, str] | None:
         """The highest cosine and its licence; equal cosines go to the template named first."""
         dots: dict[int, float] = {}
-        for w, x in self.vector(terms(line)).items():
+        v = self.vector(terms(line))
+        for w, x in v.items():
             for i, y in self.index.get(w, ()):
                 dots[i] = dots.get(i, 0.0) + x * y
+        dots = {i: dot for i, dot in dots.items() if self.required[i] is None or self.required[i] in v}
         if not dots:
             return None
         i = max(dots, key=lambda i: (round(dots[i], 12), -i))
@@ -120,16 +126,16 @@ class Scorer:
         for w in words:
             for i, y in self.index.get(w, ()):
                 held[i] = held.get(i, 0.0) + y * y
-        return [i for i, x in held.items() if x >= cosine * cosine - 1e-9]
+        return [i for i, x in held.items() if x >= cosine * cosine - 1e-9 and (self.required[i] is None or self.required[i] in words)]
 
     def scan(self, text: str, cosine: float) -> tuple[float, str, int] | None:
         """The best cosine of at least ``cosine``, its licence and first line: of every line, every run of consecutive
         lines of at most RUN_TERMS terms, every paragraph and the whole text. The first of equal ones."""
-        lines = [(n, words) for n, line in enumerate(text.split("\n")) if (words := terms(line))]
-        counts = Counter(w for _, words in lines for w in words)
-        near = frozenset(self.reachable(counts.keys(), cosine))
+        near = frozenset(self.reachable(self.index.keys() & terms(text), cosine))
         if not near:
             return None
+        lines = [(n, words) for n, line in enumerate(text.split("\n")) if (words := terms(line))]
+        counts = Counter(w for _, words in lines for w in words)
         native = {w: [(i, y) for i, y in self.index[w] if i in near] for w in counts if w in self.index}
         native = {w: held for w, held in native.items() if held}
         # Terms of no reachable template only lengthen a run's vector. Beyond this square of a length, what the run may
@@ -186,12 +192,7 @@ class Scorer:
                     if foreign > limit:
                         return
             if useful:
-                yield b + 1, max(dots.values()) / math.sqrt(squares)
-
-
-#: A text is compared if it holds one of these; every template does, so no text that a template could reach is left out
-#: but for those that share only its other words.
-_HINT = re.compile(r"licen[sc]e|permission|permitted|redistribut|copyright|spdx|waived|subject to the terms|free software", re.I)
+                yield b + 1, max((x for i, x in dots.items() if self.required[i] is None or self.required[i] in counts), default=0.0) / math.sqrt(squares)
 
 
 def scan_licenses(docs: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -208,7 +209,7 @@ def scan_licenses(docs: DataFrame, cosine: float = COSINE) -> DataFrame:
         for batch in batches:
             found = []
             for text in batch.column(2).to_pylist():
-                found.append((text and _HINT.search(text) and score.scan(text, cosine)) or (0.0, None, None))
+                found.append((text and score.scan(text, cosine)) or (0.0, None, None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([b[1] for b in found], pa.string()), pa.array([b[0] for b in found], pa.float64()), pa.array([b[2] for b in found], pa.int32())],
                 names=["doc_id", "path", "license", "license_score", "license_line"],

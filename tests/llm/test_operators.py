@@ -253,6 +253,17 @@ def test_wrapped_licenses_are_found_in_long_files(spark):
     assert effective[2].effective_license == "GPL-3.0" and effective[4].effective_license == "MIT"
 
 
+def test_licenses_without_key_words_are_found(spark):
+    lines = {1: "CC BY-NC 4.0", 2: "CC BY 4.0", 3: "obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction", 4: "the material and the works of a", 5: "All rights reserved.", 6: "Copyright 2020\nAll rights reserved."}
+    files = spark.createDataFrame(
+        [(d, f"{d}/LICENSE", line) for d, line in lines.items()] + [(10 * d, f"{d}/x/y.py", f"code\n{'value ' * d}") for d in lines] + [(100 + i, f"z/{i}.py", f"under the house of this and that in a file {i}") for i in range(300)],
+        "doc_id long, path string, text string",
+    )
+    got = table(license_scan.inherit(license_scan.scan_licenses(files)))
+    for d, name in ((1, "CC-BY-NC-4.0"), (2, "CC-BY-4.0"), (3, "MIT"), (4, None), (5, None), (6, "Proprietary")):
+        assert got[d].license == got[10 * d].effective_license == name
+
+
 def test_license_scan_matches_all_runs(docs):
     scorer = license_scan.Scorer(*license_scan.document_frequencies(docs))
     pool = [w for _, text in license_scan.TEMPLATES for w in license_scan.terms(text)] + ["house", "river", "the"] * 20
