@@ -13,8 +13,10 @@ from lakeloom.llm.toxicity import held_out
 
 #: Bounds of the sample: languages (the most frequent), labelled documents and letters of each.
 LANGUAGES, DOCUMENTS, LETTERS = 64, 400, 40_000
-#: Letters told apart; the rest count as one unknown letter, which no automaton knows.
+#: Letters with a column of the dense transition table: the commonest. The automata's other transitions are a sorted list.
 ALPHABET = 60
+#: Code of the first letter without a column.
+RARE = 256
 #: A text is parsed in segments of so many letters, each of which begins a phrase.
 SEGMENT = 1024
 #: How sharply phrase rates turn into a score.
@@ -24,8 +26,9 @@ _END, _GAP, _UNKNOWN = 255, 0, 1
 _MODELS: dict = {}
 
 
-def _automaton(codes: np.ndarray, width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``, one row a state; -1 where none. Code ``_END`` parts texts."""
+def _automaton(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions of the suffix automaton of ``codes``: a row a state of the codes below ``width``, -1 where none, and
+    those of rare letters as rows of state, code and next state. Code ``_END`` parts texts."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
@@ -51,12 +54,14 @@ def _automaton(codes: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    table = np.full((len(moves), width), -1, np.int32)
+    table, rare = np.full((len(moves), width), -1, np.int32), []
     for s, row in enumerate(moves):
         for c, t in row.items():
             if c < width:
                 table[s, c] = t
-    return table
+            elif c >= RARE:
+                rare.append((s, c, t))
+    return table, np.array(rare, np.int64).reshape(-1, 3)
 
 
 def _folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,11 +78,17 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
     return known[points]
 
 
-def _classes(points: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
-    """Class of each code point: gap, unknown letter, a letter of ``alphabet`` (sorted) from 2 on; ``_END`` for zeros."""
+def _classes(points: np.ndarray, alphabet: np.ndarray, rare: np.ndarray = np.empty(0, np.uint32)) -> np.ndarray:
+    """Class of each code point: gap, unknown letter, a letter of ``alphabet`` (sorted) from 2 on or of ``rare`` (sorted)
+    from ``RARE`` on; ``_END`` for zeros."""
     at = np.minimum(np.searchsorted(alphabet, points), max(0, len(alphabet) - 1))
     hit = alphabet[at] == points if len(alphabet) else np.zeros(len(points), bool)
-    out = np.where(hit, at + 2, np.where(_is_letter(points), _UNKNOWN, _GAP)).astype(np.uint8)
+    out = np.where(hit, at + 2, np.where(_is_letter(points), _UNKNOWN, _GAP)).astype(np.int32)
+    if len(rare):
+        left = np.flatnonzero(out == _UNKNOWN)
+        at = np.minimum(np.searchsorted(rare, points[left]), len(rare) - 1)
+        hit = rare[at] == points[left]
+        out[left[hit]] = at[hit] + RARE
     out[points == 0] = _END
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != _GAP) | (out[:-1] != _GAP)
@@ -85,31 +96,43 @@ def _classes(points: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Automata of all languages in one transition table; built in a worker from the bounded sample."""
+    """Automata of all languages in one transition table and one list; built in a worker from the bounded sample."""
 
     def __init__(self, sample: list[tuple[str, list[str]]]) -> None:
         self.languages = [lang for lang, _ in sample]
         points = [_folded(texts)[0] for _, texts in sample]
         letters = np.concatenate(points) if points else np.empty(0, np.uint32)
         values, counts = np.unique(letters[_is_letter(letters)], return_counts=True)
-        self.alphabet = np.sort(values[np.argsort(-counts, kind="stable")[:ALPHABET]])
+        common = np.argsort(-counts, kind="stable")
+        self.alphabet, self.rare = np.sort(values[common[:ALPHABET]]), np.sort(values[common[ALPHABET:]])
         self.width = len(self.alphabet) + 2
-        tables, base, self.roots = [], 0, []
+        tables, base, self.roots, edges = [], 0, [], []
         for p in points:
-            codes = _classes(p, self.alphabet)[: LETTERS]
-            codes[codes == _UNKNOWN] = _END  # an unknown letter never matches
-            table = _automaton(codes, self.width)
+            table, rare = _automaton(_classes(p, self.alphabet, self.rare)[:LETTERS], self.width)
             self.roots.append(base * self.width)
+            edges.append((rare + [base, 0, base]) * [self.width, 1, self.width])
             tables.append(np.where(table >= 0, (table + base) * self.width, -1))
             base += len(table)
         self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.empty(0, np.int32)
+        edges = np.concatenate(edges) if edges else np.empty((0, 3), np.int64)
+        keys = edges[:, 0] << 21 | edges[:, 1]
+        order = np.argsort(keys)
+        self.keys, self.next = keys[order], edges[order, 2].astype(np.int32)
         root = np.array(self.roots, np.int64)
         first = self.table[root[:, None] + np.arange(self.width)] if tables else np.empty((0, self.width), np.int32)
         self.first = np.where(first >= 0, first, root[:, None]).astype(np.int32)
 
+    def _rare_moves(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Next states (languages by letters) by rare letters; -1 where none."""
+        keys = states.astype(np.int64) << 21 | codes
+        if not len(self.keys):
+            return np.full(keys.shape, -1, np.int32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.next[at], -1)
+
     def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases a letter, texts by languages; and which texts hold a letter at all."""
-        classes = _classes(_folded(texts)[0], self.alphabet)
+        classes = _classes(_folded(texts)[0], self.alphabet, self.rare)
         ends = np.flatnonzero(classes == _END)
         starts = np.concatenate([[0], ends[:-1] + 1])
         length = ends - starts
@@ -123,16 +146,24 @@ class Model:
         order = np.argsort(-size, kind="stable")
         at, size = at[order], size[order]
         n, languages = len(at), len(self.languages)
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], n, 1)
+        root = np.array(self.roots, np.int32)[:, None]
+        state = np.repeat(root, n, 1)
         phrases = np.ones((languages, n), np.int32)
         active = np.searchsorted(-size, -np.arange(1, SEGMENT + 1), side="right")
         for t in range(int(size[0]) if n else 0):
             k = active[t]
             code = classes[at[:k] + t]
-            nxt = self.table.take(state[:, :k] + code)
+            rare = np.flatnonzero(code >= RARE) if len(self.rare) else ()
+            column = np.where(code >= RARE, _UNKNOWN, code) if len(rare) else code
+            nxt = self.table.take(state[:, :k] + column)
+            first = self.first.take(column, axis=1)
+            if len(rare):
+                nxt[:, rare] = self._rare_moves(state[:, rare], code[rare])
+                moved = self._rare_moves(root, code[rare])
+                first[:, rare] = np.where(moved < 0, root, moved)
             miss = nxt < 0
             phrases[:, :k] += miss
-            state[:, :k] = np.where(miss, self.first.take(code, axis=1), nxt)
+            state[:, :k] = np.where(miss, first, nxt)
         total = np.zeros((len(texts), languages))
         for j in range(languages):
             total[:, j] = np.bincount(owner[order], phrases[j], len(texts))

@@ -317,6 +317,29 @@ def test_cross_parsing_matches_plain_search():
     assert lettered.tolist() == [True, True, True, True]
 
 
+def test_rare_letters_are_told_apart():
+    rng = np.random.default_rng(3)
+    scripts = {"de": range(97, 123), "el": range(0x3B1, 0x3CA), "ja": range(0x3042, 0x3096), "ru": range(0x430, 0x450), "zh": range(0x4E00, 0x4E00 + 400)}
+    words = {lang: ["".join(map(chr, rng.choice(list(letters), 4))) for _ in range(150)] for lang, letters in scripts.items()}
+    weight = {"de": 60, "ru": 30, "el": 8, "ja": 3, "zh": 1}
+    model = language_id.Model([(lang, [" ".join(words[lang] * weight[lang])]) for lang in sorted(words)])
+    assert len(model.rare) > 300
+    for lang, known in words.items():
+        texts = [" ".join(rng.choice(known, 12)) for _ in range(20)] + [known[5]]
+        rates, _ = model.rates(texts)
+        assert [model.languages[i] for i in rates.argmin(1)] == [lang] * 21
+
+
+def test_rare_letters_give_the_rates_of_a_wide_table(monkeypatch):
+    train = [("a", ["banana bandana cabana"]), ("b", ["\u4e00\u4e01 nab \u4e02\u4e00\u4e01 cab"]), ("c", ["\u0430\u0431 \u0432\u0431\u0430 bad"])]
+    texts = ["ban the \u4e00\u4e01 cab", "\u4e02\u4e00\u4e01", "\u0431\u0430 xyz \u4e05", "", "\u0432\u0431\u0430" * 700]
+    wide = language_id.Model(train).rates(texts)[0]
+    monkeypatch.setattr(language_id, "ALPHABET", 3)
+    assert (language_id.Model(train).rates(texts)[0] == wide).all()
+    monkeypatch.setattr(language_id, "LETTERS", 2)
+    assert language_id.Model(train).rates(texts)[0].shape == wide.shape
+
+
 # --- 6 ---
 
 
