@@ -52,6 +52,9 @@ class _Encoder:
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {}
+        # Added tokens are found in the text as it stands, so their other spellings must keep their case.
+        added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         entries = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(entries.values()) + 1, bool)
         self.ends[[i for t, i in entries.items() if t.endswith("</w>")]] = True
@@ -121,9 +124,16 @@ class _Encoder:
         if len(tails) > KEPT_WORDS:
             tails.clear()
 
+    def _split(self, text: bytes) -> list[bytes]:
+        """Words in lower case, and the commonest punctuation apart: fewer different words, the same ids. A word that
+        holds an added token's letters in any case stays as it is."""
+        low = text.lower()
+        if self.added and self.added.search(low):
+            return [w if self.added.search(w.lower()) else w.lower() for w in text.split()]
+        return _STOP.sub(rb" \1", low).split()
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        # Lower case first, and the commonest punctuation apart: fewer different words, the same ids.
-        split = [_STOP.sub(rb" \1", t.lower()).split() for t in texts]
+        split = [self._split(t) for t in texts]
         if len(self.words) > KEPT_WORDS:
             self.words, self.older = {}, self.words
         new = set().union(*split).difference(self.words)

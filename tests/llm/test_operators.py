@@ -72,6 +72,13 @@ def test_token_output_awkward(spark, awkward, empty, tmp_path):
     assert token_output.token_digest(spark, f"{tmp_path}/e").count() == 0
 
 
+def test_added_tokens_in_another_case_are_plain_text(spark, tmp_path):
+    texts = ["a <|ENDOFTEXT|> b", "x,<|EndOfText|>Y. <|endoftext|> Some MORE, words.", "END<|STARTOFTEXT|><|startoftext|>", "<|ENDOFTEXT|>.", "plain <| Text |>"]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], brute.SCHEMA)
+    token_output.write_tokens(docs, f"{tmp_path}/s", vocabulary(), 2)
+    check_tokens(token_output.token_digest(spark, f"{tmp_path}/s"), list(enumerate(texts)))
+
+
 def test_token_files_have_page_indexes_and_dictionaries(spark, awkward, tmp_path):
     import pyarrow.parquet as pq
 
