@@ -33,8 +33,10 @@ SWAP = {t: line[(i + 1) % len(line)] for line in IDENTITY_TERMS for i, t in enum
 
 #: Bound of the fit: labelled rows taken of each class, the first by a hash of their number.
 ROWS_OF_CLASS = 4096
-#: Bound of the model: features kept, those whose presence tells most about the class; of few rows a quarter as many.
+#: Bound of the model: features kept, those whose presence tells most about the class, at every number of rows.
 FEATURES = 1000
+#: A feature is in at least so many toxic texts of the sample, at every number of rows.
+LEAST_TOXIC = 1
 #: Lengths of the word beginnings that are features beside whole words.
 BEGINNINGS = range(4, 9)
 #: Weight of the counterfactual penalty.
@@ -148,8 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_class: int = ROWS_OF_CLASS
     share = (F.col("neg") + F.col("pos")) / total
     # How far the share of toxic texts with the feature lies above the others', in standard errors.
     told = (F.col("pos") / pos - F.col("neg") / neg) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + 1e-12)
-    room = min(FEATURES, max(100, total // 4))
-    best = counts.where(F.col("pos") >= (3 if total > 200 else 1)).orderBy(told.desc(), "feature").select("feature").limit(room).collect()
+    best = counts.where(F.col("pos") >= LEAST_TOXIC).orderBy(told.desc(), "feature").select("feature").limit(FEATURES).collect()
     index = {r.feature: i for i, r in enumerate(best)}
     encoded = rows.mapInArrow(_indexed(index), "doc_id long, toxic int, ids array<int>, plus array<array<int>>, minus array<array<int>>").collect()
     encoded.sort(key=lambda r: (r.doc_id, r.toxic, r.ids))

@@ -424,6 +424,15 @@ def test_toxicity(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got.values())
 
 
+def test_features_do_not_depend_on_the_number_of_rows(spark):
+    rows = [(i, f"common words here slur{i // 6:03}x" if i % 2 else f"common words here kind{i:03}x") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    assert sum(f"slur{n:03}x" in toxicity.train(docs, labels)["weights"] for n in (0, 75, 149)) == 3
+    few = labels.where("doc_id < 300 and not (doc_id between 6 and 11 and doc_id <> 7)")
+    assert "slur001x" in toxicity.train(docs, few)["weights"]
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(1, None), (2, 1), (3, 0), (None, 1), (2, 1), (99, 0)], "doc_id long, toxic int")
     assert toxicity.toxicity(awkward, labels).count() == len(brute.awkward_rows())
