@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,17 +59,13 @@ def id_text(col: Column) -> Column:
 
 # --- word hashing -----------------------------------------------------------------------------------------------------
 
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
-_PLACE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[ord("A") : ord("Z") + 1] += 32
+#: Longer words are hashed one by one, all their bytes at once.
+LONG_WORD = 256
+_MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit reaches every output bit."""
+    """A 64-bit finaliser: every input bit reaches every output bit, and different inputs give different outputs."""
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
     x = x ^ (x >> np.uint64(27))
@@ -75,33 +73,75 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _places(n: int) -> np.ndarray:
-    """Odd multipliers for the byte places of a word, extended when a longer word turns up."""
-    global _PLACE
-    while len(_PLACE) < n:
-        _PLACE = np.concatenate([_PLACE, mix64(_PLACE + np.uint64(len(_PLACE))) | np.uint64(1)])
-    return _PLACE
-
-
-def word_hashes(texts: list[bytes], fold: bool) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all white-space separated words of ``texts`` and the bounds of each text among them.
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts of an Arrow column and the bounds of each among them; null counts as empty."""
+    column = column.cast(pa.large_string()).fill_null("")
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def byte_chunks(bounds: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes each; a longer text stands alone. ``bounds`` as of :func:`text_bytes`."""
+    lo, n = 0, len(bounds) - 1
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + size, side="right")) - 1)
+        yield lo, min(hi, n)
+        lo = min(hi, n)
+
+
+def is_space(raw: np.ndarray) -> np.ndarray:
+    """Which bytes are U+0020 or U+0009-U+000D."""
+    return (raw == 0x20) | ((raw - np.uint8(9)) < 5)
+
+
+def folded(raw: np.ndarray) -> np.ndarray:
+    """A copy of ``raw`` with A-Z in lower case and eight zeros behind, as :func:`word_keys` wants it."""
+    out = np.zeros(len(raw) + 8, np.uint8)
+    np.add(raw, ((raw - np.uint8(65)) < 26) * np.uint8(32), out=out[: len(raw)])
+    return out
+
+
+def word_spans(raw: np.ndarray, bounds: np.ndarray, space: np.ndarray, parted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and length of every white-space separated word of the texts. Bytes marked in ``parted`` begin a word too."""
+    inside = ~space
+    begin = inside.copy()
+    begin[1:] &= space[:-1]
+    if parted is not None:
+        begin |= parted
+    heads = bounds[:-1][bounds[:-1] < len(raw)]
+    begin[heads] = inside[heads]
+    end = inside
+    end[:-1] &= space[1:] | begin[1:]
+    starts = np.flatnonzero(begin)
+    return starts, np.flatnonzero(end) + 1 - starts
+
+
+def word_keys(padded: np.ndarray, starts: np.ndarray, lengths: np.ndarray, multiplier: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """64-bit hash of each word, eight bytes at a time. Words of up to eight bytes without a zero byte never collide."""
+    windows = np.ndarray((len(padded) - 7,), "<u8", buffer=padded.data, strides=(1,))
+    keys = mix64(windows[starts] & _MASKS[np.minimum(lengths, 8)])
+    more, at = np.flatnonzero((lengths > 8) & (lengths <= LONG_WORD)), 8
+    while len(more):
+        piece = windows[starts[more] + at] & _MASKS[np.minimum(lengths[more] - at, 8)]
+        keys[more] = mix64(keys[more] * np.uint64(multiplier) ^ piece) + lengths[more].astype(np.uint64)
+        at += 8
+        more = more[lengths[more] > at]
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        word = padded[starts[i] : starts[i] + lengths[i]]
+        keys[i] = np.frombuffer(hashlib.blake2b(word, digest_size=8, salt=multiplier.to_bytes(8, "little")).digest(), "<u8")[0]
+    return keys
+
+
+def word_hashes(raw: np.ndarray, bounds: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all white-space separated words of the texts and the bounds of each text among them.
 
     White space is U+0020 and U+0009-U+000D; ``fold`` lower-cases A-Z first. Text ``i`` has words ``bounds[i]:bounds[i+1]``.
     """
-    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    if fold:
-        raw = _FOLD[raw]
-    space = _SPACE[raw]
-    inside = np.flatnonzero(~space)
-    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    if not len(inside):
-        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    first = np.flatnonzero(np.concatenate([[True], space[inside[1:] - 1]]))
-    length = np.diff(np.append(first, len(inside)))
-    place = np.arange(len(inside)) - np.repeat(first, length)
-    values = _BYTE[raw[inside]] * _places(int(length.max()))[place]
-    hashes = mix64(np.add.reduceat(values, first) + length.astype(np.uint64))
-    return hashes, np.concatenate([[0], np.searchsorted(inside[first], ends)])
+    padded = folded(raw) if fold else np.concatenate([raw, np.zeros(8, np.uint8)])
+    starts, lengths = word_spans(raw, bounds, is_space(raw))
+    return word_keys(padded, starts, lengths), np.searchsorted(starts, bounds)
 
 
 def ngram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -114,15 +154,3 @@ def ngram_hashes(words: np.ndarray, k: int) -> np.ndarray:
         out = out * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
         out ^= out >> np.uint64(29)
     return mix64(out)
-
-
-def text_chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``size`` bytes each; a longer text stands alone."""
-    start, total = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and total + len(t) > size:
-            yield start, i
-            start, total = i, 0
-        total += len(t)
-    if start < len(texts):
-        yield start, len(texts)

@@ -16,9 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from lakeloom.llm.common import mix64, ngram_hashes, pick, small_side, text_chunks, word_hashes, written
+from lakeloom.llm.common import byte_chunks, mix64, ngram_hashes, pick, small_side, text_bytes, word_hashes, written
 
 #: Chance to miss a pair at the threshold, in the bands and again in the verification.
 MISS = 1e-6
@@ -55,21 +54,25 @@ def least_matches(places: int, threshold: float, miss: float = MISS) -> list[int
     return out
 
 
-def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+def shingle_sets(raw: np.ndarray, bounds: np.ndarray, k: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text; fewer than ``k`` words, but not none, are one shingle."""
-    raw = [t.encode() for t in texts]
-    out: list[np.ndarray] = []
-    for lo, hi in text_chunks(raw):
-        words, bounds = word_hashes(raw[lo:hi], fold=True)
-        grams = ngram_hashes(words, k)
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if b - a >= k:
-                out.append(np.unique(grams[a : b - k + 1]))
-            else:
-                out.append(ngram_hashes(words[a:b], b - a) ^ np.uint64(b - a) if b > a else np.empty(0, np.uint64))
+    words, places = word_hashes(raw, bounds, fold=True)
+    grams, out = ngram_hashes(words, k), []
+    for a, b in zip(places[:-1].tolist(), places[1:].tolist()):
+        if b - a >= k:
+            out.append(np.unique(grams[a : b - k + 1]))
+        else:
+            out.append(ngram_hashes(words[a:b], b - a) ^ np.uint64(b - a) if b > a else np.empty(0, np.uint64))
     return out
 
 
+def _sets_of_batch(column: pa.Array, k: int):
+    """First row and shingle sets of the texts of a batch, a bounded number of bytes at a time."""
+    raw, bounds = text_bytes(column)
+    for lo, hi in byte_chunks(bounds):
+        yield lo, shingle_sets(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], k)
+
+
 def signature(shingles: np.ndarray, places: int) -> np.ndarray:
     """MinHash signature (upper halves of the smallest products); not defined for an empty set."""
     least = np.full(places, np.iinfo(np.uint64).max, np.uint64)
@@ -117,9 +120,7 @@ class NearDuplicates:
 
         def run(batches):
             for batch in batches:
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                for lo in range(0, len(texts), 1000):
-                    sets = shingle_sets(texts[lo : lo + 1000], k)
+                for lo, sets in _sets_of_batch(batch.column(1), k):
                     signed = [signature(s, places) if len(s) else None for s in sets]
                     digests = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist() if len(s) else (None, None) for s in sets]
                     keys: list = []
@@ -142,9 +143,7 @@ class NearDuplicates:
 
         def run(batches):
             for batch in batches:
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                for lo in range(0, len(texts), 1000):
-                    sets = shingle_sets(texts[lo : lo + 1000], k)
+                for lo, sets in _sets_of_batch(batch.column(1), k):
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
         wanted = small_side(ids.select(F.col("id").alias("doc_id")))
@@ -191,13 +190,12 @@ class NearDuplicates:
         whole = lambda n: F.sequence(F.lit(0), n - 1)
         as_left = marked.where("apart").select("bucket", F.pmod(place, lefts).cast("int").alias("i"), F.explode(whole(alls)).alias("j"), "rep", "comp", F.lit(True).alias("left"))
         as_any = marked.select("bucket", F.explode(whole(lefts)).alias("i"), F.pmod(place, alls).cast("int").alias("j"), "rep", "comp", F.lit(False).alias("left"))
-        data = written(self.sets_of(members.select(F.col("rep").alias("id")).distinct()), "sets").groupBy("id").agg(F.first("shingles").alias("shingles"))
-        full = as_left.unionByName(as_any).join(reps.select("rep", "signature"), "rep").join(data.withColumnRenamed("id", "rep"), "rep")
+        signed = as_left.unionByName(as_any).join(reps.select("rep", "signature"), "rep")
 
-        def compare(table: pa.Table) -> pa.Table:
+        def open_pairs(table: pa.Table, sets: list[np.ndarray] | None):
+            """Whether each member of a block is in a pair that its signature leaves open; with sets, the links."""
             reps_, comps, left = (table.column(c).to_pylist() for c in ("rep", "comp", "left"))
             signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, places)
-            sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
             parent: dict = {}
 
             def root(c):
@@ -207,20 +205,34 @@ class NearDuplicates:
                 return c
 
             others = [i for i, l in enumerate(left) if not l]
-            a, b = [], []
+            needed, a, b = np.zeros(len(left), bool), [], []
             for i in (i for i, l in enumerate(left) if l):
                 rows = np.array([j for j in others if root(comps[j]) != root(comps[i])], np.int64)
                 if not len(rows):
                     continue
                 rows = rows[surviving(np.broadcast_to(signs[i], (len(rows), places)), signs[rows], least)]
+                if sets is None:
+                    needed[rows] = True
+                    needed[i] |= len(rows) > 0
+                    continue
                 for j in rows[np.argsort(-(signs[rows] == signs[i]).sum(1), kind="stable")].tolist():
                     if root(comps[j]) != root(comps[i]) and similar(sets[i], sets[j], percent):
                         parent[root(comps[j])] = root(comps[i])
                         a.append(reps_[i])
                         b.append(reps_[j])
+            return needed, a, b
+
+        def keep_open(table: pa.Table) -> pa.Table:
+            return table.filter(pa.array(open_pairs(table, None)[0]))
+
+        def compare(table: pa.Table) -> pa.Table:
+            _, a, b = open_pairs(table, [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()])
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-        return full.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+        # Only members that a signature leaves open take their sets to their blocks.
+        left_open = written(signed.groupBy("bucket", "i", "j").applyInArrow(keep_open, signed.schema), "open-blocks")
+        data = written(self.sets_of(left_open.select(F.col("rep").alias("id")).distinct()), "sets").groupBy("id").agg(F.first("shingles").alias("shingles"))
+        return left_open.join(data.withColumnRenamed("id", "rep"), "rep").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
 
     def groups(self) -> DataFrame:
         """Per row of the input: doc_id, n_shingles, component_id, kept.
@@ -232,12 +244,13 @@ class NearDuplicates:
         some = signed.where("set_a is not null and doc_id is not null")
         # Equal sets have equal signatures, so any of them will do.
         reps = written(some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"), F.first("bands").alias("bands")), "representatives")
-        in_bucket = Window.partitionBy("bucket")
-        members = reps.select("rep", F.explode("bands").alias("bucket")).distinct()
-        members = written(members.withColumn("size", F.count("*").over(in_bucket)).where("size > 1"), "buckets")
+        members = reps.select("rep", F.explode(F.array_distinct("bands")).alias("bucket"))
+        # Counted with partial sums and joined, so that no bucket has to meet in one task.
+        sizes = written(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
+        members = written(members.join(small_side(sizes), "bucket"), "buckets")
         weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
         hubs = members.join(weight, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
-        star = members.join(hubs, "bucket").where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+        star = members.join(small_side(written(hubs, "hubs")), "bucket").where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
         star = written(star, "star-pairs")
         # Rows that share a doc_id but not a set are one document: its sets' representatives are linked.
         same = some.join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -247,7 +260,7 @@ class NearDuplicates:
         label = edges.select(F.col("u").alias("rep"), F.col("v").alias("label"))
         labelled = members.join(label, "rep", "left").select("bucket", "rep", "size", F.coalesce("label", "rep").alias("comp"))
         mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        rest = written(labelled.join(mixed, "bucket", "left_semi"), "unresolved")
+        rest = written(labelled.join(small_side(written(mixed, "mixed-buckets")), "bucket", "left_semi"), "unresolved")
         few = rest.where(F.col("size") <= LISTED)
         l, r = few.alias("l"), few.alias("r")
         listed = l.join(r, F.expr("l.bucket = r.bucket and l.rep < r.rep and l.comp != r.comp")).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()

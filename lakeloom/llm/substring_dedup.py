@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import ngram_hashes, pick, small_side, text_chunks, word_hashes, written
+from lakeloom.llm.common import byte_chunks, ngram_hashes, pick, small_side, text_bytes, word_hashes, written
 
 WINDOW, PHRASE = 20, 6
 #: Bits of the bitmap of recurring phrases: a few dozen a phrase, within these bounds. A full bitmap lets more pieces
@@ -79,9 +79,9 @@ class RepeatedPassages:
 
         def anchors(batches):
             for batch in batches:
-                raw = [(t or "").encode() for t in batch.column(0).to_pylist()]
-                for lo, hi in text_chunks(raw):
-                    hashes = _runs(*word_hashes(raw[lo:hi], fold=False), window, phrase)[0]
+                raw, ends = text_bytes(batch.column(0))
+                for lo, hi in byte_chunks(ends):
+                    hashes = _runs(*word_hashes(raw[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], fold=False), window, phrase)[0]
                     yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["anchor"])
 
         counted = texts.select("text").mapInArrow(anchors, "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -105,10 +105,10 @@ class RepeatedPassages:
         def cut(batches):
             marks = shared.value
             for batch in batches:
-                raw = [(t or "").encode() for t in batch.column(2).to_pylist()]
+                raw, ends = text_bytes(batch.column(2))
                 d, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                for lo, hi in text_chunks(raw):
-                    words, bounds = word_hashes(raw[lo:hi], fold=False)
+                for lo, hi in byte_chunks(ends):
+                    words, bounds = word_hashes(raw[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo], fold=False)
                     anchor, first, last = _runs(words, bounds, window, phrase)
                     place = anchor & np.uint64(mask)
                     hit = np.flatnonzero(marks[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
