@@ -478,20 +478,54 @@ def test_decontamination(spark, sf_dir, docs):
     check_hits(queries.op9_decontamination(spark, sf_dir).collect(), docs.collect(), items)
 
 
-def test_decontamination_awkward(spark, awkward, empty):
-    items = [(1, "quick BROWN fox, jumps over the lazy dog while seven wizards-mix"), (2, "one two"), (3, ""), (4, None), (5, "aaa bbb aaa"), (None, "öl über"), (2, "straße"), (10, "one two")]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    mixed = awkward.withColumn("length", awkward.n_chars).withColumn("words", awkward.source)
-    known = [(i, t) for i, t in items if i is not None]
+ITEMS = [(1, "quick BROWN fox, jumps over the lazy dog while seven wizards-mix"), (2, "one two"), (3, ""), (4, None), (5, "aaa bbb aaa"), (None, "öl über"), (2, "straße"), (10, "one two")]
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_decontamination_awkward(spark, awkward, empty, shuffled, monkeypatch):
+    if shuffled:
+        monkeypatch.setattr(decontamination, "BROADCAST_GRAMS", 0)
+        monkeypatch.setattr(decontamination, "small_side", lambda df, *_, **__: df)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    mixed = awkward.withColumn("length", awkward.n_chars).withColumn("words", awkward.source).withColumn("d", awkward.n_chars).withColumn("tie", awkward.lang).withColumn("in_0", awkward.lang)
+    known = [(i, t) for i, t in ITEMS if i is not None]
     check_hits(decontamination.decontamination_report(mixed, bench.where("item_id is not null")).collect(), awkward.collect(), known)
     assert decontamination.decontamination_report(awkward, bench.limit(0)).where("contaminated").count() == 0
     assert decontamination.decontamination_report(empty, bench).count() == 0
-    left = decontamination.without_contaminated(awkward, bench)
-    assert left.columns == awkward.columns
+    left = decontamination.without_contaminated(mixed, bench)
+    want = brute.contamination([(i, r[1]) for i, r in enumerate(brute.awkward_rows())], ITEMS)
+    rows = mixed.collect()
+    assert left.columns == mixed.columns and sorted(map(str, left.collect())) == sorted(str(rows[i]) for i, (_, n, _) in want.items() if not n)
     spans = {r.doc_id: r.text for r in decontamination.without_spans(awkward, bench).collect()}
     assert spans[7] == "" and spans[14] == "123 456 !!!"
 
 
+def test_decontamination_finds_every_place(spark):
+    """Windows of every length from 1 to 10 words at every place of a text, beside texts that lack one word of them."""
+    rng = np.random.default_rng(9)
+    words = [f"v{i}" for i in range(60)]
+    items = [(n, " ".join(words[n : 2 * n])) for n in range(1, 11)] + [(30, " ".join(words[25:45]))]
+    docs = []
+    for i in range(150):
+        parts = [f"z{x}" for x in rng.integers(0, 9, rng.integers(0, 14))]
+        n = int(rng.integers(1, 11))
+        got = words[n : 2 * n] if i % 3 else words[int(rng.integers(20, 40)) :][: int(rng.integers(8, 24))]
+        if i % 5 == 0:
+            got = got[:-1]
+        docs.append((i, " ".join(parts + got + parts[::-1])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    check_hits(decontamination.decontamination_report(df, bench).collect(), df.collect(), items)
+
+
+def test_decontamination_shuffles_no_words(spark, awkward):
+    """What the documents send to a lookup or a check are numbers and single windows."""
+    known = decontamination.benchmark_windows(spark.createDataFrame(ITEMS, "item_id long, text string"))
+    found = decontamination.scan(awkward, known, [1, 2, 3, 10])
+    assert found.columns == ["d", "tie", "length", "at"]
+    assert decontamination.steps(10) == (5, 6) and decontamination.steps(1) == (1, 1)
+
+
 # --- 10 ---
 
 
