@@ -1,9 +1,9 @@
 """Document fingerprints by one-permutation MinHash, with DataFrame expressions only.
 
-Every shingle of five words is hashed once; its low bits choose one of BINS bins and the rest is its value. A bin keeps
-its smallest value, an empty bin takes that of another one, found by double hashing over the bins (densification), and
-the low BITS bits of each bin make the fingerprint. The likeness of two fingerprints is the share of equal bins, less
-what BITS bits agree on by chance.
+Every word is hashed once and every shingle of five words once, from the hashes of its words; the shingle's low bits choose
+one of BINS bins and the rest is its value. A bin keeps its smallest value, an empty bin takes that of another one, found
+by double hashing over the bins (densification), and the low BITS bits of each bin make the fingerprint. The likeness of
+two fingerprints is the share of equal bins, less what BITS bits agree on by chance.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import pick, written
+from lakeloom.llm.common import pick, small_side, written
 
 BINS, BITS, SHINGLE = 128, 8, 5
 #: Probes an empty bin makes before it tries all bins.
 PROBES = 8
 
 _SPACES = r"[\x20\x09-\x0D]+"
+#: The word a text ends with, if no white space follows it. Tried at beginnings of words only, and never twice.
+_LAST_WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++\z"
 _NONE = -(2**63)
 
 
@@ -26,21 +28,47 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, _SPACES), "")
 
 
-def with_bins(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with array column ``out``: BINS numbers below 2**BITS, or an empty array for a text without words.
+def word_codes(text: Column) -> Column:
+    """A hash of each word of a text, in order."""
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
-    A text of one to four words counts as one shingle. Steps are columns of their own, so that no array is made twice.
+
+def _runs(codes: str, skip: Column | int = 0) -> Column:
+    """Bin and value, in one number, of each run of SHINGLE words of array column ``codes`` but the first ``skip``."""
+    size = F.greatest(F.size(codes) - (SHINGLE - 1) - skip, F.lit(0))
+    heads = F.slice(codes, skip + 1 if isinstance(skip, Column) else F.lit(skip + 1), size)
+    whole = F.transform(heads, lambda h, i: F.xxhash64(h, *[F.get(F.col(codes), i + skip + j) for j in range(1, SHINGLE)]))
+    return F.transform(whole, _code)
+
+
+def _code(h: Column) -> Column:
+    return F.shiftleft(h.bitwiseAND(F.lit(BINS - 1)), 56) + F.shiftrightunsigned(h, 8)
+
+
+def shingle_codes(codes: str) -> Column:
+    """Codes of all shingles of the words of array column ``codes``; one to four words count as one shingle."""
+    few = F.when(F.size(codes) > 0, F.array(_code(F.xxhash64(codes)))).otherwise(F.array().cast("array<long>"))
+    return F.when(F.size(codes) >= SHINGLE, _runs(codes)).otherwise(few)
+
+
+def _bin_of(code: Column) -> Column:
+    return F.shiftright(code, 56).cast("int")
+
+
+#: The largest code of each bin, which marks the bin as empty where no other code is in it.
+_EMPTY = [(b << 56) | ((1 << 56) - 1) for b in range(BINS)]
+
+
+def with_bins(df: DataFrame, codes: str, out: str) -> DataFrame:
+    """``df`` with array column ``out``: BINS numbers below 2**BITS, or an empty array for a text without shingles.
+
+    ``codes`` is the column of shingle codes. Steps are columns of their own, so that no array is made twice.
     """
-    w, s, m, d = (f"__{out}_{x}" for x in ("words", "codes", "least", "dense"))
-    words = F.col(w)
-    hashes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
-    codes = F.sort_array(F.transform(hashes, lambda h: F.shiftleft(h.bitwiseAND(F.lit(BINS - 1)), 56) + F.shiftrightunsigned(h, 8)))
-    df = df.withColumn(w, words_of(F.col(text))).withColumn(s, F.when(F.size(words) > 0, codes).otherwise(F.array().cast("array<long>")))
-    bin_of = lambda c: F.shiftright(c, 56).cast("int")
-    least = F.filter(F.col(s), lambda c, i: (i == 0) | (bin_of(c) != bin_of(F.get(F.col(s), i - 1))))
-    df = df.withColumn(m, F.transform(least, lambda c: F.struct(bin_of(c).alias("bin"), c.bitwiseAND(F.lit(2**BITS - 1)).cast("int").alias("value"))))
-    by_bin = F.map_from_entries(F.col(m))
-    df = df.withColumn(d, by_bin).withColumn(d, F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.element_at(F.col(d), b)))
+    s, d = f"__{out}_sorted", f"__{out}_dense"
+    df = df.withColumn(s, F.sort_array(F.concat(F.col(codes), F.array(*[F.lit(e) for e in _EMPTY]))))
+    least = F.filter(F.col(s), lambda c, i: (i == 0) | (_bin_of(c) != _bin_of(F.get(F.col(s), i - 1))))
+    full = 2**56 - 1
+    df = df.withColumn(d, F.transform(least, lambda c: F.when(c.bitwiseAND(F.lit(full)) != full, c.bitwiseAND(F.lit(2**BITS - 1)).cast("int"))))
 
     def probe(b: Column, first: int, last: int) -> Column:
         step = F.pmod(b * 73 + b * b * 10 + 41, F.lit(BINS)).bitwiseOR(F.lit(1))  # odd, so the probes reach every bin
@@ -48,8 +76,8 @@ def with_bins(df: DataFrame, text: str, out: str) -> DataFrame:
         tries = F.sequence(F.lit(first), F.lit(last))
         return F.aggregate(tries, F.lit(None).cast("int"), lambda got, j: F.coalesce(got, F.get(F.col(d), F.pmod(start + j * step, F.lit(BINS)))))
 
-    full = F.transform(F.col(d), lambda v, b: F.coalesce(v, probe(b, 0, PROBES - 1), probe(b, PROBES, BINS - 1)))
-    return df.withColumn(out, F.when(F.size(m) > 0, full).otherwise(F.array().cast("array<int>"))).drop(w, s, m, d)
+    filled = F.transform(F.col(d), lambda v, b: F.coalesce(v, probe(b, 0, PROBES - 1), probe(b, PROBES, BINS - 1)))
+    return df.withColumn(out, F.when(F.size(codes) > 0, filled).otherwise(F.array().cast("array<int>"))).drop(s, d)
 
 
 def packed(bins: Column) -> Column:
@@ -65,9 +93,11 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with bins and fingerprint. Null text counts as empty; equal texts have equal ones."""
+    """doc_id, text, bins and fingerprint of each row of ``docs`` (doc_id, text; other columns play no part). Null text
+    counts as empty; equal texts have equal fingerprints."""
     texts = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    return with_bins(texts, "text", "bins").withColumn("fingerprint", packed(F.col("bins")))
+    coded = texts.withColumn("codes", word_codes(F.col("text"))).withColumn("shingles", shingle_codes("codes"))
+    return with_bins(coded, "shingles", "bins").withColumn("fingerprint", packed(F.col("bins"))).drop("codes", "shingles")
 
 
 def next_documents(docs: DataFrame) -> DataFrame:
@@ -84,31 +114,48 @@ def next_documents(docs: DataFrame) -> DataFrame:
     following = firsts.select("part", F.coalesce(F.lead("first").over(parts), F.min("first").over(Window.partitionBy())).alias("after"))
     inside = Window.partitionBy("part").orderBy("d", "tie")
     follower = F.coalesce(F.lead(key).over(inside), F.col("after"))
-    linked = ranges.join(F.broadcast(following), "part").withColumn("follower", follower)  # one row a range
+    linked = ranges.join(small_side(following), "part").withColumn("follower", follower)
     return linked.select("d", "tie", "n_chars", F.col("follower.d").alias("next_d"), F.col("follower.tie").alias("next_tie"))
 
 
 def edited_report(docs: DataFrame) -> DataFrame:
-    """Per document the columns of the contract: its fingerprint, that of its edited text and their likeness.
+    """Per row of ``docs`` the columns of the contract: its fingerprint, that of its edited text and their likeness.
 
-    Rows that repeat a doc_id and its text count as one document. Texts are shuffled once, by key; what a document
-    lends to the one before it follows in a second, smaller shuffle.
+    Rows that repeat a doc_id and its text count as one document among the others, and each has its result. Texts are
+    shuffled once, by key; what a document lends to the one before it follows in a second, smaller shuffle. The edited
+    text shares the words before its cut, so their hashes and shingles are made once.
     """
     texts = pick(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(_NONE)).alias("d"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("tie", F.xxhash64("text"))
     links = written(next_documents(texts), "links")
-    if texts.groupBy("d", "tie").count().where("count > 1").limit(1).count():
+    rows = texts.select("d", "tie")
+    repeated = rows.groupBy("d", "tie").count().where("count > 1").limit(1).count() > 0
+    if repeated:
         texts = texts.dropDuplicates(["d", "tie"])
     quarter = F.expr("n_chars div 4").cast("int")
     wanted = links.select(F.col("next_d").alias("d"), F.col("next_tie").alias("tie"), F.col("d").alias("for_d"), F.col("tie").alias("for_tie"), quarter.alias("wanted"))
     heads = texts.join(wanted, ["d", "tie"]).select(F.col("for_d").alias("d"), F.col("for_tie").alias("tie"), F.expr("substring(text, 1, wanted)").alias("head"))
     joined = texts.join(links, ["d", "tie"]).join(heads, ["d", "tie"])
-    edited = F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 4 as int))"), "head")
-    both = joined.select("d", "tie", "next_d", "next_tie", "n_chars", "text", edited.alias("edited"))
-    both = with_bins(with_bins(both, "text", "bins"), "edited", "edited_bins")
-    made = written(both.select("d", "tie", "next_d", "next_tie", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "bins", "edited_bins"), "fingerprints")
+    # ``before`` characters are the words that the cut leaves whole, with the white space behind them.
+    cut = joined.withColumn("stay", F.expr("cast(n_chars - n_chars div 4 as int)")).withColumn("stays", F.expr("substring(text, 1, stay)"))
+    cut = cut.withColumn("before", F.col("stay") - F.length(F.regexp_extract("stays", _LAST_WORD, 0)))
+    rest = lambda text: F.substring(text, F.col("before") + 1, F.lit(2**31 - 1))
+    split = cut.withColumn("edited", F.concat("stays", "head")).select(
+        "d", "tie", "next_d", "next_tie", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        word_codes(F.expr("substring(text, 1, before)")).alias("common"), word_codes(rest(F.col("text"))).alias("old"), word_codes(rest(F.col("edited"))).alias("new"),
+    )
+    split = split.select("*", F.concat("common", "old").alias("text_codes"), F.concat("common", "new").alias("edited_codes"))
+    both = split.withColumn("shingles", shingle_codes("text_codes"))
+    shared = F.greatest(F.size("common") - (SHINGLE - 1), F.lit(0))
+    after_cut = F.concat(F.slice("shingles", F.lit(1), shared), _runs("edited_codes", shared))
+    both = both.withColumn("edited_shingles", F.when(F.size("common") >= SHINGLE, after_cut).otherwise(shingle_codes("edited_codes")))
+    both = with_bins(with_bins(both, "shingles", "bins"), "edited_shingles", "edited_bins")
+    made = written(both.select("d", "tie", "next_d", "next_tie", "n_chars", "edited_sha256", "bins", "edited_bins"), "fingerprints")
     after = made.select(F.col("d").alias("next_d"), F.col("tie").alias("next_tie"), F.col("bins").alias("next_bins"))
-    return made.join(after, ["next_d", "next_tie"]).select(
+    out = made.join(after, ["next_d", "next_tie"])
+    if repeated:
+        out = rows.join(out, ["d", "tie"])
+    return out.select(
         F.nullif("d", F.lit(_NONE)).alias("doc_id"), "n_chars", "edited_sha256",
         packed(F.col("bins")).alias("fingerprint"), packed(F.col("edited_bins")).alias("edited_fingerprint"),
         likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"), likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),

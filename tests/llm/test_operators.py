@@ -390,8 +390,13 @@ def words5(text):
 def test_fingerprints(which, request):
     df = request.getfixturevalue(which)
     rows = sorted({(r.doc_id, r.text or "") for r in df.collect()}, key=lambda r: (r[0] is not None, r[0] or 0))
-    got = table(fingerprints.edited_report(df.withColumn("tie", df.source)))
-    assert len(got) == len(rows)
+    made = fingerprints.edited_report(df.withColumn("tie", df.source).withColumn("codes", df.lang)).collect()
+    got = {r.doc_id: r for r in made}
+    assert len(made) == df.count() and len(got) == len(rows) and len(set(made)) == len(rows)
+    alone = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(df).collect()}
+    edits = df.sparkSession.createDataFrame([(d, text[: len(text) - len(text) // 4] + rows[(i + 1) % len(rows)][1][: len(text) // 4]) for i, (d, text) in enumerate(rows)], "doc_id long, text string")
+    assert {d: r.fingerprint for d, r in got.items()} == alone
+    assert {d: r.edited_fingerprint for d, r in got.items()} == {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(edits).collect()}
     errors, by_text = [], {}
     for i, (d, text) in enumerate(rows):
         after = rows[(i + 1) % len(rows)][1]
