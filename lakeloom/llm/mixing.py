@@ -1,10 +1,12 @@
 """Mixing sources to target weights, with DataFrame expressions only.
 
-The words of a source form one stream, cut into blocks of a fixed length. A mix draws blocks: each source's draws are
-the slots it holds over all output shards, and the k-th draw of a source takes the block that a pseudorandom permutation
-of its block numbers maps k to, a new permutation for each pass. Counts of sources per output shard are multinomial given
-the totals: all draws are dealt to the slots by one pseudorandom permutation, so that the totals meet the targets and no
-block is drawn more often than another by more than one.
+The words of a source form one stream, cut into blocks of a fixed length. A mix draws blocks: for each output shard a
+multinomial count of slots per source is drawn, with the sources' shares of all draws for chances. The counts number a
+source's draws through the shards, and its k-th draw takes the block that a pseudorandom permutation of its block numbers
+maps k to, a new permutation for each pass. A source's draws end at its total, and what the counts leave of the totals
+fills a last shard, so that the totals meet the targets and no block is drawn more often than another by more than one.
+
+Windows over sources run in one task: a row a source, not a document.
 """
 
 from __future__ import annotations
@@ -16,16 +18,23 @@ from lakeloom.llm.common import pick, small_side, written
 
 #: Words of a block and slots of an output shard.
 BLOCK, SHARD = 64, 4096
+#: Shards whose counts are summed in one window.
+SHARD_GROUP = 4096
 #: Weights of the sources in order of name, repeated; a target stops at CAP times its source's size.
 WEIGHTS, CAP = (5, 2, 1), 3
 #: Rounds of the swap-or-not permutation.
 ROUNDS = 16
 #: Rows of one chunk of a source's stream.
 CHUNK_ROWS = 4096
-#: Draws that one row of the draw table stands for before it is unfolded.
-RUN = 4096
 
-_WORD = r"[^\x20\x09-\x0D]+"
+_SPACES = r"[\x20\x09-\x0D]+"
+#: First numbers of the hash that picks a slot's source, and of the permutation inside a shard.
+SLOT_SEED, SHARD_SEED = 17, 19
+
+
+def words_of(text: str) -> Column:
+    """White-space separated words of a text; null has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SPACES), "")
 
 
 def permuted(x: Column, n: Column, *seed: Column, inverse: bool = False) -> Column:
@@ -42,7 +51,7 @@ def permuted(x: Column, n: Column, *seed: Column, inverse: bool = False) -> Colu
 
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size (words of the text, null: 0) and a hash of the text that orders rows of one doc_id."""
-    size = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    size = F.size(words_of("text")).cast("long")
     return pick(docs, "doc_id", "source", "text").select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("tie"))
 
 
@@ -87,11 +96,11 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(bases, ["number", "chunk"]).withColumn("start", start).drop("base", "chunk", "key")
 
 
-def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
-    """One row a draw: number (source), pass, block, words taken from the block's beginning, slot and shard.
+def totals(sources: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Sources that take words, with their blocks, passes and draws; ``urn`` counts the draws of the sources before.
 
     A source that takes ``take`` words passes over all its blocks ``take div size`` times and in a last pass over the
-    first ones of the permutation, until the words suffice; the last draw is cut to the words still wanted.
+    first ones of the permutation, until the words suffice; ``rest`` are the words of that pass.
     """
     s = sources.where("take > 0").select("number", "source_size", "take")
     s = s.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long")).withColumn("passes", F.expr("take div source_size"))
@@ -99,26 +108,84 @@ def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFra
     s = s.withColumn("last_draws", F.least(F.col("blocks"), F.when(F.col("rest") > 0, F.ceil(F.col("rest") / block).cast("long") + 1).otherwise(0)))
     s = s.withColumn("draws", F.col("passes") * F.col("blocks") + F.col("last_draws"))
     over = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("urn", F.coalesce(F.sum("draws").over(over), F.lit(0))).withColumn("all_draws", F.sum("draws").over(Window.partitionBy()))
+    return s.withColumn("urn", F.coalesce(F.sum("draws").over(over), F.lit(0)))
+
+
+def shard_counts(sources: DataFrame, shard: int = SHARD) -> DataFrame:
+    """The multinomial draw: shard, number (source), slots. ``sources`` as of :func:`totals`.
+
+    Each slot of a shard picks the source in whose stretch of all draws the hash of the slot's number falls; counting the
+    slots of a shard by source gives its multinomial counts. The stretches are searched by halving.
+    """
+    spark = sources.sparkSession
+    rows = sources.select("number", "urn", "draws").orderBy("number").collect()  # a row a source
+    every = sum(r.draws for r in rows)
+    if not every:
+        return spark.createDataFrame([], "shard long, number int, slots long")
+    numbers, urns = F.lit([r.number for r in rows]), F.lit([r.urn for r in rows])
+    halves = F.lit([1 << i for i in reversed(range(max(1, (len(rows) - 1).bit_length())))])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Groups of shards are dealt out first, so that the slots unfold in many tasks.
+    shards = -(-every // shard)
+    per = max(1, min(SHARD_GROUP, -(-shards // (4 * tasks))))
+    groups = spark.range(-(-shards // per)).repartition(tasks, "id")
+    each = groups.select(F.explode(F.sequence(F.col("id") * per, F.least((F.col("id") + 1) * per, F.lit(shards)) - 1)).alias("shard"))
+    slots = each.select("shard", F.explode(F.sequence(F.col("shard") * shard, F.least((F.col("shard") + 1) * shard, F.lit(every)) - 1)).alias("slot"))
+    ticket = F.pmod(F.xxhash64(F.lit(SLOT_SEED), F.col("slot")), F.lit(every))
+    found = F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(urns, at + half) <= ticket, at + half).otherwise(at))
+    return slots.select("shard", F.get(numbers, found).alias("number")).groupBy("shard", "number").agg(F.count("*").alias("slots"))
+
+
+def shard_draws(sources: DataFrame, counts: DataFrame, shard: int = SHARD) -> DataFrame:
+    """A row a shard and source: shard, number, first (its first draw there), n (draws), and what ``sources`` tells.
+
+    Draws are numbered through the shards by two-level sums of the counts. They end at the source's total; what the
+    counts fall short of it is added in shards behind all others.
+    """
+    known = small_side(sources)
+    group = F.expr(f"shard div {SHARD_GROUP}")
+    counts = counts.withColumn("group", group)
+    sums = counts.groupBy("number", "group").agg(F.sum("slots").alias("group_slots"))
+    earlier = Window.partitionBy("number").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("number", "group", F.coalesce(F.sum("group_slots").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("number", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    placed_ = counts.join(bases, ["number", "group"]).withColumn("first", F.col("base") + F.coalesce(F.sum("slots").over(inside), F.lit(0)))
+    drawn = placed_.select("number", "shard", "first", "slots").join(known, "number").withColumn("n", F.least(F.col("slots"), F.col("draws") - F.col("first")))
+    got = sums.groupBy("number").agg(F.sum("group_slots").alias("got"))
+    short = sources.join(got, "number", "left").withColumn("first", F.coalesce("got", F.lit(0))).withColumn("n", F.col("draws") - F.col("first")).where("n > 0")
+    # The last shards: shortfalls, source after source, cut where a shard is full.
+    behind = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    short = short.withColumn("at", F.coalesce(F.sum("n").over(behind), F.lit(0)))
+    full = F.explode(F.sequence(F.expr(f"at div {shard}"), F.expr(f"(at + n - 1) div {shard}"))).alias("nth")
+    lo, hi = F.greatest(F.col("at"), F.col("nth") * shard), F.least(F.col("at") + F.col("n"), (F.col("nth") + 1) * shard)
+    every = sources.agg(F.ceil(F.sum("draws") / shard).cast("long").alias("shards"))
+    last = short.select("*", full).join(F.broadcast(every), F.lit(True))  # one row
+    columns = [c for c in sources.columns if c != "number"]
+    last = last.select("number", (F.col("shards") + F.col("nth")).alias("shard"), (F.col("first") + lo - F.col("at")).alias("first"), (hi - lo).alias("n"), *columns)
+    return drawn.where("n > 0").select("number", "shard", "first", "n", *columns).unionByName(last)
+
+
+def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """One row a draw: number (source), pass, block, words taken from the block's beginning, slot and shard.
+
+    The draws are those of :func:`shard_draws`. The last draw of a source is cut to the words still wanted. Inside a
+    shard a permutation mixes the slots of the sources.
+    """
+    s = written(totals(sources, block), "mix-totals")
+    drawn = shard_draws(s, written(shard_counts(s, shard), "mix-counts"), shard)
+    in_shard = Window.partitionBy("shard")
+    before = F.coalesce(F.sum("n").over(in_shard.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    drawn = drawn.withColumn("place", before).withColumn("held", F.sum("n").over(in_shard))
     short = permuted(F.col("blocks") - 1, F.col("blocks"), F.col("number"), F.col("passes"), inverse=True)
-    s = s.withColumn("short_at", short).withColumn("missing", F.col("blocks") * block - F.col("source_size"))
-    # Runs are dealt out before they are unfolded, so that a large source's draws come from many tasks.
-    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = s.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(draws - 1) div {RUN}")))).repartition(tasks, "number", "run")
-    first = F.col("run") * RUN
-    k = F.explode(F.sequence(first, F.least(first + RUN, F.col("draws")) - 1))
-    draws = runs.withColumn("k", k).withColumn("pass", F.expr("k div blocks")).withColumn("nth", F.col("k") % F.col("blocks"))
+    drawn = drawn.withColumn("short_at", short).withColumn("missing", F.col("blocks") * block - F.col("source_size"))
+    draws = drawn.withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("k", F.col("first") + F.col("r"))
+    draws = draws.withColumn("pass", F.expr("k div blocks")).withColumn("nth", F.col("k") % F.col("blocks"))
     draws = draws.withColumn("block", permuted(F.col("nth"), F.col("blocks"), F.col("number"), F.col("pass")))
     length = F.when(F.col("block") == F.col("blocks") - 1, block - F.col("missing")).otherwise(block)
-    before = F.col("nth") * block - F.when(F.col("nth") > F.col("short_at"), F.col("missing")).otherwise(0)
-    words = F.when(F.col("pass") < F.col("passes"), length).otherwise(F.least(length, F.col("rest") - before))
-    slot = permuted(F.col("urn") + F.col("k"), F.col("all_draws"), F.lit(-1))
-    return draws.withColumn("words", words).where("words > 0").select("number", "pass", "block", "words", slot.alias("slot")).withColumn("shard", F.expr(f"slot div {shard}"))
-
-
-def shard_counts(drawn: DataFrame) -> DataFrame:
-    """How many slots of each output shard each source holds."""
-    return drawn.groupBy("shard", "number").agg(F.count("*").alias("slots"))
+    taken = F.col("nth") * block - F.when(F.col("nth") > F.col("short_at"), F.col("missing")).otherwise(0)
+    words = F.when(F.col("pass") < F.col("passes"), length).otherwise(F.least(length, F.col("rest") - taken))
+    slot = F.col("shard") * shard + permuted(F.col("place") + F.col("r"), F.col("held"), F.lit(SHARD_SEED), F.col("shard"))
+    return draws.withColumn("words", words).where("words > 0").select("number", "pass", "block", "words", slot.alias("slot"), "shard")
 
 
 def pieces(rows: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -132,33 +199,36 @@ def pieces(rows: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame:
     return both.withColumn("from_word", lo - F.col("start")).withColumn("to_word", hi - F.col("start")).where("to_word > from_word")
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` with their places (without text), and the draws. The texts are read once, for the sizes.
 
     The draws are written, so that what joins them is planned by their true size."""
     sizes = written(sized(docs), "mix-sizes")
     sources = written(targets(sizes, weights, cap), "mix-sources")
-    return placed(sizes, sources), written(slots(sources), "mix-draws")
+    return placed(sizes, sources), written(slots(sources, shard=shard), "mix-draws")
 
 
-def mix_report(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken. A document without words is taken 0 times."""
-    rows, drawn = plan(docs)
+def mix_report(docs: DataFrame, shard: int = SHARD) -> DataFrame:
+    """Per document: doc_id, size, source_size, target, taken, first_shard (the first output shard that holds words of
+    it). A document without words is taken 0 times, and one that isn't taken has a null first_shard. Other columns of
+    ``docs`` play no part, whatever their names."""
+    rows, drawn = plan(docs, shard=shard)
     rows = written(rows, "mix-rows")
-    taken = pieces(rows, drawn).groupBy("number", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    taken = pieces(rows, drawn).groupBy("number", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("shard").alias("first_shard"))
     full = rows.where("size > 0").join(taken, ["number", "start"], "left")
-    empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).withColumn("first_shard", F.lit(None).cast("long"))
     columns = ["doc_id", "size", "source_size", "target"]
-    out = full.select(*columns, F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    return out.unionByName(empty.select(*columns, "taken"))
+    out = full.select(*columns, F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard")
+    return out.unionByName(empty.select(*columns, "taken", "first_shard"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """``docs`` as the mix holds them: a row for each pass that takes words of a document, its text the words taken.
 
     A pass that takes the whole document keeps its text as it is; parts are joined by a space, in order. Columns are those
-    of ``docs``; ``n_chars``, if there, is that of the new text. Documents of which nothing is drawn have no row. Rows
-    that repeat a doc_id, source and text are mixed as one document's copies: each has its own place in the stream.
+    of ``docs``, as they came and whatever their names, but for the text and ``n_chars``, if there, which is that of the
+    new text. Documents of which nothing is drawn have no row. Rows that repeat a doc_id, source and text are mixed as one
+    document's copies: each has its own place in the stream.
     """
     names = docs.columns
     rows, drawn = plan(docs, weights, cap)
@@ -168,18 +238,19 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     # One row a document, so that its text is joined once; its passes are at most ``cap`` + 1.
     drawn_docs = by_pass.select("doc_id", "source", "tie", F.when(~whole, F.array_sort("parts")).alias("parts"))
     per_text = drawn_docs.groupBy("doc_id", "source", "tie").agg(F.collect_list(F.coalesce("parts", F.array())).alias("passes"))
-    texts = docs.withColumn("__tie", F.xxhash64("text"))
-    one = texts
+    column = {n: F.col(f"in_{i}") for i, n in enumerate(names)}
+    key = [column["doc_id"].alias("key_id"), column["source"].alias("key_source"), F.xxhash64(column["text"]).alias("key_tie")]
+    one = docs.select(*[F.col(f"`{n}`").alias(f"in_{i}") for i, n in enumerate(names)]).select("*", *key)
     keys = rows.groupBy("doc_id", "source", "tie").count()
     if keys.where("count > 1").limit(1).count():
-        one = texts.dropDuplicates(["doc_id", "source", "__tie"])
-    d, p = one.alias("d"), per_text.alias("p")
-    on = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.__tie") == F.col("p.tie"))
-    unfolded = d.join(p, on).select(*[F.col(f"d.`{n}`") for n in names], F.explode("p.passes").alias("__parts"))
-    words = F.regexp_extract_all("text", F.lit(f"({_WORD})"), F.lit(1))
-    cut = F.array_join(F.flatten(F.transform("__parts", lambda x: F.slice(words, x["from_word"] + 1, x["to_word"] - x["from_word"]))), " ")
-    text = F.when(F.size("__parts") == 0, F.col("text")).otherwise(cut)
-    changed = unfolded.withColumn("text", text)
+        one = one.dropDuplicates(["key_id", "key_source", "key_tie"])
+    on = F.col("key_id").eqNullSafe(F.col("doc_id")) & F.col("key_source").eqNullSafe(F.col("source")) & (F.col("key_tie") == F.col("tie"))
+    unfolded = one.join(per_text, on).select(*column.values(), F.explode("passes").alias("parts"))
+    place = f"in_{names.index('text')}"
+    cut = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(words_of(place), x["from_word"] + 1, x["to_word"] - x["from_word"]))), " ")
+    text = F.when(F.size("parts") == 0, F.col(place)).otherwise(cut)
+    changed = unfolded.withColumn("text_", text)
+    column["text"] = F.col("text_")
     if "n_chars" in names:
-        changed = changed.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return changed.select(*[F.col(f"`{n}`") for n in names])
+        column["n_chars"] = F.length("text_").cast(dict(docs.dtypes)["n_chars"])
+    return changed.select(*[column[n].alias(n) for n in names])

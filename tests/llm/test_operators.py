@@ -192,16 +192,70 @@ def test_mixed_documents_hold_the_words_taken(docs, awkward):
         assert mixed == {d: n for d, n in report.items() if n}
 
 
-def test_shards_are_filled_and_permutations_are_exact(spark, docs):
+def test_mixed_documents_keep_clashing_columns(spark, awkward):
+    """Columns named like those the operator makes come back as they were."""
+    names = ["__parts", "parts", "passes", "tie", "number", "start", "size", "key_id", "in_0", "text_", "block", "slot"]
+    wide = awkward.where("doc_id != 12").withColumns({n: awkward.doc_id * 2 for n in names})
+    out = mixing.mixed_documents(wide)
+    assert out.columns == wide.columns
+    got = out.collect()
+    assert got and all(r[n] == 2 * r.doc_id for r in got for n in names)
+
+
+def plain_counts(sources, shard):
+    """Multinomial counts by a plain loop over all slots, with the hash of the slot's number."""
+    import struct
+
+    import xxhash
+
+    every, out = sum(r.draws for r in sources), {}
+    for slot in range(every):
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", mixing.SLOT_SEED), 42)
+        hashed = xxhash.xxh64_intdigest(struct.pack("<q", slot), seed)
+        ticket = (hashed - (hashed >> 63 << 64)) % every
+        number = [r.number for r in sources if r.urn <= ticket < r.urn + r.draws][0]
+        out[slot // shard, number] = out.get((slot // shard, number), 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("shard", [16, 4096])
+def test_counts_of_shards_are_the_multinomial_draw(spark, docs, shard):
+    sources = mixing.totals(mixing.targets(mixing.sized(docs)))
+    rows = sources.collect()
+    counts = mixing.shard_counts(sources, shard)
+    assert {(r.shard, r.number): r.slots for r in counts.collect()} == plain_counts(rows, shard)
+    drawn = mixing.slots(mixing.targets(mixing.sized(docs)), shard=shard).collect()
+    slots = [r.slot for r in drawn]
+    assert len(slots) == len(set(slots)) and all(r.slot // shard == r.shard for r in drawn)
+    # Draws are those of the counts, in order of the shards, up to the source's total; a last shard holds the shortfall.
+    want, last = {}, -(-sum(r.draws for r in rows) // shard)
+    for r in rows:
+        left = r.draws
+        for (at, number), n in sorted(plain_counts(rows, shard).items()):
+            if number == r.number:
+                want[at, number] = min(n, left)
+                left -= min(n, left)
+        want["last", r.number] = left
+    spans = mixing.shard_draws(sources, counts, shard).collect()
+    got = dict.fromkeys(want, 0)
+    for r in spans:
+        got["last" if r.shard >= last else r.shard, r.number] += r.n
+    assert got == want
+    for r in rows:
+        ks = sorted(k for x in spans if x.number == r.number for k in range(x.first, x.first + x.n))
+        assert ks == list(range(r.draws))
+
+
+def test_shares_of_shards_decide_where_documents_go(spark, docs, monkeypatch):
+    first = {r.doc_id: r.first_shard for r in mixing.mix_report(docs, 16).collect()}
+    monkeypatch.setattr(mixing, "SLOT_SEED", 99)
+    other = {r.doc_id: r.first_shard for r in mixing.mix_report(docs, 16).collect()}
+    assert sum(first[d] != other[d] for d in first) > len(first) / 10
+
+
+def test_permutations_are_exact(spark):
     from pyspark.sql import functions as F
 
-    _, drawn = mixing.plan(docs)
-    got = drawn.collect()
-    assert sorted(r.slot for r in got) == sorted(set(r.slot for r in got)) and min(r.slot for r in got) == 0
-    per_shard: dict = {}
-    for r in mixing.shard_counts(drawn).collect():
-        per_shard[r.shard] = per_shard.get(r.shard, 0) + r.slots
-    assert all(n <= mixing.SHARD for n in per_shard.values()) and sum(per_shard.values()) == len(got)
     for n in (1, 2, 7, 100):
         there = spark.range(n).select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit(3)).alias("p")).withColumn("q", mixing.permuted(F.col("p"), F.lit(n), F.lit(3), inverse=True)).collect()
         assert sorted(r.p for r in there) == list(range(n)) and all(r.id == r.q for r in there)
