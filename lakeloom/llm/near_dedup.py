@@ -181,10 +181,9 @@ class NearDuplicates:
         gives at most one link for each member.
         """
         least, percent, places = self.least, self.percent, self.places
-        most = members.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-        marked = members.join(most, "bucket").withColumn("apart", F.col("comp") != F.col("main"))
-        apart = marked.where("apart").groupBy("bucket").agg(F.count("*").alias("n_apart"))
-        marked = marked.join(apart, "bucket")
+        of_comp = members.groupBy("bucket", "comp").count().groupBy("bucket")
+        per = of_comp.agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), (F.sum("count") - F.max("count")).alias("n_apart"))
+        marked = members.join(small_side(written(per, "large-buckets")), "bucket").withColumn("apart", F.col("comp") != F.col("main"))
         lefts, alls = F.ceil(F.col("n_apart") / BLOCK_LEFT).cast("int"), F.ceil(F.col("size") / BLOCK_ALL).cast("int")
         place = F.xxhash64("rep")
         whole = lambda n: F.sequence(F.lit(0), n - 1)
@@ -245,12 +244,11 @@ class NearDuplicates:
         # Equal sets have equal signatures, so any of them will do.
         reps = written(some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature"), F.first("bands").alias("bands")), "representatives")
         members = reps.select("rep", F.explode(F.array_distinct("bands")).alias("bucket"))
-        # Counted with partial sums and joined, so that no bucket has to meet in one task.
-        sizes = written(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
-        members = written(members.join(small_side(sizes), "bucket"), "buckets")
-        weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-        hubs = members.join(weight, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
-        star = members.join(small_side(written(hubs, "hubs")), "bucket").where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+        # Counted with partial sums and joined, so that no bucket has to meet in one task. The smallest number is the hub:
+        # it is so in most of the buckets its copies share.
+        buckets = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("hub")).where("size > 1")
+        members = written(members.join(small_side(written(buckets, "bucket-sizes")), "bucket"), "buckets")
+        star = members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
         star = written(star, "star-pairs")
         # Rows that share a doc_id but not a set are one document: its sets' representatives are linked.
         same = some.join(reps.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -259,8 +257,9 @@ class NearDuplicates:
         edges = components(written(self.links(star, reps).unionByName(same), "star-links"))
         label = edges.select(F.col("u").alias("rep"), F.col("v").alias("label"))
         labelled = members.join(label, "rep", "left").select("bucket", "rep", "size", F.coalesce("label", "rep").alias("comp"))
+        # A bucket is resolved if all its members are in its hub's component.
         mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        rest = written(labelled.join(small_side(written(mixed, "mixed-buckets")), "bucket", "left_semi"), "unresolved")
+        rest = written(labelled.join(mixed, "bucket", "left_semi"), "unresolved")
         few = rest.where(F.col("size") <= LISTED)
         l, r = few.alias("l"), few.alias("r")
         listed = l.join(r, F.expr("l.bucket = r.bucket and l.rep < r.rep and l.comp != r.comp")).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
