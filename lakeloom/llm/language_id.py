@@ -1,5 +1,8 @@
 """Language identification by cross-parsing: a text is cut greedily into the longest passages that occur in labelled
-text of a language, found with a suffix automaton; the language that needs the fewest passages a letter wins."""
+text of a language, found with a suffix automaton; the language that needs the fewest passages a letter wins.
+
+Long texts are parsed in segments side by side, and a segment whose parse depends on where the one before it stopped is
+parsed again from there until both parses meet: the passages are those of the whole text, wherever the segments begin."""
 
 from __future__ import annotations
 
@@ -8,16 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import pick
+from lakeloom.llm.common import pick, small_side
 from lakeloom.llm.toxicity import held_out
 
-#: Bounds of the sample: languages (the most frequent), labelled documents and letters of each.
-LANGUAGES, DOCUMENTS, LETTERS = 64, 400, 40_000
+#: Bounds of the sample: labelled documents and letters of a language, and letters of all languages together, which share
+#: them if they are many. No language is left out.
+DOCUMENTS, LETTERS, ALL_LETTERS = 400, 40_000, 2_500_000
 #: Letters with a column of the dense transition table: the commonest. The automata's other transitions are a sorted list.
 ALPHABET = 60
 #: Code of the first letter without a column.
 RARE = 256
-#: A text is parsed in segments of so many letters, each of which begins a phrase.
+#: Letters of a segment.
 SEGMENT = 1024
 #: How sharply phrase rates turn into a score.
 SHARPNESS = 40.0
@@ -95,8 +99,17 @@ def _classes(points: np.ndarray, alphabet: np.ndarray, rare: np.ndarray = np.emp
     return out[keep]
 
 
+def letters_of(languages: int) -> int:
+    """Letters of the sample that each of so many languages may have."""
+    return max(1, min(LETTERS, ALL_LETTERS // max(1, languages)))
+
+
 class Model:
-    """Automata of all languages in one transition table and one list; built in a worker from the bounded sample."""
+    """Automata of all languages in one transition table and one list; built in a worker from the bounded sample.
+
+    Each language has a closed state beside its automaton's: no passage is open there, nothing leads on from it. A text
+    begins there, and so does what follows an unknown letter, which is a passage by itself.
+    """
 
     def __init__(self, sample: list[tuple[str, list[str]]]) -> None:
         self.languages = [lang for lang, _ in sample]
@@ -106,21 +119,24 @@ class Model:
         common = np.argsort(-counts, kind="stable")
         self.alphabet, self.rare = np.sort(values[common[:ALPHABET]]), np.sort(values[common[ALPHABET:]])
         self.width = len(self.alphabet) + 2
-        tables, base, self.roots, edges = [], 0, [], []
+        tables, base, roots, closed, edges = [], 0, [], [], []
         for p in points:
-            table, rare = _automaton(_classes(p, self.alphabet, self.rare)[:LETTERS], self.width)
-            self.roots.append(base * self.width)
+            table, rare = _automaton(_classes(p, self.alphabet, self.rare)[: letters_of(len(sample))], self.width)
+            table = np.concatenate([table, np.full((1, self.width), -1, np.int32)])
+            roots.append(base * self.width)
             edges.append((rare + [base, 0, base]) * [self.width, 1, self.width])
             tables.append(np.where(table >= 0, (table + base) * self.width, -1))
             base += len(table)
+            closed.append((base - 1) * self.width)
+        self.roots, self.closed = np.array(roots, np.int64), np.array(closed, np.int32)
         self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.empty(0, np.int32)
         edges = np.concatenate(edges) if edges else np.empty((0, 3), np.int64)
         keys = edges[:, 0] << 21 | edges[:, 1]
         order = np.argsort(keys)
         self.keys, self.next = keys[order], edges[order, 2].astype(np.int32)
-        root = np.array(self.roots, np.int64)
-        first = self.table[root[:, None] + np.arange(self.width)] if tables else np.empty((0, self.width), np.int32)
-        self.first = np.where(first >= 0, first, root[:, None]).astype(np.int32)
+        first = self.table[self.roots[:, None] + np.arange(self.width)] if tables else np.empty((0, self.width), np.int32)
+        #: Where a new passage stands after its first letter: languages by letters.
+        self.first = np.where(first >= 0, first, self.closed[:, None]).astype(np.int32)
 
     def _rare_moves(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Next states (languages by letters) by rare letters; -1 where none."""
@@ -130,68 +146,114 @@ class Model:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.next[at], -1)
 
-    def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases a letter, texts by languages; and which texts hold a letter at all."""
-        classes = _classes(_folded(texts)[0], self.alphabet, self.rare)
-        ends = np.flatnonzero(classes == _END)
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        length = ends - starts
-        has = np.concatenate([[0], np.cumsum((classes != _GAP) & (classes != _END))])
-        lettered = has[ends] > has[starts]
-        pieces = np.maximum(1, -(-length // SEGMENT))
-        owner = np.repeat(np.arange(len(texts)), pieces)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        at = starts[owner] + nth * SEGMENT
-        size = np.minimum(SEGMENT, ends[owner] - at)
-        order = np.argsort(-size, kind="stable")
-        at, size = at[order], size[order]
-        n, languages = len(at), len(self.languages)
-        root = np.array(self.roots, np.int32)[:, None]
-        state = np.repeat(root, n, 1)
-        phrases = np.ones((languages, n), np.int32)
+    def _step(self, states: np.ndarray, which: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states of parses in languages ``which`` by one letter each, and where a new passage begins."""
+        rare = np.flatnonzero(codes >= RARE) if len(self.rare) else ()
+        column = np.where(codes >= RARE, _UNKNOWN, codes) if len(rare) else codes
+        nxt, first = self.table.take(states + column), self.first[which, column]
+        if len(rare):
+            nxt[rare] = self._rare_moves(states[rare], codes[rare])
+            moved = self._rare_moves(self.roots[which[rare]], codes[rare])
+            first[rare] = np.where(moved < 0, self.closed[which[rare]], moved)
+        new = nxt < 0
+        return np.where(new, first, nxt), new
+
+    def _first_parse(self, classes: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Passages and last states, languages by segments, of segments (longest first) parsed each from its beginning."""
+        state = np.repeat(self.closed[:, None], len(at), 1)
+        passages = np.zeros(state.shape, np.int32)
         active = np.searchsorted(-size, -np.arange(1, SEGMENT + 1), side="right")
-        for t in range(int(size[0]) if n else 0):
+        for t in range(int(size[0]) if len(size) else 0):
             k = active[t]
             code = classes[at[:k] + t]
             rare = np.flatnonzero(code >= RARE) if len(self.rare) else ()
             column = np.where(code >= RARE, _UNKNOWN, code) if len(rare) else code
-            nxt = self.table.take(state[:, :k] + column)
-            first = self.first.take(column, axis=1)
+            nxt, first = self.table.take(state[:, :k] + column), self.first.take(column, axis=1)
             if len(rare):
                 nxt[:, rare] = self._rare_moves(state[:, rare], code[rare])
-                moved = self._rare_moves(root, code[rare])
-                first[:, rare] = np.where(moved < 0, root, moved)
-            miss = nxt < 0
-            phrases[:, :k] += miss
-            state[:, :k] = np.where(miss, first, nxt)
-        total = np.zeros((len(texts), languages))
-        for j in range(languages):
-            total[:, j] = np.bincount(owner[order], phrases[j], len(texts))
-        return total / np.maximum(1, length)[:, None], lettered
+                moved = self._rare_moves(self.roots[:, None], code[rare])
+                first[:, rare] = np.where(moved < 0, self.closed[:, None], moved)
+            new = nxt < 0
+            passages[:, :k] += new
+            state[:, :k] = np.where(new, first, nxt)
+        return passages, state
+
+    def passages(self, classes: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Passages of whole texts, which begin at ``starts`` among ``classes``: texts by languages."""
+        pieces = np.maximum(1, -(-length // SEGMENT))
+        owner = np.repeat(np.arange(len(starts)), pieces)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        at = starts[owner] + nth * SEGMENT
+        size = np.minimum(SEGMENT, starts[owner] + length[owner] - at)
+        order = np.argsort(-size, kind="stable")
+        alone, alone_end = (np.empty((len(self.languages), len(at)), np.int32) for _ in range(2))
+        alone[:, order], alone_end[:, order] = self._first_parse(classes, at[order], size[order])
+        # What a segment's passages are more if its parse goes on from the one before, and where it stops then. As long as
+        # a segment's end moves, the one after it goes again.
+        more, end = np.zeros_like(alone), alone_end.copy()
+        which, segment = np.nonzero(np.broadcast_to(nth > 0, alone.shape))
+        while len(which):
+            true, plain = end[which, segment - 1], self.closed[which]
+            gained = np.zeros(len(which), np.int32)
+            live = np.arange(len(which))
+            for t in range(SEGMENT):
+                live = live[(size[segment[live]] > t) & (true[live] != plain[live])]
+                if not len(live):
+                    break
+                codes = classes[at[segment[live]] + t]
+                true[live], new = self._step(true[live], which[live], codes)
+                plain[live], plain_new = self._step(plain[live], which[live], codes)
+                gained[live] += new.astype(np.int32) - plain_new
+            # A parse that met the plain one stops where that does.
+            last = np.where(true == plain, alone_end[which, segment], true)
+            moved = last != end[which, segment]
+            more[which, segment], end[which, segment] = gained, last
+            which, segment = which[moved], segment[moved] + 1
+            follows = segment < len(nth)
+            which, segment = which[follows], segment[follows]
+            follows = nth[segment] > 0
+            which, segment = which[follows], segment[follows]
+        return np.stack([np.bincount(owner, row, len(starts)) for row in alone + more], 1) if len(self.languages) else np.zeros((len(starts), 0))
+
+    def rates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Passages a letter, texts by languages; and which texts hold a letter at all."""
+        classes = _classes(_folded(texts)[0], self.alphabet, self.rare)
+        ends = np.flatnonzero(classes == _END)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        length = ends - starts
+        has = np.concatenate([[0], np.cumsum((classes != _GAP) & (classes != _END))])
+        return self.passages(classes, starts, length) / np.maximum(1, length)[:, None], has[ends] > has[starts]
 
 
 def sample_texts(docs: DataFrame) -> list[tuple[str, list[str]]]:
-    """At most LETTERS characters (whole texts) of at most DOCUMENTS documents of each of at most LANGUAGES languages.
+    """At most LETTERS characters of at most DOCUMENTS documents of each language; many languages share ALL_LETTERS.
 
-    Documents are chosen by a hash of their number; ties by number. Only numbers and lengths are ranked.
+    Documents are chosen by a hash of their number and text, rows that repeat both once. A share of each language's rows,
+    four times those wanted, is taken by that hash before they are ranked, so that no language's rows meet in one task.
     """
     usable = pick(docs, "doc_id", "text", "lang").where("text is not null and lang is not null and length(text) > 0")
-    sizes = usable.select("doc_id", "lang", F.length("text").alias("size"))
-    top = sizes.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "size")
-    first = sizes.join(F.broadcast(top), "lang", "left_semi").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= DOCUMENTS)
+    keyed = usable.select("lang", "doc_id", F.xxhash64("doc_id", "text").alias("key"), F.length("text").alias("size"))
+    keyed = keyed.select("*", (F.shiftrightunsigned("key", 11) / 2.0**53).alias("place"))
+    counts = keyed.groupBy("lang").agg(F.count("*").alias("rows"))
+    share = small_side(counts.select("lang", (4.0 * DOCUMENTS / F.col("rows")).alias("share")))
+    near = keyed.join(share, "lang").where("place < share").select("lang", "doc_id", "key", "size").distinct()
+    order = Window.partitionBy("lang").orderBy("key", "doc_id", "size")
+    first = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= DOCUMENTS)
+    languages = counts.count()
+    letters = letters_of(languages)
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < LETTERS).select("doc_id", "lang").distinct()
-    # Bounded by LANGUAGES * DOCUMENTS rows and the letters of whole texts up to LETTERS.
-    rows = usable.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "doc_id", "text").collect()
+    chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < letters).select("lang", "doc_id", "key", (letters - F.col("before")).cast("int").alias("room"))
+    # At most DOCUMENTS keys a language are broadcast, and ALL_LETTERS letters come to the driver.
+    rows = usable.withColumn("key", F.xxhash64("doc_id", "text")).join(F.broadcast(chosen), ["lang", "key"])
+    rows = rows.select("lang", "key", F.expr("substring(text, 1, room)").alias("text")).distinct().collect()
     out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, str(r.doc_id), r.text)):
+    for r in sorted(rows, key=lambda r: (r.lang, r.key, r.text)):
         out.setdefault(r.lang, []).append(r.text)
     return sorted(out.items())
 
 
 def identify(docs: DataFrame, sample: list[tuple[str, list[str]]]) -> DataFrame:
-    """Per document: doc_id, lang_pred, score. A null text or one without a letter is ``und`` with score 0; so is every
+    """Per document: doc_id, lang_pred, score; other columns play no part, whatever their names. A null text or one without a letter is ``und`` with score 0; so is every
     document if no labelled text was given. Equal rates go to the first language in order of name."""
     shared = docs.sparkSession.sparkContext.broadcast(sample)
     key = hash(str(sample))

@@ -360,22 +360,48 @@ def test_language_id_awkward(awkward, empty):
     assert {r.lang_pred for r in language_id.identify(awkward, []).collect()} == {"und"}
 
 
-def test_cross_parsing_matches_plain_search():
-    train, texts = ["banana bandana", "cabana nab"], ["ban the banana", "xyz", "a" * 50, "bandana cab"]
-    model = language_id.Model([("t", train)])
-    codes = language_id._classes(language_id._folded(train)[0], model.alphabet)
-    parts = bytes(c for c in codes.tolist()).split(bytes([255]))
-    rates, lettered = model.rates(texts)
-    for text, rate in zip(texts, rates[:, 0]):
-        c = bytes(x for x in language_id._classes(language_id._folded([text])[0], model.alphabet).tolist() if x != 255)
-        i, phrases, size = 0, 0, 0
-        while i < len(c):
-            n = 1
-            while i + n < len(c) and any(c[i : i + n + 1] in p for p in parts):
-                n += 1
-            i, phrases = i + n, phrases + 1
-        assert abs(rate * len(c) - phrases) <= 1
-    assert lettered.tolist() == [True, True, True, True]
+def plain_passages(model, train, text):
+    """Passages of the greedy parse of ``text`` by search in the training text; an unknown letter is one by itself."""
+    known = "".join(chr(c) for c in language_id._classes(language_id._folded(train)[0], model.alphabet, model.rare).tolist())
+    codes = "".join(chr(c) for c in language_id._classes(language_id._folded([text])[0], model.alphabet, model.rare).tolist())[:-1]
+    parts, i, passages = [p for p in known.split(chr(255)) if p], 0, 0
+    while i < len(codes):
+        n = 1
+        while i + n < len(codes) and any(codes[i : i + n + 1] in p for p in parts):
+            n += 1
+        i, passages = i + n, passages + 1
+    return passages, len(codes)
+
+
+@pytest.mark.parametrize("segment", [7, 64, 1024])
+def test_cross_parsing_matches_plain_search(segment, monkeypatch):
+    monkeypatch.setattr(language_id, "SEGMENT", segment)
+    rng = np.random.default_rng(segment)
+    syllables = ["ban", "an", "da", "na", "cab", " ", "o", "e", "bel"]
+    speak = lambda n, some: "".join(rng.choice(some, n))
+    train = {"a": ["banana bandana", "cabana nab", speak(300, syllables[:6])], "b": [speak(300, syllables[3:]), speak(200, syllables)]}
+    texts = ["ban the banana", "xyz", "a" * 50, "bandana cab", "", "banana" * 900, speak(2200, syllables), speak(2500, syllables[:6]) + "q" + train["b"][0] * 4, "\u4e00x" * 300 + train["a"][2], train["a"][2] * 8]
+    model = language_id.Model(sorted(train.items()))
+    classes = language_id._classes(language_id._folded(texts)[0], model.alphabet, model.rare)
+    ends = np.flatnonzero(classes == language_id._END)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    got = model.passages(classes, starts, ends - starts)
+    for j, lang in enumerate(sorted(train)):
+        want = [plain_passages(model, train[lang], t) for t in texts]
+        assert got[:, j].tolist() == [n for n, _ in want]
+        assert model.rates(texts)[0][:, j] == pytest.approx([n / max(1, size) for n, size in want])
+    assert max(ends - starts) > 5000
+
+
+def test_many_languages_are_all_learned(spark):
+    """A hundred languages, one of them common, each with words of its own."""
+    rng = np.random.default_rng(2)
+    words = {f"l{k:02}": ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(12)] for k in range(100)}
+    rows = [(i, " ".join(rng.choice(words[lang], 9)), lang) for i, lang in enumerate([*words] * 6 + ["l00"] * 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = table(language_id.language_id(docs))
+    assert np.mean([got[i].lang_pred == lang for i, _, lang in rows if got[i].held_out]) > 0.97
+    assert language_id.letters_of(4) == language_id.LETTERS and 100 * language_id.letters_of(100) <= language_id.ALL_LETTERS
 
 
 def test_rare_letters_are_told_apart():
