@@ -1,5 +1,6 @@
-"""Secret scan with a trigram index: each rule's pattern gives a Boolean query over trigrams, postings answer it, and only
-the candidates meet the pattern itself. A rule whose pattern has no mandatory trigram scans every text.
+"""Secret scan with a trigram index: the trigrams of a block of texts are extracted once and inverted into postings, each
+rule's pattern gives a Boolean query over trigrams, the postings answer it, and only the candidates meet the pattern
+itself. A rule whose pattern has no mandatory trigram scans every text.
 
 The index is split by documents: each task indexes the rows it reads, a bounded block at a time, so that no text and no
 posting list leaves its task and a lost executor costs only its own blocks.
@@ -9,25 +10,24 @@ from __future__ import annotations
 
 import hashlib
 import re
-import re._constants as kinds
-import re._parser as parser
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeloom.llm.common import pick
+from lakeloom.llm.common import byte_chunks, folded, pick, text_bytes
 
-#: Rows of one block of the index.
-BLOCK_ROWS = 1000
 #: Literal alternatives followed through a pattern before the analysis settles for what it has.
 ALTERNATIVES = 64
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: its pattern, the group that holds the secret and the least length of that group."""
+    """A kind of secret: its pattern, the group that holds the secret and the least length of that group.
+
+    Patterns are read with ASCII rules: "either case" is a matter of A-Z alone.
+    """
 
     kind: str
     pattern: str
@@ -48,10 +48,14 @@ RULES = [
     Rule("bearer", r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{20,}=*)", 1, 20),
 ]
 
-#: A query: None is "every text"; a string is a trigram; ("and" | "or", parts) combines queries.
+#: A query: None is "every text"; three bytes are a trigram; ("and" | "or", parts) combines queries.
 Query = object
 
 
+def _lower(text: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
 def _both(a: Query, b: Query) -> Query:
     return b if a is None else a if b is None else a if a == b else ("and", (a, b))
 
@@ -68,122 +72,176 @@ def _of_literals(words: set[str]) -> Query:
 
     def one(w: str) -> Query:
         out: Query = None
-        for i in range(len(w) - 2):
-            out = _both(out, w[i : i + 3])
+        raw = w.encode()
+        for i in range(len(raw) - 2):
+            out = _both(out, raw[i : i + 3])
         return out
 
     return _any([one(w) for w in sorted(words)])
 
 
+_TOKEN = re.compile(r"""\\x(?P<code>[0-9A-Fa-f]{2})|\\(?P<escaped>.)|(?P<set>\[\^?\]?(?:\\.|[^\]\\])*\])|(?P<open>\((?:\?[aimsux]*(?:-[imsx]+)?:)?)(?!\?)
+    |(?P<repeat>[*+?]|\{\d+(?:,\d*)?\})\??|(?P<plain>[^()|\\\[*+?{])|(?P<other>[()|])""", re.X | re.S)
+_RANGE = re.compile(r"\\(.)|(.)-(.)|(.)", re.S)
+
+
+def _parsed(pattern: str):
+    """A pattern as nested parts: ("word", strings), ("sequence", parts), ("any of", sequences), ("some", least, most, part)
+    or ("open",) for what may be anything. Raises ValueError for what it doesn't know, such as look-around."""
+    at = 0
+
+    def sequence(closing: bool):
+        nonlocal at
+        branches, parts = [], []
+        while at < len(pattern):
+            m = _TOKEN.match(pattern, at)
+            if not m:
+                raise ValueError(f"unknown syntax at {at} of {pattern}")
+            at = m.end()
+            if m["open"]:
+                parts.append(sequence(True))
+            elif m["repeat"]:
+                bounds = {"*": (0, None), "+": (1, None), "?": (0, 1)}.get(m["repeat"])
+                if bounds is None:
+                    low, _, high = m["repeat"][1:-1].partition(",")
+                    bounds = int(low), int(high) if high else (None if "," in m["repeat"] else int(low))
+                parts.append(("some", *bounds, parts.pop()))
+            elif m["other"] == "|":
+                branches.append(("sequence", parts))
+                parts = []
+            elif m["other"]:
+                if m["other"] == "(" or not closing:
+                    raise ValueError(f"unknown syntax at {at} of {pattern}")
+                break
+            else:
+                parts.append(("word", _strings(m)))
+        branches.append(("sequence", parts))
+        return branches[0] if len(branches) == 1 else ("any of", branches)
+
+    return sequence(False)
+
+
+def _strings(m: re.Match) -> set[str] | None:
+    """The characters one token can be, lower-cased; None if they are too many to follow."""
+    if m["code"]:
+        return {_lower(chr(int(m["code"], 16)))}
+    if m["escaped"]:
+        return None if m["escaped"].isalnum() else {m["escaped"]}
+    if m["plain"]:
+        return None if m["plain"] in ".^$" else {_lower(m["plain"])}
+    inside = m["set"][1:-1]
+    found = [] if inside.startswith("^") else [x.groups() for x in _RANGE.finditer(inside)]
+    simple = found and not any(lo or (esc and esc.isalnum()) for esc, lo, _, _ in found)
+    return {_lower(esc or one) for esc, _, _, one in found} if simple and len(found) <= 8 else None
+
+
 def trigram_query(pattern: str) -> Query:
-    """The Boolean trigram query that every text with a match of ``pattern`` satisfies; letters are lower-cased.
+    """The Boolean trigram query that every text with a match of ``pattern`` satisfies; A-Z count as a-z.
 
     Walks the pattern in order and keeps the set of literal strings the last stretch can be; a part that is no literal
     ends the stretch, whose strings' trigrams then become mandatory. An alternation of literals multiplies the strings,
-    any other alternation is the "or" of its branches.
+    any other alternation is the "or" of its branches. A pattern with syntax it doesn't know asks for every text.
     """
-    return _walk(parser.parse(pattern))
+    try:
+        return _walk(_parsed(pattern))
+    except ValueError:
+        return None
 
 
-def _walk(items) -> Query:
+def _walk(part) -> Query:
+    kind = part[0]
+    if kind == "any of":
+        return _any([_walk(b) for b in part[1]])
+    if kind == "some":
+        return _walk(part[3]) if part[1] > 0 else None
     query: Query = None
     stretch: set[str] = {""}
-
-    def close() -> None:
-        nonlocal query, stretch
-        query = _both(query, _of_literals(stretch))
-        stretch = {""}
-
-    for part in items:
-        words = _literals([part])
+    for inner in part[1] if kind == "sequence" else [part]:
+        words = _literals(inner)
         if words is not None and len(stretch) * len(words) <= ALTERNATIVES:
             stretch = {a + b for a in stretch for b in words}
             continue
-        close()
-        if words is not None:
-            stretch = words
-            continue
-        op, arg = part
-        if op is kinds.SUBPATTERN:
-            query = _both(query, _walk(arg[3]))
-        elif op is kinds.BRANCH:
-            query = _both(query, _any([_walk(b) for b in arg[1]]))
-        elif op in (kinds.MAX_REPEAT, kinds.MIN_REPEAT) and arg[0] > 0:
-            query = _both(query, _walk(arg[2]))
-    close()
-    return query
-
-
-def _literals(items) -> set[str] | None:
-    """All strings ``items`` can match, lower-cased, if they are few literals; else None."""
+        query = _both(query, _of_literals(stretch))
+        stretch = words or {""}
+        if words is None and inner[0] != "word":
+            query = _both(query, _walk(inner))
+    return _both(query, _of_literals(stretch))
+
+
+def _literals(part) -> set[str] | None:
+    """All strings ``part`` can match, lower-cased, if they are few literals; else None."""
+    kind = part[0]
+    if kind == "word":
+        return part[1]
+    if kind == "any of":
+        branches = [_literals(b) for b in part[1]]
+        return None if any(b is None for b in branches) else set().union(*branches)
+    if kind == "some":
+        words = _literals(part[3]) if part[1:3] == (0, 1) else None
+        return None if words is None else words | {""}
     out = {""}
-    for op, arg in items:
-        if op is kinds.LITERAL:
-            new = {chr(arg).lower()}
-        elif op is kinds.SUBPATTERN:
-            new = _literals(arg[3])
-        elif op is kinds.BRANCH:
-            branches = [_literals(b) for b in arg[1]]
-            new = None if any(b is None for b in branches) else set().union(*branches)
-        elif op is kinds.IN and all(o is kinds.LITERAL for o, _ in arg) and len(arg) <= 8:
-            new = {chr(c).lower() for _, c in arg}
-        elif op is kinds.MAX_REPEAT and arg[:2] == (0, 1):
-            new = _literals(arg[2])
-            new = None if new is None else new | {""}
-        else:
-            new = None
-        if new is None or len(out) * len(new) > ALTERNATIVES:
+    for inner in part[1]:
+        words = _literals(inner)
+        if words is None or len(out) * len(words) > ALTERNATIVES:
             return None
-        out = {a + b for a in out for b in new}
+        out = {a + b for a in out for b in words}
     return out
 
 
-def trigrams(query: Query) -> set[str]:
-    """Trigrams that a query names."""
-    if query is None:
-        return set()
-    return {query} if isinstance(query, str) else set().union(*map(trigrams, query[1]))
-
-
-def postings(texts: list[str], wanted: set[str]) -> dict[str, np.ndarray]:
-    """Rows of ``texts`` (lower-cased) that hold each wanted trigram, ascending."""
-    return {t: np.flatnonzero(np.fromiter((t in x for x in texts), bool, len(texts))) for t in wanted}
-
-
-def candidates(query: Query, index: dict[str, np.ndarray], rows: int) -> np.ndarray:
-    """Rows that satisfy ``query``: postings intersected for "and", united for "or"; all rows for None."""
-    if query is None:
-        return np.arange(rows)
-    if isinstance(query, str):
-        return index[query]
-    op, parts = query
-    out = candidates(parts[0], index, rows)
-    for p in parts[1:]:
-        if op == "and" and not len(out):
-            break
-        out = (np.intersect1d if op == "and" else np.union1d)(out, candidates(p, index, rows))
-    return out
+class Postings:
+    """Inverted index of a block of texts: for each trigram of their bytes (A-Z lower-cased) the rows that hold it."""
+
+    def __init__(self, raw: np.ndarray, bounds: np.ndarray) -> None:
+        low = folded(raw)
+        codes = low[: len(raw)].astype(np.int64) << 16 | low[1 : len(raw) + 1].astype(np.int64) << 8 | low[2 : len(raw) + 2]
+        self.rows = len(bounds) - 1
+        row = np.repeat(np.arange(self.rows), np.diff(bounds))
+        whole = np.arange(len(raw)) + 3 <= bounds[row + 1] if len(raw) else np.empty(0, bool)
+        # Trigram by trigram, and by row in each: every pair once.
+        pairs = np.sort((codes << 32 | row)[whole])
+        self.pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+
+    def holding(self, trigram: bytes) -> np.ndarray:
+        """Rows that hold a trigram, ascending."""
+        code = int.from_bytes(trigram, "big")
+        lo, hi = np.searchsorted(self.pairs, [code << 32, (code + 1) << 32])
+        return self.pairs[lo:hi] & 0xFFFFFFFF
+
+    def candidates(self, query: Query) -> np.ndarray:
+        """Rows that satisfy ``query``: postings intersected for "and", united for "or"; all rows for None."""
+        if query is None:
+            return np.arange(self.rows)
+        if isinstance(query, bytes):
+            return self.holding(query)
+        op, parts = query
+        out = self.candidates(parts[0])
+        for p in parts[1:]:
+            if op == "and" and not len(out):
+                break
+            out = (np.intersect1d if op == "and" else np.union1d)(out, self.candidates(p))
+        return out
 
 
 def _verifier(rule: Rule):
     """Function from a text to the rule's spans. A pattern that is one repeated character set is matched by runs of at
     least the wanted length, which are the same matches without the short runs that would be dropped."""
-    items = list(parser.parse(rule.pattern))
     pattern = rule.pattern
-    if len(items) == 1 and items[0][0] is kinds.MAX_REPEAT and items[0][1][0] == 1 and items[0][1][1] is kinds.MAXREPEAT and pattern.endswith("]+"):
+    if re.fullmatch(r"\[[^\]\\]+\]\+", pattern) and rule.group == 0:
         pattern = pattern[:-1] + "{%d,}" % rule.least
-    matcher = re.compile(pattern)
+    matcher = re.compile(pattern, re.ASCII)
     return lambda text: [m.span() for m in matcher.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
-def scan_block(texts: list[str], rules: list[Rule] = RULES) -> list[list[tuple[int, int, int]]]:
-    """Per text its spans as (start, rule number, end), in order of start and then rule."""
-    queries = [trigram_query(r.pattern) for r in rules]
-    index = postings([t.lower() for t in texts], set().union(*map(trigrams, queries)))
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for number, (rule, query) in enumerate(zip(rules, queries)):
+def scan_block(raw: np.ndarray, bounds: np.ndarray, rules: list[Rule] = RULES) -> list[list[tuple[int, int, int]]]:
+    """Per text of a block (bytes and bounds) its spans as (start, rule number, end), in order of start and then rule."""
+    index, data = Postings(raw, bounds), raw.tobytes()
+    texts: dict[int, str] = {}
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(index.rows)]
+    for number, rule in enumerate(rules):
         spans = _verifier(rule)
-        for row in candidates(query, index, len(texts)).tolist():
+        for row in index.candidates(trigram_query(rule.pattern)).tolist():
+            if row not in texts:
+                texts[row] = data[bounds[row] : bounds[row + 1]].decode()
             out[row] += [(a, number, b) for a, b in spans(texts[row])]
     for found in out:
         found.sort()
@@ -193,17 +251,18 @@ def scan_block(texts: list[str], rules: list[Rule] = RULES) -> list[list[tuple[i
 def scan_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """Per document of ``docs`` (doc_id, text): spans array<struct<kind, start, end>> in code points, end exclusive.
 
-    A null or empty text has no span. Documents keep their number as it is, repeated rows each give a row.
+    A null or empty text has no span. Documents keep their number as it is, repeated rows each give a row. Other columns
+    play no part, whatever their names.
     """
 
     def run(batches):
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo in range(0, len(texts), BLOCK_ROWS):
-                found = scan_block(texts[lo : lo + BLOCK_ROWS], rules)
+            raw, bounds = text_bytes(batch.column(1))
+            for lo, hi in byte_chunks(bounds):
+                found = scan_block(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], rules)
                 spans = [[{"kind": rules[k].kind, "start": a, "end": b} for a, k, b in f] for f in found]
-                kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)), pa.array(spans, kind)], names=["doc_id", "spans"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
 

@@ -447,17 +447,49 @@ def test_secret_scan_empty(empty):
     assert secret_scan.secret_digest(empty).count() == 0
 
 
+def scan(texts, rules=secret_scan.RULES):
+    import pyarrow as pa
+
+    from lakeloom.llm.common import text_bytes
+
+    return secret_scan.scan_block(*text_bytes(pa.array(texts, pa.string())), rules)
+
+
 def test_trigram_queries_never_lose_a_match():
-    assert secret_scan.trigram_query("[0-9a-f]+") is None
-    assert secret_scan.trigram_query("AKIA[A-Z0-9]+") == ("and", ("aki", "kia"))
+    assert secret_scan.trigram_query("[0-9a-f]+") is None and secret_scan.trigram_query("(?<=abc)defg") is None
+    assert secret_scan.trigram_query("AKIA[A-Z0-9]+") == ("and", (b"aki", b"kia"))
+    assert secret_scan.trigram_query("xyzw{2,3}") == b"xyz" and secret_scan.trigram_query("(ab|cde)+[xy]") is None
     samples = ["API_KEY: abcdef123", 'apikey="x1y2z3w4"', "Passwd=secret99", "a token : AbCdEf", "gho_" + "a1" * 20, "-----BEGIN RSA PRIVATE KEY-----", "BEARER " + "ab1." * 8, "xoxb-1234567890ab", "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF"]
-    for text in samples:
-        found = secret_scan.scan_block([text, "nothing"])
-        plain = [(m.start(), n, m.end()) for n, r in enumerate(secret_scan.RULES) for m in re.finditer(r.pattern, text) if m.end(r.group) - m.start(r.group) >= r.least]
-        assert found[0] == sorted(plain) and found[0] and not found[1]
+    found = scan([*samples, "nothing"])
+    for text, got in zip(samples, found):
+        plain = [(m.start(), n, m.end()) for n, r in enumerate(secret_scan.RULES) for m in re.finditer(r.pattern, text, re.ASCII) if m.end(r.group) - m.start(r.group) >= r.least]
+        assert got == sorted(plain) and got
+    assert not found[-1]
     assert secret_scan.redact("key token=abcdef end", [{"start": 4, "end": 16}]) == "key [secret] end"
 
 
+def test_postings_are_those_of_a_plain_index():
+    import pyarrow as pa
+
+    from lakeloom.llm.common import text_bytes
+
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abAB\u00e9 "), rng.integers(0, 30))) for _ in range(60)] + [None, "", "ab"]
+    index = secret_scan.Postings(*text_bytes(pa.array(texts, pa.string())))
+    low = [brute.fold(t or "").encode() for t in texts]
+    known = {t[i : i + 3] for t in low for i in range(len(t) - 2)}
+    for trigram in known | {b"zzz"}:
+        assert index.holding(trigram).tolist() == [i for i, t in enumerate(low) if trigram in t]
+    a, b, c = sorted(known)[:3]
+    assert index.candidates(("or", (("and", (a, b)), c))).tolist() == [i for i, t in enumerate(low) if (a in t and b in t) or c in t]
+
+
+def test_the_index_decides_which_texts_are_searched(monkeypatch):
+    """A text that the postings leave out never meets its rule's pattern."""
+    monkeypatch.setattr(secret_scan.Postings, "holding", lambda self, trigram: np.empty(0, np.int64))
+    assert scan(["password = hunter22", "AKIA" + "A" * 20, "f" * 30]) == [[], [], [(0, 2, 30)]]
+
+
 # --- 7 ---
 
 
