@@ -34,9 +34,6 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "Copyright. All rights reserved."),
 ]
-#: A template that counts only where this term of it stands: "All rights reserved." alone is a page's footer, and reaches
-#: the cosine limit without it.
-REQUIRED = {"Proprietary": "copyright"}
 #: A licence file's base name.
 LICENSE_FILE = r"(?i)^(un)?licen[sc]e(\..*)?$|^copying(\..*)?$|^notice(\..*)?$"
 #: Least cosine of a line and a template.
@@ -92,7 +89,6 @@ class Scorer:
         self.idf = {t: math.log((1 + documents) / (1 + frequencies.get(t, 0))) + 1 for t in VOCABULARY}
         self.unseen = math.log(1 + documents) + 1
         self.vectors = [(name, self.vector(terms(text))) for name, text in TEMPLATES]
-        self.required = [REQUIRED.get(name) for name, _ in TEMPLATES]
         self.index: dict[str, list[tuple[int, float]]] = {}
         for i, (_, v) in enumerate(self.vectors):
             for t, x in v.items():
@@ -113,7 +109,6 @@ class Scorer:
         for w, x in v.items():
             for i, y in self.index.get(w, ()):
                 dots[i] = dots.get(i, 0.0) + x * y
-        dots = {i: dot for i, dot in dots.items() if self.required[i] is None or self.required[i] in v}
         if not dots:
             return None
         i = max(dots, key=lambda i: (round(dots[i], 12), -i))
@@ -126,7 +121,7 @@ class Scorer:
         for w in words:
             for i, y in self.index.get(w, ()):
                 held[i] = held.get(i, 0.0) + y * y
-        return [i for i, x in held.items() if x >= cosine * cosine - 1e-9 and (self.required[i] is None or self.required[i] in words)]
+        return [i for i, x in held.items() if x >= cosine * cosine - 1e-9]
 
     def scan(self, text: str, cosine: float) -> tuple[float, str, int] | None:
         """The best cosine of at least ``cosine``, its licence and first line: of every line, every run of consecutive
@@ -192,7 +187,7 @@ class Scorer:
                     if foreign > limit:
                         return
             if useful:
-                yield b + 1, max((x for i, x in dots.items() if self.required[i] is None or self.required[i] in counts), default=0.0) / math.sqrt(squares)
+                yield b + 1, max(dots.values(), default=0.0) / math.sqrt(squares)
 
 
 def scan_licenses(docs: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -200,7 +195,7 @@ def scan_licenses(docs: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     Every line of the whole text is a candidate header, and so are runs of consecutive lines, paragraphs and the whole
     text, at every length of the text (``Scorer.scan``). The best wins, the first of equal ones; license_line is its
-    first line. Null text: no licence.
+    first line. Null or empty text: no licence, score 0. Other columns play no part, whatever their names.
     """
     scorer = docs.sparkSession.sparkContext.broadcast(document_frequencies(docs))
 
@@ -223,27 +218,26 @@ def inherit(files: DataFrame) -> DataFrame:
 
     A file's own licence holds; else that of the licence file in the nearest directory at or above it. Directories are
     resolved once each: their ancestors are joined with the directories that hold a licence file. Two licence files in
-    one directory: the first by name, then by licence. A null path inherits nothing.
+    one directory: the first by name, then by licence. A null path inherits nothing. All columns come back as they came,
+    whatever their names, but for two named like the new ones, which these replace.
     """
-    folder = F.regexp_replace("path", "/?[^/]*$", "")
-    name = F.regexp_extract("path", "[^/]*$", 0)
-    files = files.withColumn("directory", folder)
-    holders = files.where(F.col("license").isNotNull() & F.col("path").isNotNull() & name.rlike(LICENSE_FILE))
-    holders = holders.groupBy(F.col("directory").alias("holder")).agg(F.min_by("license", F.struct(name.alias("n"), F.col("license"))).alias("holder_license"))
+    names = files.columns
+    plain = files.select(*[F.col(f"`{n}`").alias(f"in_{i}") for i, n in enumerate(names)])
+    path, own = (F.col(f"in_{names.index(n)}") for n in ("path", "license"))
+    plain = plain.withColumn("directory", F.regexp_replace(path, "/?[^/]*$", ""))
+    name = F.regexp_extract(path, "[^/]*$", 0)
+    holders = plain.where(own.isNotNull() & path.isNotNull() & name.rlike(LICENSE_FILE))
+    holders = holders.groupBy(F.col("directory").alias("holder")).agg(F.min_by(own, F.struct(name.alias("n"), own.alias("l"))).alias("holder_license"))
     parts = F.split("directory", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("holder")))
-    directories = files.where(F.col("path").isNotNull()).select("directory").distinct()
+    directories = plain.where(path.isNotNull()).select("directory").distinct()
     nearest = (
         directories.select("directory", F.inline(above)).distinct().join(small_side(holders), "holder")
-        .groupBy("directory").agg(F.max_by(F.struct("holder", "holder_license"), "depth").alias("from"))
-    )
-    joined = files.join(nearest, "directory", "left")
-    own = F.col("license").isNotNull()
-    return joined.select(
-        *[F.col(f"`{c}`") for c in files.columns if c != "directory"],
-        F.coalesce("license", "from.holder_license").alias("effective_license"),
-        F.when(~own, F.col("from.holder")).alias("inherited_from"),
+        .groupBy("directory").agg(F.max_by(F.struct("holder", "holder_license"), "depth").alias("nearest"))
     )
+    made = {"effective_license": F.coalesce(own, "nearest.holder_license"), "inherited_from": F.when(own.isNull(), F.col("nearest.holder"))}
+    kept = [F.col(f"in_{i}").alias(n) for i, n in enumerate(names) if n not in made]
+    return plain.join(nearest, "directory", "left").select(*kept, *[c.alias(n) for n, c in made.items()])
 
 
 def document_paths(docs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakeloom.llm.common import id_text, pick, written
 
@@ -35,8 +36,6 @@ SWAP = {t: line[(i + 1) % len(line)] for line in IDENTITY_TERMS for i, t in enum
 ROWS_OF_CLASS = 4096
 #: Bound of the model: features kept, those whose presence tells most about the class, at every number of rows.
 FEATURES = 1000
-#: A feature is in at least so many toxic texts of the sample, at every number of rows.
-LEAST_TOXIC = 1
 #: Lengths of the word beginnings that are features beside whole words.
 BEGINNINGS = range(4, 9)
 #: Weight of the counterfactual penalty.
@@ -130,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_class: int = ROWS_OF_CLASS
     """Fit on at most ``rows_of_class`` labelled rows of each class; label rows are chosen first, then their texts read.
 
     Texts stay in tasks: these count the features, the FEATURES that tell most are chosen, and only their numbers reach
-    the driver. Rows with a null label, number or text are left out; a number with several label rows counts with each
+    the driver. The model tells how many pairs of swapped sentences entered the fit ("pairs"). Rows with a null label, number or text are left out; a number with several label rows counts with each
     of them. Without a row of either class nothing can be learned: the bias alone gives a score below 0.5.
     """
     chosen = None
@@ -144,19 +143,19 @@ def train(docs: DataFrame, labels: DataFrame, rows_of_class: int = ROWS_OF_CLASS
     of_class = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     neg, pos = of_class.get(0, 0), of_class.get(1, 0)
     if not neg or not pos:
-        return {"bias": -3.0, "weights": {}}
+        return {"bias": -3.0, "weights": {}, "pairs": 0}
     total = neg + pos
     counts = rows.select("text", "toxic").mapInArrow(_count_features, "feature string, neg long, pos long").groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     share = (F.col("neg") + F.col("pos")) / total
-    # How far the share of toxic texts with the feature lies above the others', in standard errors.
+    # How far the share of toxic texts with the feature lies from the others', in standard errors: either class may gain.
     told = (F.col("pos") / pos - F.col("neg") / neg) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + 1e-12)
-    best = counts.where(F.col("pos") >= LEAST_TOXIC).orderBy(told.desc(), "feature").select("feature").limit(FEATURES).collect()
+    best = counts.orderBy(F.abs(told).desc(), "feature").select("feature").limit(FEATURES).collect()
     index = {r.feature: i for i, r in enumerate(best)}
     encoded = rows.mapInArrow(_indexed(index), "doc_id long, toxic int, ids array<int>, plus array<array<int>>, minus array<array<int>>").collect()
     encoded.sort(key=lambda r: (r.doc_id, r.toxic, r.ids))
     plus, minus = ([p for r in encoded for p in r[side]] for side in ("plus", "minus"))
     w, bias = fit([r.ids for r in encoded], [r.toxic for r in encoded], plus, minus, len(index), penalty)
-    return {"bias": bias, "weights": {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4}}
+    return {"bias": bias, "weights": {f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4}, "pairs": len(plus)}
 
 
 #: Words whose features a worker keeps; emptied when full.
@@ -189,26 +188,26 @@ def _scorer(model: dict, key: str):
     return score
 
 
-def score_documents(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with ``score``, from the whole text alone; a null or empty text has the bias's score."""
+def _scored(docs: DataFrame, text: str, out: str, model: dict) -> DataFrame:
+    """``docs`` with a new column ``out``, the score of column ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
-    key = f"{model['bias']!r}:{len(model['weights'])}"
-    names = docs.columns
-    place = names.index("text")
-    if "score" in names:
-        docs = docs.drop("score")
-        names = docs.columns
-        place = names.index("text")
+    key = f"{model['bias']!r}:{len(model['weights'])}:{sum(model['weights'].values())!r}"
+    names = [*docs.columns, out]
+    place = docs.columns.index(text)
 
     def run(batches):
         score = _scorer(shared.value, key)
         for batch in batches:
             scores = [score(t or "") for t in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=names)
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+
+def score_documents(docs: DataFrame, model: dict) -> DataFrame:
+    """``docs`` with ``score``, from the whole text alone; a null or empty text has the bias's score. A column of that
+    name is replaced, all others stay as they are."""
+    return _scored(docs.drop("score"), "text", "score", model)
 
 
 def held_out(parts: int, part: int) -> F.Column:
@@ -224,7 +223,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """``docs`` without the documents whose score reaches ``threshold``; columns as they came. Learns from all labels."""
+    """``docs`` without the documents whose score reaches ``threshold``; all columns as they came, whatever their names.
+    Learns from all labels."""
     names = docs.columns
-    model = train(docs, labels)
-    return score_documents(docs, model).where(F.col("score") < threshold).select(*[F.col(f"`{n}`") for n in names])
+    plain = docs.select(*[F.col(f"`{n}`").alias(f"in_{i}") for i, n in enumerate(names)])
+    scored = _scored(plain, f"in_{names.index('text')}", "score", train(docs, labels))
+    return scored.where(F.col("score") < threshold).select(*[F.col(f"in_{i}").alias(n) for i, n in enumerate(names)])
