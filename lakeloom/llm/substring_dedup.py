@@ -4,9 +4,10 @@
    mostly share theirs. Anchors that occur more than once are the recurring phrases; a bitmap of bounded size marks them.
 2. Pieces: a second read cuts the runs of windows with a recurring anchor out of each document. Equal pieces are merged
    before they meet (the first occurrence stays), so a passage that many documents share arrives once a task.
-3. Automata: pieces are dealt to shards by anchor. A shard confirms the windows that recur among its pieces, compiles
-   them into an Aho-Corasick automaton and streams the pieces through it, which gives every occurrence and the first.
-   Windows of the same words have the same anchor, so no document has to visit the other shards.
+3. Automata: pieces are dealt to shards by anchor. A shard counts the window hashes of its pieces, compiles the windows
+   that recur into an Aho-Corasick automaton and streams the pieces that hold one through it, which gives every
+   occurrence by its words, and the first. Windows of the same words have the same anchor, so no document has to visit
+   the other shards, and a piece without a recurring window visits none.
 4. The words found are cut out in a last read. Whole copies of an earlier document never enter: they go as a whole.
 """
 
@@ -22,11 +23,11 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import byte_chunks, ngram_hashes, pick, small_side, text_bytes, word_hashes, written
 
 WINDOW, PHRASE = 20, 6
-#: Bits of the bitmap of recurring phrases: a few dozen a phrase, within these bounds. A full bitmap lets more pieces
-#: through to the exact steps but loses none.
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 29
+#: Bits of the bitmap of recurring phrases: PHRASE_BITS a phrase or more, within these bounds. A full bitmap lets more
+#: pieces through to the exact steps but loses none.
+PHRASE_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Distinct pieces of one shard, about; and those of one anchor beyond which each window goes its own way.
-SHARD_PIECES, HOT_PIECES = 40_000, 20_000
+SHARD_PIECES, HOT_PIECES = 10_000, 5_000
 #: Bytes kept of a word's hash in a piece.
 BYTES = 5
 
@@ -61,6 +62,8 @@ class RepeatedPassages:
     """Removal of repeated windows from a documents table (doc_id, text). Words are taken as they are.
 
     Documents are ordered by doc_id (null first), then by a hash of the text; rows that repeat both are one document.
+    Other columns play no part, whatever their names. Null and empty texts have no words; texts of fewer words than a
+    window lose none.
     """
 
     def __init__(self, docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> None:
@@ -86,8 +89,8 @@ class RepeatedPassages:
 
         counted = texts.select("text").mapInArrow(anchors, "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
         counted = written(counted, "recurring")
-        bits = LEAST_BITS
-        while bits < min(MOST_BITS, 64 * counted.count()):
+        bits, phrases = LEAST_BITS, counted.count()
+        while bits < min(MOST_BITS, PHRASE_BITS * phrases):
             bits *= 2
         place = F.col("anchor").bitwiseAND(F.lit(bits - 1)) + 1
         parts = counted.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
@@ -154,34 +157,33 @@ class RepeatedPassages:
             import ahocorasick
 
             raw = table.column("piece").to_pylist()
-            d, t, at = (table.column(c).to_pylist() for c in ("d", "t", "at"))
             # A word's bytes become two of the 2**20 characters beyond the basic plane.
             cells = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BYTES).astype(np.uint64)
             numbers = sum(cells[:, i] << np.uint64(8 * i) for i in range(BYTES))
             points = np.stack([numbers >> np.uint64(20), numbers & np.uint64(0xFFFFF)], 1).ravel() + np.uint64(0x10000)
             text = points.astype("<u4").tobytes().decode("utf-32-le")
-            strings, begin = [], 0
-            for p in raw:
-                end = begin + 2 * len(p) // BYTES
-                strings.append(text[begin:end])
-                begin = end
-            seen: set[str] = set()
-            again: set[str] = set()
-            for s in strings:
-                for i in range(0, len(s) - size + 1, 2):
-                    w = s[i : i + size]
-                    (again if w in seen else seen).add(w)
-            del seen
+            ends = np.cumsum(np.fromiter((len(p) // BYTES for p in raw), np.int64, len(raw)))
+            begins = np.concatenate([[0], ends[:-1]])
+            # Confirmed: the windows whose hash occurs more than once among the shard's pieces.
+            hashes = ngram_hashes(numbers, window)
+            starts = np.arange(len(hashes))
+            owner = np.searchsorted(ends, starts, side="right")
+            inside = starts + window <= ends[owner] if len(hashes) else np.empty(0, bool)
+            starts, owner, hashes = starts[inside], owner[inside], hashes[inside]
+            _, first_at, which, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
             out: dict[str, list] = {"d": [], "t": [], "start": [], "stop": []}
-            if again:
+            if (times > 1).any():
                 automaton = ahocorasick.Automaton()
-                for number, w in enumerate(again):
+                patterns = dict.fromkeys(text[2 * a : 2 * a + size] for a in starts[first_at[times > 1]].tolist())
+                for number, w in enumerate(patterns):
                     automaton.add_word(w, number)
                 automaton.make_automaton()
-                first: list = [None] * len(again)
+                d, t, at = (table.column(c).to_pylist() for c in ("d", "t", "at"))
+                first: list = [None] * len(patterns)
                 found = []
-                for row, s in enumerate(strings):
-                    for end, number in automaton.iter(s):
+                for row in np.unique(owner[times[which] > 1]).tolist():
+                    piece = text[2 * begins[row] : 2 * ends[row]]
+                    for end, number in automaton.iter(piece):
                         start = end + 1 - size
                         if start % 2 == 0:
                             key = (d[row], t[row], at[row] + start // 2)
