@@ -6,12 +6,12 @@ import tempfile
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions import scalar as S
-from lakeloom.functions.names import ACCENTED, PLAIN, normalize_name
+from lakeloom.functions.names import normalize_name
 from lakeloom.operators import elo, features, keyed, quality, rules, shape, state
 from lakeloom.plans import gold, silver
 from lakeloom.sources import io
@@ -36,9 +36,13 @@ def query(sql: str | None = None, *views: str):
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and the executors share."""
+    """A new folder that the driver and the executors share; only a local session may do without one that is set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base or tempfile.gettempdir()}/lakeloom/{name}-{uuid.uuid4().hex}"
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        base = tempfile.gettempdir()
+    return f"{base}/lakeloom/{name}-{uuid.uuid4().hex}"
 
 
 def six(df: DataFrame) -> DataFrame:
@@ -156,7 +160,7 @@ def sapm_with_priors(spark, d):
 @query("""select cast(row_number() over (order by s_acctbal desc, s_suppkey) as int) as rank, s_name as team_name, s_acctbal as rating, date '2022-12-22' as ranking_as_of_date,
  trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) as team_name_normalized from supplier""")
 def rating_baseline(spark, d):
-    ranked = table(spark, d, "supplier").withColumn("Rank", F.row_number().over(Window.orderBy(F.desc("s_acctbal"), "s_suppkey")))
+    ranked = keyed.numbered(table(spark, d, "supplier"), "s_acctbal", [F.col("s_suppkey")], "Rank")
     path = scratch(spark, "seed")
     ranked.select("Rank", F.col("s_name").alias("Team"), F.col("s_acctbal").alias("Raiting")).write.csv(path, header=True)
     seed = io.load_seed(spark, path, "Rank int, Team string, Raiting double", {"Rank": "rank", "Team": "team_name", "Raiting": "rating"}, date(2022, 12, 22))
@@ -172,7 +176,13 @@ def gold_chain(spark, d):
 
 # --- names ---
 
-_TRANSLATE = f"translate(lower(trim({{0}})), '{ACCENTED}', '{PLAIN}')"
+# Fixed values of the SQL: accented letters by the plain letter they stand for.
+_LETTERS = {
+    "a": "àáâãäåāăą", "c": "çćč", "d": "ðďđ", "e": "èéêëēĕėęě", "i": "ìíîïīįı", "l": "ł", "n": "ñńň", "o": "òóôõöøōő",
+    "r": "ř", "s": "śşšș", "u": "ùúûüūůű", "y": "ýÿ", "z": "žźż", "g": "ğ", "t": "țť",
+}
+_FROM = "".join(_LETTERS.values())
+_TRANSLATE = f"translate(lower(trim({{0}})), '{_FROM}', '{''.join(plain * len(accented) for plain, accented in _LETTERS.items())}')"
 _ACCENTED_ROWS = [(1, "Curaçao"), (2, "Ørsted Ångström"), (3, "  Łukasz   Ğ. Müller-Öz "), (4, "Straße"), (5, "Côte d'Ivoire"), (6, "cote d'lvoire"), (7, "Æther"), (8, "Nuñez, José")]
 
 
@@ -208,9 +218,16 @@ def slugs(spark, d):
     return _names(spark, d).select("id", normalize_name(F.col("name"), "slug").alias("slug"))
 
 
-@query("select p_partkey, trim(p_name) as display from part")
+_SHOWN = ["Curacao", "Orsted Angstrom", "  Lukasz   G. Muller-Oz ", "Strasse", "Cote d'Ivoire", "cote d'lvoire", "AEther", "Nunez, Jose"]
+
+
+@query(f"""select p_partkey as id, p_name as display from part
+ union all select * from (values {", ".join(f"({i + 20000001}, '{t.replace(chr(39), chr(39) * 2)}')" for i, t in enumerate(_SHOWN))}) v(id, display)""")
 def display_text(spark, d):
-    return table(spark, d, "part").select("p_partkey", normalize_name(F.col("p_name"), "display").alias("display"))
+    accented = F.translate("p_name", "aeiouAEIOUcn", "áèîõüÀÉÏÖÛçñ")
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), accented.alias("name"))
+    named = spark.createDataFrame([(i + 20000000, t) for i, t in _ACCENTED_ROWS], "id bigint, name string")
+    return parts.unionByName(named).select("id", normalize_name(F.col("name"), "display").alias("display"))
 
 
 @query("select s.s_suppkey, n.n_nationkey, n.n_name from supplier s join nation n on n.n_nationkey = s.s_nationkey")
@@ -224,8 +241,10 @@ def name_join(spark, d):
 # --- rules ---
 
 _LABEL = "trim(regexp_replace(lower(league_name), '[^a-z0-9]+', ' ', 'g')) || ' ' || trim(regexp_replace(lower(country), '[^a-z0-9]+', ' ', 'g'))"
-_EXCLUDED = " or ".join(f"contains({_LABEL}, '{w}')" for w in rules.EXCLUDED_WORDS)
-_ALLOWED = ", ".join(map(str, rules.ALLOWED_LEAGUES))
+# Fixed values of the SQL: words that rule a competition out, and competitions that are kept.
+_WORDS = "women woman u17 u18 u19 u20 u21 u22 u23 youth olympic club clubs"
+_EXCLUDED = " or ".join(f"contains({_LABEL}, '{w}')" for w in _WORDS.split())
+_ALLOWED = "1, 4, 5, 6, 7, 9, 10, 21, 22, 29, 30, 31, 32, 33, 34, 35, 36, 37, 536, 806, 808, 858, 913, 960"
 _REASON = f"case when {_EXCLUDED} then 'excluded word' when league_id not in ({_ALLOWED}) then 'league not allowed' when status_short not in ('FT', 'AET', 'PEN') then 'not completed' end"
 
 
@@ -244,16 +263,20 @@ def eligibility_rejects(spark, d):
     return bad.select("fixture_id", "reject_reason")
 
 
-@query("select fixture_id, league_id = 1 and league_season = 1995 and status_short in ('FT', 'AET', 'PEN') as is_eligible from match_v", "match_v")
+@query("""select fixture_id, league_id = 1 and league_season = 1995 and status_short in ('FT', 'AET', 'PEN') as is_eligible,
+ case when league_id != 1 or league_season != 1995 then 'league not allowed' when status_short not in ('FT', 'AET', 'PEN') then 'not completed' end as reject_reason from match_v""", "match_v")
 def eligibility_season(spark, d):
-    return _eligible(spark, d, allow=[1], words=[], season=("league_season", 1995)).select("fixture_id", "is_eligible")
+    return _eligible(spark, d, allow=[1], words=[], season=("league_season", 1995)).select("fixture_id", "is_eligible", "reject_reason")
 
 
-@query("""select fixture_id, league_name ilike '%friendl%' or league_name ilike '%world cup%' or league_name ilike '%africa cup%' or league_name ilike '%qualification%' as is_international,
+@query("""select fixture_id, ((home_team_id < 4 and away_team_id < 4) or league_name ilike '%friendl%' or league_name ilike '%world cup%' or league_name ilike '%africa cup%' or league_name ilike '%qualification%')
+ and fixture_id % 3 != 0 as is_international,
  cast(case when league_name ilike '%friendl%' then 0 when league_name ilike '%cup%' then 1 else 0 end as int) as is_high_stakes from match_v""", "match_v")
 def keyword_eligibility(spark, d):
-    name = F.col("league_name")
-    return view(spark, d, "match_v").select("fixture_id", rules.keyword_eligibility(name, kind=F.lit("Cup")).alias("is_international"), S.high_stakes(name).alias("is_high_stakes"))
+    name, k = F.col("league_name"), F.col("fixture_id") % 3
+    kind = F.when(k == 0, "League").when(k == 1, "Cup")
+    national = [F.col(f"{side}_team_id") < 4 for side in ("home", "away")]
+    return view(spark, d, "match_v").select("fixture_id", rules.keyword_eligibility(name, *national, kind=kind).alias("is_international"), S.high_stakes(name).alias("is_high_stakes"))
 
 
 @query("select event_id, 'payload is not JSON' as reason, 'silver' as stage from events where event_id % 50 = 7")
@@ -305,21 +328,30 @@ def opponent_two_way(spark, d):
 # --- spines and work plans ---
 
 
-@query("select cast(d as date) as day, (select count(*) from orders where cast(o_orderdate as date) = cast(d as date)) as n_orders from generate_series(timestamp '1995-01-01', timestamp '1995-03-31', interval 1 day) g(d)")
+_SPAN = "(select cast(min(o_orderdate) as date) as lo, cast(max(o_orderdate) as date) as hi from orders)"
+
+
+def _span(spark, d):
+    """First and last day of the orders."""
+    day = F.to_date("o_orderdate")
+    return table(spark, d, "orders").agg(F.min(day), F.max(day)).first()
+
+
+@query(f"""select day, (select count(*) from orders where cast(o_orderdate as date) = day) as n_orders
+ from (select cast(unnest(generate_series(lo::timestamp, hi::timestamp, interval 1 day)) as date) as day from {_SPAN})""")
 def date_spine(spark, d):
     days = table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    return shape.daily_dates(spark, date(1995, 1, 1), date(1995, 3, 31)).join(days, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n_orders"))
+    return shape.daily_dates(spark, *_span(spark, d)).join(days, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n_orders"))
 
 
-@query("""select cast(d as date) as window_start, least(cast(d as date) + 6, date '1995-12-31') as window_end, (select count(*) from orders where cast(o_orderdate as date) between cast(d as date) and least(cast(d as date) + 6, date '1995-12-31')) as n_orders
- from generate_series(timestamp '1995-01-01', timestamp '1995-12-31', interval 7 day) g(d)""")
+@query(f"""select window_start, window_end, (select count(*) from orders where cast(o_orderdate as date) between window_start and window_end) as n_orders
+ from (select cast(d as date) as window_start, least(cast(d as date) + 6, hi) as window_end from (select hi, unnest(generate_series(lo::timestamp, hi::timestamp, interval 7 day)) as d from {_SPAN}))""")
 def window_spine(spark, d):
-    windows = shape.date_windows(spark, date(1995, 1, 1), date(1995, 12, 31))
-    day = F.to_date("o_orderdate")
+    first, last = _span(spark, d)
     # Orders find their window by arithmetic, so that the join is on equal keys.
-    start = F.date_add(F.lit(date(1995, 1, 1)), (F.floor(F.datediff(day, F.lit(date(1995, 1, 1))) / 7) * 7).cast("int"))
-    counts = table(spark, d, "orders").where((day >= date(1995, 1, 1)) & (day <= date(1995, 12, 31))).groupBy(start.alias("window_start")).agg(F.count("*").alias("n"))
-    return windows.join(counts, "window_start", "left").select("window_start", "window_end", F.coalesce("n", F.lit(0)).alias("n_orders"))
+    start = F.date_add(F.lit(first), (F.floor(F.datediff(F.to_date("o_orderdate"), F.lit(first)) / 7) * 7).cast("int"))
+    counts = table(spark, d, "orders").groupBy(start.alias("window_start")).agg(F.count("*").alias("n"))
+    return shape.date_windows(spark, first, last).join(counts, "window_start", "left").select("window_start", "window_end", F.coalesce("n", F.lit(0)).alias("n_orders"))
 
 
 _REQUESTED = "(select distinct o_custkey as k from orders)"
@@ -346,13 +378,13 @@ def plan_work_forced(spark, d):
 
 def _versions(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
-    old = orders.where("o_orderkey % 3 != 0")
-    new = orders.where("o_orderkey % 2 = 0").withColumn("price", F.col("price") + 1).withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(2)))
+    old = orders.where("o_orderstatus in ('F', 'P')")
+    new = orders.where("o_orderstatus in ('O', 'P')").withColumn("price", F.col("price") + 1).withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(2)))
     return old.withColumn("o_orderkey", F.nullif("o_orderkey", F.lit(1))), new
 
 
-_OLD = "select nullif(o_orderkey, 1) as o_orderkey, o_orderstatus, o_totalprice as price from orders where o_orderkey % 3 != 0"
-_NEW = "select nullif(o_orderkey, 2) as o_orderkey, o_orderstatus, o_totalprice + 1 as price from orders where o_orderkey % 2 = 0"
+_OLD = "select nullif(o_orderkey, 1) as o_orderkey, o_orderstatus, o_totalprice as price from orders where o_orderstatus in ('F', 'P')"
+_NEW = "select nullif(o_orderkey, 2) as o_orderkey, o_orderstatus, o_totalprice + 1 as price from orders where o_orderstatus in ('O', 'P')"
 
 
 @query(f"with o as ({_OLD}), n as ({_NEW}) select o_orderkey, o_orderstatus, round(price, 6) as price from n union all select o_orderkey, o_orderstatus, round(price, 6) from o where not exists (select 1 from n where n.o_orderkey is not distinct from o.o_orderkey)")
@@ -406,6 +438,41 @@ def seed_windows(spark, d):
     return state.seed_windows(known, weeks)
 
 
+_UPDATES = f"""updates as (select window_start, window_end, case when day(window_start) % 3 = 0 then 'PENDING' else 'COMPLETED' end as status, n as records, timestamp '2024-03-01' + to_days(cast(day(window_start) % 2 as int)) as updated_at
+ from (select window_start, window_end, count(*) as n from {_WINDOWS} w join ckpt_v c on date_trunc('week', c.target_date)::date = w.window_start group by 1, 2)),
+ known as (select window_start, window_end, 'COMPLETED' as status, 5::bigint as records, timestamp '2024-03-01 12:00:00' as updated_at from {_WINDOWS} where day(window_start) % 2 = 0 or day(window_start) % 3 = 0)"""
+
+
+@query(f"""with {_UPDATES} select window_start, window_end, status, records, strftime(updated_at, '%Y-%m-%d %H:%M:%S') as updated_at
+ from (select *, row_number() over (partition by window_start, window_end order by updated_at desc) as rn from (select * from updates union all select * from known)) where rn = 1""", "ckpt_v")
+def window_upsert(spark, d):
+    """Half of the updates are older than what the checkpoint holds; some windows are new to it."""
+    start = F.to_date(F.date_trunc("week", "target_date"))
+    weeks = view(spark, d, "ckpt_v").groupBy(start.alias("window_start"), F.date_add(start, 6).alias("window_end")).agg(F.count("*").alias("records"))
+    day = F.day("window_start")
+    at = lambda text: F.to_timestamp_ntz(F.lit(text))
+    updates = weeks.select("window_start", "window_end", F.when(day % 3 == 0, "PENDING").otherwise("COMPLETED").alias("status"), "records", F.when(day % 2 == 0, at("2024-03-01 00:00:00")).otherwise(at("2024-03-02 00:00:00")).alias("updated_at"))
+    known = weeks.where((day % 2 == 0) | (day % 3 == 0)).select("window_start", "window_end", F.lit("COMPLETED").alias("status"), F.lit(5).cast("bigint").alias("records"), at("2024-03-01 12:00:00").alias("updated_at"))
+    out = state.window_upsert(known, updates)
+    return out.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("""with a as (select cast(target_date as date) as window_start, cast(target_date as date) as window_end, count(*) as records, case day(target_date) when 3 then 'timeout' when 20 then 'Too many requests' when 25 then 'quota' end as error from ckpt_v group by 1, 2, 4),
+ s as (select min(window_start) as stop from a where error in ('Too many requests', 'quota'))
+ select window_start, window_end, case when error is null and (stop is null or window_start < stop) then 'COMPLETED' else 'PENDING' end as status, case when stop is null or window_start <= stop then records else 0 end::bigint as records,
+ not (error is null and (stop is null or window_start < stop)) as is_next from a, s""", "ckpt_v")
+def backfill_quota_stop(spark, d):
+    """A run over daily windows that meets a quota: what it settles, and which windows the next run takes up."""
+    day = F.col("target_date")
+    attempts = view(spark, d, "ckpt_v").groupBy(day.alias("window_start"), day.alias("window_end")).agg(F.count("*").alias("records"))
+    error = F.when(F.day("window_start") == 3, "timeout").when(F.day("window_start") == 20, "Too many requests").when(F.day("window_start") == 25, "quota")
+    settled = state.settle_windows(attempts.withColumn("error", error), F.current_timestamp())
+    seeded = state.seed_windows(settled.select("window_start", "window_end", "status", "records").limit(0), attempts.select("window_start", "window_end"))
+    after = state.window_upsert(seeded.withColumn("updated_at", F.to_timestamp(F.lit(AS_OF))), settled)
+    ahead = state.pending_windows(attempts.select("window_start", "window_end"), after).withColumn("is_next", F.lit(True))
+    return after.drop("updated_at").join(ahead, ["window_start", "window_end"], "left").withColumn("is_next", F.coalesce("is_next", F.lit(False)))
+
+
 @query("select distinct fixture_id from ckpt_v where endpoint = 'fixtures/players' and status = 'COMPLETED' and fixture_id is not null and target_date = date '2024-01-10'", "ckpt_v")
 def completed_keys(spark, d):
     return state.completed_keys(view(spark, d, "ckpt_v"), "fixtures/players", date(2024, 1, 10))
@@ -424,12 +491,25 @@ def run_summary(spark, d):
     return _stamped(state.run_summary(view(spark, d, "ckpt_v")))
 
 
-@query(_SUMMARY, "ckpt_v")
-def ops_view_run_summary(spark, d):
+def _ops_views(spark, d):
     source = f"lakeloom_{uuid.uuid4().hex}"
     view(spark, d, "ckpt_v").createOrReplaceTempView(source)
-    names = state.create_ops_views(spark, source, f"{source}_", temporary=True)
-    return _stamped(spark.table(names[0]))
+    return [spark.table(name) for name in state.create_ops_views(spark, source, f"{source}_", temporary=True)]
+
+
+@query(_SUMMARY, "ckpt_v")
+def ops_view_run_summary(spark, d):
+    return _stamped(_ops_views(spark, d)[0])
+
+
+@query("select event_id, run_id, status, last_error from ckpt_v where status in ('FAILED', 'QUARANTINED')", "ckpt_v")
+def ops_view_failures(spark, d):
+    return _ops_views(spark, d)[1].select("event_id", "run_id", "status", "last_error")
+
+
+@query("select event_id, run_id, endpoint from ckpt_v where status = 'PENDING'", "ckpt_v")
+def ops_view_pending(spark, d):
+    return _ops_views(spark, d)[2].select("event_id", "run_id", "endpoint")
 
 
 @query("select event_id, run_id, status, last_error from ckpt_v where status in ('FAILED', 'QUARANTINED')", "ckpt_v")
@@ -500,7 +580,9 @@ def context_weights(spark, d):
 
 
 _RATES = f"rates as (select player_id, team_id, min({_POSITION}) as position_group, coalesce(sum(games_minutes), 0)::double as minutes, coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as goals from player_v group by 1, 2)"
-_PRIOR = lambda k: f"case position_group when 'F' then {S.POSITION_PRIORS['F'][k]} when 'D' then {S.POSITION_PRIORS['D'][k]} when 'G' then {S.POSITION_PRIORS['G'][k]} else {S.POSITION_PRIORS['M'][k]} end::double"
+# Fixed values of the SQL: shots per 90, share on target and conversion a position starts from, in the order F, D, G, M.
+_STARTS = [(2.6, 0.5, 0.0, 1.2), (0.42, 0.25, 0.0, 0.35), (0.16, 0.05, 0.0, 0.10)]
+_PRIOR = lambda k: "case position_group when 'F' then {} when 'D' then {} when 'G' then {} else {} end::double".format(*_STARTS[k])
 _SHRUNK = f"""shrunk as (select *, w * p90 + (1 - w) * {_PRIOR(0)} as shots_per_90, least(greatest(w * ot + (1 - w) * {_PRIOR(1)}, 0.01), 0.99) as on_target, least(greatest(w * cv + (1 - w) * {_PRIOR(2)}, 0.01), 0.99) as conversion
  from (select *, least(1.0, minutes / 450.0) as w, case when minutes > 0 then shots / minutes * 90.0 else {_PRIOR(0)} end as p90, case when shots > 0 then shots_on / shots else {_PRIOR(1)} end as ot, case when shots_on > 0 then goals / shots_on else {_PRIOR(2)} end as cv from rates))"""
 
@@ -737,19 +819,53 @@ def align_schema(spark, d):
     return six(io.align_to_schema(rows, schema))
 
 
-@query("select count(*) filter (where props is not null) as n_documents, true as is_object from events")
+@query("""select key as field, case when count(distinct json_type(doc, '$.' || key)) > 1 then 'VARIANT' when any_value(json_type(doc, '$.' || key)) in ('UBIGINT', 'BIGINT') then 'BIGINT'
+ when any_value(json_type(doc, '$.' || key)) = 'VARCHAR' then 'STRING' when any_value(json_type(doc, '$.' || key)) = 'BOOLEAN' then 'BOOLEAN' else 'OBJECT' end as kind
+ from (select doc, unnest(json_keys(doc)) as key from (select case when event_id % 7 = 0 then json_object('k', event_id, 'user', concat('u', user_id), 'late', value > 100) else props::json end as doc from events where props is not null)) group by 1""")
 def infer_schema(spark, d):
-    rows = table(spark, d, "events")
-    kind = io.infer_payload_schema(rows, "props")
-    return rows.agg(F.count("props").alias("n_documents"), F.lit(kind.startswith("OBJECT")).alias("is_object"))
+    """Fields and kinds of all documents of a column, some of which have more fields than the first."""
+    more = F.to_json(F.struct(F.col("event_id").alias("k"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"), (F.col("value") > 100).alias("late")))
+    docs = table(spark, d, "events").where("props is not null").select(F.when(F.col("event_id") % 7 == 0, more).otherwise(F.col("props")).alias("doc"))
+    found = io.infer_payload_schema(docs, "doc")
+    fields = [part.split(": ") for part in found.removeprefix("OBJECT<").removesuffix(">").split(", ")]
+    return spark.createDataFrame([(name, kind) for name, kind in fields], "field string, kind string")
 
 
 @query("select event_id, length(trim(regexp_replace(props, '\\s+', ' ', 'g'))) as n_chars, substr(trim(regexp_replace(props, '\\s+', ' ', 'g')), 1, 500) as clean from events where props is not null")
 def error_text(spark, d):
-    rows = table(spark, d, "events").where("props is not null")
-    clean = S.error_text(F.regexp_replace("props", " ", "\n  "))
-    plain = S.error_text(F.col("props"))
-    return rows.select("event_id", F.length(F.when(F.length(clean) == F.length(plain), clean).otherwise(plain)).cast("bigint").alias("n_chars"), plain.alias("clean"))
+    """Every space of a text is spread over lines and tabs first; what comes back is the text."""
+    clean = S.error_text(F.concat(F.lit("\n "), F.regexp_replace("props", " ", "\n \t "), F.lit(" \r\n")))
+    return table(spark, d, "events").where("props is not null").select("event_id", F.length(clean).cast("bigint").alias("n_chars"), clean.alias("clean"))
+
+
+@query("""select event_id, sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}') as digest from events""")
+def payload_fingerprint(spark, d):
+    return table(spark, d, "events").select("event_id", S.fingerprint("event_id", "event_type", "user_id").alias("digest"))
+
+
+@query("select fixture_id, round(1 / (1 + pow(10::double, ((1500 + away_team_id * 20) - (1500 + home_team_id * 20)) / 400.0::double)), 6) as expected from match_v", "match_v")
+def elo_expected(spark, d):
+    home, away = (F.col(f"{side}_team_id") * 20.0 + 1500.0 for side in ("home", "away"))
+    return six(view(spark, d, "match_v").select("fixture_id", S.elo_expected(home, away).alias("expected")))
+
+
+@query("select event_id, cast(case when event_type = 'click' then 'c' end as varchar) as kind, cast(event_id as int) as number, round(value, 6) as amount from events")
+def project_paths(spark, d):
+    nested = F.struct(F.struct(F.when(F.col("event_type") == "click", "c").alias("kind")).alias("a"), F.struct(F.struct(F.col("event_id").cast("string").alias("n"), F.col("value").alias("v")).alias("c")).alias("b"))
+    rows = table(spark, d, "events").select("event_id", F.from_json(F.to_json(nested), "a struct<kind string>, b struct<c struct<n string, v double>>").alias("p"))
+    return six(shape.project_paths(rows, {"event_id": ("event_id", "bigint"), "kind": ("p.a.kind", "string"), "number": ("p.b.c.n", "int"), "amount": ("p.b.c.v", "double")}))
+
+
+@query("select 'missing columns: o_absent, o_gone' as message, count(*) as n_rows from orders")
+def required_columns(spark, d):
+    """What a table lacks is named; one that lacks nothing goes on."""
+    orders = table(spark, d, "orders")
+    try:
+        shape.require_columns(orders, ["o_orderkey", "o_absent", "o_gone"])
+        message = "none"
+    except ValueError as e:
+        message = str(e)
+    return shape.require_columns(orders, ["o_orderkey"]).agg(F.lit(message).alias("message"), F.count("*").alias("n_rows"))
 
 
 @query("select event_id, event_id % 4 = 1 as is_quota from events")
@@ -796,15 +912,19 @@ def keyed_json_bootstrap(spark, d):
     return got.select("key", "value.match_info.status_short", "value.match_info.home_team")
 
 
-@query("select fixture_id, home_team_id, status_short from match_v where cast(fixture_date as date) between date '1995-01-01' and date '1995-01-07'", "match_v")
+@query("select fixture_id, home_team_id, status_short from match_v", "match_v")
 def json_window_landing(spark, d):
-    start, end = date(1995, 1, 1), date(1995, 1, 7)
-    day = F.to_date("fixture_date")
-    rows = view(spark, d, "match_v").where((day >= start) & (day <= end)).select("fixture_id", "home_team_id", "status_short")
-    root = scratch(spark, "windows")
-    io.land_json_window(rows.limit(1), root, start, end)
-    landed = io.land_json_window(rows, root, start, end)
-    return io.align_to_schema(landed, rows.schema)
+    """All matches landed in windows of a year; the first window twice, of which the second landing stays."""
+    first, last = _span(spark, d)
+    windows = [(r.window_start, r.window_end) for r in shape.date_windows(spark, first, last, 366).orderBy("window_start").collect()]
+    matches, root = view(spark, d, "match_v"), scratch(spark, "windows")
+    landed = None
+    for start, end in [windows[0], *windows]:
+        day = F.to_date("fixture_date")
+        rows = matches.where((day >= start) & (day <= end)).select("fixture_id", "home_team_id", "status_short")
+        got = io.align_to_schema(io.land_json_window(rows, root, start, end), rows.schema)
+        landed = got if landed is None or start == first else landed.unionByName(got)
+    return landed
 
 
 @query("select cast(year(m.fixture_date) as int) as match_year, count(*) as n_rows, cast(sum(p.games_minutes) as bigint) as minutes from player_v p join match_v m on m.fixture_id = p.fixture_id group by 1", "player_v")
@@ -825,6 +945,39 @@ def upsert_target_exists(spark, d):
     return six(io.read_target(spark, name))
 
 
+@query("select o_orderkey, case when o_orderstatus = 'P' then 'later' else 'first' end as version, round(case when o_orderstatus = 'P' then o_totalprice + 2 else o_totalprice end, 6) as price from orders")
+def merge_late_rows(spark, d):
+    """Of two landings of a row the later one counts, in whichever order they come."""
+    name = f"lakeloom_{uuid.uuid4().hex}"
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("landed"), F.lit("first").alias("version"), F.col("o_totalprice").alias("price"))
+    state.merge_into(spark, name, rows, ["o_orderkey"], order="landed")
+    shifted = lambda status, days, version, more: rows.where(F.col("o_orderstatus") == status).withColumns({"landed": F.col("landed") + F.make_dt_interval(F.lit(days)), "version": F.lit(version), "price": F.col("price") + more})
+    state.merge_into(spark, name, shifted("F", -1, "earlier", 1).unionByName(shifted("P", 1, "later", 2)), ["o_orderkey"], order="landed")
+    return six(spark.table(name).select("o_orderkey", "version", "price"))
+
+
+@query("select o_orderkey, o_orderstatus, round(o_totalprice * 2, 6) as price from orders")
+def materialized_model(spark, d):
+    """A model rebuilt as a table: the second build replaces the first."""
+    name = f"lakeloom_{uuid.uuid4().hex}"
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
+    io.materialize(rows.limit(10), name)
+    return six(io.materialize(rows.withColumn("price", F.col("price") * 2), name))
+
+
+@query("select c_custkey, c_name, false as was_there, true as was_empty from customer")
+def ensured_layer_table(spark, d):
+    """A table of a layer made where it is missing, found empty, and then filled; making it again changes nothing."""
+    name = io.layer_table("spark_catalog", {"silver": "lakeloom_silver"}, "silver", f"customers_{uuid.uuid4().hex}")
+    there = io.target_exists(spark, name)
+    for _ in range(2):
+        io.ensure_table(spark, name, "c_custkey bigint, c_name string")
+    empty = quality.is_empty(spark.table(name))
+    io.write_target(table(spark, d, "customer").select("c_custkey", "c_name"), name, "append")
+    io.ensure_table(spark, name, "c_custkey bigint, c_name string")
+    return shape.with_defaults(io.read_target(spark, name), {"was_there": there, "was_empty": empty})
+
+
 # --- ratings ---
 
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCHEMA = "fixture_id bigint, match_date timestamp, team_id bigint, opponent_team_id bigint, pre_team_elo double, pre_opponent_elo double, team_elo double, opponent_elo double, is_high_stakes int, pool string"
+_NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
+START, SCALE = 1500.0, 400.0
+#: What a match moves at most: one that counts for much, and others.
+MOVES = (40.0, 20.0)
 
 
 def elo_replay(matches: DataFrame, pool_col: str | None = None) -> DataFrame:
@@ -15,27 +21,32 @@ def elo_replay(matches: DataFrame, pool_col: str | None = None) -> DataFrame:
     Matches are replayed by date and number; teams start at 1500; K is 40 for matches that count for much, else 20; null
     goals are 0 and equal goals a draw. ``matches`` has fixture_id, match_date, home_team_id, away_team_id, home_goals,
     away_goals, is_high_stakes. A pool (say, a confederation) is one task, as each rating rests on all before it; a
-    team's ratings in different pools are apart.
+    team's ratings in different pools are apart. Spark sorts a pool's matches, on disk where needed, and the task keeps
+    no more of them than the ratings so far.
     """
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        ratings: dict[int, float] = {}
-        rows = []
-        for m in pdf.sort_values(["match_date", "fixture_id"], kind="stable").itertuples(index=False):
-            before = ratings.get(m.home_team_id, 1500.0), ratings.get(m.away_team_id, 1500.0)
-            lead = (m.home_goals > m.away_goals) - (m.home_goals < m.away_goals)
-            expected = 1.0 / (1.0 + 10.0 ** ((before[1] - before[0]) / 400.0))
-            moved = (40.0 if m.is_high_stakes == 1 else 20.0) * ((lead + 1) / 2 - expected)
-            after = before[0] + moved, before[1] - moved
-            ratings[m.home_team_id], ratings[m.away_team_id] = after
-            for i, (team, other) in enumerate(((m.home_team_id, m.away_team_id), (m.away_team_id, m.home_team_id))):
-                rows.append((m.fixture_id, m.match_date, team, other, before[i], before[1 - i], after[i], after[1 - i], m.is_high_stakes, m.pool))
-        return pd.DataFrame(rows, columns=["fixture_id", "match_date", "team_id", "opponent_team_id", "pre_team_elo", "pre_opponent_elo", "team_elo", "opponent_elo", "is_high_stakes", "pool"])
-
     pool = F.col(pool_col).cast("string") if pool_col else F.lit("all")
     goals = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     rows = matches.where("home_team_id is not null and away_team_id is not null").select(
-        F.col("fixture_id").cast("bigint").alias("fixture_id"), F.col("match_date").cast("timestamp").alias("match_date"), F.col("home_team_id").cast("bigint").alias("home_team_id"), F.col("away_team_id").cast("bigint").alias("away_team_id"),
+        F.col("fixture_id").cast("bigint").alias("fixture_id"), F.col("match_date").cast("timestamp").alias("match_date"),
+        F.col("home_team_id").cast("bigint").alias("home_team_id"), F.col("away_team_id").cast("bigint").alias("away_team_id"),
         goals("home_goals"), goals("away_goals"), F.coalesce("is_high_stakes", F.lit(0)).cast("int").alias("is_high_stakes"), pool.alias("pool"),
     )
-    return rows.groupBy("pool").applyInPandas(replay, SCHEMA)
+    in_order = rows.repartition("pool").sortWithinPartitions("pool", F.asc_nulls_last("match_date"), "fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals")
+    return in_order.mapInPandas(_replay, SCHEMA)
+
+
+def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Fold over sorted matches, a batch at a time; ratings begin anew with each pool."""
+    current, ratings = None, {}
+    for batch in batches:
+        rows = []
+        for m in batch.itertuples(index=False):
+            if m.pool != current:
+                current, ratings = m.pool, {}
+            home, away = (ratings.get(t, START) for t in (m.home_team_id, m.away_team_id))
+            won = 1.0 if m.home_goals > m.away_goals else 0.5 if m.home_goals == m.away_goals else 0.0
+            moved = MOVES[m.is_high_stakes != 1] * (won - 1.0 / (1.0 + 10.0 ** ((away - home) / SCALE)))
+            ratings[m.home_team_id], ratings[m.away_team_id] = home + moved, away - moved
+            rows.append((m.fixture_id, m.match_date, m.home_team_id, m.away_team_id, home, away, home + moved, away - moved, m.is_high_stakes, m.pool))
+            rows.append((m.fixture_id, m.match_date, m.away_team_id, m.home_team_id, away, home, away - moved, home + moved, m.is_high_stakes, m.pool))
+        yield pd.DataFrame(rows, columns=_NAMES)

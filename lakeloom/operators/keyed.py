@@ -20,6 +20,30 @@ def trailing_n(df: DataFrame, keys: list[str], order: list[Column], n: int, excl
     return df.withColumn("recency_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("recency_rank") <= n)
 
 
+def if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` with a broadcast hint if a count shows at most so many rows, else unchanged (a shuffle join follows)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def numbered(df: DataFrame, col: str, ties: list[Column], out: str, parts: int = 200) -> DataFrame:
+    """``df`` with ``out``, each row's number from 1 on by descending ``col`` (a number, nulls last) and then ``ties``.
+
+    Rows are dealt to ranges between quantiles of ``col``; a range's number is counted up from the rows of those before
+    it, so no task sorts more than a range. Rows of one equal value share a range.
+    """
+    cuts = df.agg(F.percentile_approx(col, [i / parts for i in range(1, parts)])).first()[0]  # ``parts`` numbers
+    cuts = sorted(set(cuts or []), reverse=True)
+    above = F.lit(0)
+    for cut in cuts:
+        above = above + F.when(F.col(col) >= F.lit(cut), 0).otherwise(1)
+    ranged = df.withColumn("range_number", above)
+    sizes = ranged.groupBy("range_number").agg(F.count("*").alias("range_size"))
+    before = Window.orderBy("range_number").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    bases = sizes.select("range_number", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("range_base"))
+    inside = F.row_number().over(Window.partitionBy("range_number").orderBy(F.desc_nulls_last(col), *ties))
+    return ranged.join(F.broadcast(bases), "range_number").withColumn(out, (F.col("range_base") + inside).cast("int")).drop("range_number", "range_base")
+
+
 def plan_work(requested: DataFrame, completed: DataFrame, key: str, force: bool = False) -> DataFrame:
     """Each requested key once, with action FETCH or SKIP; ``force`` fetches all."""
     wanted = requested.select(key).where(F.col(key).isNotNull()).distinct()
@@ -68,15 +92,27 @@ def resolve_matches(requests: DataFrame, fixtures: DataFrame) -> DataFrame:
     """Requests (request_id, match_date, home_team, away_team) with outcome and fixture_id.
 
     invalid: a name or the date is missing, or both names are one. matched: one fixture of that day has these sides in
-    this order. ambiguous: several. reversed: only in the other order. missing: none. Equi-joins on day and names.
+    this order. ambiguous: several. reversed: only in the other order. missing: none. Equi-joins on day and names; each
+    different spelling is normalised once.
     """
-    key = lambda c: normalize_name(F.col(c), "alias")
-    r = requests.select("request_id", "match_date", key("home_team").alias("h"), key("away_team").alias("a"))
+    sides = ("home_team", "away_team")
+    spelled = None
+    for df in (requests, fixtures):
+        part = df.select(F.explode(F.array(*sides)).alias("spelling")).distinct()
+        spelled = part if spelled is None else spelled.unionByName(part)
+    spelled = spelled.where("spelling is not null").distinct()
+    keys = if_small(spelled.select("spelling", normalize_name(F.col("spelling"), "alias").alias("key")))
+
+    def keyed(df: DataFrame, names: tuple[str, str]) -> DataFrame:
+        for side, name in zip(sides, names):
+            df = df.join(keys.withColumnsRenamed({"spelling": side, "key": name}), side, "left")
+        return df.withColumn("lo", F.least(*names)).withColumn("hi", F.greatest(*names))
+
+    r = keyed(requests.select("request_id", "match_date", *sides), ("h", "a")).select("request_id", "match_date", "h", "a", "lo", "hi")
     valid = F.col("match_date").isNotNull() & (F.col("h") != "") & (F.col("a") != "") & (F.col("h") != F.col("a"))
-    r = r.withColumn("valid", F.coalesce(valid, F.lit(False))).withColumn("lo", F.least("h", "a")).withColumn("hi", F.greatest("h", "a"))
-    f = fixtures.select("fixture_id", F.to_date("fixture_date").alias("match_date"), key("home_team").alias("fh"), key("away_team").alias("fa"))
-    f = f.withColumn("lo", F.least("fh", "fa")).withColumn("hi", F.greatest("fh", "fa"))
-    joined = r.join(f, ["match_date", "lo", "hi"], "left")
+    r = r.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    f = keyed(fixtures.select("fixture_id", F.to_date("fixture_date").alias("match_date"), *sides), ("fh", "fa"))
+    joined = r.join(f.select("fixture_id", "match_date", "fh", "lo", "hi"), ["match_date", "lo", "hi"], "left")
     exact = F.col("fixture_id").isNotNull() & (F.col("fh") == F.col("h"))
     out = joined.groupBy("request_id").agg(F.first("valid").alias("valid"), F.count_if(exact).alias("exact"), F.count("fixture_id").alias("all"), F.min(F.when(exact, F.col("fixture_id"))).alias("id"))
     outcome = F.when(~F.col("valid"), "invalid").when(F.col("exact") == 1, "matched").when(F.col("exact") > 1, "ambiguous").when(F.col("all") > 0, "reversed").otherwise("missing")
@@ -84,7 +120,8 @@ def resolve_matches(requests: DataFrame, fixtures: DataFrame) -> DataFrame:
 
 
 def mutual_opponents(edges: DataFrame) -> DataFrame:
-    """Pairs of teams (a < b) and the opponents both have met; edges are (team, opponent)."""
+    """Pairs of teams (a < b) and the opponents both have met; edges are (team, opponent). The result itself holds every
+    pair of an opponent's rivals, so it grows with the square of the teams that met one opponent, not with matches."""
     e = edges.select("team", "opponent").distinct()
     a, b = e.alias("a"), e.alias("b")
     return a.join(b, F.expr("a.opponent = b.opponent and a.team < b.team")).select(F.col("a.team").alias("team_a"), F.col("b.team").alias("team_b"), F.col("a.opponent").alias("opponent"))

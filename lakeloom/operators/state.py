@@ -1,12 +1,17 @@
-"""State tables kept by upserts: built as new versions from old rows and updates, without in-place changes."""
+"""State tables kept by upserts: new rows beside the old ones, and a view that tells which count; nothing is changed in
+place."""
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.functions.scalar import is_quota_error
+from lakeloom.operators.keyed import latest_by_key
+
 DONE = ["COMPLETED", "SKIPPED"]
 
 
@@ -25,19 +30,63 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: b
     return kept.unionByName(source.select(*target.columns))
 
 
-def merge_into(spark: SparkSession, name: str, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert into a table: the first call creates it; later ones write the next version beside it and swap the names."""
-    if not spark.catalog.tableExists(name):
-        source.write.saveAsTable(name)
-        return spark.table(name)
-    fresh = f"{name}__next"
-    merge_upsert(spark.table(name), source, keys).write.mode("overwrite").saveAsTable(fresh)
-    spark.sql(f"drop table {name}")
-    spark.sql(f"alter table {fresh} rename to {name}")
-    spark.catalog.refreshTable(name)
+#: Increments that a table may gather before a merge writes it anew as one.
+COMPACT_AFTER = 16
+_PARTS = "lakeloom.parts"
+
+
+def merge_into(spark: SparkSession, name: str, source: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """Upsert into a table that is kept as increments, and return the table.
+
+    Each call writes ``source`` alone, as one more folder below the warehouse, and then replaces the view ``name`` over
+    all folders, which shows the newest row of each key (null keys are equal to each other). That replacement is the one
+    step that counts: a call that breaks off before it leaves the table as it was, and can be made again. After
+    COMPACT_AFTER increments a call writes the whole as one folder. With ``order`` the row with the greatest value of that
+    column is the newest, in the table and in ``source``, so late landings change nothing; of equal ones, and without
+    ``order``, that of the later call. A key that ``source`` has twice is an error then. Folders that no view shows any
+    more are scratch.
+    """
+    exists = spark.catalog.tableExists(name)
+    columns = spark.table(name).columns if exists else source.columns
+    if order is not None:
+        source = latest_by_key(source, keys, [F.desc_nulls_last(order), F.xxhash64(*columns)])
+    elif source.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError("the source holds a key more than once")
+    parts = [*(_parts_of(spark, name) if exists else []), _add_part(spark, name, source.select(*columns))]
+    if len(parts) > COMPACT_AFTER:
+        parts = [_add_part(spark, name, spark.sql(_newest(parts, columns, keys, order)))]
+    _point(spark, name, parts, _newest(parts, columns, keys, order))
     return spark.table(name)
 
 
+def _parts_of(spark: SparkSession, name: str) -> list[str]:
+    found = {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {name}").collect()}  # a few settings
+    if _PARTS not in found:
+        raise ValueError(f"{name} is not a table that merge_into keeps")
+    return found[_PARTS].split(",")
+
+
+def _add_part(spark: SparkSession, name: str, rows: DataFrame) -> str:
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/{name.replace('.', '/')}.parts/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return path
+
+
+def _newest(parts: list[str], columns: list[str], keys: list[str], order: str | None) -> str:
+    """SQL of the newest row of each key over the folders."""
+    names = ", ".join(f"`{c}`" for c in columns)
+    if len(parts) == 1:
+        return f"select {names} from parquet.`{parts[0]}`"
+    every = " union all ".join(f"select {names}, {i} as part_number from parquet.`{p}`" for i, p in enumerate(parts))
+    first = f"`{order}` desc nulls last, " if order else ""
+    rank = f"row_number() over (partition by {', '.join(f'`{k}`' for k in keys)} order by {first}part_number desc)"
+    return f"select {names} from (select *, {rank} as part_rank from ({every})) where part_rank = 1"
+
+
+def _point(spark: SparkSession, name: str, parts: list[str], sql: str) -> None:
+    spark.sql(f"create or replace view {name} tblproperties ('{_PARTS}' = '{','.join(parts)}') as {sql}")
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` and those rows of ``source`` whose key it lacks."""
     new = source.alias("s").join(target.select(*keys).alias("t"), _same("s", "t", keys), "left_anti")
@@ -56,6 +105,38 @@ def pending_windows(windows: DataFrame, checkpoint: DataFrame) -> DataFrame:
     return windows.join(done, ["window_start", "window_end"], "left_anti")
 
 
+WINDOW_KEYS = ["window_start", "window_end"]
+
+
+def window_upsert(checkpoint: DataFrame, updates: DataFrame) -> DataFrame:
+    """Checkpoint of windows (window_start, window_end, status, records, updated_at) after a batch of updates.
+
+    The newest update of a window gives its status, records and time; windows not known yet are added. An update older
+    than what the checkpoint holds changes nothing; one as old as that replaces it.
+    """
+    columns = [*WINDOW_KEYS, "status", "records", "updated_at"]
+    both = checkpoint.select(*columns, F.lit(0).alias("batch")).unionByName(updates.select(*columns, F.lit(1).alias("batch")))
+    order = [F.desc_nulls_last("updated_at"), F.desc("batch"), F.col("status"), F.desc("records")]
+    return latest_by_key(both, WINDOW_KEYS, order).select(*columns)
+
+
+def settle_windows(attempts: DataFrame, at: F.Column) -> DataFrame:
+    """Updates for :func:`window_upsert` from one run's attempts at windows (window_start, window_end, records, error).
+
+    Windows are worked off in order. One without an error is COMPLETED with its records. The first that meets a used-up
+    quota ends the run: it stays PENDING with what it got so far, and those after it stay PENDING with nothing, so that
+    the next run starts there. A window with another error stays PENDING too and stops nothing.
+    """
+    quota = is_quota_error(F.col("error"))
+    stop = attempts.where(quota).agg(F.min(F.struct(*WINDOW_KEYS)).alias("stop"))
+    place = F.struct(*WINDOW_KEYS)
+    before, here = F.col("stop").isNull() | (place < F.col("stop")), place == F.col("stop")
+    status = F.when(before & F.col("error").isNull(), "COMPLETED").otherwise("PENDING")
+    records = F.when(before | here, F.coalesce("records", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
+    rows = attempts.join(F.broadcast(stop), F.lit(True))  # one row
+    return rows.select(*WINDOW_KEYS, status.alias("status"), records.alias("records"), at.alias("updated_at"))
+
+
 CHECKPOINT_KEYS = ["run_id", "target_date", "fixture_id", "endpoint"]
 
 

@@ -52,7 +52,7 @@ def player_sapm(stats: DataFrame, context: DataFrame | None = None, priors: Data
     if priors is None:
         rows = rows.withColumn("prior_alpha", S.default_alpha(F.col("position_group"))).withColumn("prior_beta", F.lit(S.PRIOR_MINUTES))
     else:
-        rows = rows.join(F.broadcast(priors), "position_group", "left")
+        rows = rows.join(keyed.if_small(priors), "position_group", "left")
     if context is None:
         rows = shape.with_defaults(rows, CONTEXT)
     else:

@@ -8,30 +8,51 @@ from pyspark.sql import functions as F
 from lakeloom.functions.names import normalize_name
 from lakeloom.operators import keyed, shape
 
-LATEST = ["ingested_at_utc"]
+#: Columns of the typed tables: path in the flattened payload and type.
+FIXTURE_COLUMNS = {
+    "league_id": ("item.league.id", "int"), "league_name": ("item.league.name", "string"), "league_season": ("item.league.season", "int"),
+    "home_team_id": ("item.teams.home.id", "int"), "home_team_name": ("item.teams.home.name", "string"),
+    "away_team_id": ("item.teams.away.id", "int"), "away_team_name": ("item.teams.away.name", "string"),
+    "home_goals": ("item.goals.home", "int"), "away_goals": ("item.goals.away", "int"),
+    "status_short": ("item.fixture.status.short", "string"), "status_long": ("item.fixture.status.long", "string"),
+    "venue": ("item.fixture.venue.name", "string"), "country": ("item.league.country", "string"),
+}
+PLAYER_COLUMNS = {
+    "team_name": ("team.name", "string"), "player_name": ("player.name", "string"),
+    "games_minutes": ("s.games.minutes", "int"), "games_position": ("s.games.position", "string"),
+    "shots_total": ("s.shots.total", "int"), "shots_on": ("s.shots.on", "int"), "goals_total": ("s.goals.total", "int"),
+}
+LINEUP_COLUMNS = {
+    "team_name": ("item.team.name", "string"), "player_name": ("member.player.name", "string"),
+    "position": ("member.player.pos", "string"), "number": ("member.player.number", "int"), "formation": ("item.formation", "string"),
+}
 
 
 def _order(df: DataFrame, extra: list[Column]) -> list[Column]:
     """Newest landing first, then its hash, then ``extra``: a total order, so reruns choose the same rows."""
-    first = [F.col("ingested_at_utc").desc_nulls_last()] if "ingested_at_utc" in df.columns else []
-    return [*first, F.col("response_hash"), *extra]
+    return [*[F.desc_nulls_last(c) for c in _landed(df)], F.col("response_hash"), *extra]
+
+
+def _landed(df: DataFrame) -> list[str]:
+    """The time of landing, where landed rows have it: typed rows keep it, so that upserts can go by it."""
+    return [c for c in ("ingested_at_utc",) if c in df.columns]
 
 
 def _since(bronze: DataFrame, since: Column | None) -> DataFrame:
     return bronze if since is None else bronze.where(F.col("ingested_at_utc") > since)
 
 
+def _itself(df: DataFrame, *names: str) -> dict[str, tuple[str, str]]:
+    kinds = dict(df.dtypes)
+    return {n: (n, kinds[n]) for n in names}
+
+
 def silver_fixtures(bronze: DataFrame, since: Column | None = None) -> DataFrame:
     """One row a fixture from landed fixtures payloads; ``since`` limits the landings read."""
     df = shape.flatten(shape.parse_payload(_since(bronze, since), shape.FIXTURE_PAYLOAD), [("payload.response", "item")])
-    df = shape.require_keys(df.withColumn("fixture_id", F.col("item.fixture.id")), ["fixture_id"])
-    df = keyed.latest_by_key(df, ["fixture_id"], _order(df, [F.to_json("item")]))
-    return df.select(
-        "fixture_id", F.try_to_timestamp("item.fixture.date").alias("fixture_date_utc"), F.col("item.league.id").alias("league_id"), F.col("item.league.name").alias("league_name"), F.col("item.league.season").alias("league_season"),
-        F.col("item.teams.home.id").alias("home_team_id"), F.col("item.teams.home.name").alias("home_team_name"), F.col("item.teams.away.id").alias("away_team_id"), F.col("item.teams.away.name").alias("away_team_name"),
-        F.col("item.goals.home").alias("home_goals"), F.col("item.goals.away").alias("away_goals"), F.col("item.fixture.status.short").alias("status_short"), F.col("item.fixture.status.long").alias("status_long"),
-        F.col("item.fixture.venue.name").alias("venue"), F.col("item.league.country").alias("country"), "response_hash",
-    )
+    df = df.withColumn("fixture_id", F.col("item.fixture.id")).withColumn("fixture_date_utc", F.try_to_timestamp("item.fixture.date"))
+    df = keyed.latest_by_key(shape.require_keys(df, ["fixture_id"]), ["fixture_id"], _order(df, [F.to_json("item")]))
+    return shape.project_paths(df, _itself(df, "fixture_id", "fixture_date_utc") | FIXTURE_COLUMNS | _itself(df, "response_hash", *_landed(df)))
 
 
 def silver_player_stats(bronze: DataFrame, since: Column | None = None) -> DataFrame:
@@ -43,12 +64,10 @@ def silver_player_stats(bronze: DataFrame, since: Column | None = None) -> DataF
     df = df.withColumn("team_id", F.col("team.id")).withColumn("player_id", F.col("player.id"))
     df = shape.require_keys(df, ["player_id"])
     df = keyed.latest_by_key(df, ["fixture_id", "team_id", "player_id"], _order(df, [F.desc("place"), F.desc_nulls_last("nth")]))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return df.select(
-        "fixture_id", "team_id", F.col("team.name").alias("team_name"), "player_id", F.col("player.name").alias("player_name"), F.col("s.games.minutes").alias("games_minutes"), F.col("s.games.position").alias("games_position"),
-        zero("s.shots.total").alias("shots_total"), zero("s.shots.on").alias("shots_on"), zero("s.goals.total").alias("goals_total"), "response_hash",
-        normalize_name(F.col("player.name")).alias("player_name_normalized"), normalize_name(F.col("team.name")).alias("team_name_normalized"),
-    )
+    df = shape.project_paths(df, _itself(df, "fixture_id", "team_id", "player_id") | PLAYER_COLUMNS | _itself(df, "response_hash", *_landed(df)))
+    df = shape.with_defaults(df, {"shots_total": 0, "shots_on": 0, "goals_total": 0}, coalesce=True)
+    names = {f"{n}_normalized": normalize_name(F.col(n)) for n in ("player_name", "team_name")}
+    return df.withColumns(names)
 
 
 def silver_lineups(bronze: DataFrame, since: Column | None = None) -> DataFrame:
@@ -57,8 +76,9 @@ def silver_lineups(bronze: DataFrame, since: Column | None = None) -> DataFrame:
     df = shape.explode_tagged(df, {"item.startXI": True, "item.substitutes": False}, "member", "is_starting")
     df = df.withColumn("team_id", F.col("item.team.id")).withColumn("player_id", F.col("member.player.id"))
     df = shape.require_keys(df, ["player_id"])
-    df = keyed.latest_by_key(df, ["fixture_id", "team_id", "player_id"], [F.desc("is_starting"), *_order(df, [F.col("member.player.number"), F.col("member.player.name"), F.col("member.player.pos")])])
-    return df.select("fixture_id", "team_id", F.col("item.team.name").alias("team_name"), "player_id", F.col("member.player.name").alias("player_name"), F.col("member.player.pos").alias("position"), F.col("member.player.number").alias("number"), "is_starting", F.col("item.formation").alias("formation"), "response_hash")
+    order = [F.desc("is_starting"), *_order(df, [F.col(f"member.player.{c}") for c in ("number", "name", "pos")])]
+    df = keyed.latest_by_key(df, ["fixture_id", "team_id", "player_id"], order)
+    return shape.project_paths(df, _itself(df, "fixture_id", "team_id", "player_id", "is_starting") | LINEUP_COLUMNS | _itself(df, "response_hash", *_landed(df)))
 
 
 def dead_letters(bronze: DataFrame) -> DataFrame:

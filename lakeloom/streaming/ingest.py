@@ -25,9 +25,11 @@ def without_replays(stream: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def refresh(spark: SparkSession, batch: DataFrame, table: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str], endpoint: str, run_id: str) -> None:
-    """Upsert the typed rows of one batch of payloads into ``table``. A replayed batch changes nothing."""
+    """Upsert the typed rows of one batch of payloads into ``table``; ``normalize`` keeps ingested_at_utc, by which the
+    newest landing of a key counts. A replayed batch, or an older landing that comes late, changes nothing. What a batch
+    writes grows with the batch, not with the table."""
     bronze = land_envelopes(batch, run_id=run_id, endpoint=endpoint, at=F.col("landed_at"))
-    state.merge_into(spark, table, normalize(bronze), keys)
+    state.merge_into(spark, table, normalize(bronze), keys, order="ingested_at_utc")
 
 
 def stream_into(spark: SparkSession, folder: str, table: str, checkpoint: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str], endpoint: str = "fixtures/players", run_id: str = "stream") -> DataFrame:
@@ -38,5 +40,4 @@ def stream_into(spark: SparkSession, folder: str, table: str, checkpoint: str, n
 
     query = without_replays(landing_stream(spark, folder)).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    spark.catalog.refreshTable(table)  # the batches swapped its files in a session of their own
     return spark.table(table)

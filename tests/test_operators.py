@@ -12,6 +12,7 @@ from lakeloom.functions.names import ACCENTED, PLAIN, normalize_name
 from lakeloom.operators import elo, features, keyed, quality, rules, shape, state
 from lakeloom.plans import gold, silver
 from lakeloom.sources import io
+from lakeloom.sources.driver_tables import view
 from lakeloom.streaming import ingest
 
 
@@ -155,11 +156,69 @@ def test_merge(spark):
 
 
 def test_merge_into_table(spark):
-    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     state.merge_into(spark, "merged_t", rows, ["k"])
-    state.merge_into(spark, "merged_t", rows.where("k = 2").withColumn("v", F.lit("B")), ["k"])
-    assert {tuple(r) for r in spark.table("merged_t").collect()} == {(1, "a"), (2, "B")}
-    spark.sql("drop table merged_t")
+    state.merge_into(spark, "merged_t", rows.where("k = 2 or k is null").withColumn("v", F.upper("v")), ["k"])
+    assert {tuple(r) for r in spark.table("merged_t").collect()} == {(1, "a"), (2, "B"), (None, "N")}
+    with pytest.raises(ValueError):
+        state.merge_into(spark, "merged_t", rows.union(rows), ["k"])
+    spark.range(1).write.mode("overwrite").saveAsTable("plain_t")
+    with pytest.raises(ValueError):
+        state.merge_into(spark, "plain_t", spark.range(2), ["id"])
+    spark.sql("drop table plain_t")
+    spark.sql("drop view merged_t")
+
+
+def test_merge_keeps_the_newest_landing(spark, monkeypatch):
+    monkeypatch.setattr(state, "COMPACT_AFTER", 2)
+    row = lambda v, day: spark.createDataFrame([(1, v, date(2024, 1, day))], "k int, v string, at date")
+    for v, day, want in (("new", 2, "new"), ("old", 1, "new"), ("newer", 3, "newer"), ("again", 3, "again"), ("late", 2, "again")):
+        state.merge_into(spark, "late_t", row(v, day), ["k"], order="at")
+        assert [r.v for r in spark.table("late_t").collect()] == [want]
+        assert len(state._parts_of(spark, "late_t")) <= 2
+    state.merge_into(spark, "late_t", row("x", 5).union(row("y", 6)).union(row("z", 4)), ["k"], order="at")
+    assert [r.v for r in spark.table("late_t").collect()] == ["y"]
+    spark.sql("drop view late_t")
+
+
+def test_merge_that_breaks_off_changes_nothing(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    state.merge_into(spark, "broken_t", rows, ["k"])
+    new = rows.withColumn("v", F.upper("v"))
+    with monkeypatch.context() as m:
+        def stop(*_):
+            raise RuntimeError("lost")
+
+        m.setattr(state, "_point", stop)
+        with pytest.raises(RuntimeError):
+            state.merge_into(spark, "broken_t", new, ["k"])
+        assert {tuple(r) for r in spark.table("broken_t").collect()} == {(1, "a"), (2, "b")}
+    state.merge_into(spark, "broken_t", new, ["k"])
+    assert {tuple(r) for r in spark.table("broken_t").collect()} == {(1, "A"), (2, "B")}
+    spark.sql("drop view broken_t")
+
+
+def test_a_merge_writes_its_source_only(spark):
+    state.merge_into(spark, "large_t", spark.range(1000).withColumn("v", F.lit(0)), ["id"])
+    state.merge_into(spark, "large_t", spark.range(2).withColumn("v", F.lit(1)), ["id"])
+    sizes = [spark.read.parquet(p).count() for p in state._parts_of(spark, "large_t")]
+    assert sizes == [1000, 2] and spark.table("large_t").count() == 1000
+    spark.sql("drop view large_t")
+
+
+def test_backfill_stops_at_the_quota_and_resumes(spark):
+    kinds = "window_start date, window_end date, records int, error string"
+    d = lambda i: date(2024, 1, i)
+    first = spark.createDataFrame([(d(1), d(7), 5, None), (d(8), d(14), 2, "timeout"), (d(15), d(21), 3, "daily quota used"), (d(22), d(28), 9, None), (d(29), d(30), 9, "quota")], kinds)
+    at = lambda i: F.to_timestamp(F.lit(f"2024-02-0{i}"))
+    known = state.settle_windows(first, at(1))
+    assert sorted(tuple(r)[2:4] for r in known.collect()) == sorted([("COMPLETED", 5), ("PENDING", 2), ("PENDING", 3), ("PENDING", 0), ("PENDING", 0)])
+    ahead = state.pending_windows(first.select("window_start", "window_end"), known)
+    assert sorted(r.window_start.day for r in ahead.collect()) == [8, 15, 22, 29]
+    second = first.join(ahead, ["window_start", "window_end"]).withColumn("error", F.lit(None).cast("string"))
+    after = state.window_upsert(known, state.settle_windows(second, at(2)))
+    assert {(r.window_start.day, r.status, r.records) for r in after.collect()} == {(1, "COMPLETED", 5), (8, "COMPLETED", 2), (15, "COMPLETED", 3), (22, "COMPLETED", 9), (29, "COMPLETED", 9)}
+    assert sorted(map(tuple, state.window_upsert(after, known).collect())) == sorted(map(tuple, after.collect()))
 
 
 def test_checkpoint_is_not_taken_back(spark):
@@ -227,6 +286,36 @@ def test_elo(spark):
     assert len(got) == 6 and by[1, 1].team_elo == 1520.0 and by[1, 2].team_elo == 1480.0 and by[2, 1].pre_team_elo == 1520.0 and by[2, 2].team_elo > 1480.0 and by[3, 2].team_elo == 1510.0
 
 
+@pytest.mark.parametrize("pool", [None, "league_id"])
+def test_elo_replay_matches_a_plain_fold(spark, sf_dir, pool):
+    m = features.match_goals(view(spark, sf_dir, "match_v"), view(spark, sf_dir, "player_v"))
+    m = m.select("fixture_id", F.col("fixture_date").alias("match_date"), "home_team_id", "away_team_id", "home_goals", "away_goals", S.high_stakes(F.col("league_name")).alias("is_high_stakes"), "league_id")
+    ratings, want = {}, {}
+    for r in sorted(m.collect(), key=lambda r: (r.match_date, r.fixture_id)):
+        of = str(r[pool]) if pool else "all"
+        a, b = ratings.get((of, r.home_team_id), 1500.0), ratings.get((of, r.away_team_id), 1500.0)
+        hg, ag = r.home_goals or 0, r.away_goals or 0
+        result = 1.0 if hg > ag else 0.0 if hg < ag else 0.5
+        k = 40.0 if r.is_high_stakes == 1 else 20.0
+        new = a + k * (result - 1 / (1 + 10 ** ((b - a) / 400))), b + k * (1 - result - 1 / (1 + 10 ** ((a - b) / 400)))
+        ratings[of, r.home_team_id], ratings[of, r.away_team_id] = new
+        want[r.fixture_id, r.home_team_id] = (of, a, b, *new)
+        want[r.fixture_id, r.away_team_id] = (of, b, a, *new[::-1])
+    got = elo.elo_replay(m, pool).collect()
+    assert len(got) == 2 * m.count() > 1000
+    for r in got:
+        w = want[r.fixture_id, r.team_id]
+        assert r.pool == w[0] and (r.pre_team_elo, r.pre_opponent_elo, r.team_elo, r.opponent_elo) == pytest.approx(w[1:], abs=1e-6)
+
+
+def test_numbering_by_ranges(spark):
+    rows = [(i, None if i % 50 == 0 else float((i * 37) % 90)) for i in range(400)]
+    got = {r.i: r.n for r in keyed.numbered(spark.createDataFrame(rows, "i int, v double"), "v", [F.col("i")], "n", 7).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [got[i] for i, _ in order] == list(range(1, 401))
+    assert keyed.numbered(spark.createDataFrame([], "i int, v double"), "v", [F.col("i")], "n").count() == 0
+
+
 def test_rosters(spark):
     rows = [(1, 1, f"P {i}") for i in range(11)] + [(1, 2, f"P {i}") for i in range(10)] + [(1, 2, " ")]
     out = {r.team_id: r.is_complete for r in features.check_roster(spark.createDataFrame(rows, "fixture_id int, team_id int, player_name string")).collect()}
@@ -254,7 +343,9 @@ def test_stream_replay_changes_nothing(spark, tmp_path):
     assert [r.games_minutes for r in run()] == [10]
     rows(20, datetime(2024, 1, 2)).write.mode("append").json(f"{tmp_path}/in")
     assert [r.games_minutes for r in run()] == [20] == [r.games_minutes for r in run()]
-    spark.sql("drop table streamed_t")
+    rows(5, datetime(2023, 12, 31)).write.mode("append").json(f"{tmp_path}/in")
+    assert [r.games_minutes for r in run()] == [20]
+    spark.sql("drop view streamed_t")
 
 
 def test_files(spark, tmp_path):
