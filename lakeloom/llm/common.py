@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -18,12 +19,15 @@ CHUNK_BYTES = 2_000_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; that setting gets a default only where the session has none."""
+    """A new folder below ``spark.checkpoint.dir``. Only a local session, as in tests, gets a default where it has none:
+    on a cluster a folder of one machine would lose what the others write."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
-            context.setCheckpointDir("/tmp/lakeloom-checkpoints")
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+            context.setCheckpointDir(f"{tempfile.gettempdir()}/lakeloom-checkpoints")
         base = context.getCheckpointDir()
     return f"{base}/lakeloom/{name}-{uuid.uuid4().hex}"
 

@@ -177,7 +177,9 @@ def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFra
     before = F.coalesce(F.sum("n").over(in_shard.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     drawn = drawn.withColumn("place", before).withColumn("held", F.sum("n").over(in_shard))
     short = permuted(F.col("blocks") - 1, F.col("blocks"), F.col("number"), F.col("passes"), inverse=True)
-    drawn = drawn.withColumn("short_at", short).withColumn("missing", F.col("blocks") * block - F.col("source_size"))
+    # Dealt out by a fixed number before they unfold: by their size, these few rows would all end up in one task.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = drawn.repartition(tasks, "shard", "number").withColumn("short_at", short).withColumn("missing", F.col("blocks") * block - F.col("source_size"))
     draws = drawn.withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("k", F.col("first") + F.col("r"))
     draws = draws.withColumn("pass", F.expr("k div blocks")).withColumn("nth", F.col("k") % F.col("blocks"))
     draws = draws.withColumn("block", permuted(F.col("nth"), F.col("blocks"), F.col("number"), F.col("pass")))

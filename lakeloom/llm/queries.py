@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import decontamination, fingerprints, language_id, license_scan, mixing, near_dedup, secret_scan, substring_dedup, token_output, toxicity
+from lakeloom.llm import decontamination, fingerprints, language_id, license_scan, mixing
+from lakeloom.llm import near_dedup, secret_scan, substring_dedup, token_output, toxicity
 from lakeloom.llm.common import shared_dir, written
 
 
@@ -59,9 +60,76 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Name to query, for the entry module."""
-    return {f.__name__: f for f in (op1_token_output, op2_near_dedup, op3_mixing, op4_license_scan, op5_language_id, op6_secret_scan, op7_fingerprints, op8_toxicity, op9_decontamination, op10_substring_dedup)}
+    every = (
+        op1_token_output, op2_near_dedup, op3_mixing, op4_license_scan, op5_language_id,
+        op6_secret_scan, op7_fingerprints, op8_toxicity, op9_decontamination, op10_substring_dedup,
+    )
+    return {f.__name__: f for f in every}
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+_LETTERED = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+#: All pairs that share a shingle, and what is reachable over those alike enough.
+_NEAR_DEDUP = f"""
+with recursive doc_words as (select doc_id, regexp_extract_all({_FOLDED}, {_SPACED}) as ws from documents),
+ shingles as (
+  select distinct doc_id, ws[i : i + 2] as s
+  from doc_words, unnest(range(1, greatest(len(ws) - 1, 2))) t(i) where len(ws) > 0),
+ sizes as (select doc_id, count(*) as n from shingles group by 1),
+ shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+ links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * common >= 85 * (x.n + y.n - common)),
+ edges as (select a, b from links union all select b, a from links),
+ reached as (
+  select doc_id, doc_id as other from documents
+  union select r.doc_id, e.b from reached r join edges e on e.a = r.other),
+ least_of as (select doc_id, min(other) as component_id from reached group by 1)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join least_of on least_of.doc_id = d.doc_id left join sizes on sizes.doc_id = d.doc_id"""
+
+#: Every window of every document joined with every window of the benchmark by its words.
+_DECONTAMINATION = f"""
+with item_words as (select item_id, regexp_extract_all({_FOLDED}, {_LETTERED}) as ws from benchmark),
+ known as (
+  select distinct item_id, least(len(ws), 10) as n, ws[i : i + least(len(ws), 10) - 1] as w
+  from item_words, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) t(i) where len(ws) > 0),
+ doc_words as (select doc_id, regexp_extract_all({_FOLDED}, {_LETTERED}) as ws from documents),
+ windows as (
+  select doc_id, n, i, ws[i : i + n - 1] as w
+  from doc_words, (select distinct n from known) lengths, unnest(range(1, len(ws) - n + 2)) t(i)),
+ found as (select doc_id, windows.n, i, item_id from windows join known on known.w = windows.w),
+ hit as (select doc_id, count(distinct p) as n_hit from found, unnest(range(i, i + n)) t(p) group by 1),
+ items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as named
+  from (select distinct doc_id, cast(item_id as varchar) as item from found) group by 1)
+select d.doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+ sha256(coalesce(named, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words d left join hit on hit.doc_id = d.doc_id left join items on items.doc_id = d.doc_id"""
+
+#: Every window numbered among those of the same words; what a later one covers goes.
+_SUBSTRING_DEDUP = f"""
+with doc_words as (select doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) as ws from documents),
+ windows as (
+  select doc_id, i, hash(ws[i : i + 19]) as h, ws[i : i + 19] as w
+  from doc_words, unnest(range(1, len(ws) - 18)) t(i)),
+ several as (select h from windows group by 1 having count(*) > 1),
+ ranked as (
+  select doc_id, i, row_number() over (partition by w order by doc_id, i) as nth
+  from windows where h in (select h from several)),
+ gone as (select distinct doc_id, p from ranked, unnest(range(i, i + 20)) t(p) where nth > 1),
+ kept as (
+  select d.doc_id, string_agg(ws[p], ' ' order by p) as text, count(*) as n
+  from doc_words d, unnest(range(1, len(ws) + 1)) t(p)
+  where not exists (select 1 from gone g where g.doc_id = d.doc_id and g.p = t.p) group by 1)
+select d.doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from doc_words d left join kept on kept.doc_id = d.doc_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """Equivalent SQL where SQL can express a query."""
-    return {}
+    """Equivalent SQL where SQL can express a query; the tests compare the others with plain forms."""
+    return {"op2_near_dedup": _NEAR_DEDUP, "op9_decontamination": _DECONTAMINATION, "op10_substring_dedup": _SUBSTRING_DEDUP}

@@ -42,6 +42,19 @@ def vocabulary():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@pytest.mark.parametrize("name", list(queries.oracle_sql()))
+def test_query_matches_its_sql(name, spark):
+    import duckdb
+
+    folder, con = "/root/testdata/sf0.01", duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from '{folder}/{t}.parquet'")
+    df = queries.queries()[name](spark, folder)
+    want = con.sql(queries.oracle_sql()[name])
+    assert sorted(want.columns) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
 # --- 1 ---
 
 
