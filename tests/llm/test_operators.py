@@ -93,6 +93,39 @@ def test_added_tokens_in_another_case_are_plain_text(spark, tmp_path):
     check_tokens(token_output.token_digest(spark, f"{tmp_path}/s"), list(enumerate(texts)))
 
 
+def test_another_tokenizer_gets_whole_texts(spark, awkward, tmp_path):
+    """One that keeps spaces and case doesn't go by lower-cased words; the probes tell, and its own ids are written."""
+    import os
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = os.path.join(os.path.dirname(public_tokenizers.__file__), "byte_bpe_50k.json")
+    assert token_output._Encoder(vocabulary()).by_words and not token_output._Encoder(path).by_words
+    rows = awkward.where("doc_id is not null").dropDuplicates(["doc_id"])
+    token_output.write_tokens(rows, f"{tmp_path}/o", path, 7)
+    got = {r.doc_id: r.tokens for r in token_output.read_tokens(spark, f"{tmp_path}/o").collect()}
+    plain = Tokenizer.from_file(path)
+    assert got == {r.doc_id: plain.encode(r.text or "", add_special_tokens=False).ids + [7] for r in rows.collect()}
+
+
+def test_known_words_are_forgotten_and_learned_again(monkeypatch):
+    """A table of few places and few ids gives the same ids: words that share a place, long words, a full table."""
+    import pyarrow as pa
+
+    from lakeloom.llm.common import text_bytes
+
+    monkeypatch.setattr(token_output, "KNOWN_WORDS", 8)
+    monkeypatch.setattr(token_output, "KNOWN_IDS", 64)
+    encoder, rng = token_output._Encoder(vocabulary()), np.random.default_rng(8)
+    pieces = ["an", "the", "Über", "é", "x1", ".", ",", "!!", "ß", "日本", "q" * 9, "w" * 270, "-"]
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choice(pieces, rng.integers(1, 5))) for _ in range(rng.integers(0, 30))) for _ in range(6)]
+        ids, counts = encoder.encode(*text_bytes(pa.array(texts, pa.string())))
+        want = encoder._plain(texts)
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_token_files_have_page_indexes_and_dictionaries(spark, awkward, tmp_path):
     import pyarrow.parquet as pq
 
@@ -114,7 +147,10 @@ def test_near_dedup(spark, sf_dir, rows):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
 
 
-def test_near_dedup_awkward(awkward, empty):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_near_dedup_awkward(awkward, empty, shuffled, monkeypatch):
+    if shuffled:
+        monkeypatch.setattr(near_dedup, "small_side", lambda df, *_, **__: df)
     rows = [r for r in brute.awkward_rows() if r[0] is not None]
     got = near_dedup.NearDuplicates(awkward.withColumn("rep", awkward.source), 3, 85).groups().collect()
     assert len(got) == len(rows) + 1
@@ -765,7 +801,10 @@ def test_substring_dedup(spark, sf_dir, rows):
     check_repeats(queries.op10_substring_dedup(spark, sf_dir).collect(), rows)
 
 
-def test_substring_dedup_awkward(spark, awkward, empty, monkeypatch):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_substring_dedup_awkward(spark, awkward, empty, shuffled, monkeypatch):
+    if shuffled:
+        monkeypatch.setattr(substring_dedup, "small_side", lambda df, *_, **__: df)
     known = [(r[0], r[1]) for r in dict.fromkeys(brute.awkward_rows()) if r[0] is not None]
     got = substring_dedup.RepeatedPassages(awkward).report().collect()
     assert len(got) == len(brute.awkward_rows())

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lakeloom.llm import decontamination, toxicity
 from tests.llm import brute
@@ -33,10 +35,28 @@ def test_stages_keep_columns_and_take_effect(spark):
 
 def test_stages_take_awkward_and_empty_rows(spark):
     folder = "/root/testdata/sf0.001"
-    rows = spark.createDataFrame(brute.awkward_rows(), brute.SCHEMA)
+    rows = spark.createDataFrame(brute.awkward_rows(), brute.SCHEMA).withColumn("score", F.lit(9.5)).withColumn("tie", F.lit("t"))
+    made = rows.collect()
     for docs in (rows, rows.limit(0)):
-        for name, stage in corpus_pipeline.STAGES:
-            assert stage(spark, docs, folder).count() <= 3 * rows.count(), name
+        got = {name: stage(spark, docs, folder) for name, stage in corpus_pipeline.STAGES}
+        assert all(got[name].columns == docs.columns for name, _ in corpus_pipeline.STAGES[:-1])
+        assert got["token_output"].count() == docs.count()
+    known = [(r.doc_id, r.text) for r in made if r.doc_id is not None]
+    out = {name: stage(spark, rows, folder).collect() for name, stage in corpus_pipeline.STAGES[:-1]}
+    assert all(r.score == 9.5 and r.tie == "t" for part in out.values() for r in part)
+    groups = brute.near_groups(known, 5, 80)
+    assert sorted(r.doc_id for r in out["near_dedup"] if r.doc_id is not None) == sorted({c for _, c in groups.values()})
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    hit = brute.contamination([(i, r.text) for i, r in enumerate(made)], items)
+    assert sorted(map(str, out["decontamination"])) == sorted(str(made[i]) for i, (_, n, _) in hit.items() if not n)
+    assert set(map(str, out["toxicity"])) <= set(map(str, made))
+    taken, sizes = {}, {}
+    for r in made:
+        sizes[r.source] = sizes.get(r.source, 0) + len(re.findall(brute.SPACES, r.text or ""))
+    for r in out["mixing"]:
+        taken[r.source] = taken.get(r.source, 0) + len(re.findall(brute.SPACES, r.text or ""))
+    # Rows that repeat a number and text are one document here, so a source may give less than its target.
+    assert all(n <= brute.targets(sizes)[s] + 1 for s, n in taken.items())
 
 
 def test_run(spark):
