@@ -142,7 +142,7 @@ class RepeatedPassages:
         place = F.struct("d", "t", "at")
         merged = written(pieces.groupBy("anchor", "piece").agg(F.min(place).alias("first"), F.count("*").alias("n")), "pieces")
         key = F.xxhash64("piece").alias("key")
-        several = merged.where("n > 1").select("anchor", key, "first")
+        several = small_side(merged.where("n > 1").select("anchor", key, "first"))
         words = (F.octet_length("piece") / BYTES).cast("int").alias("words")
         later = pieces.select("anchor", key, "d", "t", "at", words).join(several, ["anchor", "key"]).where("first != struct(d, t, at)")
         return merged.select("anchor", "piece", "first.*"), later.select("d", "t", F.col("at").alias("start"), (F.col("at") + F.col("words")).alias("stop"))
