@@ -58,9 +58,13 @@ def _bronze_players(spark, d):
     return io.land_envelopes(player_payloads(view(spark, d, "player_v")), run_id="run", endpoint="fixtures/players").drop("ingested_at_utc")
 
 
-_SILVER_PLAYERS = """silver as (select * from (select cast(fixture_id as int) as fixture_id, team_id, concat('Team ', cast(team_id as varchar)) as team_name, player_id, player_name, games_minutes,
- games_position, coalesce(shots_total, 0) as shots_total, shots_on, goals_total, row_number() over (partition by fixture_id, team_id, player_id order by line_no desc, player_name desc, games_minutes desc nulls last, games_position desc, shots_total desc nulls last, shots_on desc, goals_total desc) as rn from player_v) where rn = 1)"""
-_POSITION = "case when upper(games_position) in ('F','A','ATTACKER','FORWARD','STRIKER') then 'F' when upper(games_position) in ('D','DEFENDER','DEFENCE') then 'D' when upper(games_position) in ('G','GK','GOALKEEPER') then 'G' else 'M' end"
+_SILVER_PLAYERS = """silver as (select * from (select cast(fixture_id as int) as fixture_id, team_id, concat('Team ', cast(team_id as
+ varchar)) as team_name, player_id, player_name, games_minutes,
+ games_position, coalesce(shots_total, 0) as shots_total, shots_on, goals_total, row_number() over (partition by fixture_id, team_id,
+ player_id order by line_no desc, player_name desc, games_minutes desc nulls last, games_position desc, shots_total desc nulls last,
+ shots_on desc, goals_total desc) as rn from player_v) where rn = 1)"""
+_POSITION = """case when upper(games_position) in ('F','A','ATTACKER','FORWARD','STRIKER') then 'F' when upper(games_position) in
+ ('D','DEFENDER','DEFENCE') then 'D' when upper(games_position) in ('G','GK','GOALKEEPER') then 'G' else 'M' end"""
 
 
 def _silver_players(spark, d):
@@ -70,7 +74,8 @@ def _silver_players(spark, d):
 # --- landing to typed tables ---
 
 
-@query("""select cast(fixture_id as int) as fixture_id, cast(fixture_date as date) as fixture_date, league_id, league_name, league_season, home_team_id, concat('Team ', cast(home_team_id as varchar)) as home_team_name,
+@query("""select cast(fixture_id as int) as fixture_id, cast(fixture_date as date) as fixture_date, league_id, league_name, league_season,
+ home_team_id, concat('Team ', cast(home_team_id as varchar)) as home_team_name,
  away_team_id, concat('Team ', cast(away_team_id as varchar)) as away_team_name, status_short, country from match_v""", "match_v")
 def silver_fixtures(spark, d):
     bronze = io.land_envelopes(match_payloads(view(spark, d, "match_v")), run_id="run", endpoint="fixtures").drop("ingested_at_utc")
@@ -78,44 +83,52 @@ def silver_fixtures(spark, d):
     return s.select("fixture_id", F.to_date("fixture_date_utc").alias("fixture_date"), "league_id", "league_name", "league_season", "home_team_id", "home_team_name", "away_team_id", "away_team_name", "status_short", "country")
 
 
-@query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, team_name, player_id, player_name, games_minutes, games_position, shots_total, shots_on, goals_total, trim(regexp_replace(lower(player_name), '[^a-z0-9]+', ' ', 'g')) as player_name_normalized from silver", "player_v")
+@query(f"""with {_SILVER_PLAYERS} select fixture_id, team_id, team_name, player_id, player_name, games_minutes, games_position, shots_total,
+ shots_on, goals_total, trim(regexp_replace(lower(player_name), '[^a-z0-9]+', ' ', 'g')) as player_name_normalized from silver""", "player_v")
 def silver_player_stats(spark, d):
     return _silver_players(spark, d).drop("response_hash", "team_name_normalized")
 
 
 @query("""select cast(fixture_id as int) as fixture_id, team_id, player_id, player_name, position, number, is_starting, formation from
- (select *, row_number() over (partition by fixture_id, team_id, player_id order by is_starting desc, line_no, player_name, position) as rn from lineup_v) where rn = 1""", "lineup_v")
+ (select *, row_number() over (partition by fixture_id, team_id, player_id order by is_starting desc, line_no, player_name, position) as rn
+ from lineup_v) where rn = 1""", "lineup_v")
 def silver_lineups(spark, d):
     payloads = lineup_payloads(view(spark, d, "lineup_v"))
     return silver.silver_lineups(io.land_envelopes(payloads, run_id="run", endpoint="fixtures/lineups").drop("ingested_at_utc")).drop("response_hash", "team_name")
 
 
-@query("select count(*) as n_rows, count(distinct fixture_id) as n_keys, true as hashes_are_hex from (select distinct fixture_id from player_v)", "player_v")
+@query("""select count(*) as n_rows, count(distinct fixture_id) as n_keys, true as hashes_are_hex from (select distinct fixture_id from
+ player_v)""", "player_v")
 def bronze_hash_count(spark, d):
     return _bronze_players(spark, d).agg(F.count("*").alias("n_rows"), F.count_distinct("fixture_id").alias("n_keys"), F.bool_and(F.col("response_hash").rlike("^[0-9a-f]{64}$")).alias("hashes_are_hex"))
 
 
-@query("select cast(fixture_id as int) as fixture_id, 'fixtures/players' as source_endpoint, cast(count(*) as bigint) as n_players from player_v group by fixture_id", "player_v")
+@query("""select cast(fixture_id as int) as fixture_id, 'fixtures/players' as source_endpoint, cast(count(*) as bigint) as n_players from
+ player_v group by fixture_id""", "player_v")
 def minimal_envelope(spark, d):
     bronze = io.land_envelopes(player_payloads(view(spark, d, "player_v")), run_id="run", endpoint="fixtures/players", columns="minimal")
     n = F.aggregate("payload.response", F.lit(0).cast("bigint"), lambda a, t: a + F.size(t["players"]))
     return shape.parse_payload(bronze, shape.PLAYER_PAYLOAD).select("fixture_id", "source_endpoint", n.alias("n_players"))
 
 
-@query("select * from (select l_orderkey, l_suppkey, l_linenumber, l_partkey, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc, l_partkey, l_suppkey) as rn from lineitem) where rn = 1".replace("select *", "select l_orderkey, l_suppkey, l_linenumber, l_partkey"))
+@query("""select * from (select l_orderkey, l_suppkey, l_linenumber, l_partkey, row_number() over (partition by l_orderkey order by
+ l_shipdate desc, l_linenumber desc, l_partkey, l_suppkey) as rn from lineitem) where rn = 1""".replace("select *", "select l_orderkey, l_suppkey, l_linenumber, l_partkey"))
 def latest_by_key(spark, d):
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", "l_shipdate")
     return keyed.latest_by_key(rows, ["l_orderkey"], [F.desc("l_shipdate"), F.desc("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]).drop("l_shipdate")
 
 
-@query("""select fixture_id, league_id, home_team_id as team_id, away_team_id as opponent_team_id, true as is_home, 1.0::double as game_importance_scalar, 1500.0::double as defensive_elo from match_v
+@query("""select fixture_id, league_id, home_team_id as team_id, away_team_id as opponent_team_id, true as is_home, 1.0::double as
+ game_importance_scalar, 1500.0::double as defensive_elo from match_v
  union all select fixture_id, league_id, away_team_id, home_team_id, false, 1.0, 1500.0 from match_v""", "match_v")
 def team_match_context(spark, d):
     return gold.team_match_context(view(spark, d, "match_v")).select("fixture_id", "league_id", "team_id", "opponent_team_id", "is_home", "game_importance_scalar", "defensive_elo")
 
 
-@query("""select p.fixture_id, p.line_no, p.team_id, p.player_id, case when p.team_id = m.home_team_id then m.away_team_id when p.team_id = m.away_team_id then m.home_team_id end as opponent_team_id, m.league_id,
- round(case when games_minutes > 0 then shots_total * 90.0::double / games_minutes else 0.0 end, 6) as shots_per_90, round(case when games_minutes > 0 then shots_on * 90.0::double / games_minutes else 0.0 end, 6) as shots_on_per_90
+@query("""select p.fixture_id, p.line_no, p.team_id, p.player_id, case when p.team_id = m.home_team_id then m.away_team_id when p.team_id
+ = m.away_team_id then m.home_team_id end as opponent_team_id, m.league_id,
+ round(case when games_minutes > 0 then shots_total * 90.0::double / games_minutes else 0.0 end, 6) as shots_per_90, round(case when
+ games_minutes > 0 then shots_on * 90.0::double / games_minutes else 0.0 end, 6) as shots_on_per_90
  from player_v p left join match_v m on p.fixture_id = m.fixture_id""", "player_v")
 def player_shot_features(spark, d):
     out = gold.player_shot_features(view(spark, d, "player_v"), view(spark, d, "match_v"))
@@ -123,9 +136,11 @@ def player_shot_features(spark, d):
 
 
 _SAPM = f"""select fixture_id, line_no, team_id, player_id, position_group, round(prior_alpha, 6) as prior_alpha,
- round(case when 270.0 + games_minutes > 0 then (prior_alpha + shots_total)::double / (270.0::double + games_minutes) else 0.0 end, 6) as shot_rate_smoothed_per_minute,
+ round(case when 270.0 + games_minutes > 0 then (prior_alpha + shots_total)::double / (270.0::double + games_minutes) else 0.0 end, 6) as
+ shot_rate_smoothed_per_minute,
  cast(shots_total as double) as weighted_shots, cast(games_minutes as double) as weighted_minutes
- from (select *, cast(case position_group when 'F' then 7.8 when 'M' then 3.6 when 'D' then 1.5 else 0.0 end as double) as prior_alpha from (select *, {_POSITION} as position_group from player_v))"""
+ from (select *, cast(case position_group when 'F' then 7.8 when 'M' then 3.6 when 'D' then 1.5 else 0.0 end as double) as prior_alpha from
+ (select *, {_POSITION} as position_group from player_v))"""
 _SAPM_COLUMNS = ["fixture_id", "line_no", "team_id", "player_id", "position_group", "prior_alpha", "shot_rate_smoothed_per_minute", "weighted_shots", "weighted_minutes"]
 
 
@@ -140,9 +155,11 @@ def sapm_fixture_context(spark, d):
     return six(gold.player_sapm(view(spark, d, "player_v"), one).select(*_SAPM_COLUMNS))
 
 
-_PRIORS = f"""priors as (select b.position_group, 270.0::double * case when s.minutes > 0 then coalesce(s.shots, 0)::double / s.minutes else b.rate end as prior_alpha
+_PRIORS = f"""priors as (select b.position_group, 270.0::double * case when s.minutes > 0 then coalesce(s.shots, 0)::double / s.minutes
+ else b.rate end as prior_alpha
  from (values ('F', 2.6::double / 90), ('M', 1.2::double / 90), ('D', 0.5::double / 90), ('G', 0.0::double)) b(position_group, rate)
- left join (select {_POSITION} as position_group, sum(shots_total) as shots, sum(games_minutes) as minutes from player_v group by 1) s on s.position_group = b.position_group)"""
+ left join (select {_POSITION} as position_group, sum(shots_total) as shots, sum(games_minutes) as minutes from player_v group by 1) s on
+ s.position_group = b.position_group)"""
 
 
 @query(f"with {_PRIORS} select position_group, round(prior_alpha, 6) as prior_alpha, 270.0::double as prior_beta from priors", "player_v")
@@ -150,14 +167,16 @@ def estimate_priors(spark, d):
     return six(features.estimate_priors(view(spark, d, "player_v")))
 
 
-@query(f"""with {_PRIORS} select p.fixture_id, p.line_no, p.position_group, round(case when 270.0 + games_minutes > 0 then (prior_alpha + shots_total) / (270.0::double + games_minutes) else 0.0 end, 6) as shot_rate_smoothed_per_minute
+@query(f"""with {_PRIORS} select p.fixture_id, p.line_no, p.position_group, round(case when 270.0 + games_minutes > 0 then (prior_alpha +
+ shots_total) / (270.0::double + games_minutes) else 0.0 end, 6) as shot_rate_smoothed_per_minute
  from (select *, {_POSITION} as position_group from player_v) p left join priors r on p.position_group = r.position_group""", "player_v")
 def sapm_with_priors(spark, d):
     players = view(spark, d, "player_v")
     return six(gold.player_sapm(players, priors=features.estimate_priors(players)).select("fixture_id", "line_no", "position_group", "shot_rate_smoothed_per_minute"))
 
 
-@query("""select cast(row_number() over (order by s_acctbal desc, s_suppkey) as int) as rank, s_name as team_name, s_acctbal as rating, date '2022-12-22' as ranking_as_of_date,
+@query("""select cast(row_number() over (order by s_acctbal desc, s_suppkey) as int) as rank, s_name as team_name, s_acctbal as rating,
+ date '2022-12-22' as ranking_as_of_date,
  trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) as team_name_normalized from supplier""")
 def rating_baseline(spark, d):
     ranked = keyed.numbered(table(spark, d, "supplier"), "s_acctbal", [F.col("s_suppkey")], "Rank")
@@ -167,7 +186,10 @@ def rating_baseline(spark, d):
     return gold.rating_baseline(seed)
 
 
-@query(f"with {_SILVER_PLAYERS} select s.fixture_id, s.team_id, s.player_id, case when s.team_id = m.home_team_id then m.away_team_id when s.team_id = m.away_team_id then m.home_team_id end as opponent_team_id, round(case when games_minutes > 0 then shots_total * 90.0::double / games_minutes else 0.0 end, 6) as shots_per_90, cast(shots_total as double) as weighted_shots from silver s left join match_v m on m.fixture_id = s.fixture_id", "player_v")
+@query(f"""with {_SILVER_PLAYERS} select s.fixture_id, s.team_id, s.player_id, case when s.team_id = m.home_team_id then m.away_team_id when
+ s.team_id = m.away_team_id then m.home_team_id end as opponent_team_id, round(case when games_minutes > 0 then shots_total * 90.0::double /
+ games_minutes else 0.0 end, 6) as shots_per_90, cast(shots_total as double) as weighted_shots from silver s left join match_v m on
+ m.fixture_id = s.fixture_id""", "player_v")
 def gold_chain(spark, d):
     fixtures = silver.silver_fixtures(io.land_envelopes(match_payloads(view(spark, d, "match_v")), run_id="run", endpoint="fixtures").drop("ingested_at_utc"))
     stats = gold.player_shot_features(_silver_players(spark, d), fixtures)
@@ -222,7 +244,8 @@ _SHOWN = ["Curacao", "Orsted Angstrom", "  Lukasz   G. Muller-Oz ", "Strasse", "
 
 
 @query(f"""select p_partkey as id, p_name as display from part
- union all select * from (values {", ".join(f"({i + 20000001}, '{t.replace(chr(39), chr(39) * 2)}')" for i, t in enumerate(_SHOWN))}) v(id, display)""")
+ union all select * from (values {", ".join(f"({i + 20000001}, '{t.replace(chr(39), chr(39) * 2)}')" for i, t in enumerate(_SHOWN))}) v(id,
+ display)""")
 def display_text(spark, d):
     accented = F.translate("p_name", "aeiouAEIOUcn", "áèîõüÀÉÏÖÛçñ")
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), accented.alias("name"))
@@ -245,14 +268,16 @@ _LABEL = "trim(regexp_replace(lower(league_name), '[^a-z0-9]+', ' ', 'g')) || '
 _WORDS = "women woman u17 u18 u19 u20 u21 u22 u23 youth olympic club clubs"
 _EXCLUDED = " or ".join(f"contains({_LABEL}, '{w}')" for w in _WORDS.split())
 _ALLOWED = "1, 4, 5, 6, 7, 9, 10, 21, 22, 29, 30, 31, 32, 33, 34, 35, 36, 37, 536, 806, 808, 858, 913, 960"
-_REASON = f"case when {_EXCLUDED} then 'excluded word' when league_id not in ({_ALLOWED}) then 'league not allowed' when status_short not in ('FT', 'AET', 'PEN') then 'not completed' end"
+_REASON = f"""case when {_EXCLUDED} then 'excluded word' when league_id not in ({_ALLOWED}) then 'league not allowed' when status_short not
+ in ('FT', 'AET', 'PEN') then 'not completed' end"""
 
 
 def _eligible(spark, d, **more):
     return rules.eligibility(view(spark, d, "match_v"), "league_id", "league_name", "country", "status_short", **more)
 
 
-@query(f"select cast(fixture_id as int) as fixture_id, cast(fixture_date as date) as target_date, case when ({_REASON}) is null then 'KEPT' else 'SKIPPED' end as eligibility_status, league_id, league_name, league_season from match_v", "match_v")
+@query(f"""select cast(fixture_id as int) as fixture_id, cast(fixture_date as date) as target_date, case when ({_REASON}) is null then
+ 'KEPT' else 'SKIPPED' end as eligibility_status, league_id, league_name, league_season from match_v""", "match_v")
 def eligibility_split(spark, d):
     return io.land_eligibility(_eligible(spark, d), "run").drop("run_id", "raw_fixture", "response_hash")
 
@@ -264,12 +289,14 @@ def eligibility_rejects(spark, d):
 
 
 @query("""select fixture_id, league_id = 1 and league_season = 1995 and status_short in ('FT', 'AET', 'PEN') as is_eligible,
- case when league_id != 1 or league_season != 1995 then 'league not allowed' when status_short not in ('FT', 'AET', 'PEN') then 'not completed' end as reject_reason from match_v""", "match_v")
+ case when league_id != 1 or league_season != 1995 then 'league not allowed' when status_short not in ('FT', 'AET', 'PEN') then
+ 'not completed' end as reject_reason from match_v""", "match_v")
 def eligibility_season(spark, d):
     return _eligible(spark, d, allow=[1], words=[], season=("league_season", 1995)).select("fixture_id", "is_eligible", "reject_reason")
 
 
-@query("""select fixture_id, ((home_team_id < 4 and away_team_id < 4) or league_name ilike '%friendl%' or league_name ilike '%world cup%' or league_name ilike '%africa cup%' or league_name ilike '%qualification%')
+@query("""select fixture_id, ((home_team_id < 4 and away_team_id < 4) or league_name ilike '%friendl%' or league_name ilike '%world cup%'
+ or league_name ilike '%africa cup%' or league_name ilike '%qualification%')
  and fixture_id % 3 != 0 as is_international,
  cast(case when league_name ilike '%friendl%' then 0 when league_name ilike '%cup%' then 1 else 0 end as int) as is_high_stakes from match_v""", "match_v")
 def keyword_eligibility(spark, d):
@@ -313,12 +340,14 @@ def position_group(spark, d):
     return view(spark, d, "player_v").select("fixture_id", "line_no", S.position_group(F.col("games_position")).alias("position_group"))
 
 
-@query("select fixture_id, round(case when league_name ilike '%world cup%' then 1.0 when league_name ilike '%qualifier%' then 0.7 when league_name ilike '%friendly%' then 0.2 else 1.0 end::double, 6) as stake from match_v", "match_v")
+@query("""select fixture_id, round(case when league_name ilike '%world cup%' then 1.0 when league_name ilike '%qualifier%' then 0.7 when
+ league_name ilike '%friendly%' then 0.2 else 1.0 end::double, 6) as stake from match_v""", "match_v")
 def stake_weights(spark, d):
     return view(spark, d, "match_v").select("fixture_id", S.stake_weight(F.col("league_name")).alias("stake"))
 
 
-@query("select p.fixture_id, p.line_no, case when p.team_id = m.home_team_id then m.away_team_id else m.home_team_id end as opponent_team_id from player_v p join match_v m on m.fixture_id = p.fixture_id", "player_v")
+@query("""select p.fixture_id, p.line_no, case when p.team_id = m.home_team_id then m.away_team_id else m.home_team_id end as
+ opponent_team_id from player_v p join match_v m on m.fixture_id = p.fixture_id""", "player_v")
 def opponent_two_way(spark, d):
     m = view(spark, d, "match_v").select("fixture_id", "home_team_id", "away_team_id")
     rows = view(spark, d, "player_v").join(m, "fixture_id")
@@ -344,8 +373,10 @@ def date_spine(spark, d):
     return shape.daily_dates(spark, *_span(spark, d)).join(days, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n_orders"))
 
 
-@query(f"""select window_start, window_end, (select count(*) from orders where cast(o_orderdate as date) between window_start and window_end) as n_orders
- from (select cast(d as date) as window_start, least(cast(d as date) + 6, hi) as window_end from (select hi, unnest(generate_series(lo::timestamp, hi::timestamp, interval 7 day)) as d from {_SPAN}))""")
+@query(f"""select window_start, window_end, (select count(*) from orders where cast(o_orderdate as date) between window_start and
+ window_end) as n_orders
+ from (select cast(d as date) as window_start, least(cast(d as date) + 6, hi) as window_end from (select hi,
+ unnest(generate_series(lo::timestamp, hi::timestamp, interval 7 day)) as d from {_SPAN}))""")
 def window_spine(spark, d):
     first, last = _span(spark, d)
     # Orders find their window by arithmetic, so that the join is on equal keys.
@@ -387,12 +418,14 @@ _OLD = "select nullif(o_orderkey, 1) as o_orderkey, o_orderstatus, o_totalprice
 _NEW = "select nullif(o_orderkey, 2) as o_orderkey, o_orderstatus, o_totalprice + 1 as price from orders where o_orderstatus in ('O', 'P')"
 
 
-@query(f"with o as ({_OLD}), n as ({_NEW}) select o_orderkey, o_orderstatus, round(price, 6) as price from n union all select o_orderkey, o_orderstatus, round(price, 6) from o where not exists (select 1 from n where n.o_orderkey is not distinct from o.o_orderkey)")
+@query(f"""with o as ({_OLD}), n as ({_NEW}) select o_orderkey, o_orderstatus, round(price, 6) as price from n union all select o_orderkey,
+ o_orderstatus, round(price, 6) from o where not exists (select 1 from n where n.o_orderkey is not distinct from o.o_orderkey)""")
 def merge_upsert(spark, d):
     return six(state.merge_upsert(*_versions(spark, d), ["o_orderkey"]))
 
 
-@query(f"with o as ({_OLD}), n as ({_NEW}) select o_orderkey, o_orderstatus, round(price, 6) as price from o union all select o_orderkey, o_orderstatus, round(price, 6) from n where not exists (select 1 from o where n.o_orderkey is not distinct from o.o_orderkey)")
+@query(f"""with o as ({_OLD}), n as ({_NEW}) select o_orderkey, o_orderstatus, round(price, 6) as price from o union all select o_orderkey,
+ o_orderstatus, round(price, 6) from n where not exists (select 1 from o where n.o_orderkey is not distinct from o.o_orderkey)""")
 def insert_if_absent(spark, d):
     return six(state.insert_if_absent(*_versions(spark, d), ["o_orderkey"]))
 
@@ -400,14 +433,20 @@ def insert_if_absent(spark, d):
 _CKPT_KEYS = ["run_id", "target_date", "fixture_id", "endpoint"]
 
 
-@query("""with r as (select *, row_number() over (partition by run_id, target_date, fixture_id, endpoint, event_id >= 5000 order by event_id desc) as rn from ckpt_v), o as (select * from r where rn = 1 and event_id < 5000), n as (select * from r where rn = 1 and event_id >= 5000),
- j as (select coalesce(n.run_id, o.run_id) as run_id, coalesce(n.target_date, o.target_date) as target_date, coalesce(n.fixture_id, o.fixture_id) as fixture_id, coalesce(n.endpoint, o.endpoint) as endpoint,
+@query("""with r as (select *, row_number() over (partition by run_id, target_date, fixture_id, endpoint, event_id >= 5000 order by
+ event_id desc) as rn from ckpt_v), o as (select * from r where rn = 1 and event_id < 5000), n as (select * from r where rn = 1 and event_id
+ >= 5000),
+ j as (select coalesce(n.run_id, o.run_id) as run_id, coalesce(n.target_date, o.target_date) as target_date, coalesce(n.fixture_id,
+ o.fixture_id) as fixture_id, coalesce(n.endpoint, o.endpoint) as endpoint,
   case when n.run_id is null or (o.status = 'COMPLETED' and n.status != 'COMPLETED') then o.status else n.status end as status,
   case when n.run_id is null or (o.status = 'COMPLETED' and n.status != 'COMPLETED') then o.last_error else n.last_error end as last_error,
-  case when n.run_id is null or (o.status = 'COMPLETED' and n.status != 'COMPLETED') then o.completed_at_utc else n.completed_at_utc end as completed_at,
+  case when n.run_id is null or (o.status = 'COMPLETED' and n.status != 'COMPLETED') then o.completed_at_utc else n.completed_at_utc end as
+ completed_at,
   coalesce(o.attempt_count, 0) + coalesce(n.attempt_count, 0) as attempt_count, least(o.started_at_utc, n.started_at_utc) as started_at
-  from o full join n on o.run_id = n.run_id and o.target_date = n.target_date and o.fixture_id is not distinct from n.fixture_id and o.endpoint = n.endpoint)
- select run_id, target_date, fixture_id, endpoint, status, cast(attempt_count as bigint) as attempt_count, last_error, strftime(started_at, '%Y-%m-%d %H:%M:%S') as started_at_utc,
+  from o full join n on o.run_id = n.run_id and o.target_date = n.target_date and o.fixture_id is not distinct from n.fixture_id and
+ o.endpoint = n.endpoint)
+ select run_id, target_date, fixture_id, endpoint, status, cast(attempt_count as bigint) as attempt_count, last_error, strftime(started_at,
+ '%Y-%m-%d %H:%M:%S') as started_at_utc,
  strftime(case when status in ('COMPLETED', 'SKIPPED') then completed_at end, '%Y-%m-%d %H:%M:%S') as completed_at_utc from j""", "ckpt_v")
 def checkpoint_merge(spark, d):
     rows = view(spark, d, "ckpt_v")
@@ -416,7 +455,8 @@ def checkpoint_merge(spark, d):
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started_at_utc", "completed_at_utc")})
 
 
-_WINDOWS = "(select distinct date_trunc('week', target_date)::date as window_start, date_trunc('week', target_date)::date + 6 as window_end from ckpt_v)"
+_WINDOWS = """(select distinct date_trunc('week', target_date)::date as window_start, date_trunc('week', target_date)::date + 6 as
+ window_end from ckpt_v)"""
 
 
 def _weeks(spark, d):
@@ -424,27 +464,33 @@ def _weeks(spark, d):
     return view(spark, d, "ckpt_v").select(start.alias("window_start"), F.date_add(start, 6).alias("window_end"), "endpoint", "status").distinct()
 
 
-@query(f"select window_start, window_end from {_WINDOWS} w where not exists (select 1 from ckpt_v c where date_trunc('week', c.target_date)::date = w.window_start and c.status = 'COMPLETED' and c.endpoint = 'fixtures' and day(w.window_start) % 2 = 0)", "ckpt_v")
+@query(f"""select window_start, window_end from {_WINDOWS} w where not exists (select 1 from ckpt_v c where date_trunc('week',
+ c.target_date)::date = w.window_start and c.status = 'COMPLETED' and c.endpoint = 'fixtures' and day(w.window_start) % 2 = 0)""", "ckpt_v")
 def pending_windows(spark, d):
     weeks = _weeks(spark, d)
     done = weeks.where("status = 'COMPLETED' and endpoint = 'fixtures' and day(window_start) % 2 = 0")
     return state.pending_windows(weeks.select("window_start", "window_end").distinct(), done)
 
 
-@query(f"select window_start, window_end, case when day(window_start) % 2 = 0 then 'COMPLETED' else 'PENDING' end as status, case when day(window_start) % 2 = 0 then 5 else 0 end::bigint as records from {_WINDOWS}", "ckpt_v")
+@query(f"""select window_start, window_end, case when day(window_start) % 2 = 0 then 'COMPLETED' else 'PENDING' end as status, case when
+ day(window_start) % 2 = 0 then 5 else 0 end::bigint as records from {_WINDOWS}""", "ckpt_v")
 def seed_windows(spark, d):
     weeks = _weeks(spark, d).select("window_start", "window_end").distinct()
     known = weeks.where("day(window_start) % 2 = 0").withColumn("status", F.lit("COMPLETED")).withColumn("records", F.lit(5).cast("bigint"))
     return state.seed_windows(known, weeks)
 
 
-_UPDATES = f"""updates as (select window_start, window_end, case when day(window_start) % 3 = 0 then 'PENDING' else 'COMPLETED' end as status, n as records, timestamp '2024-03-01' + to_days(cast(day(window_start) % 2 as int)) as updated_at
- from (select window_start, window_end, count(*) as n from {_WINDOWS} w join ckpt_v c on date_trunc('week', c.target_date)::date = w.window_start group by 1, 2)),
- known as (select window_start, window_end, 'COMPLETED' as status, 5::bigint as records, timestamp '2024-03-01 12:00:00' as updated_at from {_WINDOWS} where day(window_start) % 2 = 0 or day(window_start) % 3 = 0)"""
+_UPDATES = f"""updates as (select window_start, window_end, case when day(window_start) % 3 = 0 then 'PENDING' else 'COMPLETED' end as
+ status, n as records, timestamp '2024-03-01' + to_days(cast(day(window_start) % 2 as int)) as updated_at
+ from (select window_start, window_end, count(*) as n from {_WINDOWS} w join ckpt_v c on date_trunc('week', c.target_date)::date =
+ w.window_start group by 1, 2)),
+ known as (select window_start, window_end, 'COMPLETED' as status, 5::bigint as records, timestamp '2024-03-01 12:00:00' as updated_at from
+ {_WINDOWS} where day(window_start) % 2 = 0 or day(window_start) % 3 = 0)"""
 
 
 @query(f"""with {_UPDATES} select window_start, window_end, status, records, strftime(updated_at, '%Y-%m-%d %H:%M:%S') as updated_at
- from (select *, row_number() over (partition by window_start, window_end order by updated_at desc) as rn from (select * from updates union all select * from known)) where rn = 1""", "ckpt_v")
+ from (select *, row_number() over (partition by window_start, window_end order by updated_at desc) as rn from (select * from updates union
+ all select * from known)) where rn = 1""", "ckpt_v")
 def window_upsert(spark, d):
     """Half of the updates are older than what the checkpoint holds; some windows are new to it."""
     start = F.to_date(F.date_trunc("week", "target_date"))
@@ -457,9 +503,11 @@ def window_upsert(spark, d):
     return out.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("""with a as (select cast(target_date as date) as window_start, cast(target_date as date) as window_end, count(*) as records, case day(target_date) when 3 then 'timeout' when 20 then 'Too many requests' when 25 then 'quota' end as error from ckpt_v group by 1, 2, 4),
+@query("""with a as (select cast(target_date as date) as window_start, cast(target_date as date) as window_end, count(*) as records, case
+ day(target_date) when 3 then 'timeout' when 20 then 'Too many requests' when 25 then 'quota' end as error from ckpt_v group by 1, 2, 4),
  s as (select min(window_start) as stop from a where error in ('Too many requests', 'quota'))
- select window_start, window_end, case when error is null and (stop is null or window_start < stop) then 'COMPLETED' else 'PENDING' end as status, case when stop is null or window_start <= stop then records else 0 end::bigint as records,
+ select window_start, window_end, case when error is null and (stop is null or window_start < stop) then 'COMPLETED' else 'PENDING' end as
+ status, case when stop is null or window_start <= stop then records else 0 end::bigint as records,
  not (error is null and (stop is null or window_start < stop)) as is_next from a, s""", "ckpt_v")
 def backfill_quota_stop(spark, d):
     """A run over daily windows that meets a quota: what it settles, and which windows the next run takes up."""
@@ -473,13 +521,15 @@ def backfill_quota_stop(spark, d):
     return after.drop("updated_at").join(ahead, ["window_start", "window_end"], "left").withColumn("is_next", F.coalesce("is_next", F.lit(False)))
 
 
-@query("select distinct fixture_id from ckpt_v where endpoint = 'fixtures/players' and status = 'COMPLETED' and fixture_id is not null and target_date = date '2024-01-10'", "ckpt_v")
+@query("""select distinct fixture_id from ckpt_v where endpoint = 'fixtures/players' and status = 'COMPLETED' and fixture_id is not null and
+ target_date = date '2024-01-10'""", "ckpt_v")
 def completed_keys(spark, d):
     return state.completed_keys(view(spark, d, "ckpt_v"), "fixtures/players", date(2024, 1, 10))
 
 
 _COUNTS = ", ".join(f"count(*) filter (where status = '{s}') as {s.lower()}_count" for s in ("PENDING", "COMPLETED", "SKIPPED", "FAILED", "QUARANTINED"))
-_SUMMARY = f"select run_id, target_date, endpoint, count(*) as total_count, {_COUNTS}, strftime(min(started_at_utc), '%Y-%m-%d %H:%M:%S') as first_started, strftime(max(completed_at_utc), '%Y-%m-%d %H:%M:%S') as last_completed from ckpt_v group by run_id, target_date, endpoint"
+_SUMMARY = f"""select run_id, target_date, endpoint, count(*) as total_count, {_COUNTS}, strftime(min(started_at_utc), '%Y-%m-%d %H:%M:%S')
+ as first_started, strftime(max(completed_at_utc), '%Y-%m-%d %H:%M:%S') as last_completed from ckpt_v group by run_id, target_date, endpoint"""
 
 
 def _stamped(df):
@@ -517,20 +567,24 @@ def failures(spark, d):
     return state.failures(view(spark, d, "ckpt_v")).select("event_id", "run_id", "status", "last_error")
 
 
-@query(f"select event_id, cast(date_sub('minute', started_at_utc, timestamp '{NOW}') as bigint) as pending_minutes from ckpt_v where status = 'PENDING'", "ckpt_v")
+@query(f"""select event_id, cast(date_sub('minute', started_at_utc, timestamp '{NOW}') as bigint) as pending_minutes from ckpt_v where
+ status = 'PENDING'""", "ckpt_v")
 def pending_age(spark, d):
     return state.pending_age(view(spark, d, "ckpt_v"), F.to_timestamp_ntz(F.lit(NOW))).select("event_id", "pending_minutes")
 
 
-@query(f"""select (select count(*) from match_v) as discovered, (select count(*) from match_v where ({_REASON}) is null) as eligible, count(*) filter (where status = 'COMPLETED') as ingested, count(*) filter (where status = 'SKIPPED') as skipped,
- count(*) filter (where status = 'FAILED') as failed, count(*) filter (where status = 'QUARANTINED') as quarantined, count(*) filter (where status = 'PENDING') as pending, min(target_date) as first_date, max(target_date) as last_date from ckpt_v""", "match_v", "ckpt_v")
+@query(f"""select (select count(*) from match_v) as discovered, (select count(*) from match_v where ({_REASON}) is null) as eligible,
+ count(*) filter (where status = 'COMPLETED') as ingested, count(*) filter (where status = 'SKIPPED') as skipped,
+ count(*) filter (where status = 'FAILED') as failed, count(*) filter (where status = 'QUARANTINED') as quarantined, count(*) filter (where
+ status = 'PENDING') as pending, min(target_date) as first_date, max(target_date) as last_date from ckpt_v""", "match_v", "ckpt_v")
 def batch_summary(spark, d):
     return state.batch_summary(_eligible(spark, d), view(spark, d, "ckpt_v"))
 
 
 # --- features ---
 
-_TOTALS = "select fixture_id, team_id, cast(sum(shots_total) as bigint) as team_shots, cast(sum(goals_total) as bigint) as team_goals, cast(sum(games_minutes) as bigint) as team_minutes, cast(sum(shots_on) as bigint) as team_shots_on from player_v group by 1, 2"
+_TOTALS = """select fixture_id, team_id, cast(sum(shots_total) as bigint) as team_shots, cast(sum(goals_total) as bigint) as team_goals,
+ cast(sum(games_minutes) as bigint) as team_minutes, cast(sum(shots_on) as bigint) as team_shots_on from player_v group by 1, 2"""
 
 
 @query(_TOTALS, "player_v")
@@ -539,8 +593,11 @@ def team_match_totals(spark, d):
 
 
 @query(f"""with t as ({_TOTALS}), g as (select fixture_id, team_id, sum(goals_total) as g from player_v group by 1, 2),
- m as (select v.fixture_id, home_team_id, a.g as hg, b.g as ag from match_v v left join g a on a.fixture_id = v.fixture_id and a.team_id = v.home_team_id left join g b on b.fixture_id = v.fixture_id and b.team_id = v.away_team_id),
- r as (select t.fixture_id, t.team_id, t.team_shots, cast(coalesce(case when t.team_id = m.home_team_id then hg else ag end, 0) - coalesce(case when t.team_id = m.home_team_id then ag else hg end, 0) as bigint) as goal_diff from t left join m on m.fixture_id = t.fixture_id)
+ m as (select v.fixture_id, home_team_id, a.g as hg, b.g as ag from match_v v left join g a on a.fixture_id = v.fixture_id and a.team_id =
+ v.home_team_id left join g b on b.fixture_id = v.fixture_id and b.team_id = v.away_team_id),
+ r as (select t.fixture_id, t.team_id, t.team_shots, cast(coalesce(case when t.team_id = m.home_team_id then hg else ag end, 0) -
+ coalesce(case when t.team_id = m.home_team_id then ag else hg end, 0) as bigint) as goal_diff from t left join m on m.fixture_id =
+ t.fixture_id)
  select *, cast(case when goal_diff > 0 then 3 when goal_diff = 0 then 1 else 0 end as double) as result_points from r""", "player_v")
 def team_match_result(spark, d):
     players = view(spark, d, "player_v")
@@ -555,36 +612,48 @@ def _dated(spark, d):
 _DECAY = "exp(-0.6931471805599453 / 365 * greatest(0, epoch(timestamp '1998-08-02') - epoch(fixture_date)) / 86400.0)"
 
 
-@query(f"""with w as (select p.*, m.fixture_date, {_DECAY} as w from player_v p join match_v m on m.fixture_id = p.fixture_id where games_minutes > 0)
- select player_id, team_id, round(sum(shots_total * w), 6) as shots_decayed, round(sum(shots_on * w), 6) as shots_on_decayed, round(sum(goals_total * w), 6) as goals_decayed, round(sum(games_minutes * w), 6) as minutes_decayed,
- cast(max(fixture_date) as date) as latest_date, count(distinct fixture_id) as matches_observed, round(coalesce(sum(shots_total * w) / sum(games_minutes * w) * 90.0, null), 6) as shots_per_90_decayed from w group by 1, 2""", "player_v")
+@query(f"""with w as (select p.*, m.fixture_date, {_DECAY} as w from player_v p join match_v m on m.fixture_id = p.fixture_id where
+ games_minutes > 0)
+ select player_id, team_id, round(sum(shots_total * w), 6) as shots_decayed, round(sum(shots_on * w), 6) as shots_on_decayed,
+ round(sum(goals_total * w), 6) as goals_decayed, round(sum(games_minutes * w), 6) as minutes_decayed,
+ cast(max(fixture_date) as date) as latest_date, count(distinct fixture_id) as matches_observed, round(coalesce(sum(shots_total * w) /
+ sum(games_minutes * w) * 90.0, null), 6) as shots_per_90_decayed from w group by 1, 2""", "player_v")
 def decayed_features(spark, d):
     out = features.decayed_features(_dated(spark, d), F.to_timestamp(F.lit("1998-08-02")), 365.0, ["player_id", "team_id"])
     return six(out.withColumn("latest_date", F.to_date("latest_date")))
 
 
 @query(f"""with w as (select p.*, {_DECAY} as w from player_v p join match_v m on m.fixture_id = p.fixture_id where games_minutes > 0)
- select player_id, team_id, round(coalesce(sum(shots_total * w), 0) / sum(games_minutes * w) * 90.0, 4) as rate from w group by 1, 2 order by rate desc, player_id, team_id limit 50""", "player_v")
+ select player_id, team_id, round(coalesce(sum(shots_total * w), 0) / sum(games_minutes * w) * 90.0, 4) as rate from w group by 1, 2 order
+ by rate desc, player_id, team_id limit 50""", "player_v")
 def top_k_rates(spark, d):
     out = features.decayed_features(_dated(spark, d), F.to_timestamp(F.lit("1998-08-02")), 365.0, ["player_id", "team_id"])
     rate = F.round(F.coalesce("shots_per_90_decayed", F.lit(0.0)), 4)
     return keyed.top_k(out.select("player_id", "team_id", rate.alias("rate")), [F.desc("rate"), F.col("player_id"), F.col("team_id")], 50)
 
 
-@query("""select o.fixture_id, case when m.league_name ilike '%friendl%' then 1.0 when m.league_name ilike '%cup%' then 1.25 else 1.0 end::double as w_stake, round(least(greatest(1 + coalesce(gap, 0) / 1000.0, 0.85), 1.25), 6) as w_opp
- from (select fixture_id from match_v) o join match_v m on m.fixture_id = o.fixture_id left join (select fixture_id, avg(abs((1500 + home_team_id * 10) - (1500 + away_team_id * 10)))::double as gap from match_v where fixture_id % 3 != 0 group by 1) g on g.fixture_id = o.fixture_id""", "match_v")
+@query("""select o.fixture_id, case when m.league_name ilike '%friendl%' then 1.0 when m.league_name ilike '%cup%' then 1.25 else 1.0
+ end::double as w_stake, round(least(greatest(1 + coalesce(gap, 0) / 1000.0, 0.85), 1.25), 6) as w_opp
+ from (select fixture_id from match_v) o join match_v m on m.fixture_id = o.fixture_id left join (select fixture_id, avg(abs((1500 +
+ home_team_id * 10) - (1500 + away_team_id * 10)))::double as gap from match_v where fixture_id % 3 != 0 group by 1) g on g.fixture_id =
+ o.fixture_id""", "match_v")
 def context_weights(spark, d):
     m = view(spark, d, "match_v")
     ratings = m.where("fixture_id % 3 != 0").select("fixture_id", (F.col("home_team_id") * 10 + 1500).alias("team_elo"), (F.col("away_team_id") * 10 + 1500).alias("opponent_elo"))
     return six(features.context_weights(m, ratings))
 
 
-_RATES = f"rates as (select player_id, team_id, min({_POSITION}) as position_group, coalesce(sum(games_minutes), 0)::double as minutes, coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as goals from player_v group by 1, 2)"
+_RATES = f"""rates as (select player_id, team_id, min({_POSITION}) as position_group, coalesce(sum(games_minutes), 0)::double as minutes,
+ coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as
+ goals from player_v group by 1, 2)"""
 # Fixed values of the SQL: shots per 90, share on target and conversion a position starts from, in the order F, D, G, M.
 _STARTS = [(2.6, 0.5, 0.0, 1.2), (0.42, 0.25, 0.0, 0.35), (0.16, 0.05, 0.0, 0.10)]
 _PRIOR = lambda k: "case position_group when 'F' then {} when 'D' then {} when 'G' then {} else {} end::double".format(*_STARTS[k])
-_SHRUNK = f"""shrunk as (select *, w * p90 + (1 - w) * {_PRIOR(0)} as shots_per_90, least(greatest(w * ot + (1 - w) * {_PRIOR(1)}, 0.01), 0.99) as on_target, least(greatest(w * cv + (1 - w) * {_PRIOR(2)}, 0.01), 0.99) as conversion
- from (select *, least(1.0, minutes / 450.0) as w, case when minutes > 0 then shots / minutes * 90.0 else {_PRIOR(0)} end as p90, case when shots > 0 then shots_on / shots else {_PRIOR(1)} end as ot, case when shots_on > 0 then goals / shots_on else {_PRIOR(2)} end as cv from rates))"""
+_SHRUNK = f"""shrunk as (select *, w * p90 + (1 - w) * {_PRIOR(0)} as shots_per_90, least(greatest(w * ot + (1 - w) * {_PRIOR(1)}, 0.01),
+ 0.99) as on_target, least(greatest(w * cv + (1 - w) * {_PRIOR(2)}, 0.01), 0.99) as conversion
+ from (select *, least(1.0, minutes / 450.0) as w, case when minutes > 0 then shots / minutes * 90.0 else {_PRIOR(0)} end as p90, case when
+ shots > 0 then shots_on / shots else {_PRIOR(1)} end as ot, case when shots_on > 0 then goals / shots_on else {_PRIOR(2)} end as cv from
+ rates))"""
 
 
 def _rates(spark, d):
@@ -598,7 +667,8 @@ def player_rates(spark, d):
     return features.player_rates(view(spark, d, "player_v"), ["player_id", "team_id"])
 
 
-@query(f"with {_RATES}, {_SHRUNK} select player_id, team_id, position_group, round(w, 6) as weight, round(shots_per_90, 6) as shots_per_90, round(on_target, 6) as on_target, round(conversion, 6) as conversion from shrunk", "player_v")
+@query(f"""with {_RATES}, {_SHRUNK} select player_id, team_id, position_group, round(w, 6) as weight, round(shots_per_90, 6) as
+ shots_per_90, round(on_target, 6) as on_target, round(conversion, 6) as conversion from shrunk""", "player_v")
 def shrunk_rates(spark, d):
     return six(features.shrunk_rates(_rates(spark, d), F.col("group")).select("player_id", "team_id", "position_group", "weight", "shots_per_90", "on_target", "conversion"))
 
@@ -606,13 +676,17 @@ def shrunk_rates(spark, d):
 _PROJECTED = "shots_per_90 * 1.1 as l"
 
 
-@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk) select player_id, team_id, round(l, 6) as mean_shots, round(l * on_target, 6) as mean_on_target, round(l * on_target * conversion, 6) as mean_goals, round(l * (1 - on_target), 6) as mean_missed, round(1 - exp(-l), 6) as any_shot from p""", "player_v")
+@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk) select player_id, team_id, round(l, 6) as mean_shots,
+ round(l * on_target, 6) as mean_on_target, round(l * on_target * conversion, 6) as mean_goals, round(l * (1 - on_target), 6) as
+ mean_missed, round(1 - exp(-l), 6) as any_shot from p""", "player_v")
 def shot_projection(spark, d):
     out = features.shot_projection(features.shrunk_rates(_rates(spark, d), F.col("group")), F.lit(1.1))
     return six(out.select("player_id", "team_id", "mean_shots", "mean_on_target", "mean_goals", "mean_missed", "any_shot"))
 
 
-@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk where position_group != 'G') select player_id, team_id, position_group as position, round(l, 4) as projected_shots, round(l * on_target, 4) as projected_on_target, round((1 - exp(-l)) * 100, 4) as any_shot_percent
+@query(f"""with {_RATES}, {_SHRUNK}, p as (select *, {_PROJECTED} from shrunk where position_group != 'G') select player_id, team_id,
+ position_group as position, round(l, 4) as projected_shots, round(l * on_target, 4) as projected_on_target, round((1 - exp(-l)) * 100, 4)
+ as any_shot_percent
  from p order by projected_shots desc, player_id, team_id limit 40""", "player_v")
 def projection_matrix(spark, d):
     out = features.shot_projection(features.shrunk_rates(_rates(spark, d), F.col("group")), F.lit(1.1))
@@ -621,11 +695,14 @@ def projection_matrix(spark, d):
 
 
 @query("""with t as (select fixture_id, team_id, sum(coalesce(shots_total, 0)) as shots from player_v group by 1, 2),
- s as (select p.player_id, p.fixture_id, p.team_id, sum(coalesce(p.shots_total, 0)) as on_s, sum(coalesce(p.games_minutes, 0)) as on_m from player_v p group by 1, 2, 3),
- j as (select s.player_id, on_s, on_m, t.shots - on_s as off_s, 90 - least(on_m, 90) as off_m, case when m.league_name ilike '%world cup%' then 1.0 else 1.0 end * least(greatest(exp((m.away_team_id * 10 - 75) / 900.0::double) / 1.0, 0.5), 1.8) as w
+ s as (select p.player_id, p.fixture_id, p.team_id, sum(coalesce(p.shots_total, 0)) as on_s, sum(coalesce(p.games_minutes, 0)) as on_m from
+ player_v p group by 1, 2, 3),
+ j as (select s.player_id, on_s, on_m, t.shots - on_s as off_s, 90 - least(on_m, 90) as off_m, case when m.league_name ilike '%world cup%'
+ then 1.0 else 1.0 end * least(greatest(exp((m.away_team_id * 10 - 75) / 900.0::double) / 1.0, 0.5), 1.8) as w
   from s join t on t.fixture_id = s.fixture_id and t.team_id = s.team_id join match_v m on m.fixture_id = s.fixture_id),
  a as (select player_id, sum(w * on_m) as om, sum(w * off_m) as fm, sum(w * on_s) as os, sum(w * off_s) as fs from j group by 1)
- select player_id, round(case when om > 0 then os / om else 0 end, 6) as on_rate, round(case when fm > 0 then fs / fm else 0 end, 6) as off_rate, case when fm > 0 and fs > 0 then round((case when om > 0 then os / om else 0 end) / (fs / fm), 6) else -1.0 end as ratio from a""", "player_v")
+ select player_id, round(case when om > 0 then os / om else 0 end, 6) as on_rate, round(case when fm > 0 then fs / fm else 0 end, 6) as
+ off_rate, case when fm > 0 and fs > 0 then round((case when om > 0 then os / om else 0 end) / (fs / fm), 6) else -1.0 end as ratio from a""", "player_v")
 def weighted_plus_minus(spark, d):
     players = view(spark, d, "player_v")
     totals = features.team_fixture_totals(players)
@@ -637,11 +714,16 @@ def weighted_plus_minus(spark, d):
     return six(out.select("player_id", "on_rate", "off_rate", F.when(F.col("ratio") == float("inf"), -1.0).otherwise(F.col("ratio")).alias("ratio")))
 
 
-_FACTORS = """tf as (select fixture_id, team_id, sum(coalesce(shots_total, 0)) as shots from player_v group by 1, 2), sides as (select fixture_id, home_team_id as team, away_team_id as opp from match_v union all select fixture_id, away_team_id, home_team_id from match_v),
- sh as (select s.team, s.opp, t.shots from sides s join tf t on t.fixture_id = s.fixture_id and t.team_id = s.opp), pr as (select opp, team, count(*) as n, sum(shots) as total from sh group by 1, 2), al as (select opp, sum(n) as an, sum(total) as tt from pr group by 1),
- f as (select p.team, p.opp, p.n, p.total, case when an > n then (tt - total)::double / (an - n) else (select avg(shots) from tf) end as baseline from pr p join al a on a.opp = p.opp), met as (select distinct team, opp from sides),
- g as (select f.team, m.team as rival, sum(f.total) as actual, sum(f.baseline * f.n) as expected from f join met m on m.opp = f.opp and m.team != f.team where baseline > 0 group by 1, 2),
- factors as (select team as team_id, rival as rival_id, least(greatest(case when expected > 0 then actual / expected else 1.0 end * exp((1500 - (1450 + team * 7)) / 900.0::double), 0.5), 1.5) as factor from g)"""
+_FACTORS = """tf as (select fixture_id, team_id, sum(coalesce(shots_total, 0)) as shots from player_v group by 1, 2), sides as (select
+ fixture_id, home_team_id as team, away_team_id as opp from match_v union all select fixture_id, away_team_id, home_team_id from match_v),
+ sh as (select s.team, s.opp, t.shots from sides s join tf t on t.fixture_id = s.fixture_id and t.team_id = s.opp), pr as (select opp, team,
+ count(*) as n, sum(shots) as total from sh group by 1, 2), al as (select opp, sum(n) as an, sum(total) as tt from pr group by 1),
+ f as (select p.team, p.opp, p.n, p.total, case when an > n then (tt - total)::double / (an - n) else (select avg(shots) from tf) end as
+ baseline from pr p join al a on a.opp = p.opp), met as (select distinct team, opp from sides),
+ g as (select f.team, m.team as rival, sum(f.total) as actual, sum(f.baseline * f.n) as expected from f join met m on m.opp = f.opp and
+ m.team != f.team where baseline > 0 group by 1, 2),
+ factors as (select team as team_id, rival as rival_id, least(greatest(case when expected > 0 then actual / expected else 1.0 end *
+ exp((1500 - (1450 + team * 7)) / 900.0::double), 0.5), 1.5) as factor from g)"""
 
 
 def _factors(spark, d):
@@ -657,18 +739,26 @@ def common_opponent_factors(spark, d):
 _CHANGE = "cast(round_even((factor - 1.0) * 100, 0) as int)"
 
 
-@query(f"""with {_FACTORS} select team_id, rival_id, case when {_CHANGE} > 0 then 'Team ' || rival_id || '''s defence increases Team ' || team_id || '''s chances by ~' || abs({_CHANGE}) || '%' when {_CHANGE} < 0 then 'Team ' || rival_id || '''s defence decreases Team ' || team_id || '''s chances by ~' || abs({_CHANGE}) || '%' else 'neutral 0% effect' end as prose from factors""", "player_v")
+@query(f"""with {_FACTORS} select team_id, rival_id, case when {_CHANGE} > 0 then 'Team ' || rival_id || '''s defence increases Team ' ||
+ team_id || '''s chances by ~' || abs({_CHANGE}) || '%' when {_CHANGE} < 0 then 'Team ' || rival_id || '''s defence decreases Team ' ||
+ team_id || '''s chances by ~' || abs({_CHANGE}) || '%' else 'neutral 0% effect' end as prose from factors""", "player_v")
 def defensive_prose(spark, d):
     return _factors(spark, d).select("team_id", "rival_id", S.change_text(F.col("factor"), team_name(F.col("team_id")), team_name(F.col("rival_id"))).alias("prose"))
 
 
-@query("select a.team as team_a, b.team as team_b, a.opp as opponent from (select distinct team, opp from (select home_team_id as team, away_team_id as opp from match_v union all select away_team_id, home_team_id from match_v)) a join (select distinct team, opp from (select home_team_id as team, away_team_id as opp from match_v union all select away_team_id, home_team_id from match_v)) b on a.opp = b.opp and a.team < b.team", "match_v")
+@query("""select a.team as team_a, b.team as team_b, a.opp as opponent from (select distinct team, opp from (select home_team_id as team,
+ away_team_id as opp from match_v union all select away_team_id, home_team_id from match_v)) a join (select distinct team, opp from (select
+ home_team_id as team, away_team_id as opp from match_v union all select away_team_id, home_team_id from match_v)) b on a.opp = b.opp and
+ a.team < b.team""", "match_v")
 def mutual_opponents(spark, d):
     sides = shape.unpivot_sides(view(spark, d, "match_v"), [], {"team": "home_team_id", "opponent": "away_team_id"}, {"team": "away_team_id", "opponent": "home_team_id"})
     return keyed.mutual_opponents(sides)
 
 
-_TRAIL = "select fixture_id, team_id, cast(rn as int) as recency_rank from (select *, row_number() over (partition by team_id order by fixture_date desc, fixture_id desc) as rn from (select fixture_id, fixture_date, home_team_id as team_id from match_v where status_short in ('FT', 'AET', 'PEN') union all select fixture_id, fixture_date, away_team_id from match_v where status_short in ('FT', 'AET', 'PEN')) {0}) where rn <= 5"
+_TRAIL = """select fixture_id, team_id, cast(rn as int) as recency_rank from (select *, row_number() over (partition by team_id order by
+ fixture_date desc, fixture_id desc) as rn from (select fixture_id, fixture_date, home_team_id as team_id from match_v where status_short in
+ ('FT', 'AET', 'PEN') union all select fixture_id, fixture_date, away_team_id from match_v where status_short in ('FT', 'AET', 'PEN')) {0})
+ where rn <= 5"""
 
 
 def _trailing(spark, d, exclude):
@@ -690,21 +780,30 @@ def trailing_n_excluding(spark, d):
 _LAST = "last as (" + _TRAIL.format("") + ")"
 
 
-@query(f"with {_LAST} select p.fixture_id, p.line_no, p.team_id, p.player_id, p.games_minutes, l.recency_rank from player_v p join last l on l.fixture_id = p.fixture_id and l.team_id = p.team_id where games_minutes > 0", "player_v")
+@query(f"""with {_LAST} select p.fixture_id, p.line_no, p.team_id, p.player_id, p.games_minutes, l.recency_rank from player_v p join last l
+ on l.fixture_id = p.fixture_id and l.team_id = p.team_id where games_minutes > 0""", "player_v")
 def team_history(spark, d):
     return gold.team_history(view(spark, d, "player_v"), view(spark, d, "match_v")).select("fixture_id", "line_no", "team_id", "player_id", "games_minutes", "recency_rank")
 
 
-_NEUTRAL_FACTORS = _FACTORS.replace("* exp((1500 - (1450 + team * 7)) / 900.0::double)", "")
+_NEUTRAL_FACTORS = " ".join(_FACTORS.split()).replace("* exp((1500 - (1450 + team * 7)) / 900.0::double)", "")
 
 
-@query(f"""with {_LAST}, {_NEUTRAL_FACTORS}, h as (select team_id, player_id, sum(games_minutes)::double as minutes, coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as goals
-  from (select p.* from player_v p join last l on l.fixture_id = p.fixture_id and l.team_id = p.team_id where games_minutes > 0) group by 1, 2),
+@query(f"""with {_LAST}, {_NEUTRAL_FACTORS}, h as (select team_id, player_id, sum(games_minutes)::double as minutes,
+ coalesce(sum(shots_total), 0)::double as shots, coalesce(sum(shots_on), 0)::double as shots_on, coalesce(sum(goals_total), 0)::double as
+ goals
+  from (select p.* from player_v p join last l on l.fixture_id = p.fixture_id and l.team_id = p.team_id where games_minutes > 0) group by 1,
+ 2),
  st as (select fixture_id, team_id, player_id, min(position) as position from lineup_v where is_starting group by 1, 2, 3),
- sd as (select fixture_id, home_team_id as team_id, away_team_id as opponent from match_v union all select fixture_id, away_team_id, home_team_id from match_v),
- rates as (select st.fixture_id, st.team_id, st.player_id, case st.position when 'A' then 'F' when 'F' then 'F' when 'D' then 'D' when 'G' then 'G' else 'M' end as position_group, coalesce(minutes, 0) as minutes, coalesce(shots, 0) as shots, coalesce(shots_on, 0) as shots_on, coalesce(goals, 0) as goals, coalesce(factor, 1.0) as factor
-  from st join sd on sd.fixture_id = st.fixture_id and sd.team_id = st.team_id left join h on h.team_id = st.team_id and h.player_id = st.player_id left join factors on factors.team_id = sd.opponent and factors.rival_id = st.team_id), {_SHRUNK}
- select fixture_id, team_id, player_id, round(shots_per_90 * factor, 6) as mean_shots, round(shots_per_90 * factor * on_target, 6) as mean_on_target, round(1 - exp(-shots_per_90 * factor), 6) as any_shot from shrunk where position_group != 'G'""", "lineup_v")
+ sd as (select fixture_id, home_team_id as team_id, away_team_id as opponent from match_v union all select fixture_id, away_team_id,
+ home_team_id from match_v),
+ rates as (select st.fixture_id, st.team_id, st.player_id, case st.position when 'A' then 'F' when 'F' then 'F' when 'D' then 'D' when 'G'
+ then 'G' else 'M' end as position_group, coalesce(minutes, 0) as minutes, coalesce(shots, 0) as shots, coalesce(shots_on, 0) as shots_on,
+ coalesce(goals, 0) as goals, coalesce(factor, 1.0) as factor
+  from st join sd on sd.fixture_id = st.fixture_id and sd.team_id = st.team_id left join h on h.team_id = st.team_id and h.player_id =
+ st.player_id left join factors on factors.team_id = sd.opponent and factors.rival_id = st.team_id), {_SHRUNK}
+ select fixture_id, team_id, player_id, round(shots_per_90 * factor, 6) as mean_shots, round(shots_per_90 * factor * on_target, 6) as
+ mean_on_target, round(1 - exp(-shots_per_90 * factor), 6) as any_shot from shrunk where position_group != 'G'""", "lineup_v")
 def matchup_matrix(spark, d):
     out = gold.matchup_matrix(view(spark, d, "match_v"), view(spark, d, "player_v"), view(spark, d, "lineup_v"))
     return six(out.where("position_group != 'G'").select("fixture_id", "team_id", "player_id", "mean_shots", "mean_on_target", "any_shot"))
@@ -717,9 +816,14 @@ def _named_matches(spark, d):
     return view(spark, d, "match_v").select("fixture_id", "fixture_date", team_name(F.col("home_team_id")).alias("home_team"), team_name(F.col("away_team_id")).alias("away_team"), "home_team_id", "away_team_id")
 
 
-@query("""with r as (select fixture_id as request_id, cast(fixture_date as date) as day, case when fixture_id % 5 = 1 then away_team_id when fixture_id % 5 = 4 then home_team_id + 100 else home_team_id end as h, case when fixture_id % 5 = 1 then home_team_id when fixture_id % 5 = 3 then null else away_team_id end as a from match_v),
- j as (select r.request_id, r.a, count(m.fixture_id) filter (where m.home_team_id = r.h) as exact, count(m.fixture_id) as alln, min(m.fixture_id) filter (where m.home_team_id = r.h) as id from r left join match_v m on cast(m.fixture_date as date) = r.day and ((m.home_team_id = r.h and m.away_team_id = r.a) or (m.home_team_id = r.a and m.away_team_id = r.h)) group by 1, 2)
- select request_id, case when a is null then 'invalid' when exact = 1 then 'matched' when exact > 1 then 'ambiguous' when alln > 0 then 'reversed' else 'missing' end as outcome, case when a is not null and exact = 1 then id end as fixture_id from j""", "match_v")
+@query("""with r as (select fixture_id as request_id, cast(fixture_date as date) as day, case when fixture_id % 5 = 1 then away_team_id
+ when fixture_id % 5 = 4 then home_team_id + 100 else home_team_id end as h, case when fixture_id % 5 = 1 then home_team_id when fixture_id
+ % 5 = 3 then null else away_team_id end as a from match_v),
+ j as (select r.request_id, r.a, count(m.fixture_id) filter (where m.home_team_id = r.h) as exact, count(m.fixture_id) as alln,
+ min(m.fixture_id) filter (where m.home_team_id = r.h) as id from r left join match_v m on cast(m.fixture_date as date) = r.day and
+ ((m.home_team_id = r.h and m.away_team_id = r.a) or (m.home_team_id = r.a and m.away_team_id = r.h)) group by 1, 2)
+ select request_id, case when a is null then 'invalid' when exact = 1 then 'matched' when exact > 1 then 'ambiguous' when alln > 0 then
+ 'reversed' else 'missing' end as outcome, case when a is not null and exact = 1 then id end as fixture_id from j""", "match_v")
 def resolve_matches(spark, d):
     k, h, a = F.col("fixture_id") % 5, F.col("home_team_id"), F.col("away_team_id")
     home = F.when(k == 1, a).when(k == 4, h + 100).otherwise(h)
@@ -728,14 +832,16 @@ def resolve_matches(spark, d):
     return keyed.resolve_matches(requests, _named_matches(spark, d))
 
 
-@query("select s.s_suppkey, coalesce(n.n_nationkey, -1) as entity_id from supplier s left join nation n on n.n_nationkey = s.s_nationkey and n.n_nationkey % 4 != 0")
+@query("""select s.s_suppkey, coalesce(n.n_nationkey, -1) as entity_id from supplier s left join nation n on n.n_nationkey = s.s_nationkey
+ and n.n_nationkey % 4 != 0""")
 def resolve_entities(spark, d):
     nation = table(spark, d, "nation")
     named = table(spark, d, "supplier").join(nation.select(F.col("n_nationkey").alias("s_nationkey"), F.lower("n_name").alias("spelled")), "s_nationkey").select("s_suppkey", "spelled")
     return keyed.resolve_entity_id(named, "spelled", nation.where("n_nationkey % 4 != 0"), "n_name", "n_nationkey", F.lit(-1)).select("s_suppkey", "entity_id")
 
 
-@query("""select m.fixture_id, a.team_id as home_team_id, b.team_id as away_team_id from match_v m left join (select distinct fixture_id, team_id from player_v) a on a.fixture_id = m.fixture_id and a.team_id = m.home_team_id
+@query("""select m.fixture_id, a.team_id as home_team_id, b.team_id as away_team_id from match_v m left join (select distinct fixture_id,
+ team_id from player_v) a on a.fixture_id = m.fixture_id and a.team_id = m.home_team_id
  left join (select distinct fixture_id, team_id from player_v) b on b.fixture_id = m.fixture_id and b.team_id = m.away_team_id""", "player_v")
 def side_ids(spark, d):
     teams = view(spark, d, "player_v").select("fixture_id", "team_id", team_name(F.col("team_id")).alias("team_name")).distinct()
@@ -750,7 +856,9 @@ def roster_check(spark, d):
     return features.check_roster(view(spark, d, "lineup_v"), 2)
 
 
-@query(f"with good as (select fixture_id, team_id from ({_ROSTER}) where players = 2 and names = 2) select l.fixture_id, l.team_id, l.line_no, case when g.team_id is null then 'fallback' else 'confirmed' end as lineup_source from lineup_v l left join good g on g.fixture_id = l.fixture_id and g.team_id = l.team_id", "lineup_v")
+@query(f"""with good as (select fixture_id, team_id from ({_ROSTER}) where players = 2 and names = 2) select l.fixture_id, l.team_id,
+ l.line_no, case when g.team_id is null then 'fallback' else 'confirmed' end as lineup_source from lineup_v l left join good g on
+ g.fixture_id = l.fixture_id and g.team_id = l.team_id""", "lineup_v")
 def lineup_resolution(spark, d):
     lineups = view(spark, d, "lineup_v")
     return features.resolve_lineups(lineups, lineups, 2).select("fixture_id", "team_id", "line_no", "lineup_source")
@@ -784,8 +892,10 @@ def dq_accepted_values(spark, d):
     return quality.accepted_values(view(spark, d, "match_v"), "status_short", rules.COMPLETED).select("fixture_id", "status_short")
 
 
-@query("""select 'fixture_unique' as check_name, count(*) as failing_rows, count(*) = 0 as passed from (select fixture_id from match_v group by 1 having count(*) > 1) union all select 'minutes_known', count(*), count(*) = 0 from player_v where games_minutes is null
- union all select 'fixture_known', count(*), count(*) = 0 from player_v where fixture_id not in (select fixture_id from match_v) union all select 'status_accepted', count(*), count(*) = 0 from match_v where status_short not in ('FT', 'AET', 'PEN', 'NS')""", "player_v")
+@query("""select 'fixture_unique' as check_name, count(*) as failing_rows, count(*) = 0 as passed from (select fixture_id from match_v
+ group by 1 having count(*) > 1) union all select 'minutes_known', count(*), count(*) = 0 from player_v where games_minutes is null
+ union all select 'fixture_known', count(*), count(*) = 0 from player_v where fixture_id not in (select fixture_id from match_v) union all
+ select 'status_accepted', count(*), count(*) = 0 from match_v where status_short not in ('FT', 'AET', 'PEN', 'NS')""", "player_v")
 def dq_suite(spark, d):
     m, p = view(spark, d, "match_v"), view(spark, d, "player_v")
     return quality.run_checks({"fixture_unique": quality.unique(m, "fixture_id"), "minutes_known": quality.not_null(p, ["games_minutes"]), "fixture_known": quality.relationships(p, m, "fixture_id"), "status_accepted": quality.accepted_values(m, "status_short", [*rules.COMPLETED, "NS"])})
@@ -819,9 +929,12 @@ def align_schema(spark, d):
     return six(io.align_to_schema(rows, schema))
 
 
-@query("""select key as field, case when count(distinct json_type(doc, '$.' || key)) > 1 then 'VARIANT' when any_value(json_type(doc, '$.' || key)) in ('UBIGINT', 'BIGINT') then 'BIGINT'
- when any_value(json_type(doc, '$.' || key)) = 'VARCHAR' then 'STRING' when any_value(json_type(doc, '$.' || key)) = 'BOOLEAN' then 'BOOLEAN' else 'OBJECT' end as kind
- from (select doc, unnest(json_keys(doc)) as key from (select case when event_id % 7 = 0 then json_object('k', event_id, 'user', concat('u', user_id), 'late', value > 100) else props::json end as doc from events where props is not null)) group by 1""")
+@query("""select key as field, case when count(distinct json_type(doc, '$.' || key)) > 1 then 'VARIANT' when any_value(json_type(doc, '$.'
+ || key)) in ('UBIGINT', 'BIGINT') then 'BIGINT'
+ when any_value(json_type(doc, '$.' || key)) = 'VARCHAR' then 'STRING' when any_value(json_type(doc, '$.' || key)) = 'BOOLEAN' then
+ 'BOOLEAN' else 'OBJECT' end as kind
+ from (select doc, unnest(json_keys(doc)) as key from (select case when event_id % 7 = 0 then json_object('k', event_id, 'user', concat('u',
+ user_id), 'late', value > 100) else props::json end as doc from events where props is not null)) group by 1""")
 def infer_schema(spark, d):
     """Fields and kinds of all documents of a column, some of which have more fields than the first."""
     more = F.to_json(F.struct(F.col("event_id").alias("k"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"), (F.col("value") > 100).alias("late")))
@@ -831,25 +944,29 @@ def infer_schema(spark, d):
     return spark.createDataFrame([(name, kind) for name, kind in fields], "field string, kind string")
 
 
-@query("select event_id, length(trim(regexp_replace(props, '\\s+', ' ', 'g'))) as n_chars, substr(trim(regexp_replace(props, '\\s+', ' ', 'g')), 1, 500) as clean from events where props is not null")
+@query("""select event_id, length(trim(regexp_replace(props, '\\s+', ' ', 'g'))) as n_chars, substr(trim(regexp_replace(props, '\\s+', ' ',
+ 'g')), 1, 500) as clean from events where props is not null""")
 def error_text(spark, d):
     """Every space of a text is spread over lines and tabs first; what comes back is the text."""
     clean = S.error_text(F.concat(F.lit("\n "), F.regexp_replace("props", " ", "\n \t "), F.lit(" \r\n")))
     return table(spark, d, "events").where("props is not null").select("event_id", F.length(clean).cast("bigint").alias("n_chars"), clean.alias("clean"))
 
 
-@query("""select event_id, sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}') as digest from events""")
+@query("""select event_id, sha256('{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}') as
+ digest from events""")
 def payload_fingerprint(spark, d):
     return table(spark, d, "events").select("event_id", S.fingerprint("event_id", "event_type", "user_id").alias("digest"))
 
 
-@query("select fixture_id, round(1 / (1 + pow(10::double, ((1500 + away_team_id * 20) - (1500 + home_team_id * 20)) / 400.0::double)), 6) as expected from match_v", "match_v")
+@query("""select fixture_id, round(1 / (1 + pow(10::double, ((1500 + away_team_id * 20) - (1500 + home_team_id * 20)) / 400.0::double)), 6)
+ as expected from match_v""", "match_v")
 def elo_expected(spark, d):
     home, away = (F.col(f"{side}_team_id") * 20.0 + 1500.0 for side in ("home", "away"))
     return six(view(spark, d, "match_v").select("fixture_id", S.elo_expected(home, away).alias("expected")))
 
 
-@query("select event_id, cast(case when event_type = 'click' then 'c' end as varchar) as kind, cast(event_id as int) as number, round(value, 6) as amount from events")
+@query("""select event_id, cast(case when event_type = 'click' then 'c' end as varchar) as kind, cast(event_id as int) as number,
+ round(value, 6) as amount from events""")
 def project_paths(spark, d):
     nested = F.struct(F.struct(F.when(F.col("event_type") == "click", "c").alias("kind")).alias("a"), F.struct(F.struct(F.col("event_id").cast("string").alias("n"), F.col("value").alias("v")).alias("c")).alias("b"))
     rows = table(spark, d, "events").select("event_id", F.from_json(F.to_json(nested), "a struct<kind string>, b struct<c struct<n string, v double>>").alias("p"))
@@ -875,7 +992,8 @@ def quota_errors(spark, d):
     return table(spark, d, "events").select("event_id", S.is_quota_error(text).alias("is_quota"))
 
 
-@query("select event_id, case when event_id % 5 = 0 then null else cast(ts as date) end as day, case when event_id % 5 = 0 then null else cast(date_part('hour', ts) as int) end as hour, case when event_id % 3 = 0 then null else cast(event_id as int) end as number from events")
+@query("""select event_id, case when event_id % 5 = 0 then null else cast(ts as date) end as day, case when event_id % 5 = 0 then null else
+ cast(date_part('hour', ts) as int) end as hour, case when event_id % 3 = 0 then null else cast(event_id as int) end as number from events""")
 def parse_dates(spark, d):
     k = F.col("event_id")
     text = F.when(k % 5 == 0, F.lit("not a date")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
@@ -884,7 +1002,8 @@ def parse_dates(spark, d):
     return table(spark, d, "events").select("event_id", F.to_date(at).alias("day"), F.hour(at).alias("hour"), number.try_cast("int").alias("number"))
 
 
-@query("select event_id, upper(event_type) as kind, round(abs(value - 50), 6) as gap, round(greatest(least(value, 60), 40), 6) as held, round(exp(-value / 100), 6) as decay, coalesce(event_type, 'none') as known from events")
+@query("""select event_id, upper(event_type) as kind, round(abs(value - 50), 6) as gap, round(greatest(least(value, 60), 40), 6) as held,
+ round(exp(-value / 100), 6) as decay, coalesce(event_type, 'none') as known from events""")
 def builtin_expressions(spark, d):
     trip = F.from_json(F.to_json(F.struct("event_type", "value")), "event_type string, value double")
     rows = table(spark, d, "events").withColumn("j", trip)
@@ -892,7 +1011,8 @@ def builtin_expressions(spark, d):
     return six(rows.select("event_id", F.upper("j.event_type").alias("kind"), F.abs(v - 50).alias("gap"), S.clip(v, 40.0, 60.0).alias("held"), F.exp(-v / 100).alias("decay"), F.coalesce("j.event_type", F.lit("none")).alias("known")))
 
 
-@query("select event_id, round(exp(-0.6931471805599453 / 10 * greatest(0, (epoch(timestamp '2024-02-01') - floor(epoch(ts))) / 86400.0)), 6) as weight from events")
+@query("""select event_id, round(exp(-0.6931471805599453 / 10 * greatest(0, (epoch(timestamp '2024-02-01') - floor(epoch(ts))) / 86400.0)),
+ 6) as weight from events""")
 def recency_weights(spark, d):
     return six(table(spark, d, "events").select("event_id", S.recency_weight(F.col("ts"), F.to_timestamp(F.lit(AS_OF)), 10.0).alias("weight")))
 
@@ -927,7 +1047,8 @@ def json_window_landing(spark, d):
     return landed
 
 
-@query("select cast(year(m.fixture_date) as int) as match_year, count(*) as n_rows, cast(sum(p.games_minutes) as bigint) as minutes from player_v p join match_v m on m.fixture_id = p.fixture_id group by 1", "player_v")
+@query("""select cast(year(m.fixture_date) as int) as match_year, count(*) as n_rows, cast(sum(p.games_minutes) as bigint) as minutes from
+ player_v p join match_v m on m.fixture_id = p.fixture_id group by 1""", "player_v")
 def write_read_partitioned(spark, d):
     rows = _dated(spark, d).withColumn("match_year", F.year("fixture_date"))
     path = scratch(spark, "partitioned")
@@ -945,7 +1066,8 @@ def upsert_target_exists(spark, d):
     return six(io.read_target(spark, name))
 
 
-@query("select o_orderkey, case when o_orderstatus = 'P' then 'later' else 'first' end as version, round(case when o_orderstatus = 'P' then o_totalprice + 2 else o_totalprice end, 6) as price from orders")
+@query("""select o_orderkey, case when o_orderstatus = 'P' then 'later' else 'first' end as version, round(case when o_orderstatus = 'P'
+ then o_totalprice + 2 else o_totalprice end, 6) as price from orders""")
 def merge_late_rows(spark, d):
     """Of two landings of a row the later one counts, in whichever order they come."""
     name = f"lakeloom_{uuid.uuid4().hex}"

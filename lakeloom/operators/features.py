@@ -125,7 +125,9 @@ def common_opponent_factors(matches: DataFrame, totals: DataFrame, elo: DataFram
     """team_id, rival_id, factor: how many shots a team lets the opponents it shares with a rival have, against what
     these have in their other matches, scaled by the team's rating and held between 0.5 and 1.5.
 
-    ``matches`` has fixture_id and both side ids, ``totals`` shots by fixture and team, ``elo`` team_id and elo.
+    ``matches`` has fixture_id and both side ids, ``totals`` shots by fixture and team, ``elo`` team_id and elo. The
+    result itself holds every pair of rivals that met one opponent: it grows with the square of the teams that did, and
+    what is joined are pairs of teams, summed before, never matches.
     """
     sides = matches.select("fixture_id", F.explode(F.array(F.struct(F.col("home_team_id").alias("team"), F.col("away_team_id").alias("opponent")), F.struct(F.col("away_team_id").alias("team"), F.col("home_team_id").alias("opponent")))).alias("s")).select("fixture_id", "s.*")
     # Shots of the opponent in the match against ``team``.
