@@ -237,9 +237,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     got = pieces(written(rows, "mix-rows"), drawn)
     by_pass = got.groupBy("number", "start", "doc_id", "source", "tie", "size", "pass").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.collect_list(F.struct("from_word", "to_word")).alias("parts"))
     whole = F.col("taken") == F.col("size")
-    # One row a document, so that its text is joined once; its passes are at most ``cap`` + 1.
-    drawn_docs = by_pass.select("doc_id", "source", "tie", F.when(~whole, F.array_sort("parts")).alias("parts"))
-    per_text = drawn_docs.groupBy("doc_id", "source", "tie").agg(F.collect_list(F.coalesce("parts", F.array())).alias("passes"))
+    # One row a place in the stream, so that a text is joined once for it; its passes are at most ``cap`` + 1.
+    drawn_rows = by_pass.select("number", "start", "doc_id", "source", "tie", F.when(~whole, F.array_sort("parts")).alias("parts"))
+    per_place = drawn_rows.groupBy("number", "start", "doc_id", "source", "tie").agg(F.collect_list(F.coalesce("parts", F.array())).alias("passes"))
     column = {n: F.col(f"in_{i}") for i, n in enumerate(names)}
     key = [column["doc_id"].alias("key_id"), column["source"].alias("key_source"), F.xxhash64(column["text"]).alias("key_tie")]
     one = docs.select(*[F.col(f"`{n}`").alias(f"in_{i}") for i, n in enumerate(names)]).select("*", *key)
@@ -247,9 +247,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     if keys.where("count > 1").limit(1).count():
         one = one.dropDuplicates(["key_id", "key_source", "key_tie"])
     on = F.col("key_id").eqNullSafe(F.col("doc_id")) & F.col("key_source").eqNullSafe(F.col("source")) & (F.col("key_tie") == F.col("tie"))
-    unfolded = one.join(per_text, on).select(*column.values(), F.explode("passes").alias("parts"))
     place = f"in_{names.index('text')}"
-    cut = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(words_of(place), x["from_word"] + 1, x["to_word"] - x["from_word"]))), " ")
+    # A text is split once, before its passes unfold: inside the function below it would be split for every part.
+    split = one.join(per_place, on).withColumn("words", F.when(F.exists("passes", lambda p: F.size(p) > 0), words_of(place)))
+    unfolded = split.select(*column.values(), "words", F.explode("passes").alias("parts"))
+    cut = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice("words", x["from_word"] + 1, x["to_word"] - x["from_word"]))), " ")
     text = F.when(F.size("parts") == 0, F.col(place)).otherwise(cut)
     changed = unfolded.withColumn("text_", text)
     column["text"] = F.col("text_")
