@@ -158,10 +158,10 @@ def shard_draws(sources: DataFrame, counts: DataFrame, shard: int = SHARD) -> Da
     short = short.withColumn("at", F.coalesce(F.sum("n").over(behind), F.lit(0)))
     full = F.explode(F.sequence(F.expr(f"at div {shard}"), F.expr(f"(at + n - 1) div {shard}"))).alias("nth")
     lo, hi = F.greatest(F.col("at"), F.col("nth") * shard), F.least(F.col("at") + F.col("n"), (F.col("nth") + 1) * shard)
-    every = sources.agg(F.ceil(F.sum("draws") / shard).cast("long").alias("shards"))
-    last = short.select("*", full).join(F.broadcast(every), F.lit(True))  # one row
+    shards = sources.agg(F.coalesce(F.ceil(F.sum("draws") / shard).cast("long"), F.lit(0))).first()[0]
+    last = short.select("*", full)
     columns = [c for c in sources.columns if c != "number"]
-    last = last.select("number", (F.col("shards") + F.col("nth")).alias("shard"), (F.col("first") + lo - F.col("at")).alias("first"), (hi - lo).alias("n"), *columns)
+    last = last.select("number", (F.lit(shards) + F.col("nth")).alias("shard"), (F.col("first") + lo - F.col("at")).alias("first"), (hi - lo).alias("n"), *columns)
     return drawn.where("n > 0").select("number", "shard", "first", "n", *columns).unionByName(last)
 
 
