@@ -24,7 +24,7 @@ from lakeloom.llm.common import byte_chunks, folded, is_space, pick, small_side,
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
 #: Places of a worker's table of known words (24 bytes each), and ids it keeps for them (4 bytes each).
-KNOWN_WORDS, KNOWN_IDS = 1 << 21, 1 << 24
+KNOWN_WORDS, KNOWN_IDS = 1 << 20, 1 << 23
 
 _ENCODERS: dict = {}
 #: Punctuation that may follow a run of letters: the tokenizer parts the two, whatever they are.
