@@ -28,6 +28,8 @@ WINDOW, PHRASE = 20, 6
 PHRASE_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Distinct pieces of one shard, about; and those of one anchor beyond which each window goes its own way.
 SHARD_PIECES, HOT_PIECES = 10_000, 5_000
+#: Pieces that occur more than once, up to which they are broadcast (about 100 bytes each); more are joined by a shuffle.
+REPEATED_PIECES = 200_000
 #: Bytes kept of a word's hash in a piece.
 BYTES = 5
 
@@ -142,7 +144,7 @@ class RepeatedPassages:
         place = F.struct("d", "t", "at")
         merged = written(pieces.groupBy("anchor", "piece").agg(F.min(place).alias("first"), F.count("*").alias("n")), "pieces")
         key = F.xxhash64("piece").alias("key")
-        several = small_side(merged.where("n > 1").select("anchor", key, "first"))
+        several = small_side(merged.where("n > 1").select("anchor", key, "first"), REPEATED_PIECES)
         words = (F.octet_length("piece") / BYTES).cast("int").alias("words")
         later = pieces.select("anchor", key, "d", "t", "at", words).join(several, ["anchor", "key"]).where("first != struct(d, t, at)")
         return merged.select("anchor", "piece", "first.*"), later.select("d", "t", F.col("at").alias("start"), (F.col("at") + F.col("words")).alias("stop"))
