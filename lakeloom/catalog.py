@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions import scalar as S
 from lakeloom.functions.names import normalize_name
+from lakeloom.operators.increments import IncrementTable
 from lakeloom.operators import elo, features, keyed, quality, rules, shape, state
 from lakeloom.plans import gold, silver
 from lakeloom.sources import io
@@ -455,6 +456,21 @@ def checkpoint_merge(spark, d):
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started_at_utc", "completed_at_utc")})
 
 
+def checkpoint_table(spark, d):
+    """The same from a stored checkpoint: the earlier rows in two batches, compacted, then the later ones."""
+    rows, stored = view(spark, d, "ckpt_v"), state.checkpoint_table(spark, scratch(spark, "checkpoint"))
+    part = lambda cond: keyed.latest_by_key(rows.where(cond), _CKPT_KEYS, [F.desc("event_id")])
+    even = F.xxhash64(*_CKPT_KEYS) % 2 == 0
+    for batch in (part("event_id < 5000").where(even), part("event_id < 5000").where(~even)):
+        state.record_attempts(stored, batch)
+        stored.compact()
+    out = state.record_attempts(stored, part("event_id >= 5000"))
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started_at_utc", "completed_at_utc")})
+
+
+QUERIES["checkpoint_table"], ORACLES["checkpoint_table"] = checkpoint_table, ORACLES["checkpoint_merge"]
+
+
 _WINDOWS = """(select distinct date_trunc('week', target_date)::date as window_start, date_trunc('week', target_date)::date + 6 as
  window_end from ckpt_v)"""
 
@@ -1078,12 +1094,34 @@ def merge_late_rows(spark, d):
     return six(spark.table(name).select("o_orderkey", "version", "price"))
 
 
+@query("""select c_custkey, case when c_custkey % 3 = 0 then 2 else 1 end as part_number, round(c_acctbal, 6) as seq, case when c_custkey % 3 =
+ 0 then c_mktsegment end as segment from customer""")
+def merge_into_columns(spark, d):
+    """Columns named as an engine might name its own, and one that only the second merge has."""
+    name = f"lakeloom_{uuid.uuid4().hex}"
+    rows = table(spark, d, "customer").select("c_custkey", F.lit(1).alias("part_number"), F.col("c_acctbal").alias("seq"), F.col("c_mktsegment").alias("segment"))
+    state.merge_into(spark, name, rows.drop("segment"), ["c_custkey"])
+    return six(state.merge_into(spark, name, rows.where("c_custkey % 3 = 0").withColumn("part_number", F.lit(2)), ["c_custkey"], add_columns=True))
+
+
+@query("""select o_orderkey, case when o_orderkey % 10 = 0 then 9 else o_orderkey % 10 end::int as batch, round(o_totalprice + case when o_orderkey % 10 = 0
+ then 9 else o_orderkey % 10 end, 6) as price from orders""")
+def merge_many(spark, d):
+    """Ten merges, in the course of which small increments are merged with one another; a tenth of the rows comes in each."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    name, digit = f"lakeloom_{uuid.uuid4().hex}", F.col("o_orderkey") % 10
+    for batch in range(10):
+        part = rows.where((digit == batch) | (digit == 0)).select("o_orderkey", F.lit(batch).alias("batch"), (F.col("price") + batch).alias("price"))
+        out = state.merge_into(spark, name, part, ["o_orderkey"])
+    return six(out)
+
+
 @query("select o_orderkey, o_orderstatus, round(o_totalprice * 2, 6) as price from orders")
 def materialized_model(spark, d):
     """A model rebuilt as a table: the second build replaces the first."""
     name = f"lakeloom_{uuid.uuid4().hex}"
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
-    io.materialize(rows.limit(10), name)
+    io.materialize(rows, name)
     return six(io.materialize(rows.withColumn("price", F.col("price") * 2), name))
 
 
@@ -1119,6 +1157,41 @@ def elo_conservation(spark, d):
     return gain.groupBy("pool").agg(F.count("*").alias("n_matches"), F.bool_and(F.abs("gain") < 1e-9).alias("is_conserved"))
 
 
+# --- stored tables kept up to date ---
+
+
+@query("""select cast(target_date as date) as window_start, cast(target_date as date) as window_end, 'COMPLETED' as status, count(*) as records,
+ case when day(target_date) = 3 or day(target_date) >= 20 then 2 else 1 end as run from ckpt_v group by 1, 2, 5""", "ckpt_v")
+def backfill_resumed(spark, d):
+    """A stored backfill whose first run meets a timeout and a quota; the second takes up what is pending and ends it."""
+    days = view(spark, d, "ckpt_v").groupBy(F.col("target_date").alias("window_start"), F.col("target_date").alias("window_end")).agg(F.count("*").alias("records"))
+    error = F.when(F.day("window_start") == 3, "timeout").when(F.day("window_start") >= 20, "quota used up")
+    stored = state.window_table(spark, scratch(spark, "windows"))
+    for run, failed in ((1, error), (2, F.lit(None).cast("string"))):
+        attempt = lambda todo: todo.join(days, state.WINDOW_KEYS).withColumn("error", failed)  # noqa: B023, E731
+        out = state.backfill(stored, days, attempt, F.to_timestamp(F.lit(f"2024-03-0{run} 00:00:00")), scratch(spark, "attempts"))
+    return out.select("window_start", "window_end", "status", "records", F.day("updated_at").alias("run"))
+
+
+def _landings(spark, d, wrong, at):
+    """Landed payloads of all fixtures at a time; ``wrong`` ones lack all minutes."""
+    players = view(spark, d, "player_v")
+    players = players.withColumn("games_minutes", F.lit(None).cast("int")) if wrong else players
+    return player_payloads(players).select(F.col("fixture_id").cast("int").alias("fixture_id"), F.to_timestamp(F.lit(at)).alias("landed_at"), "raw_payload")
+
+
+@query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, player_id, games_minutes, shots_total, shots_on, goals_total from silver", "player_v")
+def silver_refresh(spark, d):
+    """A typed table brought up to date after each of two landings, of which it reads the new one only."""
+    stored = IncrementTable(spark, scratch(spark, "typed"), ["fixture_id", "team_id", "player_id"], order="ingested_at_utc")
+    bronze = None
+    for wrong, at in ((True, "2024-02-01"), (False, "2024-02-02")):
+        landed = io.land_envelopes(_landings(spark, d, wrong, at), run_id="run", endpoint="fixtures/players", at=F.col("landed_at"))
+        bronze = landed if bronze is None else bronze.unionByName(landed)
+        silver.refresh(stored, bronze, silver.silver_player_stats)
+    return stored.read().select("fixture_id", "team_id", "player_id", "games_minutes", "shots_total", "shots_on", "goals_total")
+
+
 # --- streams ---
 
 
@@ -1144,3 +1217,14 @@ def stream_dedup(spark, d):
     once = ingest.without_replays(ingest.landing_stream(spark, _landed(spark, d, 3)))
     once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).groupBy("fixture_id").agg(F.count("*").alias("n_landed"))
+
+
+@query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, player_id, games_minutes, shots_total, shots_on, goals_total from silver", "player_v")
+def stream_late_landings(spark, d):
+    """Two runs of a stream: newer landings replace older ones, replays and late older landings of the second change nothing."""
+    name, folder, checkpoint = f"lakeloom_{uuid.uuid4().hex}", scratch(spark, "landing"), scratch(spark, "stream")
+    old, new, even = _landings(spark, d, True, "2024-02-01"), _landings(spark, d, False, "2024-02-02"), F.col("fixture_id") % 2 == 0
+    for rows in (new.where(even).unionByName(old.where(~even)), old.unionByName(new)):
+        rows.write.mode("append").json(folder)
+        out = ingest.stream_into(spark, folder, name, checkpoint, silver.silver_player_stats, ["fixture_id", "team_id", "player_id"])
+    return out.select("fixture_id", "team_id", "player_id", "games_minutes", "shots_total", "shots_on", "goals_total")

@@ -1,24 +1,19 @@
-"""State tables kept by upserts: new rows beside the old ones, and a view that tells which count; nothing is changed in
-place."""
+"""State tables kept by upserts: of rows and of checkpoints, as frames or stored as increments."""
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.scalar import is_quota_error
+from lakeloom.operators.increments import IncrementTable, same_keys
 from lakeloom.operators.keyed import latest_by_key
 
 DONE = ["COMPLETED", "SKIPPED"]
 
 
-def _same(a: str, b: str, keys: list[str]) -> F.Column:
-    return reduce(lambda x, y: x & y, [F.col(f"{a}.`{k}`").eqNullSafe(F.col(f"{b}.`{k}`")) for k in keys])
-
-
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
     """Rows of ``target`` whose key ``source`` lacks, and all of ``source``; null keys are equal to each other.
 
@@ -26,70 +21,37 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: b
     """
     if check and source.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError("the source holds a key more than once")
-    kept = target.alias("t").join(source.select(*keys).alias("s"), _same("t", "s", keys), "left_anti")
+    kept = target.alias("t").join(source.select(*keys).alias("s"), same_keys("t", "s", keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
-#: Increments that a table may gather before a merge writes it anew as one.
-COMPACT_AFTER = 16
-_PARTS = "lakeloom.parts"
+def open_table(spark: SparkSession, name: str, keys: list[str], order: str | None = None, **rules) -> IncrementTable:
+    """The keyed table of that name below the warehouse; see :class:`IncrementTable` for what its rules may be."""
+    context = spark.sparkContext
+    if not context.master.startswith("local") and not context.getConf().contains("spark.sql.warehouse.dir"):
+        raise ValueError("set spark.sql.warehouse.dir to a folder that the driver and the executors share")
+    return IncrementTable(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/{name.replace('.', '/')}.increments", keys, order, **rules)
 
 
-def merge_into(spark: SparkSession, name: str, source: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """Upsert into a table that is kept as increments, and return the table.
+def merge_into(spark: SparkSession, name: str, source: DataFrame, keys: list[str], order: str | None = None, add_columns: bool = False) -> DataFrame:
+    """Upsert into the keyed table ``name`` and return it; a name without a schema also becomes a view of the session.
 
-    Each call writes ``source`` alone, as one more folder below the warehouse, and then replaces the view ``name`` over
-    all folders, which shows the newest row of each key (null keys are equal to each other). That replacement is the one
-    step that counts: a call that breaks off before it leaves the table as it was, and can be made again. After
-    COMPACT_AFTER increments a call writes the whole as one folder. With ``order`` the row with the greatest value of that
-    column is the newest, in the table and in ``source``, so late landings change nothing; of equal ones, and without
-    ``order``, that of the later call. A key that ``source`` has twice is an error then. Folders that no view shows any
-    more are scratch.
+    What counts, what fails and what happens to a merge that breaks off: see :class:`IncrementTable`. A name that
+    another table or view has is an error.
     """
-    exists = spark.catalog.tableExists(name)
-    columns = spark.table(name).columns if exists else source.columns
-    if order is not None:
-        source = latest_by_key(source, keys, [F.desc_nulls_last(order), F.xxhash64(*columns)])
-    elif source.groupBy(*keys).count().where("count > 1").limit(1).count():
-        raise ValueError("the source holds a key more than once")
-    parts = [*(_parts_of(spark, name) if exists else []), _add_part(spark, name, source.select(*columns))]
-    if len(parts) > COMPACT_AFTER:
-        parts = [_add_part(spark, name, spark.sql(_newest(parts, columns, keys, order)))]
-    _point(spark, name, parts, _newest(parts, columns, keys, order))
-    return spark.table(name)
-
-
-def _parts_of(spark: SparkSession, name: str) -> list[str]:
-    found = {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {name}").collect()}  # a few settings
-    if _PARTS not in found:
+    table = open_table(spark, name, keys, order)
+    if table.head() is None and spark.catalog.tableExists(name):
         raise ValueError(f"{name} is not a table that merge_into keeps")
-    return found[_PARTS].split(",")
-
-
-def _add_part(spark: SparkSession, name: str, rows: DataFrame) -> str:
-    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/{name.replace('.', '/')}.parts/{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return path
-
-
-def _newest(parts: list[str], columns: list[str], keys: list[str], order: str | None) -> str:
-    """SQL of the newest row of each key over the folders."""
-    names = ", ".join(f"`{c}`" for c in columns)
-    if len(parts) == 1:
-        return f"select {names} from parquet.`{parts[0]}`"
-    every = " union all ".join(f"select {names}, {i} as part_number from parquet.`{p}`" for i, p in enumerate(parts))
-    first = f"`{order}` desc nulls last, " if order else ""
-    rank = f"row_number() over (partition by {', '.join(f'`{k}`' for k in keys)} order by {first}part_number desc)"
-    return f"select {names} from (select *, {rank} as part_rank from ({every})) where part_rank = 1"
-
-
-def _point(spark: SparkSession, name: str, parts: list[str], sql: str) -> None:
-    spark.sql(f"create or replace view {name} tblproperties ('{_PARTS}' = '{','.join(parts)}') as {sql}")
+    table.merge(source, add_columns=add_columns)
+    rows = table.read()
+    if "." not in name:
+        rows.createOrReplaceTempView(name)
+    return rows
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` and those rows of ``source`` whose key it lacks."""
-    new = source.alias("s").join(target.select(*keys).alias("t"), _same("s", "t", keys), "left_anti")
+    new = source.alias("s").join(target.select(*keys).alias("t"), same_keys("s", "t", keys), "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 
@@ -156,6 +118,43 @@ def checkpoint_upsert(checkpoint: DataFrame, updates: DataFrame, force: bool = F
     return state.select(*CHECKPOINT_KEYS, F.col("state.status").alias("status"), F.col("attempt_count").cast("bigint").alias("attempt_count"), F.col("state.last_error").alias("last_error"), "started_at_utc", done.alias("completed_at_utc"))
 
 
+def checkpoint_table(spark: SparkSession, path: str) -> IncrementTable:
+    """A stored checkpoint: what :func:`checkpoint_upsert` says of two tables holds for all batches ever merged, whatever
+    of them has been compacted."""
+    return IncrementTable(spark, path, CHECKPOINT_KEYS, rules={"attempt_count": "sum", "started_at_utc": "min"}, first=("status", "COMPLETED"))
+
+
+def record_attempts(table: IncrementTable, updates: DataFrame, force: bool = False) -> DataFrame:
+    """Merge a batch of updates, one row a key, into a stored checkpoint and return the checkpoint."""
+    done = F.when(F.col("status").isin(DONE), F.col("completed_at_utc"))
+    rows = updates.select(*CHECKPOINT_KEYS, "status", F.col("attempt_count").cast("bigint").alias("attempt_count"), "last_error", "started_at_utc", done.alias("completed_at_utc"))
+    table.merge(rows, force=force)
+    return table.read()
+
+
+def window_table(spark: SparkSession, path: str) -> IncrementTable:
+    """A stored checkpoint of windows, of which the newest update counts, as :func:`window_upsert` says."""
+    return IncrementTable(spark, path, WINDOW_KEYS, order="updated_at")
+
+
+def backfill(table: IncrementTable, windows: DataFrame, attempt: Callable[[DataFrame], DataFrame], at: F.Column, scratch: str) -> DataFrame:
+    """One run over the windows that a stored checkpoint has not COMPLETED; the next run goes on where this one ended.
+
+    Windows it doesn't know yet are added as PENDING. ``attempt`` takes the windows to do and gives a row for each with
+    records and error, landing its payloads on the way; that is written to ``scratch`` before it is settled, so it
+    happens once. Returns the checkpoint.
+    """
+    begun = F.lit(None).cast("timestamp")  # before every update
+    columns = [*WINDOW_KEYS, "status", "records", "updated_at"]
+    fresh = windows.select(*WINDOW_KEYS).distinct()
+    if table.head() is not None:
+        fresh = fresh.join(table.read().select(*WINDOW_KEYS), WINDOW_KEYS, "left_anti")
+    table.merge(fresh.select(*WINDOW_KEYS, F.lit("PENDING").alias("status"), F.lit(0).cast("bigint").alias("records"), begun.alias("updated_at")))
+    attempt(pending_windows(windows.select(*WINDOW_KEYS).distinct(), table.read())).write.parquet(scratch)
+    table.merge(settle_windows(table.spark.read.parquet(scratch), at).select(*columns))
+    return table.read()
+
+
 def completed_keys(checkpoint: DataFrame, endpoint: str, target_date=None) -> DataFrame:
     """Keys that an endpoint has completed, each once."""
     rows = checkpoint.where((F.col("endpoint") == endpoint) & (F.col("status") == "COMPLETED") & F.col("fixture_id").isNotNull())

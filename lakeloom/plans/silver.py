@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.names import normalize_name
 from lakeloom.operators import keyed, shape
+from lakeloom.operators.increments import IncrementTable
 
 #: Columns of the typed tables: path in the flattened payload and type.
 FIXTURE_COLUMNS = {
@@ -81,6 +84,25 @@ def silver_lineups(bronze: DataFrame, since: Column | None = None) -> DataFrame:
     return shape.project_paths(df, _itself(df, "fixture_id", "team_id", "player_id", "is_starting") | LINEUP_COLUMNS | _itself(df, "response_hash", *_landed(df)))
 
 
+def refresh(table: IncrementTable, bronze: DataFrame, normalize: Callable[[DataFrame], DataFrame], lag: str | None = None) -> bool:
+    """Bring a stored typed table up to date with what has landed since; False if nothing has.
+
+    The table's mark is the landing time up to which it has read; it moves in the same step as the rows, so a run that
+    breaks off repeats nothing and leaves nothing out. ``table`` goes by ingested_at_utc. With ``lag``, an interval such as
+    ``1 hour``, landings from so long before the mark are read again: writers that take that long to land don't slip by.
+    """
+    mark, when = table.marks().get("landed"), F.unix_micros("ingested_at_utc")
+    rows = bronze
+    if mark is not None:
+        since = F.timestamp_micros(F.lit(mark))
+        rows = bronze.where(F.col("ingested_at_utc") > (since if lag is None else since - F.expr(f"interval {lag}")))
+    newest = rows.agg(F.max(when)).first()[0]
+    if newest is None or (mark is not None and newest <= mark and lag is None):
+        return False
+    table.merge(normalize(rows.where(when <= newest)), marks={"landed": max(newest, mark or newest)})
+    return True
+
+
 def dead_letters(bronze: DataFrame) -> DataFrame:
     """Landed rows whose payload isn't JSON."""
     from lakeloom.sources.io import quarantine

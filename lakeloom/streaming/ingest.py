@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.operators import state
+from lakeloom.operators.increments import IncrementTable
 from lakeloom.sources.io import land_envelopes
 
 _ENVELOPE = "fixture_id int, landed_at timestamp, raw_payload string"
@@ -24,20 +28,68 @@ def without_replays(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     return stream.withColumn("response_hash", F.sha2("raw_payload", 256)).withWatermark("landed_at", delay).dropDuplicatesWithinWatermark(["fixture_id", "response_hash"])
 
 
-def refresh(spark: SparkSession, batch: DataFrame, table: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str], endpoint: str, run_id: str) -> None:
-    """Upsert the typed rows of one batch of payloads into ``table``; ``normalize`` keeps ingested_at_utc, by which the
-    newest landing of a key counts. A replayed batch, or an older landing that comes late, changes nothing. What a batch
-    writes grows with the batch, not with the table."""
-    bronze = land_envelopes(batch, run_id=run_id, endpoint=endpoint, at=F.col("landed_at"))
-    state.merge_into(spark, table, normalize(bronze), keys, order="ingested_at_utc")
+_NEWEST = "fixture_id int, landed_at timestamp, raw_payload string, response_hash string"
+
+
+#: What the state keeps of a fixture: its newest landing's time and half its hash, and when it last had one.
+_KNOWN = np.dtype([("fixture", "<i8"), ("landed", "<i8"), ("hash", "S32"), ("seen", "<i8")])
+_NONE = -(2**63)
+
+
+def newest_landings(stream: DataFrame, idle: str = "7 days", buckets: int = 1024) -> DataFrame:
+    """Of each fixture the landing that is newer than all before it, if a batch has one (of equal times the least hash).
+
+    The state keeps 56 bytes a fixture, not its payload, packed by ``buckets`` of fixtures (a few hundred fixtures a
+    bucket keep both the calls and what one rewrites small), and drops a fixture when its bucket is next touched, ``idle``
+    or more after its last landing (timeouts of Spark's own would keep a run over what has landed from ending); then an
+    older landing may come through again, which an upsert by landing time ignores. Landings are late only by each
+    other, never by a watermark, so the first landing of a fixture always comes through, however old. Null times are
+    older than all others, and rows without a fixture count as one fixture.
+    """
+    names = [part.split()[0] for part in _NEWEST.split(", ")]
+    kept = int(pd.Timedelta(idle).total_seconds() * 1_000_000)
+
+    def keep(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        now = time.time_ns() // 1000
+        known = np.frombuffer(state.get[0], _KNOWN) if state.exists else np.empty(0, _KNOWN)
+        known = known[known["seen"] > now - kept]
+        rows = pd.concat(list(frames), ignore_index=True)[names]
+        new = np.empty(len(rows), _KNOWN)
+        new["fixture"] = rows["fixture_id"].astype("Int64").fillna(_NONE).to_numpy(np.int64)
+        landed = pd.to_datetime(rows["landed_at"])
+        new["landed"] = np.where(landed.notna(), landed.astype("datetime64[us]").astype("int64"), _NONE)
+        new["hash"], new["seen"] = rows["response_hash"].fillna("").str[:32].astype("S32").to_numpy(), now
+        both, place = np.concatenate([known, new]), np.arange(len(known) + len(new)) - len(known)
+        order = np.lexsort([place, both["hash"], -both["landed"], both["fixture"]])  # what is known comes before an equal landing
+        first = np.ones(len(order), bool)
+        first[1:] = both["fixture"][order][1:] != both["fixture"][order][:-1]
+        best = order[first]
+        after = both[best]
+        seen = np.unique(new["fixture"])
+        after["seen"][np.isin(after["fixture"], seen)] = now
+        state.update((after.tobytes(),))
+        yield rows.iloc[np.sort(place[best[best >= len(known)]])]
+
+    rows = stream.select("fixture_id", "landed_at", "raw_payload", F.sha2("raw_payload", 256).alias("response_hash"), F.pmod(F.xxhash64("fixture_id"), F.lit(buckets)).alias("bucket"))
+    return rows.groupBy("bucket").applyInPandasWithState(keep, _NEWEST, "known binary", "append", "NoTimeout")
+
+
+def refresh(table: IncrementTable, batch: DataFrame, normalize: Callable[[DataFrame], DataFrame], endpoint: str, run_id: str) -> None:
+    """Upsert the typed rows of one batch of payloads into ``table``, which goes by ingested_at_utc; ``normalize`` keeps
+    that. A replayed batch, or an older landing that comes late, changes nothing, and what a batch writes grows with the
+    batch, not with the table."""
+    table.merge(normalize(land_envelopes(batch, run_id=run_id, endpoint=endpoint, at=F.col("landed_at"))))
 
 
 def stream_into(spark: SparkSession, folder: str, table: str, checkpoint: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str], endpoint: str = "fixtures/players", run_id: str = "stream") -> DataFrame:
-    """Run all files landed so far through :func:`refresh` and return the table."""
+    """Run all files landed so far, newest landings only, through :func:`refresh` and return the table."""
 
     def each(batch: DataFrame, _: int) -> None:
-        refresh(batch.sparkSession, batch, table, normalize, keys, endpoint, run_id)
+        refresh(state.open_table(batch.sparkSession, table, keys, "ingested_at_utc"), batch, normalize, endpoint, run_id)
 
-    query = without_replays(landing_stream(spark, folder)).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = newest_landings(landing_stream(spark, folder)).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(table)
+    rows = state.open_table(spark, table, keys, "ingested_at_utc").read()
+    if "." not in table:
+        rows.createOrReplaceTempView(table)
+    return rows

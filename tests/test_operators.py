@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions import scalar as S
 from lakeloom.functions.names import ACCENTED, PLAIN, normalize_name
-from lakeloom.operators import elo, features, keyed, quality, rules, shape, state
+from lakeloom.operators import elo, features, increments, keyed, quality, rules, shape, state
 from lakeloom.plans import gold, silver
 from lakeloom.sources import io
 from lakeloom.sources.driver_tables import view
@@ -170,12 +170,12 @@ def test_merge_into_table(spark):
 
 
 def test_merge_keeps_the_newest_landing(spark, monkeypatch):
-    monkeypatch.setattr(state, "COMPACT_AFTER", 2)
+    monkeypatch.setattr(increments, "FAN", 2)
     row = lambda v, day: spark.createDataFrame([(1, v, date(2024, 1, day))], "k int, v string, at date")
     for v, day, want in (("new", 2, "new"), ("old", 1, "new"), ("newer", 3, "newer"), ("again", 3, "again"), ("late", 2, "again")):
         state.merge_into(spark, "late_t", row(v, day), ["k"], order="at")
         assert [r.v for r in spark.table("late_t").collect()] == [want]
-        assert len(state._parts_of(spark, "late_t")) <= 2
+        assert len(state.open_table(spark, "late_t", ["k"], "at").head()["increments"]) == 1
     state.merge_into(spark, "late_t", row("x", 5).union(row("y", 6)).union(row("z", 4)), ["k"], order="at")
     assert [r.v for r in spark.table("late_t").collect()] == ["y"]
     spark.sql("drop view late_t")
@@ -189,7 +189,7 @@ def test_merge_that_breaks_off_changes_nothing(spark, monkeypatch):
         def stop(*_):
             raise RuntimeError("lost")
 
-        m.setattr(state, "_point", stop)
+        m.setattr(increments.IncrementTable, "_change", stop)
         with pytest.raises(RuntimeError):
             state.merge_into(spark, "broken_t", new, ["k"])
         assert {tuple(r) for r in spark.table("broken_t").collect()} == {(1, "a"), (2, "b")}
@@ -201,8 +201,7 @@ def test_merge_that_breaks_off_changes_nothing(spark, monkeypatch):
 def test_a_merge_writes_its_source_only(spark):
     state.merge_into(spark, "large_t", spark.range(1000).withColumn("v", F.lit(0)), ["id"])
     state.merge_into(spark, "large_t", spark.range(2).withColumn("v", F.lit(1)), ["id"])
-    sizes = [spark.read.parquet(p).count() for p in state._parts_of(spark, "large_t")]
-    assert sizes == [1000, 2] and spark.table("large_t").count() == 1000
+    assert [i["rows"] for i in state.open_table(spark, "large_t", ["id"]).head()["increments"]] == [1000, 2] and spark.table("large_t").count() == 1000
     spark.sql("drop view large_t")
 
 
