@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import pick, small_side
+from lakeloom.llm.common import pick, small_side, written
 from lakeloom.llm.toxicity import held_out
 
 #: Bounds of the sample: labelled documents and letters of a language, and letters of all languages together, which share
@@ -228,15 +228,17 @@ class Model:
 def sample_texts(docs: DataFrame) -> list[tuple[str, list[str]]]:
     """At most LETTERS characters of at most DOCUMENTS documents of each language; many languages share ALL_LETTERS.
 
-    Documents are chosen by a hash of their number and text, rows that repeat both once. A share of each language's rows,
-    four times those wanted, is taken by that hash before they are ranked, so that no language's rows meet in one task.
+    Documents are chosen by a hash of their number and text; rows that repeat both count once, so a language of one row
+    and its copies is learned like any other. A share of each language's documents, four times those wanted, is taken by
+    that hash before they are ranked, so that no language's documents meet in one task. Texts are read twice: for their
+    hashes, which are written, and for the sample.
     """
     usable = pick(docs, "doc_id", "text", "lang").where("text is not null and lang is not null and length(text) > 0")
     keyed = usable.select("lang", "doc_id", F.xxhash64("doc_id", "text").alias("key"), F.length("text").alias("size"))
-    keyed = keyed.select("*", (F.shiftrightunsigned("key", 11) / 2.0**53).alias("place"))
-    counts = keyed.groupBy("lang").agg(F.count("*").alias("rows"))
+    keyed = written(keyed.distinct(), "language-keys").select("*", (F.shiftrightunsigned("key", 11) / 2.0**53).alias("place"))
+    counts = written(keyed.groupBy("lang").agg(F.count("*").alias("rows")), "language-counts")
     share = small_side(counts.select("lang", (4.0 * DOCUMENTS / F.col("rows")).alias("share")))
-    near = keyed.join(share, "lang").where("place < share").select("lang", "doc_id", "key", "size").distinct()
+    near = keyed.join(share, "lang").where("place < share").select("lang", "doc_id", "key", "size")
     order = Window.partitionBy("lang").orderBy("key", "doc_id", "size")
     first = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= DOCUMENTS)
     languages = counts.count()

@@ -36,13 +36,14 @@ class Rule:
     base: bool = False
 
 
-# The base rules of the contract, then those the method adds.
+# The base rules of the contract, then those the method adds. A rule takes time in proportion to a text,
+# whatever that is: a run of token characters begins one web token at most.
 RULES = [
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
     Rule("hex", r"[0-9a-f]+", 0, 24, True),
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     Rule("bearer", r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{20,}=*)", 1, 20),
@@ -80,14 +81,15 @@ def _of_literals(words: set[str]) -> Query:
     return _any([one(w) for w in sorted(words)])
 
 
-_TOKEN = re.compile(r"""\\x(?P<code>[0-9A-Fa-f]{2})|\\(?P<escaped>.)|(?P<set>\[\^?\]?(?:\\.|[^\]\\])*\])|(?P<open>\((?:\?[aimsux]*(?:-[imsx]+)?:)?)(?!\?)
+_TOKEN = re.compile(r"""(?P<behind>\(\?<!\[[^\]\\]*\]\))|\\x(?P<code>[0-9A-Fa-f]{2})|\\(?P<escaped>.)|(?P<set>\[\^?\]?(?:\\.|[^\]\\])*\])|(?P<open>\((?:\?[aimsux]*(?:-[imsx]+)?:)?)(?!\?)
     |(?P<repeat>[*+?]|\{\d+(?:,\d*)?\})\??|(?P<plain>[^()|\\\[*+?{])|(?P<other>[()|])""", re.X | re.S)
 _RANGE = re.compile(r"\\(.)|(.)-(.)|(.)", re.S)
 
 
 def _parsed(pattern: str):
     """A pattern as nested parts: ("word", strings), ("sequence", parts), ("any of", sequences), ("some", least, most, part)
-    or ("open",) for what may be anything. Raises ValueError for what it doesn't know, such as look-around."""
+    or ("open",) for what may be anything. A set that must not stand before is passed over. Raises ValueError for what it
+    doesn't know, such as other look-around."""
     at = 0
 
     def sequence(closing: bool):
@@ -98,6 +100,8 @@ def _parsed(pattern: str):
             if not m:
                 raise ValueError(f"unknown syntax at {at} of {pattern}")
             at = m.end()
+            if m["behind"]:  # what must not stand before takes no trigram away
+                continue
             if m["open"]:
                 parts.append(sequence(True))
             elif m["repeat"]:

@@ -518,6 +518,15 @@ def test_many_languages_are_all_learned(spark):
     assert language_id.letters_of(4) == language_id.LETTERS and 100 * language_id.letters_of(100) <= language_id.ALL_LETTERS
 
 
+def test_a_language_of_copies_is_learned(spark):
+    """One row 20,000 times, and a language of two rows: both are in the sample, whatever the hashes are."""
+    for n in range(6):
+        rows = [(i, f"{w} " * 5, lang, "s", 9) for i, (w, lang) in enumerate([("abab", "xx"), ("cdcd", "yy"), ("cece", "yy")])]
+        some = spark.createDataFrame([(10 * n + r[0], *r[1:]) for r in rows], brute.SCHEMA)
+        docs = some.where("lang = 'xx'").crossJoin(spark.range(20_000)).drop("id").unionByName(some.where("lang = 'yy'"))
+        assert [(lang, len(texts)) for lang, texts in language_id.sample_texts(docs)] == [("xx", 1), ("yy", 2)]
+
+
 def test_rare_letters_are_told_apart():
     rng = np.random.default_rng(3)
     scripts = {"de": range(97, 123), "el": range(0x3B1, 0x3CA), "ja": range(0x3042, 0x3096), "ru": range(0x430, 0x450), "zh": range(0x4E00, 0x4E00 + 400)}
@@ -582,6 +591,24 @@ def test_trigram_queries_never_lose_a_match():
     assert secret_scan.redact("key token=abcdef end", [{"start": 4, "end": 16}]) == "key [secret] end"
 
 
+@pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.kind)
+def test_rules_take_time_in_proportion(rule):
+    import time
+
+    assert secret_scan.trigram_query(rule.pattern) is not None or rule.kind == "hex"
+    for piece in ("eyJ", "eyJaaaaaaaa.", "token ", "token=a ", "AKIA", "0a", "-----BEGIN A ", "-----BEGIN ", "A ", "ghp_", "ghp_a", "xoxb-", "bearer ", " ", "bearer aaaa"):
+        text = (piece * (2_000_000 // len(piece)))[:2_000_000]
+        start = time.time()
+        secret_scan._verifier(rule)(text)
+        assert time.time() - start < 2, piece
+
+
+def test_web_tokens_begin_where_no_token_character_stands(spark):
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh"
+    docs = spark.createDataFrame([(0, f"a {token} b", "en", "s", 1), (1, f"x{token}", "en", "s", 1), (2, f'"{token}"', "en", "s", 1)], brute.SCHEMA)
+    assert {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.scan_secrets(docs).collect()} == {0: ["web_token"], 1: [], 2: ["web_token"]}
+
+
 def test_postings_are_those_of_a_plain_index():
     import pyarrow as pa
 
