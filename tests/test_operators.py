@@ -285,6 +285,26 @@ def test_elo(spark):
     assert len(got) == 6 and by[1, 1].team_elo == 1520.0 and by[1, 2].team_elo == 1480.0 and by[2, 1].pre_team_elo == 1520.0 and by[2, 2].team_elo > 1480.0 and by[3, 2].team_elo == 1510.0
 
 
+def test_elo_update_equals_a_replay_of_all(spark):
+    """Matches added, taken away and changed; those before the first change and pools without one aren't replayed."""
+    kinds = "fixture_id int, match_date timestamp, home_team_id int, away_team_id int, home_goals int, away_goals int, is_high_stakes int, pool string"
+    match = lambda i, day, pool, goals=1: (i, day and datetime(2024, 1, day), i % 3, 3 + i % 2, goals, i % 4, i % 2, pool)
+    known = [match(i, 1 + i // 2, "ab"[i % 2]) for i in range(40)] + [match(50, None, "a"), match(51, 3, "c")]
+    for edit, pools in ((lambda m: m + [match(60, 15, "a"), match(61, 16, "a")], {"a"}), (lambda m: m[:20] + m[21:], {"a"}), (lambda m: [match(31, 16, "b", 5) if r[0] == 31 else r for r in m], {"b"}), (lambda m: m, set()), (lambda m: m + [match(62, 1, "d"), match(63, None, "c")], {"c", "d"})):
+        before, after = spark.createDataFrame(known, kinds), spark.createDataFrame(edit(known), kinds)
+        got, replayed = elo.elo_update(elo.elo_replay(before, "pool"), before, after, "pool")
+        key = lambda r: (r.pool, r.fixture_id, r.team_id)
+        assert sorted(got.collect(), key=key) == sorted(elo.elo_replay(after, "pool").collect(), key=key)
+        rows = replayed.collect()
+        assert {r.pool for r in rows} == pools and len(rows) < 12
+
+
+def test_elo_update_of_nothing(spark):
+    empty = spark.createDataFrame([], "fixture_id int, match_date timestamp, home_team_id int, away_team_id int, home_goals int, away_goals int, is_high_stakes int, pool string")
+    got, replayed = elo.elo_update(elo.elo_replay(empty, "pool"), empty, empty, "pool")
+    assert got.count() == 0 == replayed.count()
+
+
 @pytest.mark.parametrize("pool", [None, "league_id"])
 def test_elo_replay_matches_a_plain_fold(spark, sf_dir, pool):
     m = features.match_goals(view(spark, sf_dir, "match_v"), view(spark, sf_dir, "player_v"))
