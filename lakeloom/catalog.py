@@ -742,9 +742,9 @@ _FACTORS = """tf as (select fixture_id, team_id, sum(coalesce(shots_total, 0)) a
  exp((1500 - (1450 + team * 7)) / 900.0::double), 0.5), 1.5) as factor from g)"""
 
 
-def _factors(spark, d):
+def _factors(spark, d, pairs=None):
     elo_ = view(spark, d, "match_v").select(F.col("home_team_id").alias("team_id")).distinct().withColumn("elo", F.col("team_id") * 7.0 + 1450.0)
-    return features.common_opponent_factors(view(spark, d, "match_v"), features.team_fixture_totals(view(spark, d, "player_v")), elo_)
+    return features.common_opponent_factors(view(spark, d, "match_v"), features.team_fixture_totals(view(spark, d, "player_v")), elo_, pairs)
 
 
 @query(f"with {_FACTORS} select team_id, rival_id, round(factor, 6) as factor from factors", "player_v")
@@ -771,6 +771,27 @@ def mutual_opponents(spark, d):
     return keyed.mutual_opponents(sides)
 
 
+_MET = """select distinct team, opp from (select home_team_id as team, away_team_id as opp from match_v union all select away_team_id,
+ home_team_id from match_v)"""
+
+
+@query(f"""with e as ({_MET}), p as (select distinct least(team, opp) as team_a, greatest(team, opp) as team_b from e where team != opp)
+ select p.team_a, p.team_b, a.opp as opponent from p join e a on a.team = p.team_a join e b on b.team = p.team_b and b.opp = a.opp""", "match_v")
+def mutual_opponents_of_pairs(spark, d):
+    """Opponents in common of the pairs that have a match."""
+    matches = view(spark, d, "match_v")
+    sides = shape.unpivot_sides(matches, [], {"team": "home_team_id", "opponent": "away_team_id"}, {"team": "away_team_id", "opponent": "home_team_id"})
+    return keyed.mutual_opponents(sides, matches.select(F.col("home_team_id").alias("team_a"), F.col("away_team_id").alias("team_b")))
+
+
+@query(f"""with {_FACTORS} select team_id, rival_id, round(factor, 6) as factor from factors where (team_id, rival_id) in (select
+ home_team_id, away_team_id from match_v)""", "player_v", "match_v")
+def common_opponent_factors_of_pairs(spark, d):
+    """Factors of home sides against the sides they received."""
+    pairs = view(spark, d, "match_v").select(F.col("home_team_id").alias("team_id"), F.col("away_team_id").alias("rival_id"))
+    return six(_factors(spark, d, pairs))
+
+
 _TRAIL = """select fixture_id, team_id, cast(rn as int) as recency_rank from (select *, row_number() over (partition by team_id order by
  fixture_date desc, fixture_id desc) as rn from (select fixture_id, fixture_date, home_team_id as team_id from match_v where status_short in
  ('FT', 'AET', 'PEN') union all select fixture_id, fixture_date, away_team_id from match_v where status_short in ('FT', 'AET', 'PEN')) {0})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import scalar as S
 from lakeloom.functions.names import normalize_name
+from lakeloom.operators.keyed import shared_opponents
 
 
 def team_match_totals(stats: DataFrame, keys: list[str] = ["fixture_id", "team_id"]) -> DataFrame:
@@ -121,13 +122,14 @@ def leave_one_out_mean(rows: DataFrame, key: str, part: str, value: str) -> Data
     return pair.join(whole, key).select(key, part, "n", "total", rest.alias("rest_mean"))
 
 
-def common_opponent_factors(matches: DataFrame, totals: DataFrame, elo: DataFrame | None = None) -> DataFrame:
+def common_opponent_factors(matches: DataFrame, totals: DataFrame, elo: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """team_id, rival_id, factor: how many shots a team lets the opponents it shares with a rival have, against what
     these have in their other matches, scaled by the team's rating and held between 0.5 and 1.5.
 
-    ``matches`` has fixture_id and both side ids, ``totals`` shots by fixture and team, ``elo`` team_id and elo. The
-    result itself holds every pair of rivals that met one opponent: it grows with the square of the teams that did, and
-    what is joined are pairs of teams, summed before, never matches.
+    ``matches`` has fixture_id and both side ids, ``totals`` shots by fixture and team, ``elo`` team_id and elo. With
+    ``pairs`` (team_id, rival_id) the factors of those alone, each at the cost of the shorter list of opponents
+    (``keyed.shared_opponents``). Without, the result itself holds every pair of rivals that met one opponent: it grows
+    with the square of the teams that did. What is joined are pairs of teams, summed before, never matches.
     """
     sides = matches.select("fixture_id", F.explode(F.array(F.struct(F.col("home_team_id").alias("team"), F.col("away_team_id").alias("opponent")), F.struct(F.col("away_team_id").alias("team"), F.col("home_team_id").alias("opponent")))).alias("s")).select("fixture_id", "s.*")
     # Shots of the opponent in the match against ``team``.
@@ -135,9 +137,13 @@ def common_opponent_factors(matches: DataFrame, totals: DataFrame, elo: DataFram
     base = totals.agg(F.avg("shots").alias("global_mean"))  # one row
     loo = leave_one_out_mean(shots, "opponent", "team", "shots").join(F.broadcast(base), F.lit(True))
     faced = loo.select("team", "opponent", "n", "total", F.coalesce("rest_mean", "global_mean").alias("baseline"))
-    met = sides.select("team", "opponent").distinct()
-    pairs = faced.where("baseline > 0").alias("f").join(met.alias("m"), F.expr("f.opponent = m.opponent and f.team != m.team"))
-    summed = pairs.groupBy(F.col("f.team").alias("team_id"), F.col("m.team").alias("rival_id")).agg(F.sum("total").alias("actual"), F.sum(F.col("baseline") * F.col("n")).alias("expected"))
+    met = sides.select("team", "opponent").where("team is not null and opponent is not null").distinct()
+    if pairs is None:
+        shared = faced.where("baseline > 0").alias("f").join(met.alias("m"), F.expr("f.opponent = m.opponent and f.team != m.team")).select(F.col("f.team").alias("team_a"), F.col("m.team").alias("team_b"), F.struct("total", "baseline", "n").alias("a"))
+    else:
+        asked = pairs.select(F.col("team_id").alias("team_a"), F.col("rival_id").alias("team_b"))
+        shared = shared_opponents(asked, met.join(faced, ["team", "opponent"], "left")).where("a.baseline > 0")
+    summed = shared.groupBy(F.col("team_a").alias("team_id"), F.col("team_b").alias("rival_id")).agg(F.sum("a.total").alias("actual"), F.sum(F.col("a.baseline") * F.col("a.n")).alias("expected"))
     factor = F.when(F.col("expected") > 0, F.col("actual") / F.col("expected")).otherwise(F.lit(1.0))
     rated = summed.join(elo, "team_id", "left") if elo is not None else summed.withColumn("elo", F.lit(None).cast("double"))
     return rated.select("team_id", "rival_id", S.clip(factor * S.elo_anchor(F.col("elo")), 0.5, 1.5).alias("factor"))

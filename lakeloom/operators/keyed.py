@@ -119,14 +119,44 @@ def resolve_matches(requests: DataFrame, fixtures: DataFrame) -> DataFrame:
     return out.select("request_id", outcome.alias("outcome"), F.when(outcome == "matched", F.col("id")).alias("fixture_id"))
 
 
-def mutual_opponents(edges: DataFrame) -> DataFrame:
-    """Pairs of teams (a < b) and the opponents both have met; edges are (team, opponent). The result itself holds every
-    pair of an opponent's rivals, so it grows with the square of the teams that met one opponent, not with matches."""
-    e = edges.select("team", "opponent").distinct()
+def mutual_opponents(edges: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Pairs of teams (a < b) and the opponents both have met; edges are (team, opponent).
+
+    With ``pairs`` (team_a, team_b, in any order) those alone (``shared_opponents``). Without, the result itself holds
+    every pair of an opponent's rivals, so it grows with the square of the teams that met one opponent.
+    """
+    e = edges.select("team", "opponent").where("team is not null and opponent is not null").distinct()
+    if pairs is not None:
+        asked = pairs.select(F.least("team_a", "team_b").alias("team_a"), F.greatest("team_a", "team_b").alias("team_b"))
+        return shared_opponents(asked, e).select("team_a", "team_b", "opponent")
     a, b = e.alias("a"), e.alias("b")
     return a.join(b, F.expr("a.opponent = b.opponent and a.team < b.team")).select(F.col("a.team").alias("team_a"), F.col("b.team").alias("team_b"), F.col("a.opponent").alias("opponent"))
 
 
+def shared_opponents(pairs: DataFrame, edges: DataFrame, load: int = 10_000) -> DataFrame:
+    """For each different pair (team_a, team_b) of two teams: the opponents both have met, with the edge of either as the
+    structs ``a`` and ``b``. ``edges`` has one row for each (team, opponent), and any other columns.
+
+    Of a pair, the team with fewer opponents lists them, and each is looked up among those of the other: a pair costs the
+    shorter list, and no other pair is made. A team that more than ``load`` pairs ask for has its edges copied, one copy
+    for each ``load`` pairs, and its pairs are dealt over the copies. Pairs without a shared opponent give no row.
+    """
+    asked = pairs.select("team_a", "team_b").where("team_a != team_b").distinct()
+    loads = asked.select(F.explode(F.array("team_a", "team_b")).alias("team")).groupBy("team").agg(F.ceil(F.count("*") / load).cast("int").alias("salts"))
+    teams = edges.groupBy("team").agg(F.count("*").alias("degree")).join(loads, "team")
+    for side in "ab":
+        asked = asked.join(teams.select(F.col("team").alias(f"team_{side}"), F.struct("team", "degree", "salts").alias(side)), f"team_{side}")
+    flip = F.col("b.degree") < F.col("a.degree")
+    asked = asked.select("team_a", "team_b", flip.alias("flip"), F.when(flip, F.col("b")).otherwise(F.col("a")).alias("few"), F.when(flip, F.col("a")).otherwise(F.col("b")).alias("many"))
+    for side, other in (("few", "many"), ("many", "few")):
+        asked = asked.withColumn(f"{side}_team", F.col(f"{side}.team")).withColumn(f"{side}_salt", F.pmod(F.xxhash64(f"{other}.team"), f"{side}.salts").cast("int"))
+    copies = edges.join(loads, "team").select("team", "opponent", F.struct(*[F.col(c) for c in edges.columns]).alias("edge"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    few, many = (copies.withColumnsRenamed({"team": f"{s}_team", "salt": f"{s}_salt", "edge": f"{s}_edge"}) for s in ("few", "many"))
+    met = asked.drop("few", "many").join(few, ["few_team", "few_salt"]).join(many, ["many_team", "many_salt", "opponent"])
+    first, second = F.col("few_edge"), F.col("many_edge")
+    return met.select("team_a", "team_b", "opponent", F.when(F.col("flip"), second).otherwise(first).alias("a"), F.when(F.col("flip"), first).otherwise(second).alias("b"))
+
+
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     """The first ``k`` rows in a total order."""
     return df.orderBy(*order).limit(k)

@@ -77,8 +77,9 @@ def matchup_matrix(fixtures: DataFrame, stats: DataFrame, lineups: DataFrame, n:
     opponent among the opponents both have met; all fixtures in a few joins."""
     history = team_history(stats, fixtures, n)
     rates = features.player_rates(history, ["team_id", "player_id"])
-    factors = features.common_opponent_factors(fixtures, features.team_fixture_totals(stats))
     sides = shape.unpivot_sides(fixtures, ["fixture_id"], {"team_id": "home_team_id", "opponent_team_id": "away_team_id"}, {"team_id": "away_team_id", "opponent_team_id": "home_team_id"})
+    pairs = sides.select(F.col("opponent_team_id").alias("team_id"), F.col("team_id").alias("rival_id"))
+    factors = features.common_opponent_factors(fixtures, features.team_fixture_totals(stats), pairs=pairs)
     starters = lineups.where("is_starting").groupBy("fixture_id", "team_id", "player_id").agg(F.min("position").alias("position"))
     rows = starters.join(sides, ["fixture_id", "team_id"]).join(rates, ["team_id", "player_id"], "left")
     rows = shape.with_defaults(rows, {"minutes": 0.0, "shots": 0.0, "shots_on": 0.0, "goals": 0.0}, coalesce=True)

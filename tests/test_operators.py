@@ -1,5 +1,7 @@
 """Operators on small examples whose results are known by hand."""
 
+import random
+import re
 from datetime import date, datetime
 
 import pytest
@@ -258,6 +260,36 @@ def test_common_opponents(spark):
     assert got["A", "B"] == pytest.approx(20 / (15 + 12.5)) and got["B", "A"] == pytest.approx(30 / (12.5 + 10))
 
 
+def test_shared_opponents_of_pairs(spark):
+    """Pairs asked for, whatever their order and repeats, with one copy of the edges or one for each pair."""
+    rng = random.Random(7)
+    edges = {(a, b) for _ in range(400) for a, b in [(min(rng.randrange(60), rng.randrange(60)), rng.randrange(60))]}
+    pairs = [(0, b) for b in range(60)] + [(b, 1) for b in range(60)] + [(3, 3), (5, 99), (None, 2), (0, 1)]
+    e = spark.createDataFrame([(a, b, 100 * a + b) for a, b in edges], "team int, opponent int, mark int")
+    p = spark.createDataFrame(pairs, "team_a int, team_b int")
+    met = {t: {o for x, o in edges if x == t} for t in range(100)}
+    want = {(a, b, o, 100 * a + o, 100 * b + o) for a, b in pairs if a is not None and a != b for o in met[a] & met[b]}
+    for load in (1, 10_000):
+        out = keyed.shared_opponents(p, e, load).select("team_a", "team_b", "opponent", "a.mark", "b.mark").collect()
+        assert len(out) == len(want) and {tuple(r) for r in out} == want
+    undirected = keyed.mutual_opponents(e, p).collect()
+    assert {(r.team_a, r.team_b, r.opponent) for r in undirected} == {(min(a, b), max(a, b), o) for a, b, o, *_ in want}
+    assert keyed.shared_opponents(p.limit(0), e).count() == 0 and keyed.shared_opponents(p, e.limit(0)).count() == 0
+
+
+def test_factors_of_pairs_equal_all_factors(spark, sf_dir):
+    matches, stats = (view(spark, sf_dir, v) for v in ("match_v", "player_v"))
+    totals = features.team_fixture_totals(stats)
+    pairs = matches.select(F.col("home_team_id").alias("team_id"), F.col("away_team_id").alias("rival_id")).where("fixture_id % 3 = 0").distinct()
+    some = features.common_opponent_factors(matches, totals, pairs=pairs)
+    rounded = lambda df: sorted((r.team_id, r.rival_id, round(r.factor, 9)) for r in df.collect())
+    every = features.common_opponent_factors(matches, totals)
+    assert rounded(some) == rounded(every.join(pairs, ["team_id", "rival_id"], "left_semi"))
+    all_pairs = re.compile(r"NOT \(team#\d+ = team#\d+\)")
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (every, some)]
+    assert all_pairs.search(plans[0]) and not all_pairs.search(plans[1])
+
+
 def test_priors(spark):
     rows = spark.createDataFrame([("F", 90, 5), ("F", 90, 1), ("M", 90, 2)], "games_position string, games_minutes int, shots_total int")
     got = {r.position_group: (r.prior_alpha, r.prior_beta) for r in features.estimate_priors(rows, 180.0).collect()}
