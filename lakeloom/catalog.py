@@ -285,10 +285,20 @@ def eligibility_split(spark, d):
 
 @query(f"select fixture_id, {_REASON} as reject_reason from match_v where ({_REASON}) is not null", "match_v")
 def eligibility_rejects(spark, d):
-    _, bad = rules.split_valid(_eligible(spark, d), F.col("is_eligible"))
+    _, bad = io.land_split(_eligible(spark, d), F.col("is_eligible"), scratch(spark, "eligible"))
     return bad.select("fixture_id", "reject_reason")
 
 
+@query("""select event_id, case when event_id % 50 = 7 then 'rejected' else 'valid' end as side, case when event_id % 50 != 7 then
+ props::json ->> '$.k' end as k from events""")
+def split_landing(spark, d):
+    """Payloads parsed once, good and broken ones landed side by side, both read back."""
+    broken = F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("{\"cut\": "), F.substring("props", 1, 5))).otherwise(F.coalesce("props", F.lit("{}")))
+    rows = table(spark, d, "events").select("event_id", F.try_parse_json(broken).alias("doc"))
+    good, bad = io.land_split(rows.select("event_id", F.try_variant_get("doc", "$.k", "string").alias("k"), F.col("doc").isNotNull().alias("parsed")), F.col("parsed"), scratch(spark, "split"))
+    return good.select("event_id", F.lit("valid").alias("side"), "k").unionByName(bad.select("event_id", F.lit("rejected").alias("side"), "k"))
+
+
 @query("""select fixture_id, league_id = 1 and league_season = 1995 and status_short in ('FT', 'AET', 'PEN') as is_eligible,
  case when league_id != 1 or league_season != 1995 then 'league not allowed' when status_short not in ('FT', 'AET', 'PEN') then
  'not completed' end as reject_reason from match_v""", "match_v")
@@ -311,7 +321,7 @@ def keyword_eligibility(spark, d):
 def quarantine_rows(spark, d):
     broken = F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("{\"cut\": "), F.substring("props", 1, 5))).otherwise(F.coalesce("props", F.lit("{}")))
     rows = table(spark, d, "events").select("event_id", broken.alias("raw_payload"))
-    _, bad = rules.split_valid(rows, ~shape.malformed())
+    _, bad = io.land_split(rows, ~shape.malformed(), scratch(spark, "parsed"))
     return io.quarantine(bad.withColumn("fixture_id", F.col("event_id")), F.lit("payload is not JSON"), "silver").select(F.col("fixture_id").alias("event_id"), "reason", "stage")
 
 
@@ -935,7 +945,38 @@ def dq_accepted_values(spark, d):
  select 'status_accepted', count(*), count(*) = 0 from match_v where status_short not in ('FT', 'AET', 'PEN', 'NS')""", "player_v")
 def dq_suite(spark, d):
     m, p = view(spark, d, "match_v"), view(spark, d, "player_v")
-    return quality.run_checks({"fixture_unique": quality.unique(m, "fixture_id"), "minutes_known": quality.not_null(p, ["games_minutes"]), "fixture_known": quality.relationships(p, m, "fixture_id"), "status_accepted": quality.accepted_values(m, "status_short", [*rules.COMPLETED, "NS"])})
+    check = quality.Check
+    checks = {
+        "fixture_unique": check("match", "unique", ("fixture_id",)),
+        "minutes_known": check("player", "not_null", ("games_minutes",)),
+        "fixture_known": check("player", "relationships", ("fixture_id",), parent="match"),
+        "status_accepted": check("match", "accepted_values", ("status_short",), (*rules.COMPLETED, "NS")),
+    }
+    return quality.run_suite({"match": m, "player": p}, checks)
+
+
+@query("""select 'order_unique' as check_name, count(*) as failing_rows, count(*) = 0 as passed from (select o_orderkey from orders group by 1
+ having count(*) > 1) union all select 'line_unique', count(*), count(*) = 0 from (select l_orderkey, l_suppkey from lineitem group by 1, 2
+ having count(*) > 1) union all select 'customer_known', count(*), count(*) = 0 from orders where o_custkey not in (select c_custkey from
+ customer where c_custkey % 10 != 0) union all select 'order_known', count(*), count(*) = 0 from lineitem where l_orderkey not in (select
+ o_orderkey from orders) union all select 'customer_ordered', count(*), count(*) = 0 from customer where c_custkey % 10 != 0 and c_custkey not
+ in (select o_custkey from orders) union all select 'flag_accepted', count(*), count(*) = 0 from lineitem where l_returnflag not in ('A', 'N')
+ union all select 'date_known', count(*), count(*) = 0 from orders where o_orderdate is null""")
+def dq_suite_of_orders(spark, d):
+    """Three tables whose keys are checked both ways, each read once."""
+    check = quality.Check
+    tables = {t: table(spark, d, t) for t in ("orders", "lineitem", "customer")}
+    tables["customer"] = tables["customer"].where("c_custkey % 10 != 0")
+    checks = {
+        "order_unique": check("orders", "unique", ("o_orderkey",)),
+        "line_unique": check("lineitem", "unique_combination", ("l_orderkey", "l_suppkey")),
+        "customer_known": check("orders", "relationships", ("o_custkey",), parent="customer", parent_columns=("c_custkey",)),
+        "order_known": check("lineitem", "relationships", ("l_orderkey",), parent="orders", parent_columns=("o_orderkey",)),
+        "customer_ordered": check("customer", "relationships", ("c_custkey",), parent="orders", parent_columns=("o_custkey",)),
+        "flag_accepted": check("lineitem", "accepted_values", ("l_returnflag",), ("A", "N")),
+        "date_known": check("orders", "not_null", ("o_orderdate",)),
+    }
+    return quality.run_suite(tables, checks)
 
 
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -981,6 +1022,25 @@ def infer_schema(spark, d):
     return spark.createDataFrame([(name, kind) for name, kind in fields], "field string, kind string")
 
 
+@query("""select event_id, case when event_id % 3 = 0 then event_id::varchar when event_id % 3 = 1 then '{"a":' || event_id || '}' end as
+ mixed, case when event_id % 3 = 2 then event_id end as meta_deep_n, case when event_id % 3 = 2 then event_type end as meta_kind,
+ case when event_id % 2 = 0 then user_id when event_id % 3 = 0 then event_id end as list_total from events""")
+def schema_evolution(spark, d):
+    """Documents whose fields differ, with a field of several kinds, inner objects and lists of objects of which some have
+    a field more: inferred over all, parsed and flattened."""
+    n = F.col("event_id")
+    mixed = F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, F.concat(F.lit('{"a":'), n.cast("string"), F.lit("}")))
+    parts = F.array_compact(F.array(
+        F.when(mixed.isNotNull(), F.concat(F.lit('"mixed":'), mixed)),
+        F.when(n % 3 == 2, F.concat(F.lit('"meta":{"deep":{"n":'), n.cast("string"), F.lit('},"kind":"'), F.col("event_type"), F.lit('"}'))),
+        F.when(n % 2 == 0, F.concat(F.lit('"list":[{"u":'), F.col("user_id").cast("string"), F.lit("}]"))).when(n % 3 == 0, F.concat(F.lit('"list":[{"e":'), n.cast("string"), F.lit("},{}]"))),
+    ))
+    docs = table(spark, d, "events").select("event_id", F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("raw_payload"))
+    flat = shape.leaf_columns(io.parse_inferred(docs), "payload")
+    total = F.aggregate("list", F.lit(None).cast("bigint"), lambda a, x: F.coalesce(a, F.lit(0)) + F.coalesce(x["u"], x["e"], F.lit(0)))
+    return flat.select("event_id", "mixed", "meta_deep_n", "meta_kind", total.alias("list_total"))
+
+
 @query("""select event_id, length(trim(regexp_replace(props, '\\s+', ' ', 'g'))) as n_chars, substr(trim(regexp_replace(props, '\\s+', ' ',
  'g')), 1, 500) as clean from events where props is not null""")
 def error_text(spark, d):
@@ -1071,17 +1131,14 @@ def keyed_json_bootstrap(spark, d):
 
 @query("select fixture_id, home_team_id, status_short from match_v", "match_v")
 def json_window_landing(spark, d):
-    """All matches landed in windows of a year; the first window twice, of which the second landing stays."""
+    """All matches landed in windows of a year, then the first window again, which replaces its first landing alone."""
     first, last = _span(spark, d)
-    windows = [(r.window_start, r.window_end) for r in shape.date_windows(spark, first, last, 366).orderBy("window_start").collect()]
-    matches, root = view(spark, d, "match_v"), scratch(spark, "windows")
-    landed = None
-    for start, end in [windows[0], *windows]:
-        day = F.to_date("fixture_date")
-        rows = matches.where((day >= start) & (day <= end)).select("fixture_id", "home_team_id", "status_short")
-        got = io.align_to_schema(io.land_json_window(rows, root, start, end), rows.schema)
-        landed = got if landed is None or start == first else landed.unionByName(got)
-    return landed
+    windows = shape.date_windows(spark, first, last, 366).select("window_start", "window_end")
+    day, root = F.to_date("fixture_date"), scratch(spark, "windows")
+    matches = view(spark, d, "match_v").select("fixture_id", "home_team_id", "status_short", "fixture_date")
+    io.land_json_windows(matches.withColumn("home_team_id", F.when(day < F.date_add(F.lit(first), 366), -1).otherwise(F.col("home_team_id"))), root, day, windows)
+    landed = io.land_json_windows(matches, root, day, windows.where(F.col("window_start") == F.lit(first)))
+    return landed.select("fixture_id", "home_team_id", "status_short")
 
 
 @query("""select cast(year(m.fixture_date) as int) as match_year, count(*) as n_rows, cast(sum(p.games_minutes) as bigint) as minutes from

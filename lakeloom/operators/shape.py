@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Schemas of the payloads.
 PLAYER_PAYLOAD = "response array<struct<team struct<id int,name string>, players array<struct<player struct<id int,name string>, statistics array<struct<games struct<minutes int,position string>, shots struct<total int,on int>, goals struct<total int>>>>>>>"
@@ -47,6 +48,23 @@ def project_paths(df: DataFrame, paths: dict[str, tuple[str, str]]) -> DataFrame
     return df.select(*[F.col(path).cast(kind).alias(alias) for alias, (path, kind) in paths.items()])
 
 
+def leaf_columns(df: DataFrame, col: str, sep: str = "_") -> DataFrame:
+    """``df`` with a struct column replaced by its leaves, named by their paths, fields of inner structs included; arrays
+    and maps stay whole. Two leaves of one name, or a leaf named like another column of ``df``, are an error."""
+
+    def leaves(kind: T.DataType, value: F.Column, path: list[str]):
+        if not isinstance(kind, T.StructType):
+            return [(sep.join(path), value)]
+        return [x for f in kind.fields for x in leaves(f.dataType, value.getField(f.name), [*path, f.name])]
+
+    found = leaves(df.schema[col].dataType, F.col(f"`{col}`"), [])
+    names = [c for c in df.columns if c != col] + [name for name, _ in found]
+    repeated = sorted({n for n in names if names.count(n) > 1})
+    if repeated:
+        raise ValueError(f"columns of one name: {', '.join(repeated)}")
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != col], *[value.alias(name) for name, value in found])
+
+
 def require_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are all known."""
     for k in keys:

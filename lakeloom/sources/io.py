@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -107,6 +108,42 @@ def land_json_window(df: DataFrame, root: str, start: date, end: date) -> DataFr
     return df.sparkSession.read.json(path)
 
 
+def land_json_windows(df: DataFrame, root: str, day: F.Column, windows: DataFrame) -> DataFrame:
+    """Write ``df`` as JSON lines, a folder a window, in one job that reads ``df`` once however many windows there are;
+    returns what ``root`` holds then, read by the declared schema, with the text column ``window``.
+
+    ``windows`` has window_start and window_end, dates, both included. A row lands in each window that holds its
+    ``day``; others land nowhere. Windows named are replaced, others stay, also if a run breaks off before its end. A
+    window without rows leaves a mark, so that what it held before goes. Columns named like the two it adds are an error.
+    """
+    clash = {"window", "landed"} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns of the landing itself: {', '.join(sorted(clash))}")
+    label = F.concat_ws("_", F.date_format("window_start", "yyyy-MM-dd"), F.date_format("window_end", "yyyy-MM-dd"))
+    spine = windows.select("window_start", "window_end").distinct().select(label.alias("window"), F.explode(F.sequence("window_start", "window_end")).alias("__day"))
+    rows = df.withColumn("__day", day.cast("date")).join(spine, "__day").drop("__day").withColumn("landed", F.lit(True))
+    marks = windows.select(label.alias("window"), F.lit(False).alias("landed")).distinct()
+    rows.unionByName(marks, allowMissingColumns=True).write.partitionBy("window").option("partitionOverwriteMode", "dynamic").mode("overwrite").json(root)
+    return read_json_windows(df.sparkSession, root, df.schema)
+
+
+def read_json_windows(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """All landed rows below ``root`` in the shape of ``schema``, with their window; no look at the files for a schema."""
+    declared = T.StructType([*schema.fields, T.StructField("landed", T.BooleanType()), T.StructField("window", T.StringType())])
+    return spark.read.schema(declared).json(root).where("landed").drop("landed")
+
+
+def land_split(df: DataFrame, predicate: F.Column, root: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """Rows for which the predicate is true, and all others, written side by side below ``root`` in one pass over ``df``
+    and read back, each from its own folder. An empty side has the columns too. A column ``split`` is an error."""
+    if "split" in df.columns:
+        raise ValueError("column of the landing itself: split")
+    tag = F.when(F.coalesce(predicate, F.lit(False)), "valid").otherwise("rejected")
+    df.withColumn("split", tag).write.format(fmt).mode("overwrite").partitionBy("split").save(root)
+    both = df.sparkSession.read.format(fmt).schema(T.StructType([*df.schema.fields, T.StructField("split", T.StringType())])).load(root)
+    return tuple(both.where(F.col("split") == side).drop("split") for side in ("valid", "rejected"))
+
+
 def read_keyed_json(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
     """Rows key, value of files that each hold one JSON object keyed by an id."""
     whole = spark.read.text(path, wholetext=True)
@@ -135,5 +172,26 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def infer_payload_schema(df: DataFrame, col: str) -> str:
-    """Schema of the JSON documents in a column, over all rows."""
+    """Kinds of the JSON documents in a column, merged over all rows; VARIANT where documents differ in kind."""
     return df.select(F.expr(f"schema_of_variant_agg(try_parse_json({col}))")).first()[0]
+
+
+#: Parts of the text of an inferred schema that a Spark type writes otherwise; quoted names and names before a colon stay.
+_KINDS = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<>(?!:)|\bOBJECT(?=<)|\b(?:VARIANT|VOID)\b(?!:)")
+
+
+def payload_type(kinds: str | None) -> T.DataType:
+    """Spark type of documents of these kinds (``infer_payload_schema``), for ``shape.parse_payload``.
+
+    What differs in kind, is always null or is an object without fields becomes a string: parsing keeps its JSON text. No
+    document at all: a struct without fields.
+    """
+    if not kinds or kinds in ("VOID", "OBJECT<>"):
+        return T.StructType([])
+    plain = {"OBJECT": "STRUCT"}
+    return T.DataType.fromDDL(_KINDS.sub(lambda m: m[0] if m[0][0] == "`" else plain.get(m[0], "STRING"), kinds))
+
+
+def parse_inferred(df: DataFrame, col: str = "raw_payload", out: str = "payload") -> DataFrame:
+    """``df`` with its JSON column parsed by the type that all its documents share."""
+    return df.withColumn(out, F.from_json(col, payload_type(infer_payload_schema(df, col))))

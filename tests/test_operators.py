@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom import catalog
 from lakeloom.functions import scalar as S
 from lakeloom.functions.names import ACCENTED, PLAIN, normalize_name
 from lakeloom.operators import elo, features, increments, keyed, quality, rules, shape, state
@@ -386,6 +387,73 @@ def test_quality(spark):
     assert quality.is_empty(df.limit(0)) and not quality.is_empty(df)
 
 
+def test_suite_equals_single_checks(spark):
+    a = spark.createDataFrame([(1, "a", 1), (1, None, 2), (None, "b", 1), (None, "b", 1), (4, "c", None)], "k int, v string, w int")
+    b = spark.createDataFrame([(1,), (1,), (5,), (None,)], "key int")
+    check = quality.Check
+    checks = {
+        "n": check("a", "not_null", ("k", "v")), "u": check("a", "unique", ("k",)), "uc": check("a", "unique_combination", ("k", "v")), "ub": check("b", "unique", ("key",)),
+        "v": check("a", "accepted_values", ("v",), ("a",)), "r": check("a", "relationships", ("k",), parent="b", parent_columns=("key",)), "back": check("b", "relationships", ("key",), parent="a", parent_columns=("k",)), "self": check("a", "relationships", ("w",), parent="a", parent_columns=("k",)),
+    }
+
+    def single(a, b):
+        return {
+            "n": quality.not_null(a, ["k", "v"]), "u": quality.unique(a, "k"), "uc": quality.unique_combination(a, ["k", "v"]), "ub": quality.unique(b, "key"),
+            "v": quality.accepted_values(a, "v", ["a"]), "r": quality.relationships(a, b, "k", "key"), "back": quality.relationships(b, a, "key", "k"), "self": quality.relationships(a, a, "w", "k"),
+        }
+
+    for x, y in ((a, b), (a, b.limit(0)), (a.limit(0), b), (a.limit(0), b.limit(0))):
+        got = quality.run_suite({"a": x, "b": y, "unused": x}, checks)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality.run_checks(single(x, y)).collect()))
+    with pytest.raises(ValueError):
+        quality.run_suite({"a": a}, {"x": check("a", "odd", ("k",))})
+
+
+def test_suite_reads_each_table_once(spark, sf_dir):
+    plan = catalog.dq_suite_of_orders(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert {t: len(re.findall(rf"FileScan parquet .*{t}\.parquet", plan)) for t in ("orders", "lineitem", "customer")} == dict(orders=1, lineitem=1, customer=1)
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_windows_replace_only_what_they_name(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(r, "d date, v int, s struct<x: timestamp>")
+    windows = lambda *w: spark.createDataFrame(w, "window_start date, window_end date")
+    one, two, three = (date(2024, 1, 1), date(2024, 1, 10)), (date(2024, 1, 10), date(2024, 1, 20)), (date(2024, 2, 1), date(2024, 2, 1))
+    at = (datetime(2024, 1, 1, 2, 3),)
+    land = lambda r, *w: sorted((r.window[:10], r.v) for r in io.land_json_windows(r, f"{tmp_path}/w", F.col("d"), windows(*w)).collect())
+    first = rows((date(2024, 1, 2), 1, at), (date(2024, 1, 10), 2, at), (date(2024, 3, 1), 3, at), (None, 4, at))
+    assert land(first, one, two, three, three) == [("2024-01-01", 1), ("2024-01-01", 2), ("2024-01-10", 2)]
+    assert land(rows((date(2024, 1, 3), 9, None)), one) == [("2024-01-01", 9), ("2024-01-10", 2)]
+    assert land(first.limit(0), one) == [("2024-01-10", 2)]
+    back = io.read_json_windows(spark, f"{tmp_path}/w", first.schema)
+    assert back.drop("window").schema == first.schema and back.first().s.x == at[0]
+    with pytest.raises(ValueError):
+        io.land_json_windows(first.withColumn("landed", F.lit(1)), f"{tmp_path}/w", F.col("d"), windows(one))
+
+
+def test_split_lands_both_sides(spark, tmp_path):
+    df = spark.createDataFrame([(1, True), (2, None), (3, False), (3, False)], "k int, ok boolean")
+    for i, (rows, good, bad) in enumerate([(df, [1], [2, 3, 3]), (df.where("ok"), [1], []), (df.limit(0), [], [])]):
+        sides = io.land_split(rows, F.col("ok"), f"{tmp_path}/{i}")
+        assert [sorted(r.k for r in s.collect()) for s in sides] == [good, bad] and all(s.columns == df.columns for s in sides)
+    with pytest.raises(ValueError):
+        io.land_split(df.withColumn("split", F.lit(1)), F.col("ok"), f"{tmp_path}/clash")
+
+
+def test_inferred_schema_parses_what_differs(spark):
+    docs = ['{"OBJECT": 1, "VARIANT": {"VOID": null, "a b": [1, 2]}, "e": {}}', '{"VARIANT": {"a b": [2.5], "x`y": true}, "OBJECT": "s"}', '{"e": {}, "l": [{"p": 1}, {"q": "z"}, null]}', "not json", None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, raw_payload string")
+    got = [r.payload for r in io.parse_inferred(df).orderBy("i").collect()]
+    assert (got[0].OBJECT, got[1].OBJECT) == ("1", "s") and [float(x) for x in got[0].VARIANT["a b"]] == [1.0, 2.0] and [float(x) for x in got[1].VARIANT["a b"]] == [2.5]
+    assert got[1].VARIANT["x`y"] is True and got[0].VARIANT.VOID is None and got[0].e == "{}"
+    assert [x and x.asDict() for x in got[2].l] == [{"p": 1, "q": None}, {"p": None, "q": "z"}, None] and got[4] is None
+    flat = shape.leaf_columns(io.parse_inferred(df), "payload")
+    assert {"OBJECT", "VARIANT_VOID", "VARIANT_a b", "VARIANT_x`y", "e", "l"} <= set(flat.columns)
+    assert io.payload_type(None) == T.StructType([]) == io.payload_type("OBJECT<>")
+    with pytest.raises(ValueError):
+        shape.leaf_columns(df.select("i", F.struct(F.lit(1).alias("i")).alias("s")), "s")
+
+
 def test_stream_replay_changes_nothing(spark, tmp_path):
     doc = '{"response":[{"team":{"id":1,"name":"A"},"players":[{"player":{"id":7,"name":"Z"},"statistics":[{"games":{"minutes":%d}}]}]}]}'
     rows = lambda m, at: spark.createDataFrame([(1, at, doc % m)], "fixture_id int, landed_at timestamp, raw_payload string")
