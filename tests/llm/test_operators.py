@@ -1,9 +1,12 @@
 """Each operator against a plain form of it, on the smallest tables and on a table of awkward rows."""
 
+import functools
 import hashlib
 import math
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -314,53 +317,66 @@ def test_permutations_are_exact(spark):
 # --- 4 ---
 
 
-def plain_license(text, frequencies, n):
-    """Best cosine of any line, run of lines, paragraph or whole text with any template, and its licence."""
-    idf = lambda t: math.log((1 + n) / (1 + frequencies.get(t, 0))) + 1
-    known = {t for _, x in license_scan.TEMPLATES for t in license_scan.terms(x)}
+def plain_cosine(seen, template, idf):
+    """Cosine of a set of terms and a template (counts), the terms of the template being as frequent as there."""
+    tf = lambda t: 1 + math.log(template.get(t, 1))
+    x, y = {t: tf(t) * idf(t) for t in seen}, {t: tf(t) * idf(t) for t in template}
+    return sum(x[t] * y[t] for t in seen & set(y)) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
 
-    def vector(words):
-        v = {w: (1 + math.log(words.count(w))) * (idf(w) if w in known else math.log(1 + n) + 1) for w in set(words)}
-        size = math.sqrt(sum(x * x for x in v.values()))
-        return {w: x / size for w, x in v.items()}
-
-    vectors = [(name, vector(license_scan.terms(x))) for name, x in license_scan.TEMPLATES]
-    lines = [(i, license_scan.terms(line)) for i, line in enumerate((text or "").split("\n")) if license_scan.terms(line)]
-    best = (0.0, None)
-    for a in range(len(lines)):
-        for b in range(a + 1, len(lines) + 1):
-            words = [w for _, line in lines[a:b] for w in line]
-            paragraph = (a == 0 or lines[a - 1][0] < lines[a][0] - 1) and (b == len(lines) or lines[b][0] > lines[b - 1][0] + 1) and all(lines[i + 1][0] == lines[i][0] + 1 for i in range(a, b - 1))
-            if len(words) > license_scan.RUN_TERMS and b > a + 1 and not paragraph and (a, b) != (0, len(lines)):
-                continue
-            if not known & set(words):
-                continue
-            v = vector(words)
-            for name, t in vectors:
-                cosine = sum(x * t.get(w, 0.0) for w, x in v.items())
-                if cosine > best[0] + 1e-9:
-                    best = (cosine, name)
-    return best if best[0] >= license_scan.COSINE else (0.0, None)
+
+def plain_license(text, frequencies, n):
+    """Best cosine of any run of lines, of any length, with any template, and its licence (None where the next is near)."""
+    sets = [(name, Counter(license_scan.terms(x))) for name, x in license_scan.TEMPLATES]
+    known = {t for _, c in sets for t in c}
+    idf = functools.cache(lambda t: math.log((1 + n) / (1 + (frequencies.get(t, 0) if t in known else 0))) + 1)
+    square = {t: np.array([((1 + math.log(c[t])) * idf(t)) ** 2 if t in c else 0.0 for _, c in sets]) for t in known}
+    whole = sum(square.values())
+    lines = [set(license_scan._TERM.findall(line)) for line in license_scan.versioned(text or "").split("\n")]
+    best, told = (license_scan.COSINE, -len(sets)), None
+    for b in range(len(lines)):
+        seen, plain, shared, repeats = set(), 0.0, np.zeros(len(sets)), np.zeros(len(sets))
+        for a in range(b, -1, -1) if known & lines[b] else ():
+            new = lines[a] - seen
+            seen |= new
+            plain += sum(idf(t) ** 2 for t in new)
+            for t in new & known:
+                shared = shared + square[t]
+                repeats = repeats + np.where(square[t] > 0, square[t] - idf(t) ** 2, 0.0)
+            if new & known:
+                cosines = np.round(shared / np.sqrt(whole * (plain + repeats)), 12)
+                i = int(np.argmax(cosines))
+                if (cosines[i], -i) > best:
+                    best, told = (float(cosines[i]), -i), (cosines, set(seen))
+    if told is None:
+        return 0.0, None, False
+    cosines, words = told
+    name, first = sets[-best[1]]
+    c, other = max(((c, -i) for i, c in enumerate(cosines) if sets[i][0] != name and c > 0), default=(0.0, None))
+    second = other is not None and set(sets[-other][1])
+    unclear = other is not None and bool(best[0] - c < license_scan.MARGIN or (words & set(first) <= second and not (set(first) <= words and not second <= words)))
+    return best[0], None if unclear else name, unclear
 
 
 def check_licenses(got, rows):
     """Rows of op4's query against plain scores and a climb through the directories. ``rows``: doc_id, path, text."""
     known = {t for _, x in license_scan.TEMPLATES for t in license_scan.terms(x)}
-    counts = {t: sum(bool(re.search(rf"(?<![a-z0-9]){re.escape(t)}(?![a-z0-9])", (x or "").lower())) for _, _, x in rows) for t in known}
+    split = [set(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", license_scan.versioned(x or ""))) for _, _, x in rows]
+    counts = {t: sum(t in words for words in split) for t in known}
     own = [(d, path, *plain_license(text, counts, len(rows))) for d, path, text in rows]
     holders: dict = {}
-    for _, path, _, name in own:
-        if path is not None and name and re.match(r"(?i)(un)?licen[sc]e(\..*)?$|copying(\..*)?$|notice(\..*)?$", path.rsplit("/", 1)[-1]):
+    for _, path, _, name, unclear in own:
+        if path is not None and (name or unclear) and re.match(r"(?i)(un)?licen[sc]e(\..*)?$|copying(\..*)?$|notice(\..*)?$", path.rsplit("/", 1)[-1]):
             holders.setdefault(path.rpartition("/")[0], []).append((path.rsplit("/", 1)[-1], name))
     want = []
-    for d, path, score, name in own:
+    for d, path, score, name, unclear in own:
         effective, source = name, None
-        if not name and path is not None:
+        if not name and not unclear and path is not None:
             folder = path.rpartition("/")[0]
             while folder not in holders and folder:
                 folder = folder.rpartition("/")[0]
             if folder in holders:
-                effective, source = min(holders[folder])[1], folder
+                effective = min(holders[folder], key=lambda h: (h[0], h[1] or ""))[1]
+                source = folder if effective else None
         want.append((d, path, name, round(score, 9), effective, source))
     found = [(r.doc_id, r.path, r.license, round(r.license_score, 9), r.effective_license, r.inherited_from) for r in got]
     assert sorted(found, key=str) == sorted(want, key=str)
@@ -403,13 +419,61 @@ def test_license_scorer_matches_plain_cosine(docs):
     counts, n = license_scan.document_frequencies(docs)
     texts = [r.text.lower() for r in docs.collect()]
     assert n == len(texts)
-    for term in ("license", "the", "2.0", "mit"):
+    for term in ("license", "the", "mit"):
         assert counts[term] == sum(bool(re.search(rf"(?<![a-z0-9]){re.escape(term)}(?![a-z0-9])", t)) for t in texts)
+    assert counts["v2"] == sum("version 2.0" in t for t in texts) > 0
     scorer = license_scan.Scorer(counts, n)
-    line = "Released under the MIT licence (see the License file)."
-    v = scorer.vector(license_scan.terms(line))
-    dots = [(sum(x * w.get(t, 0) for t, x in v.items()), name) for name, w in scorer.vectors]
-    assert scorer.best(line)[0] == pytest.approx(max(dots)[0])
+    words = license_scan.terms("Released under the MIT licence (see the License file).")
+    known = set(license_scan.VOCABULARY)
+    idf = lambda t: math.log((1 + n) / (1 + (counts.get(t, 0) if t in known else 0))) + 1
+    dots = [(plain_cosine(set(words), Counter(license_scan.terms(x)), idf), name) for name, x in license_scan.TEMPLATES]
+    got = scorer.best(words)
+    assert got[:2] == (pytest.approx(max(dots)[0]), "MIT") and got[2] == pytest.approx(max(d for d, name in dots if name != "MIT"))
+
+
+RELATIVES = [
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"), ("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0+"), ("GPL-3.0", "Licensed under the GNU General Public License v3.0"), ("GPL-2.0", "GNU General Public License, version 2.0"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"), ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3.0."),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by\nthe Free Software Foundation, either version\n3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"), ("CC-BY-SA-4.0", "CC BY-SA 4.0"), ("CC-BY-NC-ND-4.0", "CC BY-NC-ND 4.0"), ("CC-BY-ND-3.0", "Licensed under CC BY-ND 3.0"), ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."), ("CC-BY-4.0", "CC BY 4.0"), ("CC-BY-NC-4.0", "CC BY-NC 4.0"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("ISC", "SPDX-License-Identifier: ISC"), ("MIT", "// SPDX-License-Identifier: MIT"), ("Apache-2.0", "Licensed under the Apache License, v2.0"), ("Unlicense", "This is free and unencumbered software released into the public domain."), ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    (None, "SPDX-License-Identifier: Zlib"), (None, "GNU General Public License"), (None, "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 1, or (at your option) any later version."),
+]
+
+
+@pytest.mark.parametrize("common", [False, True])
+def test_relatives_of_licenses_are_told_apart(spark, common):
+    """With flat frequencies, and with words of licences in most documents."""
+    rows = [(i, f"{i}/a.py", f"int main\n{text}\nreturn zero") for i, (_, text) in enumerate(RELATIVES)]
+    if common:
+        rows += [(1000 + i, f"{i}.txt", "the license version 2 and 3 of 4.0 under software public general by 2.1") for i in range(300)]
+    got = table(license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")))
+    assert [(i, got[i].license) for i in range(len(RELATIVES))] == [(i, name) for i, (name, _) in enumerate(RELATIVES)]
+
+
+def test_unclear_licenses_pass_nothing_on(spark):
+    vague = "GNU GENERAL PUBLIC LICENSE"
+    rows = [(1, "LICENSE", license_scan.TEMPLATES[0][1]), (2, "a/COPYING", vague), (3, "a/b/x.py", "text"), (4, "c/y.py", vague), (5, "c/z.py", "text"), (6, "d/LICENSE", license_scan.TEMPLATES[0][1]), (7, "d/NOTICE", vague), (8, "d/x.py", "")] + [(100 + i, f"e/{i}.py", f"other words {i}") for i in range(200)]
+    scanned = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string"))
+    got = table(license_scan.inherit(scanned))
+    assert [got[i].effective_license for i in range(1, 9)] == ["MIT", None, None, None, "MIT", "MIT", None, "MIT"]
+    assert [got[i].unclear for i in (1, 2, 3, 4)] == [False, True, False, True] and {got[2].runner_up} < {"GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "LGPL-2.1"} and got[3].inherited_from is None
+
+
+def test_license_runs_of_any_length(spark):
+    """A template's words spread over thousands of lines; a hostile text of template words takes linear time."""
+    scorer = license_scan.Scorer({}, 1000)
+    words = license_scan.terms(license_scan.TEMPLATES[1][1])
+    spread = "\n".join("\n".join([w] * 300) for w in words)
+    got = scorer.scan(spread, 0.75)
+    assert got[0] == pytest.approx(1.0) and got[1] == "MIT"
+    hostile = "\n".join("released under the mit license as the software is of foo"[: 20 + i % 36] for i in range(200_000))
+    began = time.monotonic()
+    scorer.scan(hostile, 0.75)
+    assert time.monotonic() - began < 30
 
 
 def test_wrapped_licenses_are_found_in_long_files(spark):
@@ -448,8 +512,9 @@ def test_license_scan_matches_all_runs(docs):
         lines = [" ".join(rng.choice(pool, rng.integers(0, 5))) for _ in range(4)]
         words = license_scan.TEMPLATES[rng.integers(len(license_scan.TEMPLATES))][1].split()
         lines += [" ".join(words[i : i + 7]) for i in range(0, len(words), 7)] + [" ".join(rng.choice(pool, rng.integers(0, 5))) for _ in range(3)]
-        runs = [scorer.best(" ".join(lines[a:b])) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)]
-        want = max((r[0] for r in runs if r), default=0)
+        split = [re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", line) for line in license_scan.versioned("\n".join(lines)).split("\n")]
+        runs = [sum(split[a:b], []) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)]
+        want = max((scorer.best(r)[0] for r in runs if not scorer.index.keys().isdisjoint(r)), default=0)
         got = scorer.scan("\n".join(lines), 0.75)
         assert (got[0] == pytest.approx(want)) if want >= 0.75 else got is None
         hits += got is not None
