@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import BROADCAST_ROWS, pick, small_side, written
+from lakeloom.llm.common import BROADCAST_ROWS, join_few, pick, small_side, written
 
 #: Words of a window.
 WINDOW = 10
 #: Distinct n-grams of the benchmark that may be broadcast (one number each); more are joined by a shuffle.
 BROADCAST_GRAMS = BROADCAST_ROWS
+#: Found runs of words that may be broadcast; more are joined by a shuffle of the texts that hold some.
+RUNS_BROADCAST = BROADCAST_ROWS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -52,8 +54,8 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """d and tie (a document's key) and its words. A null number is one of its own."""
-    return pick(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(_NONE)).alias("d"), F.xxhash64("text").alias("tie"), words_of(F.col("text")).alias("words"))
+    """d and tie (a document's key) and its text. A null number is one of its own."""
+    return pick(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(_NONE)).alias("d"), F.xxhash64("text").alias("tie"), "text")
 
 
 def scan(docs: DataFrame, known: DataFrame, lengths: list[int]) -> DataFrame:
@@ -68,7 +70,7 @@ def scan(docs: DataFrame, known: DataFrame, lengths: list[int]) -> DataFrame:
         grams = part if grams is None else grams.unionByName(part)
     document = F.array(F.struct((-1 - F.size(one)).alias("at"), F.lit(0).alias("length"), F.xxhash64("d", "tie").alias("hash")))
     runs = [_hashes(one, F.lit(1), F.size(one) - steps(n)[1] + 1, steps(n)[0], steps(n)[1], n) for n in lengths]
-    rows = _keyed(docs).select("d", "tie", F.inline(F.concat(document, *runs)))
+    rows = _keyed(docs).select("d", "tie", words_of(F.col("text")).alias("words")).select("d", "tie", F.inline(F.concat(document, *runs)))
     if grams is not None:
         known_grams = small_side(written(grams.distinct(), "benchmark-grams"), BROADCAST_GRAMS).withColumn("known", F.lit(True))
         rows = rows.join(known_grams, "hash", "left").where("at < 0 or known")
@@ -79,8 +81,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[D
     """Documents (d, tie, n_words; a row for each of ``docs``), verified hits (d, tie, at, length, hash, window), each
     once, and the benchmark's windows.
 
-    ``docs`` has doc_id and text. Only documents in which the scan found a run are read again, and what goes on from
-    them are the windows around those runs, never a document's words. A document's hits are bounded by its words.
+    ``docs`` has doc_id and text. Only documents in which the scan found a run are split into words again, behind the join
+    that finds them, and what goes on from them are the windows around those runs. Where the runs are too many for a
+    broadcast, a prefilter keeps the other documents' texts out of the shuffle. A document's hits are bounded by its words.
     """
     known = written(benchmark_windows(benchmark, window), "benchmark-windows")
     lengths = [r.length for r in known.select("length").distinct().orderBy("length").collect()]  # at most ``window``
@@ -94,7 +97,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[D
         places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
         return F.transform(places, lambda at: F.struct(at.alias("at"), r["length"].alias("length"), F.slice("words", at + 1, r["length"]).alias("window")))
 
-    again = _keyed(docs).join(small_side(runs, weight="1 + size(runs)"), ["d", "tie"])
+    again = join_few(_keyed(docs), runs, ["d", "tie"], RUNS_BROADCAST, "1 + size(runs)")
+    again = again.select("d", "tie", "runs", words_of(F.col("text")).alias("words"))
     windows = again.select("d", "tie", F.inline(F.flatten(F.transform("runs", around)))).withColumn("hash", F.xxhash64("length", "window"))
     distinct = small_side(known.select("length", "hash", "window").distinct(), BROADCAST_GRAMS // 10)
     verified = windows.join(distinct, ["length", "hash", "window"]).select("d", "tie", "at", "length", "hash", "window").distinct()

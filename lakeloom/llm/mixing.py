@@ -224,32 +224,87 @@ def mix_report(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     return out.unionByName(empty.select(*columns, "taken", "first_shard"))
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with columns renamed in_0, in_1, ... beside key_id, key_source, key_tie, and the columns by name."""
+    column = {n: F.col(f"in_{i}") for i, n in enumerate(docs.columns)}
+    key = [column["doc_id"].alias("key_id"), column["source"].alias("key_source"), F.xxhash64(column["text"]).alias("key_tie")]
+    return docs.select(*[F.col(f"`{n}`").alias(f"in_{i}") for i, n in enumerate(docs.columns)]).select("*", *key), column
+
+
+def _numbered(one: DataFrame, rows: DataFrame, names: int) -> tuple[DataFrame, DataFrame]:
+    """``one`` (as of :func:`_keyed`) and ``rows`` (places in the stream) with ``nth`` and ``place_nth``, the number of a
+    row among those that repeat its doc_id, source and text: by a hash of all columns, and by place. Only where rows do
+    repeat are they sorted for it."""
+    if not rows.groupBy("doc_id", "source", "tie").count().where("count > 1").limit(1).count():
+        return one.withColumn("nth", F.lit(1)), rows.withColumn("place_nth", F.lit(1))
+    whole = F.xxhash64(F.to_json(F.struct(*[F.col(f"in_{i}") for i in range(names)])))
+    mine = Window.partitionBy("key_id", "key_source", "key_tie").orderBy("whole")
+    places = Window.partitionBy("doc_id", "source", "tie").orderBy("start", "size")
+    return one.withColumn("whole", whole).withColumn("nth", F.row_number().over(mine)).drop("whole"), rows.withColumn("place_nth", F.row_number().over(places))
+
+
+def _same_row() -> Column:
+    same = F.col("key_id").eqNullSafe(F.col("doc_id")) & F.col("key_source").eqNullSafe(F.col("source"))
+    return same & (F.col("key_tie") == F.col("tie")) & (F.col("nth") == F.col("place_nth"))
+
+
+def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, shard: int = SHARD) -> DataFrame:
+    """The mix itself, packed: a row a filled slot with shard, slot, source, words, text and doc_ids.
+
+    ``text`` are the block's words, taken from the source's stream in order and joined by a space; ``words`` is their
+    number, BLOCK but for the last block of a source and its last draw, which are shorter. ``doc_ids`` are the documents
+    they come from, in order (null numbers too). Sorted by ``slot``, the rows are the output in its order: shard after
+    shard. Documents without words are in no block; other columns play no part. The words of each document in all slots
+    are those that :func:`mix_report` says are taken, and reruns agree.
+
+    Each text is cut once into its blocks' parts; a block, at most BLOCK parts, is put together before the draws multiply it.
+    """
+    rows, drawn = plan(docs, weights, cap, shard)
+    one, column = _keyed(pick(docs, "doc_id", "source", "text"))
+    one, rows = _numbered(one, written(rows.where("size > 0").select("doc_id", "source", "tie", "size", "number", "start"), "mix-rows"), 3)
+    texts = one.join(rows, _same_row()).select("doc_id", "source", "number", "start", "size", words_of(f"in_{list(column).index('text')}").alias("split"))
+    first = F.lit(BLOCK) - F.col("start") % BLOCK
+    numbers = F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + size - 1) div {BLOCK}"))
+
+    def part(block: Column) -> Column:
+        lo = F.greatest(F.lit(0).cast("long"), block * BLOCK - F.col("start"))
+        n = F.least(F.lit(BLOCK).cast("long"), F.when(lo == 0, first).otherwise(BLOCK))
+        return F.struct(block.alias("block"), F.slice("split", (lo + 1).cast("int"), n.cast("int")).alias("part"))
+
+    parts = texts.select("number", "source", "start", "doc_id", F.inline(F.transform(numbers, part)))
+    gathered = parts.groupBy("number", "block").agg(F.first("source").alias("source"), F.array_sort(F.collect_list(F.struct("start", "doc_id", "part"))).alias("parts"))
+    filled = gathered.select("number", "block", "source", "parts", F.flatten("parts.part").alias("all"))
+    both = filled.join(drawn, ["number", "block"])
+    # A cut draw ends inside the block: the documents behind its last word have no part in it.
+    block_start = F.col("block") * BLOCK
+    inside = F.filter("parts", lambda p: p["start"] - block_start < F.col("words"))
+    text = F.array_join(F.when(F.col("words") < F.size("all"), F.slice("all", 1, F.col("words").cast("int"))).otherwise(F.col("all")), " ")
+    return both.select("shard", "slot", "source", "words", text.alias("text"), F.transform(inside, lambda p: p["doc_id"]).alias("doc_ids"))
+
+
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """``docs`` as the mix holds them: a row for each pass that takes words of a document, its text the words taken.
 
     A pass that takes the whole document keeps its text as it is; parts are joined by a space, in order. Columns are those
     of ``docs``, as they came and whatever their names, but for the text and ``n_chars``, if there, which is that of the
-    new text. Documents of which nothing is drawn have no row. Rows that repeat a doc_id, source and text are mixed as one
-    document's copies: each has its own place in the stream.
+    new text. Documents of which nothing is drawn have no row. Rows that repeat a doc_id, source and text each have their own
+    place in the stream, dealt by a hash of all their columns, and keep their own other columns. :func:`mixed_blocks` gives
+    the same words in the order of the mix.
     """
     names = docs.columns
     rows, drawn = plan(docs, weights, cap)
-    got = pieces(written(rows, "mix-rows"), drawn)
-    by_pass = got.groupBy("number", "start", "doc_id", "source", "tie", "size", "pass").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.collect_list(F.struct("from_word", "to_word")).alias("parts"))
+    one, column = _keyed(docs)
+    one, rows = _numbered(one, written(rows, "mix-rows"), len(names))
+    got = pieces(rows, drawn)
+    place_key = ["number", "start", "doc_id", "source", "tie", "place_nth"]
+    by_pass = got.groupBy(*place_key, "size", "pass").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.collect_list(F.struct("from_word", "to_word")).alias("parts"))
     whole = F.col("taken") == F.col("size")
     # One row a place in the stream, so that a text is joined once for it; its passes are at most ``cap`` + 1.
-    drawn_rows = by_pass.select("number", "start", "doc_id", "source", "tie", F.when(~whole, F.array_sort("parts")).alias("parts"))
-    per_place = drawn_rows.groupBy("number", "start", "doc_id", "source", "tie").agg(F.collect_list(F.coalesce("parts", F.array())).alias("passes"))
-    column = {n: F.col(f"in_{i}") for i, n in enumerate(names)}
-    key = [column["doc_id"].alias("key_id"), column["source"].alias("key_source"), F.xxhash64(column["text"]).alias("key_tie")]
-    one = docs.select(*[F.col(f"`{n}`").alias(f"in_{i}") for i, n in enumerate(names)]).select("*", *key)
-    keys = rows.groupBy("doc_id", "source", "tie").count()
-    if keys.where("count > 1").limit(1).count():
-        one = one.dropDuplicates(["key_id", "key_source", "key_tie"])
-    on = F.col("key_id").eqNullSafe(F.col("doc_id")) & F.col("key_source").eqNullSafe(F.col("source")) & (F.col("key_tie") == F.col("tie"))
+    drawn_rows = by_pass.select(*place_key, F.when(~whole, F.array_sort("parts")).alias("parts"))
+    per_place = drawn_rows.groupBy(*place_key).agg(F.collect_list(F.coalesce("parts", F.array())).alias("passes"))
     place = f"in_{names.index('text')}"
     # A text is split once, before its passes unfold: inside the function below it would be split for every part.
-    split = one.join(per_place, on).withColumn("words", F.when(F.exists("passes", lambda p: F.size(p) > 0), words_of(place)))
+    split = one.join(per_place, _same_row()).withColumn("words", F.when(F.exists("passes", lambda p: F.size(p) > 0), words_of(place)))
     unfolded = split.select(*column.values(), "words", F.explode("passes").alias("parts"))
     cut = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice("words", x["from_word"] + 1, x["to_word"] - x["from_word"]))), " ")
     text = F.when(F.size("parts") == 0, F.col(place)).otherwise(cut)

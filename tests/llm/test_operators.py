@@ -10,8 +10,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lakeloom.llm import decontamination, fingerprints, language_id, license_scan, mixing, near_dedup, queries, secret_scan, substring_dedup, token_output, toxicity
+from lakeloom.llm import common, decontamination, fingerprints, language_id, license_scan, mixing, near_dedup, queries, secret_scan, substring_dedup, token_output, toxicity
 from tests.llm import brute
 
 
@@ -255,6 +256,63 @@ def test_mixed_documents_keep_clashing_columns(spark, awkward):
     assert got and all(r[n] == 2 * r.doc_id for r in got for n in names)
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_mixed_blocks_pack_what_the_report_takes(docs, awkward, empty, shuffled, monkeypatch):
+    """Every slot against the plain stream of its source; words by document against the report; order by the seed."""
+    if shuffled:
+        monkeypatch.setattr(mixing, "small_side", lambda df, *_, **__: df)
+    for df in (docs, awkward):
+        got = mixing.mixed_blocks(df, shard=16).orderBy("slot").collect()
+        assert len({r.slot for r in got}) == len(got) and all(r.slot // 16 == r.shard for r in got)
+        assert got == mixing.mixed_blocks(df, shard=16).orderBy("slot").collect()
+        rows, drawn = mixing.plan(df, shard=16)
+        texts = {}
+        for r in df.collect():
+            texts.setdefault((r.doc_id, r.source), []).append(re.findall(brute.SPACES, r.text or ""))
+        stream, source_of = {}, {}
+        for r in sorted(rows.where("size > 0").collect(), key=lambda r: (r.number, r.start)):
+            source_of[r.number] = r.source
+            fitting = [w for w in texts[r.doc_id, r.source] if len(w) == r.size]
+            assert all(w == fitting[0] for w in fitting), "the test's rows of one number differ in length or not at all"
+            assert len(stream.setdefault(r.number, [])) == r.start
+            stream[r.number] += [(w, r.doc_id) for w in fitting[0]]
+        slots = {r.slot: r for r in drawn.collect()}
+        assert set(slots) == {r.slot for r in got}
+        taken, report = {}, {}
+        for r in got:
+            want = slots[r.slot]
+            words = stream[want.number][want.block * mixing.BLOCK :][: want.words]
+            assert (r.source, r.words, r.text) == (source_of[want.number], len(words), " ".join(w for w, _ in words))
+            assert list(dict.fromkeys(r.doc_ids)) == list(dict.fromkeys(d for _, d in words))
+            for _, d in words:
+                taken[d] = taken.get(d, 0) + 1
+        for r in mixing.mix_report(df, shard=16).collect():
+            report[r.doc_id] = report.get(r.doc_id, 0) + r.taken
+        assert taken == {d: n for d, n in report.items() if n}
+        shorter = sum(r.words < mixing.BLOCK for r in got)
+        assert shorter <= sum(r.passes + 2 for r in mixing.totals(mixing.targets(mixing.sized(df))).collect())
+    assert mixing.mixed_blocks(empty).count() == 0
+    monkeypatch.setattr(mixing, "SHARD_SEED", 20)
+    assert [r.text for r in mixing.mixed_blocks(awkward, shard=16).orderBy("slot").collect()] != [r.text for r in got]
+
+
+def test_repeated_rows_keep_their_own_columns(spark):
+    """Rows equal in number, source and text, each with another language: each is taken, none twice in its place."""
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(7, text, "a", f"l{i}") for i in range(5)] + [(8, text, "a", "x"), (None, text, None, "y"), (None, text, None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got: dict = {}
+    for r in mixing.mixed_documents(docs).collect():
+        got[r.doc_id, r.source, r.lang] = got.get((r.doc_id, r.source, r.lang), 0) + len(r.text.split())
+    want = brute.targets({"a": 600, None: 200})
+    assert set(got) <= {(d, s, lang) for d, _, s, lang in rows} and all(n <= 300 for n in got.values())
+    for source in ("a", None):
+        assert abs(sum(n for (_, s, _), n in got.items() if s == source) - want[source]) <= 1
+    assert {lang for _, s, lang in got if s == "a"} == {"l0", "l1", "l2", "l3", "l4", "x"}
+    again = mixing.mixed_documents(docs.repartition(3, "lang")).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixing.mixed_documents(docs).collect()))
+
+
 def plain_counts(sources, shard):
     """Multinomial counts by a plain loop over all slots, with the hash of the slot's number."""
     import struct
@@ -840,6 +898,7 @@ ITEMS = [(1, "quick BROWN fox, jumps over the lazy dog while seven wizards-mix")
 def test_decontamination_awkward(spark, awkward, empty, shuffled, monkeypatch):
     if shuffled:
         monkeypatch.setattr(decontamination, "BROADCAST_GRAMS", 0)
+        monkeypatch.setattr(decontamination, "RUNS_BROADCAST", 0)
         monkeypatch.setattr(decontamination, "small_side", lambda df, *_, **__: df)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     mixed = awkward.withColumn("length", awkward.n_chars).withColumn("words", awkward.source).withColumn("d", awkward.n_chars).withColumn("tie", awkward.lang).withColumn("in_0", awkward.lang)
@@ -881,6 +940,23 @@ def test_decontamination_shuffles_no_words(spark, awkward):
     assert decontamination.steps(10) == (5, 6) and decontamination.steps(1) == (1, 1)
 
 
+def test_a_prefilter_keeps_other_texts_out_of_the_shuffle(spark, capsys):
+    """With the runs past the broadcast, what meets the shuffle are the texts of found documents, split only behind it."""
+    rows = spark.range(4000).selectExpr("id as d", "xxhash64(id) as tie", "concat('text of ', id) as text")
+    keys = common.written(rows.where("d % 100 = 3").select("d", "tie", F.array(F.lit(1)).alias("runs")), "test-keys")
+    near = common.may_match(rows, keys, ["d", "tie"])
+    assert near.columns == rows.columns
+    left = {r.d for r in near.collect()}
+    assert left >= set(range(3, 4000, 100)) and len(left) < 45
+    both = common.join_few(rows, keys, ["d", "tie"], 0)
+    assert sorted(r.d for r in both.collect()) == list(range(3, 4000, 100))
+    assert sorted(map(str, both.collect())) == sorted(map(str, common.join_few(rows, keys, ["d", "tie"]).collect()))
+    assert common.may_match(rows, keys.limit(0), ["d", "tie"]).count() == 0
+    common.may_match(rows, keys, ["d", "tie"]).explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 # --- 10 ---
 
 
