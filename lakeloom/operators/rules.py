@@ -60,8 +60,8 @@ def played_only(df: DataFrame, col: str = "games_minutes") -> DataFrame:
 
 
 def due_within(df: DataFrame, ts_col: str, now: Column, minutes: float = 60.5) -> DataFrame:
-    """Rows whose time is at most so many minutes from ``now`` on, or past."""
-    return df.where((F.unix_timestamp(F.col(ts_col).cast("timestamp")) - F.unix_timestamp(now.cast("timestamp"))) / 60.0 <= minutes)
+    """Rows whose time is at most so many minutes from ``now`` on, or past; fractions of a second count."""
+    return df.where(F.unix_micros(F.col(ts_col).cast("timestamp")) - F.unix_micros(now.cast("timestamp")) <= minutes * 60_000_000)
 
 
 def on_date(df: DataFrame, ts_col: str, day: Column) -> DataFrame:

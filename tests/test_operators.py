@@ -454,6 +454,12 @@ def test_inferred_schema_parses_what_differs(spark):
         shape.leaf_columns(df.select("i", F.struct(F.lit(1).alias("i")).alias("s")), "s")
 
 
+def test_due_within_counts_fractions_of_a_second(spark):
+    times = [(1, "2024-01-15 13:00:30"), (2, "2024-01-15 13:00:30.000001"), (3, "2024-01-15 13:00:30.9"), (4, "2024-01-15 11:00:00"), (5, None)]
+    df = spark.createDataFrame(times, "id int, t string").select("id", F.to_timestamp("t").alias("t"))
+    assert {r.id for r in rules.due_within(df, "t", F.to_timestamp(F.lit("2024-01-15 12:00:00"))).collect()} == {1, 4}
+
+
 def test_stream_replay_changes_nothing(spark, tmp_path):
     doc = '{"response":[{"team":{"id":1,"name":"A"},"players":[{"player":{"id":7,"name":"Z"},"statistics":[{"games":{"minutes":%d}}]}]}]}'
     rows = lambda m, at: spark.createDataFrame([(1, at, doc % m)], "fixture_id int, landed_at timestamp, raw_payload string")
