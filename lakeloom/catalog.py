@@ -56,7 +56,7 @@ def stamp(col: str) -> F.Column:
 
 
 def _bronze_players(spark, d):
-    return io.land_envelopes(player_payloads(view(spark, d, "player_v")), run_id="run", endpoint="fixtures/players").drop("ingested_at_utc")
+    return io.land_envelopes(player_payloads(view(spark, d, "player_v", "int")), run_id="run", endpoint="fixtures/players").drop("ingested_at_utc")
 
 
 _SILVER_PLAYERS = """silver as (select * from (select cast(fixture_id as int) as fixture_id, team_id, concat('Team ', cast(team_id as
@@ -94,7 +94,7 @@ def silver_player_stats(spark, d):
  (select *, row_number() over (partition by fixture_id, team_id, player_id order by is_starting desc, line_no, player_name, position) as rn
  from lineup_v) where rn = 1""", "lineup_v")
 def silver_lineups(spark, d):
-    payloads = lineup_payloads(view(spark, d, "lineup_v"))
+    payloads = lineup_payloads(view(spark, d, "lineup_v", "int"))
     return silver.silver_lineups(io.land_envelopes(payloads, run_id="run", endpoint="fixtures/lineups").drop("ingested_at_utc")).drop("response_hash", "team_name")
 
 
@@ -1274,49 +1274,54 @@ def backfill_resumed(spark, d):
     return out.select("window_start", "window_end", "status", "records", F.day("updated_at").alias("run"))
 
 
+_TYPED_KEYS = ["fixture_id", "team_id", "player_id"]
+_TYPED = [*_TYPED_KEYS, "games_minutes", "shots_total", "shots_on", "goals_total"]
+
+
 def _landings(spark, d, wrong, at):
     """Landed payloads of all fixtures at a time; ``wrong`` ones lack all minutes."""
-    players = view(spark, d, "player_v")
+    players = view(spark, d, "player_v", "int")
     players = players.withColumn("games_minutes", F.lit(None).cast("int")) if wrong else players
-    return player_payloads(players).select(F.col("fixture_id").cast("int").alias("fixture_id"), F.to_timestamp(F.lit(at)).alias("landed_at"), "raw_payload")
+    return player_payloads(players).select("fixture_id", F.to_timestamp(F.lit(at)).alias("landed_at"), "raw_payload")
 
 
 @query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, player_id, games_minutes, shots_total, shots_on, goals_total from silver", "player_v")
 def silver_refresh(spark, d):
     """A typed table brought up to date after each of two landings, of which it reads the new one only."""
-    stored = IncrementTable(spark, scratch(spark, "typed"), ["fixture_id", "team_id", "player_id"], order="ingested_at_utc")
+    stored = IncrementTable(spark, scratch(spark, "typed"), _TYPED_KEYS, order="ingested_at_utc")
     bronze = None
     for wrong, at in ((True, "2024-02-01"), (False, "2024-02-02")):
         landed = io.land_envelopes(_landings(spark, d, wrong, at), run_id="run", endpoint="fixtures/players", at=F.col("landed_at"))
         bronze = landed if bronze is None else bronze.unionByName(landed)
         silver.refresh(stored, bronze, silver.silver_player_stats)
-    return stored.read().select("fixture_id", "team_id", "player_id", "games_minutes", "shots_total", "shots_on", "goals_total")
+    return stored.read(columns=_TYPED)
 
 
 # --- streams ---
 
 
 def _landed(spark, d, copies):
-    payloads = player_payloads(view(spark, d, "player_v"))
-    rows = payloads.select(F.col("fixture_id").cast("int").alias("fixture_id"), F.to_timestamp(F.lit(AS_OF)).alias("landed_at"), "raw_payload")
+    """A folder of landed payloads, each ``copies`` times; the copies are made from the first landing's files."""
     folder = scratch(spark, "landing")
-    for _ in range(copies):
-        rows.write.mode("append").json(folder)
+    ingest.land_files(_landings(spark, d, False, AS_OF), folder)
+    again = ingest.landed_files(spark, folder)
+    for _ in range(copies - 1):
+        ingest.land_files(again, folder)
     return folder
 
 
 @query(f"with {_SILVER_PLAYERS} select fixture_id, team_id, player_id, games_minutes, shots_total, shots_on, goals_total from silver", "player_v")
 def stream_bronze_to_silver(spark, d):
     name = f"lakeloom_{uuid.uuid4().hex}"
-    out = ingest.stream_into(spark, _landed(spark, d, 2), name, scratch(spark, "stream"), silver.silver_player_stats, ["fixture_id", "team_id", "player_id"])
-    return out.select("fixture_id", "team_id", "player_id", "games_minutes", "shots_total", "shots_on", "goals_total")
+    out = ingest.stream_into(spark, _landed(spark, d, 2), name, scratch(spark, "stream"), silver.silver_player_stats, _TYPED_KEYS, columns=_TYPED)
+    return out
 
 
 @query("select cast(fixture_id as int) as fixture_id, count(*) as n_landed from (select distinct fixture_id from player_v) group by 1", "player_v")
 def stream_dedup(spark, d):
     out = scratch(spark, "deduplicated")
     once = ingest.without_replays(ingest.landing_stream(spark, _landed(spark, d, 3)))
-    once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    once.writeStream.format("parquet").option("compression", "zstd").option("path", out).option("checkpointLocation", scratch(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).groupBy("fixture_id").agg(F.count("*").alias("n_landed"))
 
 
@@ -1325,7 +1330,10 @@ def stream_late_landings(spark, d):
     """Two runs of a stream: newer landings replace older ones, replays and late older landings of the second change nothing."""
     name, folder, checkpoint = f"lakeloom_{uuid.uuid4().hex}", scratch(spark, "landing"), scratch(spark, "stream")
     old, new, even = _landings(spark, d, True, "2024-02-01"), _landings(spark, d, False, "2024-02-02"), F.col("fixture_id") % 2 == 0
-    for rows in (new.where(even).unionByName(old.where(~even)), old.unionByName(new)):
-        rows.write.mode("append").json(folder)
-        out = ingest.stream_into(spark, folder, name, checkpoint, silver.silver_player_stats, ["fixture_id", "team_id", "player_id"])
-    return out.select("fixture_id", "team_id", "player_id", "games_minutes", "shots_total", "shots_on", "goals_total")
+    landings = scratch(spark, "landings")
+    old.unionByName(new).write.option("compression", "zstd").parquet(landings)  # once for both runs
+    both = spark.read.parquet(landings)
+    for rows in (both.where(even == (F.col("landed_at") == F.to_timestamp(F.lit("2024-02-02")))), both):
+        ingest.land_files(rows, folder)
+        out = ingest.stream_into(spark, folder, name, checkpoint, silver.silver_player_stats, _TYPED_KEYS, columns=_TYPED)
+    return out

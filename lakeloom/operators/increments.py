@@ -149,13 +149,15 @@ class IncrementTable:
 
     # --- writing ---
 
-    def _write(self, rows: DataFrame, seq: str | None, reset: str | None) -> dict:
-        """One more increment, which no manifest names yet, with its size, its key range and whether a key comes twice."""
+    def _write(self, rows: DataFrame, seq: str | None, reset: str | None, once: bool) -> dict:
+        """One more increment, which no manifest names yet, with its size, its key range and whether a key comes twice
+        (not looked at where ``once`` says that ``rows`` were made one a key)."""
         folder = uuid.uuid4().hex
-        rows.write.parquet(f"{self.path}/{folder}")
+        rows.write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
         keys, count = [F.col(f"`{k}`") for k in self.keys], fresh("rows_of_key", self.keys)
         low = keys[0] if rows.schema[self.keys[0]].dataType.typeName() in RANGED else F.lit(None).cast("string")
-        held = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{folder}").groupBy(*keys).agg(F.count("*").alias(count))
+        written = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{folder}")
+        held = written.select(*keys, F.lit(1).alias(count)) if once else written.groupBy(*keys).agg(F.count("*").alias(count))
         size = held.agg(F.coalesce(F.sum(count), F.lit(0)).alias("rows"), F.coalesce(F.max(count), F.lit(0)).alias("most"), F.min(low).alias("low"), F.max(low).alias("high"))
         return size.first().asDict() | {"folder": folder, "schema": rows.schema.jsonValue(), "seq": seq, "reset": reset}
 
@@ -170,11 +172,12 @@ class IncrementTable:
         head = self.head()
         fields = self._fields(head["schema"] if head else None, source, add_columns)
         rows = source.select(*[F.col(f"`{f.name}`") for f in fields]).to(StructType(fields))
-        if self.order is not None and not self.rules:
+        once = self.order is not None and not self.rules
+        if once:
             place = fresh("place", rows.columns)
             newest = Window.partitionBy(*[F.col(f"`{k}`") for k in self.keys]).orderBy(F.desc_nulls_last(f"`{self.order}`"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
             rows = rows.withColumn(place, F.row_number().over(newest)).where(F.col(place) == 1).drop(place)
-        increment = self._write(rows, None, None) | {"force": force}
+        increment = self._write(rows, None, None, once) | {"force": force}
         if increment.pop("most") > 1:
             raise ValueError("the source holds a key more than once")
 
@@ -219,7 +222,7 @@ class IncrementTable:
                 return head
             schema = StructType.fromJson(head["schema"])
             seq, reset = fresh("seq", schema.names), fresh("reset", schema.names)
-            merged = self._write(self._resolve(self._union(full, schema, seq, reset), schema, seq, reset), seq, reset)
+            merged = self._write(self._resolve(self._union(full, schema, seq, reset), schema, seq, reset), seq, reset, True)
             merged |= {"force": False, "version": max(i["version"] for i in full)}
             gone = {i["folder"] for i in full}
 
@@ -279,16 +282,22 @@ class IncrementTable:
         cols = [F.col(f"{best}.`{n}`").alias(n) if n in chosen else F.col(f"`{n}`") for n in schema.names]
         return out.select(*cols, F.col(f"{best}.`{seq}`").alias(seq), reset)
 
-    def read(self, low: str | int | None = None, high: str | int | None = None) -> DataFrame:
+    def read(self, low: str | int | None = None, high: str | int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         """The table; with bounds, only rows whose first key lies between them (read from increments that may hold such).
 
         The largest increment holds a key once. If the others together have at most LOOKED_UP rows, their keys are looked
         up in it and only rows that meet are resolved, the rest passes without a shuffle; else one shuffle resolves all.
+        With ``columns`` only those are read, shuffled and given, in their order.
         """
         head = self.head()
         if head is None:
             raise ValueError(f"nothing was merged into {self.path} yet")
         schema = StructType.fromJson(head["schema"])
+        if columns is not None:  # those, and what tells which of a key's rows counts
+            needed = {*self.keys, self.order, *(self.first or [])[:1], *columns}
+            schema = StructType([f for f in schema.fields if f.name in needed])
+            if lost := sorted(set(columns) - set(schema.names)):
+                raise ValueError(f"the table lacks columns: {lost}")
         seq, reset = fresh("seq", schema.names), fresh("reset", schema.names)
         increments, key = head["increments"], F.col(f"`{self.keys[0]}`")
         if schema[self.keys[0]].dataType.typeName() in RANGED:  # an increment without a range holds null keys alone
@@ -310,4 +319,5 @@ class IncrementTable:
         rows = rows.select(*[F.col(f"`{n}`") for n in schema.names])
         if low is not None:
             rows = rows.where(key >= F.lit(low))
-        return rows.where(key <= F.lit(high)) if high is not None else rows
+        rows = rows.where(key <= F.lit(high)) if high is not None else rows
+        return rows if columns is None else rows.select(*[F.col(f"`{n}`") for n in columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ select o_orderkey as fixture_id, o_orderdate as fixture_date,
   'World' as country, cast(year(o_orderdate) as int) as league_season,
   case o_orderstatus when 'F' then 'FT' when 'P' then 'PEN' else 'NS' end as status_short
 from {orders}"""
-PLAYER = """
+_PLAYER_COLUMNS = """
 select l.l_orderkey as fixture_id, l.l_linenumber as line_no,
   case when l.l_linenumber % 2 = 1 then m.home_team_id else m.away_team_id end as team_id,
   cast(l.l_partkey % 500 as int) as player_id, p.p_name as player_name,
@@ -27,9 +29,12 @@ select l.l_orderkey as fixture_id, l.l_linenumber as line_no,
        when 3 then 'G' else 'Midfielder' end as games_position,
   nullif(cast(floor(l.l_quantity) as int) % 7, 0) as shots_total,
   cast(floor((cast(floor(l.l_quantity) as int) % 7) / 2) as int) as shots_on,
-  cast(floor((cast(floor(l.l_quantity) as int) % 7) / 4) as int) as goals_total
-from {lineitem} l join {match_v} m on m.fixture_id = l.l_orderkey
-join {part} p on p.p_partkey = l.l_partkey"""
+  cast(floor((cast(floor(l.l_quantity) as int) % 7) / 4) as int) as goals_total"""
+PLAYER = f"""{_PLAYER_COLUMNS}
+from {{lineitem}} l join {{match_v}} m on m.fixture_id = l.l_orderkey
+join {{part}} p on p.p_partkey = l.l_partkey"""
+#: The same for Spark: ``named_lines`` has each line with its part's name, dealt by order.
+_DEALT_PLAYER = f"{_PLAYER_COLUMNS.replace('p.p_name', 'l.p_name')}\nfrom {{named_lines}} l join {{match_v}} m on m.fixture_id = l.l_orderkey"
 LINEUP = """
 select fixture_id, line_no, team_id, player_id, player_name,
   substr(games_position, 1, 1) as position, line_no as number, line_no <= 4 as is_starting,
@@ -53,10 +58,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of match_v, player_v, lineup_v, ckpt_v, obs_v."""
+#: Bytes of lineitem's files in one partition of the views on it: a few hundred thousand rows, however large the table.
+_PARTITION_BYTES = 4 << 20
+
+
+def line_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of the views on lineitem, as many as its files ask for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/lineitem.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(math.ceil(size / _PARTITION_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, key: str = "bigint") -> DataFrame:
+    """One of match_v, player_v, lineup_v, ckpt_v, obs_v; ``key`` is the type of fixture_id.
+
+    player_v and lineup_v come dealt by fixture_id over :func:`line_partitions`, so what goes on by fixture needs no
+    shuffle, and a task's share stays the same as the tables grow. Parts are joined first: a line is dealt twice in all.
+    """
+    typed = lambda t, c: table(spark, sf_dir, t).withColumn(c, F.col(c).cast(key))
+    if name == "match_v":
+        return spark.sql(MATCH, orders=typed("orders", "o_orderkey"))
+    if name == "player_v":
+        n = line_partitions(spark, sf_dir)
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_name").repartition(n, "p_partkey")
+        named = typed("lineitem", "l_orderkey").join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey").repartition(n, "l_orderkey")
+        return spark.sql(_DEALT_PLAYER, named_lines=named, match_v=view(spark, sf_dir, "match_v", key))
     sql, tables, views = _NEEDS[name]
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables}, **{v: view(spark, sf_dir, v) for v in views})
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables}, **{v: view(spark, sf_dir, v, key) for v in views})
 
 
 def with_views(sql: str, *names: str) -> str:

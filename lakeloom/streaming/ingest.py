@@ -17,6 +17,16 @@ from lakeloom.sources.io import land_envelopes
 _ENVELOPE = "fixture_id int, landed_at timestamp, raw_payload string"
 
 
+def land_files(rows: DataFrame, folder: str) -> None:
+    """Add rows fixture_id, landed_at, raw_payload to a folder as compressed files of JSON lines."""
+    rows.select("fixture_id", "landed_at", "raw_payload").write.mode("append").option("compression", "gzip").json(folder)
+
+
+def landed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What a folder of landed files holds now."""
+    return spark.read.schema(_ENVELOPE).json(folder)
+
+
 def landing_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
     """Files of JSON lines fixture_id, landed_at, raw_payload as a stream."""
     return spark.readStream.schema(_ENVELOPE).option("maxFilesPerTrigger", files_per_trigger).json(folder)
@@ -24,8 +34,10 @@ def landing_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10
 
 def without_replays(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     """Each payload once: repeats of a fixture's payload that arrive within ``delay`` are dropped, and so is their state
-    after it."""
-    return stream.withColumn("response_hash", F.sha2("raw_payload", 256)).withWatermark("landed_at", delay).dropDuplicatesWithinWatermark(["fixture_id", "response_hash"])
+    after it. The state and the shuffle hold the hash in 32 bytes; it becomes text after them."""
+    hashed = stream.withColumn("response_hash", F.unhex(F.sha2("raw_payload", 256)))
+    once = hashed.withWatermark("landed_at", delay).dropDuplicatesWithinWatermark(["fixture_id", "response_hash"])
+    return once.withColumn("response_hash", F.lower(F.hex("response_hash")))
 
 
 _NEWEST = "fixture_id int, landed_at timestamp, raw_payload string, response_hash string"
@@ -77,19 +89,20 @@ def newest_landings(stream: DataFrame, idle: str = "7 days", buckets: int = 1024
 def refresh(table: IncrementTable, batch: DataFrame, normalize: Callable[[DataFrame], DataFrame], endpoint: str, run_id: str) -> None:
     """Upsert the typed rows of one batch of payloads into ``table``, which goes by ingested_at_utc; ``normalize`` keeps
     that. A replayed batch, or an older landing that comes late, changes nothing, and what a batch writes grows with the
-    batch, not with the table."""
-    table.merge(normalize(land_envelopes(batch, run_id=run_id, endpoint=endpoint, at=F.col("landed_at"))))
+    batch, not with the table. Payloads are dealt by fixture as they landed, which is less than their typed rows; these
+    need no shuffle then."""
+    table.merge(normalize(land_envelopes(batch.repartition("fixture_id"), run_id=run_id, endpoint=endpoint, at=F.col("landed_at"))))
 
 
-def stream_into(spark: SparkSession, folder: str, table: str, checkpoint: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str], endpoint: str = "fixtures/players", run_id: str = "stream") -> DataFrame:
-    """Run all files landed so far, newest landings only, through :func:`refresh` and return the table."""
+def stream_into(spark: SparkSession, folder: str, table: str, checkpoint: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str], endpoint: str = "fixtures/players", run_id: str = "stream", columns: list[str] | None = None) -> DataFrame:
+    """Run all files landed so far, newest landings only, through :func:`refresh` and return the table, or ``columns`` of it."""
 
     def each(batch: DataFrame, _: int) -> None:
         refresh(state.open_table(batch.sparkSession, table, keys, "ingested_at_utc"), batch, normalize, endpoint, run_id)
 
     query = newest_landings(landing_stream(spark, folder)).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    rows = state.open_table(spark, table, keys, "ingested_at_utc").read()
+    rows = state.open_table(spark, table, keys, "ingested_at_utc").read(columns=columns)
     if "." not in table:
         rows.createOrReplaceTempView(table)
     return rows

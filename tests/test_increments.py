@@ -166,3 +166,15 @@ def test_a_stream_lets_newer_landings_through_alone(spark, tmp_path):
         query = ingest.newest_landings(ingest.landing_stream(spark, f"{tmp_path}/in"), buckets=2).writeStream
         query.foreachBatch(lambda batch, _: seen.append((n, sorted((r.fixture_id or 0, r.raw_payload) for r in batch.collect())))).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
     assert [batch for _, batch in seen if batch] == [[(0, "n"), (1, "a"), (2, "b")], [(0, "m"), (3, "first, and old")], [(1, "a"), (2, "d")], [(4, "without a time")]]
+
+
+def test_chosen_columns_alone_are_read(spark, tmp_path):
+    table = IncrementTable(spark, f"file://{tmp_path}/t", ["k"], order="at")
+    for at, text in ((1, "old"), (2, "new")):
+        table.merge(spark.createDataFrame([(k, at, text * 50, k * at) for k in range(at, 4)], "k int, at int, text string, v int"))
+    got = table.read(columns=["v", "k"])
+    assert got.columns == ["v", "k"] and rows_of(got) == [(1, 1), (4, 2), (6, 3)]
+    assert "text" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(table.read(2, 2, columns=["v"])) == [(4,)]
+    with pytest.raises(ValueError):
+        table.read(columns=["gone"])

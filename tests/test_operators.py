@@ -1,5 +1,6 @@
 """Operators on small examples whose results are known by hand."""
 
+import hashlib
 import random
 import re
 from datetime import date, datetime
@@ -14,7 +15,7 @@ from lakeloom.functions import scalar as S
 from lakeloom.functions.names import ACCENTED, PLAIN, normalize_name
 from lakeloom.operators import elo, features, increments, keyed, quality, rules, shape, state
 from lakeloom.plans import gold, silver
-from lakeloom.sources import io
+from lakeloom.sources import driver_tables, io
 from lakeloom.sources.driver_tables import view
 from lakeloom.streaming import ingest
 
@@ -460,6 +461,36 @@ def test_due_within_counts_fractions_of_a_second(spark):
     assert {r.id for r in rules.due_within(df, "t", F.to_timestamp(F.lit("2024-01-15 12:00:00"))).collect()} == {1, 4}
 
 
+def test_player_views_are_dealt_by_fixture(spark, sf_dir, tmp_path):
+    for key in ("bigint", "int"):
+        players = view(spark, sf_dir, "player_v", key)
+        assert dict(players.dtypes)["fixture_id"] == key
+        dealt = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert dealt(players.groupBy("fixture_id", "team_id", "player_id").count()) == dealt(players)
+    (tmp_path / "lineitem.parquet").write_bytes(b"x" * (9 << 20))
+    lines = driver_tables.line_partitions
+    assert lines(spark, sf_dir) == 4
+    before = driver_tables._PARTITION_BYTES
+    try:
+        driver_tables._PARTITION_BYTES = 1 << 20
+        assert lines(spark, f"file://{tmp_path}") == 9
+    finally:
+        driver_tables._PARTITION_BYTES = before
+
+
+def test_landings_are_compressed_and_replays_leave_by_a_binary_key(spark, tmp_path):
+    rows = spark.createDataFrame([(1, datetime(2024, 1, 1), "{}"), (1, datetime(2024, 1, 1), "{}"), (2, datetime(2024, 1, 1), None)], "fixture_id int, landed_at timestamp, raw_payload string")
+    ingest.land_files(rows, f"{tmp_path}/in")
+    assert all(f.endswith(".json.gz") for f in ingest.landed_files(spark, f"{tmp_path}/in").inputFiles())
+    once = ingest.without_replays(ingest.landing_stream(spark, f"{tmp_path}/in"))
+    once.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+    got = {(r.fixture_id, r.raw_payload, r.response_hash) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(1, "{}", hashlib.sha256(b"{}").hexdigest()), (2, None, None)} and spark.read.parquet(f"{tmp_path}/out").count() == 2
+    state = (tmp_path / "ck" / "state" / "0" / "_metadata" / "schema").rglob("*")
+    kept = b"".join(f.read_bytes() for f in state if f.is_file())
+    assert not kept or b"binary" in kept
+
+
 def test_stream_replay_changes_nothing(spark, tmp_path):
     doc = '{"response":[{"team":{"id":1,"name":"A"},"players":[{"player":{"id":7,"name":"Z"},"statistics":[{"games":{"minutes":%d}}]}]}]}'
     rows = lambda m, at: spark.createDataFrame([(1, at, doc % m)], "fixture_id int, landed_at timestamp, raw_payload string")
