@@ -38,7 +38,10 @@ def decayed_features(stats: DataFrame, as_of: Column, half_life: float, keys: li
     w = S.recency_weight(F.col("fixture_date"), as_of, half_life)
     weighed = stats.where("games_minutes > 0").withColumn("w", w)
     total = lambda c, n: F.sum(F.col(c) * F.col("w")).alias(n)
-    out = weighed.groupBy(*keys).agg(total("shots_total", "shots_decayed"), total("shots_on", "shots_on_decayed"), total("goals_total", "goals_decayed"), total("games_minutes", "minutes_decayed"), F.max("fixture_date").alias("latest_date"), F.count_distinct("fixture_id").alias("matches_observed"))
+    sums = ["shots_decayed", "shots_on_decayed", "goals_decayed", "minutes_decayed"]
+    # A row a match first: rows dealt by match need no shuffle for it, and what is dealt by ``keys`` are sums of tasks.
+    one = weighed.groupBy(*keys, "fixture_id").agg(total("shots_total", sums[0]), total("shots_on", sums[1]), total("goals_total", sums[2]), total("games_minutes", sums[3]), F.max("fixture_date").alias("latest_date"))
+    out = one.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], F.max("latest_date").alias("latest_date"), F.count("fixture_id").alias("matches_observed"))
     return out.withColumn("shots_per_90_decayed", S.per_90(F.col("shots_decayed"), F.col("minutes_decayed")))
 
 

@@ -478,6 +478,23 @@ def test_player_views_are_dealt_by_fixture(spark, sf_dir, tmp_path):
         driver_tables._PARTITION_BYTES = before
 
 
+def test_large_years_are_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(200_000, numPartitions=8).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit(1998).alias("match_year"))
+        io.write_target(io.balanced(rows, ["match_year"]), f"{tmp_path}/t", "overwrite", partition_by=["match_year"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = io.read_target(spark, f"{tmp_path}/t")
+    assert len(written.inputFiles()) > 1 and written.count() == 200_000
+
+
+def test_decayed_features_count_matches_without_a_shuffle_of_rows(spark, sf_dir):
+    out = features.decayed_features(catalog._dated(spark, sf_dir), F.to_timestamp(F.lit("1998-08-02")), 365.0, ["player_id", "team_id"])
+    dealt = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(player_id" in dealt and "fixture_id" not in "".join(x.split("]")[0] for x in dealt.split("Exchange hashpartitioning(player_id")[1:])
+
+
 def test_landings_are_compressed_and_replays_leave_by_a_binary_key(spark, tmp_path):
     rows = spark.createDataFrame([(1, datetime(2024, 1, 1), "{}"), (1, datetime(2024, 1, 1), "{}"), (2, datetime(2024, 1, 1), None)], "fixture_id int, landed_at timestamp, raw_payload string")
     ingest.land_files(rows, f"{tmp_path}/in")
