@@ -1246,7 +1246,7 @@ def elo_conservation(spark, d):
 def elo_update(spark, d):
     """Ratings after some matches of the last sixty days have come in: only what follows the first is replayed, and
     nothing differs from a replay of all."""
-    matches = _matches(spark, d)
+    matches = io.materialize(_matches(spark, d), f"lakeloom_{uuid.uuid4().hex}")  # five jobs read them
     ends = matches.agg(F.date_sub(F.max("match_date"), 60)).first()[0]
     known = matches.where(~((F.col("fixture_id") % 97 == 0) & (F.to_date("match_date") >= F.lit(ends))))
     before = io.materialize(elo.elo_replay(known, "league_id"), f"lakeloom_{uuid.uuid4().hex}")
