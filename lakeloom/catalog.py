@@ -1147,7 +1147,7 @@ def write_read_partitioned(spark, d):
     rows = _dated(spark, d).withColumn("match_year", F.year("fixture_date"))
     path = scratch(spark, "partitioned")
     assert not io.target_exists(spark, path)
-    io.write_target(rows.repartition("match_year"), path, "overwrite", partition_by=["match_year"])
+    io.write_target(io.balanced(rows, ["match_year"]), path, "overwrite", partition_by=["match_year"])
     return io.read_target(spark, path).groupBy("match_year").agg(F.count("*").alias("n_rows"), F.sum("games_minutes").alias("minutes"))
 
 

@@ -52,6 +52,12 @@ def write_target(df: DataFrame, target: str, mode: str = "append", overwrite_sch
     writer.save(target) if is_path(target) else writer.saveAsTable(target)
 
 
+def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """``df`` dealt by the columns it is written by, large values over several tasks: each sorts and writes a share of about
+    the session's advisory size, however many rows a value has."""
+    return df.hint("rebalance", *partition_by)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Rebuild a table from ``df`` and return the written table, so that later reads don't compute it again."""
     write_target(df, name, "overwrite", overwrite_schema=True)
