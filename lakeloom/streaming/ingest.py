@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +42,41 @@ def without_replays(stream: DataFrame, delay: str = "7 days") -> DataFrame:
     return once.withColumn("response_hash", F.lower(F.hex("response_hash")))
 
 
-_NEWEST = "fixture_id int, landed_at timestamp, raw_payload string, response_hash string"
+_NEWEST = "fixture_id int, landed bigint, raw_payload string, response_hash string"
 
 
 #: What the state keeps of a fixture: its newest landing's time and half its hash, and when it last had one.
 _KNOWN = np.dtype([("fixture", "<i8"), ("landed", "<i8"), ("hash", "S32"), ("seen", "<i8")])
 _NONE = -(2**63)
+#: Bytes of rows that a task gathers before it packs them by bucket.
+_PACK_BYTES = 32 << 20
+
+
+def packed(batches: Iterator[pa.RecordBatch], at_once: int = _PACK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows with a column ``bucket`` as one compressed Arrow stream a bucket, for each ``at_once`` bytes: payloads of a kind
+    shrink to a fraction beside each other, and that is what gets shuffled."""
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).sort_by("bucket").combine_chunks()
+        bucket, rows = rows["bucket"].to_numpy(), rows.drop_columns("bucket")
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        texts = []
+        for start, end in zip(starts, [*starts[1:], len(bucket)]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(rows.slice(start, end - start))
+            texts.append(sink.getvalue().to_pybytes())
+        return pa.record_batch({"bucket": pa.array(bucket[starts], pa.int64()), "rows": pa.array(texts, pa.binary())})
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held, size = [*held, batch], size + batch.nbytes
+        if size >= at_once:
+            yield pack(held)
+            held, size = [], 0
+    if held:
+        yield pack(held)
 
 
 def newest_landings(stream: DataFrame, idle: str = "7 days", buckets: int = 1024) -> DataFrame:
@@ -56,21 +87,22 @@ def newest_landings(stream: DataFrame, idle: str = "7 days", buckets: int = 1024
     or more after its last landing (timeouts of Spark's own would keep a run over what has landed from ending); then an
     older landing may come through again, which an upsert by landing time ignores. Landings are late only by each
     other, never by a watermark, so the first landing of a fixture always comes through, however old. Null times are
-    older than all others, and rows without a fixture count as one fixture.
+    older than all others, and rows without a fixture count as one fixture. Landings are shuffled packed (``packed``) and
+    hashed after that.
     """
-    names = [part.split()[0] for part in _NEWEST.split(", ")]
     kept = int(pd.Timedelta(idle).total_seconds() * 1_000_000)
 
     def keep(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         now = time.time_ns() // 1000
         known = np.frombuffer(state.get[0], _KNOWN) if state.exists else np.empty(0, _KNOWN)
         known = known[known["seen"] > now - kept]
-        rows = pd.concat(list(frames), ignore_index=True)[names]
-        new = np.empty(len(rows), _KNOWN)
-        new["fixture"] = rows["fixture_id"].astype("Int64").fillna(_NONE).to_numpy(np.int64)
-        landed = pd.to_datetime(rows["landed_at"])
-        new["landed"] = np.where(landed.notna(), landed.astype("datetime64[us]").astype("int64"), _NONE)
-        new["hash"], new["seen"] = rows["response_hash"].fillna("").str[:32].astype("S32").to_numpy(), now
+        rows = pa.concat_tables([pa.ipc.open_stream(text).read_all() for frame in frames for text in frame["rows"]])
+        payloads = rows["raw_payload"].cast(pa.binary()).to_pylist()
+        hashes = [None if p is None else hashlib.sha256(p).hexdigest() for p in payloads]
+        new = np.empty(rows.num_rows, _KNOWN)
+        new["fixture"] = rows["fixture_id"].cast(pa.int64()).fill_null(_NONE).to_numpy()
+        new["landed"] = rows["landed"].fill_null(_NONE).to_numpy()
+        new["hash"], new["seen"] = np.array([(h or "")[:32] for h in hashes], "S32"), now
         both, place = np.concatenate([known, new]), np.arange(len(known) + len(new)) - len(known)
         order = np.lexsort([place, both["hash"], -both["landed"], both["fixture"]])  # what is known comes before an equal landing
         first = np.ones(len(order), bool)
@@ -80,10 +112,13 @@ def newest_landings(stream: DataFrame, idle: str = "7 days", buckets: int = 1024
         seen = np.unique(new["fixture"])
         after["seen"][np.isin(after["fixture"], seen)] = now
         state.update((after.tobytes(),))
-        yield rows.iloc[np.sort(place[best[best >= len(known)]])]
+        chosen = np.sort(place[best[best >= len(known)]])
+        if len(chosen):
+            yield rows.take(chosen).to_pandas(integer_object_nulls=True).assign(response_hash=[hashes[i] for i in chosen])
 
-    rows = stream.select("fixture_id", "landed_at", "raw_payload", F.sha2("raw_payload", 256).alias("response_hash"), F.pmod(F.xxhash64("fixture_id"), F.lit(buckets)).alias("bucket"))
-    return rows.groupBy("bucket").applyInPandasWithState(keep, _NEWEST, "known binary", "append", "NoTimeout")
+    rows = stream.select("fixture_id", F.unix_micros("landed_at").alias("landed"), "raw_payload", F.pmod(F.xxhash64("fixture_id"), F.lit(buckets)).alias("bucket"))
+    newest = rows.mapInArrow(packed, "bucket bigint, rows binary").groupBy("bucket").applyInPandasWithState(keep, _NEWEST, "known binary", "append", "NoTimeout")
+    return newest.select("fixture_id", F.timestamp_micros("landed").alias("landed_at"), "raw_payload", "response_hash")
 
 
 def refresh(table: IncrementTable, batch: DataFrame, normalize: Callable[[DataFrame], DataFrame], endpoint: str, run_id: str) -> None:

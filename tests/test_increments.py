@@ -4,6 +4,7 @@ import random
 import threading
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +169,17 @@ def test_a_stream_lets_newer_landings_through_alone(spark, tmp_path):
     assert [batch for _, batch in seen if batch] == [[(0, "n"), (1, "a"), (2, "b")], [(0, "m"), (3, "first, and old")], [(1, "a"), (2, "d")], [(4, "without a time")]]
 
 
+def test_landings_are_packed_by_bucket_for_the_shuffle():
+    texts = [None if n % 100 == 7 else f'{{"response":[{{"team":{{"id":{n % 16},"name":"Team {n % 16}"}},"players":[{{"player":{{"id":{n},"name":"ü {n * 7919 % 1009}"}}}}]}}]}}' for n in range(4000)]
+    rows = pa.table({"fixture_id": pa.array([n if n % 50 else None for n in range(4000)], pa.int32()), "raw_payload": texts, "bucket": pa.array([n % 8 for n in range(4000)], pa.int64())})
+    for at_once, packs in ((1, 4), (1 << 30, 1)):
+        got = list(ingest.packed(iter(rows.to_batches(max_chunksize=1000)), at_once))
+        assert [sorted(g["bucket"].to_pylist()) for g in got] == [list(range(8))] * packs
+        back = [r | {"bucket": b} for g in got for b, text in zip(g["bucket"].to_pylist(), g["rows"].to_pylist()) for r in pa.ipc.open_stream(text).read_all().to_pylist()]
+        assert sorted(map(str, back)) == sorted(map(str, rows.to_pylist()))
+        assert sum(len(t) for g in got for t in g["rows"].to_pylist()) < sum(len(t or "") for t in texts) / 3
+
+
 def test_chosen_columns_alone_are_read(spark, tmp_path):
     table = IncrementTable(spark, f"file://{tmp_path}/t", ["k"], order="at")
     for at, text in ((1, "old"), (2, "new")):
