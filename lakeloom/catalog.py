@@ -1121,8 +1121,8 @@ def recency_weights(spark, d):
 def keyed_json_bootstrap(spark, d):
     info = F.struct(F.struct("status_short", team_name(F.col("home_team_id")).alias("home_team")).alias("match_info"))
     some = view(spark, d, "match_v")
-    # One object for each block of a hundred keys, each in a file of its own lines.
-    objects = some.groupBy(F.floor(F.col("fixture_id") / 100).alias("block")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("fixture_id").cast("string"), info)))).alias("value"))
+    # One object for each block of ten thousand keys, each in a file of its own lines.
+    objects = some.groupBy(F.floor(F.col("fixture_id") / 10_000).alias("block")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("fixture_id").cast("string"), info)))).alias("value"))
     path = scratch(spark, "keyed")
     objects.select("value").write.option("maxRecordsPerFile", 1).text(path)
     got = io.read_keyed_json(spark, path, "struct<match_info struct<status_short string, home_team string>>".replace("match_info struct", "match_info:struct").replace("status_short string", "status_short:string").replace("home_team string", "home_team:string"))

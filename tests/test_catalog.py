@@ -40,3 +40,11 @@ def test_entry_has_all_queries(spark):
 
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_keyed_objects_hold_many_keys_a_file(spark, sf_dir):
+    """A file a hundred keys is a file to create, rename, list and open: their number, not their bytes, took the time."""
+    got = catalog.QUERIES["keyed_json_bootstrap"](spark, sf_dir)
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert got.count() == got.select("key").distinct().count() == keys
+    assert len(got.inputFiles()) <= 3 + keys // 10_000
