@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -730,10 +730,11 @@ def projection_matrix(spark, d):
  select player_id, round(case when om > 0 then os / om else 0 end, 6) as on_rate, round(case when fm > 0 then fs / fm else 0 end, 6) as
  off_rate, case when fm > 0 and fs > 0 then round((case when om > 0 then os / om else 0 end) / (fs / fm), 6) else -1.0 end as ratio from a""", "player_v")
 def weighted_plus_minus(spark, d):
-    players = view(spark, d, "player_v")
-    totals = features.team_fixture_totals(players)
+    players = view(spark, d, "player_v").where("team_id is not null")
     on = players.groupBy("player_id", "fixture_id", "team_id").agg(F.sum(F.coalesce("shots_total", F.lit(0))).alias("shots_on_pitch"), F.sum(F.coalesce("games_minutes", F.lit(0))).alias("minutes_on_pitch"))
-    segments = on.join(totals, ["fixture_id", "team_id"]).join(view(spark, d, "match_v").select("fixture_id", "league_name", "away_team_id"), "fixture_id")
+    # A team's total is summed over its players, who are dealt by fixture already: a join on both keys would deal them anew.
+    totals = F.sum("shots_on_pitch").over(Window.partitionBy("fixture_id", "team_id"))
+    segments = on.withColumn("shots", totals).join(view(spark, d, "match_v").select("fixture_id", "league_name", "away_team_id"), "fixture_id")
     segments = segments.withColumn("shots_off_pitch", F.col("shots") - F.col("shots_on_pitch")).withColumn("minutes_off_pitch", 90 - F.least("minutes_on_pitch", F.lit(90)))
     weight = S.stake_weight(F.col("league_name")) * S.opponent_strength(F.col("away_team_id") * 10.0 + 1425.0, F.lit(1.0))
     out = features.weighted_plus_minus(segments, ["player_id"], weight)

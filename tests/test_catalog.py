@@ -48,3 +48,16 @@ def test_keyed_objects_hold_many_keys_a_file(spark, sf_dir):
     keys = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     assert got.count() == got.select("key").distinct().count() == keys
     assert len(got.inputFiles()) <= 3 + keys // 10_000
+
+
+@pytest.mark.parametrize("name", ["weighted_plus_minus"])
+def test_player_rows_are_dealt_by_fixture_once(name, spark, sf_dir):
+    """No shuffle by fixture and team, whose share of a task would grow with the tables under a fixed number of partitions."""
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert "hashpartitioning(fixture_id" in plan
+    assert not [line for line in plan.splitlines() if "hashpartitioning(fixture_id" in line and "team_id" in line]
