@@ -161,6 +161,9 @@ def check_roster(lineups: DataFrame, n: int = 11) -> DataFrame:
 
 def resolve_lineups(confirmed: DataFrame, fallback: DataFrame, n: int = 11) -> DataFrame:
     """The confirmed rows of complete line-ups, and for the other teams of ``fallback`` its rows; lineup_source tells."""
-    keys = ["fixture_id", "team_id"]
-    good = check_roster(confirmed, n).where("is_complete").select(*keys)
-    return confirmed.join(good, keys, "left_semi").withColumn("lineup_source", F.lit("confirmed")).unionByName(fallback.join(good, keys, "left_anti").withColumn("lineup_source", F.lit("fallback")))
+    # Joined by fixture alone, so rows that are dealt by fixture need no shuffle; a fixture has a handful of teams.
+    good = check_roster(confirmed, n).where("is_complete").groupBy("fixture_id").agg(F.collect_set("team_id").alias("__good"))
+    is_good = F.coalesce(F.array_contains("__good", F.col("team_id")), F.lit(False))
+    source = F.col("lineup_source")
+    rows = confirmed.withColumn("lineup_source", F.lit("confirmed")).unionByName(fallback.withColumn("lineup_source", F.lit("fallback")))
+    return rows.join(good, "fixture_id", "left").where(is_good == (source == "confirmed")).drop("__good")
