@@ -627,7 +627,7 @@ def team_match_totals(spark, d):
  select *, cast(case when goal_diff > 0 then 3 when goal_diff = 0 then 1 else 0 end as double) as result_points from r""", "player_v")
 def team_match_result(spark, d):
     players = view(spark, d, "player_v")
-    out = features.team_match_result(features.team_match_totals(players), features.match_goals(view(spark, d, "match_v"), players))
+    out = features.team_match_result(features.team_match_totals(players), view(spark, d, "match_v"))
     return out.select("fixture_id", "team_id", "team_shots", "goal_diff", "result_points")
 
 

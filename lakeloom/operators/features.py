@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions import scalar as S
@@ -18,17 +18,28 @@ def team_match_totals(stats: DataFrame, keys: list[str] = ["fixture_id", "team_i
 
 def match_goals(matches: DataFrame, stats: DataFrame) -> DataFrame:
     """``matches`` with home_goals and away_goals: the goals of each side's players (null if it has none)."""
-    goals = stats.groupBy("fixture_id", "team_id").agg(F.sum("goals_total").cast("bigint").alias("g"))
-    for side in ("home", "away"):
-        matches = matches.join(goals.select("fixture_id", F.col("team_id").alias(f"{side}_team_id"), F.col("g").alias(f"{side}_goals")), ["fixture_id", f"{side}_team_id"], "left")
-    return matches
+    # Joined by fixture alone, so rows that are dealt by fixture need no shuffle; a fixture has a handful of teams.
+    goals = stats.groupBy("fixture_id", "team_id").agg(F.sum("goals_total").cast("bigint").alias("goals"))
+    return _side_goals(matches.join(goals.groupBy("fixture_id").agg(F.collect_list(F.struct("team_id", "goals")).alias("__teams")), "fixture_id", "left"))
+
+
+def _side_goals(rows: DataFrame) -> DataFrame:
+    """home_goals and away_goals out of ``__teams``, the teams of the row's fixture with their goals."""
+    of = lambda side: F.get(F.filter("__teams", lambda t: t["team_id"] == F.col(f"{side}_team_id")), F.lit(0))["goals"]
+    return rows.withColumns({f"{side}_goals": of(side) for side in ("home", "away")}).drop("__teams")
 
 
 def team_match_result(totals: DataFrame, matches: DataFrame) -> DataFrame:
-    """Totals with goals for and against, goal difference and points; ``matches`` has goals of both sides."""
-    m = matches.select("fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals")
+    """Totals with goals for and against, goal difference and points. ``matches`` has goals of both sides, or if it has none
+    they are those of the totals, which are then looked at once."""
+    names = ["fixture_id", "home_team_id", "away_team_id"]
     home = F.col("team_id") == F.col("home_team_id")
-    out = totals.join(m, "fixture_id", "left").withColumn("goals_for", F.when(home, F.col("home_goals")).otherwise(F.col("away_goals"))).withColumn("goals_against", F.when(home, F.col("away_goals")).otherwise(F.col("home_goals")))
+    if "home_goals" in matches.columns:
+        rows = totals.join(matches.select(*names, "home_goals", "away_goals"), "fixture_id", "left")
+    else:
+        teams = F.collect_list(F.struct("team_id", F.col("team_goals").alias("goals"))).over(Window.partitionBy("fixture_id"))
+        rows = _side_goals(totals.withColumn("__teams", teams).join(matches.select(*names), "fixture_id", "left"))
+    out = rows.withColumn("goals_for", F.when(home, F.col("home_goals")).otherwise(F.col("away_goals"))).withColumn("goals_against", F.when(home, F.col("away_goals")).otherwise(F.col("home_goals")))
     out = out.withColumn("goal_diff", F.coalesce("goals_for", F.lit(0)) - F.coalesce("goals_against", F.lit(0)))
     return out.withColumn("result_points", S.result_points(F.col("goal_diff")))
 

@@ -533,3 +533,15 @@ def test_files(spark, tmp_path):
     assert io.materialize(spark.range(2), "ensured_u").count() == 2 and io.read_target(spark, "ensured_u").count() == 2
     for t in ("ensured_t", "ensured_u"):
         spark.sql(f"drop table {t}")
+
+
+def test_match_goals_of_awkward_matches(spark):
+    """Repeated matches, teams and fixtures that are null, sides without players or without goals, sums over a team's rows."""
+    stats = spark.createDataFrame([(1, 5, 2), (1, 5, 1), (1, None, 7), (1, 6, None), (None, 5, 9), (2, 8, 4)], "fixture_id int, team_id int, goals_total int").withColumns({c: F.lit(1) for c in ("shots_total", "games_minutes", "shots_on")})
+    matches = spark.createDataFrame([(1, 5, 6), (1, 6, 5), (1, None, 5), (2, 5, 8), (3, 5, 6), (None, 5, 6)], "fixture_id long, home_team_id long, away_team_id int")
+    got = features.match_goals(matches, stats).select("fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals")
+    assert got.dtypes[3:] == [("home_goals", "bigint"), ("away_goals", "bigint")]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 5, 6, 3, None), (1, 6, 5, None, 3), (1, None, 5, None, 3), (2, 5, 8, None, 4), (3, 5, 6, None, None), (None, 5, 6, None, None)], key=repr)
+    totals = features.team_match_totals(stats)
+    one, two = (features.team_match_result(totals, m) for m in (matches, features.match_goals(matches, stats)))
+    assert one.columns == two.columns and sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
