@@ -16,7 +16,7 @@ from lakeloom.operators.increments import IncrementTable
 from lakeloom.operators import elo, features, keyed, quality, rules, shape, state
 from lakeloom.plans import gold, silver
 from lakeloom.sources import io
-from lakeloom.sources.driver_tables import lineup_payloads, match_payloads, player_payloads, table, team_name, view, with_views
+from lakeloom.sources.driver_tables import line_partitions, lineup_payloads, match_payloads, player_payloads, table, team_name, view, with_views
 from lakeloom.streaming import ingest
 
 QUERIES: dict = {}
@@ -192,7 +192,11 @@ def rating_baseline(spark, d):
  games_minutes else 0.0 end, 6) as shots_per_90, cast(shots_total as double) as weighted_shots from silver s left join match_v m on
  m.fixture_id = s.fixture_id""", "player_v")
 def gold_chain(spark, d):
-    fixtures = silver.silver_fixtures(io.land_envelopes(match_payloads(view(spark, d, "match_v")), run_id="run", endpoint="fixtures").drop("ingested_at_utc"))
+    """Typed fixtures are stored and read back, dealt by fixture as the player rows are: payloads are parsed and ranked once."""
+    parts, folder = line_partitions(spark, d), scratch(spark, "fixtures")
+    typed = silver.silver_fixtures(io.land_envelopes(match_payloads(view(spark, d, "match_v")), run_id="run", endpoint="fixtures").drop("ingested_at_utc"), parts=parts).drop("response_hash")
+    typed.write.option("compression", "zstd").parquet(folder)
+    fixtures = spark.read.schema(typed.schema).parquet(folder).repartition(parts, "fixture_id")
     stats = gold.player_shot_features(_silver_players(spark, d), fixtures)
     return six(gold.player_sapm(stats, gold.team_match_context(fixtures)).select("fixture_id", "team_id", "player_id", "opponent_team_id", "shots_per_90", "weighted_shots"))
 

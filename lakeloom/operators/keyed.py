@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,14 +55,26 @@ def plan_work(requested: DataFrame, completed: DataFrame, key: str, force: bool
     return wanted.join(done, key, "left").select(key, F.when(F.col("__done"), "SKIP").otherwise("FETCH").alias("action"))
 
 
+def join_within(left: DataFrame, right: DataFrame, key: str, rest: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` by ``key`` and ``rest``, as ``join`` does it (inner or left), but dealt by ``key``
+    alone, so rows that are dealt by it need no shuffle. ``right`` has a handful of rows of one ``key``: they meet the left
+    rows in one array."""
+    columns = [c for c in right.columns if c not in (key, *rest)]
+    held = right.groupBy(key).agg(F.collect_list(F.struct(*rest, *columns)).alias("__held"))
+    same = lambda r: reduce(lambda a, b: a & b, [r[c] == F.col(c) for c in rest])
+    explode = F.explode if how == "inner" else F.explode_outer
+    rows = left.join(held, key, how).withColumn("__held", explode(F.filter("__held", same)))
+    return rows.select(key, *[c for c in left.columns if c != key], *[F.col(f"__held.{c}").alias(c) for c in columns])
+
+
 def join_context(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str], defaults: dict | None = None, check: bool = False) -> DataFrame:
-    """Left join of chosen columns by the keys the right side has; nulls become defaults. ``check`` raises if a key of
-    the right side isn't unique, which would multiply rows."""
+    """Left join of chosen columns by the keys the right side has, the first of which has a handful of rows there; nulls
+    become defaults. ``check`` raises if a key of the right side isn't unique, which would multiply rows."""
     keys = [k for k in keys if k in right.columns]
     side = right.select(*keys, *columns)
     if check and side.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError(f"rows are not unique by {', '.join(keys)}")
-    out = left.join(side, keys, "left")
+    out = left.join(side, keys, "left") if len(keys) < 2 else join_within(left, side, keys[0], keys[1:], "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in (defaults or {}).items()})
 
 

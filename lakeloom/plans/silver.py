@@ -50,11 +50,15 @@ def _itself(df: DataFrame, *names: str) -> dict[str, tuple[str, str]]:
     return {n: (n, kinds[n]) for n in names}
 
 
-def silver_fixtures(bronze: DataFrame, since: Column | None = None) -> DataFrame:
-    """One row a fixture from landed fixtures payloads; ``since`` limits the landings read."""
+def silver_fixtures(bronze: DataFrame, since: Column | None = None, parts: int | None = None) -> DataFrame:
+    """One row a fixture from landed fixtures payloads; ``since`` limits the landings read. With ``parts`` the rows come
+    dealt by fixture_id over so many partitions, else over the session's."""
     df = shape.flatten(shape.parse_payload(_since(bronze, since), shape.FIXTURE_PAYLOAD), [("payload.response", "item")])
     df = df.withColumn("fixture_id", F.col("item.fixture.id")).withColumn("fixture_date_utc", F.try_to_timestamp("item.fixture.date"))
-    df = keyed.latest_by_key(shape.require_keys(df, ["fixture_id"]), ["fixture_id"], _order(df, [F.to_json("item")]))
+    df = shape.require_keys(df, ["fixture_id"])
+    df = df.select("fixture_id", "fixture_date_utc", "item", "response_hash", *_landed(df))
+    df = df if parts is None else df.repartition(parts, "fixture_id")
+    df = keyed.latest_by_key(df, ["fixture_id"], _order(df, [F.to_json("item")]))
     return shape.project_paths(df, _itself(df, "fixture_id", "fixture_date_utc") | FIXTURE_COLUMNS | _itself(df, "response_hash", *_landed(df)))
 
 

@@ -545,3 +545,12 @@ def test_match_goals_of_awkward_matches(spark):
     totals = features.team_match_totals(stats)
     one, two = (features.team_match_result(totals, m) for m in (matches, features.match_goals(matches, stats)))
     assert one.columns == two.columns and sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+
+
+def test_joins_within_a_key_are_joins_by_all_keys(spark):
+    """Repeats on both sides, null keys, teams the other side lacks, and columns that are null."""
+    left = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, None, "c"), (None, 5, "d"), (2, 7, "e"), (3, 5, None), (1, 6, "f")], "k int, t int, v string")
+    right = spark.createDataFrame([(1, 5, 10), (1, 5, 11), (1, 6, None), (1, None, 12), (None, 5, 13), (2, 8, 14), (4, 5, 15)], "k int, t long, w int")
+    for how in ("inner", "left"):
+        got, want = keyed.join_within(left, right, "k", ["t"], how), left.join(right, ["k", "t"], how)
+        assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
