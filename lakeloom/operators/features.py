@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import scalar as S
 from lakeloom.functions.names import normalize_name
-from lakeloom.operators.keyed import shared_opponents
+from lakeloom.operators.keyed import join_within, shared_opponents
 
 
 def team_match_totals(stats: DataFrame, keys: list[str] = ["fixture_id", "team_id"]) -> DataFrame:
@@ -147,7 +147,7 @@ def common_opponent_factors(matches: DataFrame, totals: DataFrame, elo: DataFram
     """
     sides = matches.select("fixture_id", F.explode(F.array(F.struct(F.col("home_team_id").alias("team"), F.col("away_team_id").alias("opponent")), F.struct(F.col("away_team_id").alias("team"), F.col("home_team_id").alias("opponent")))).alias("s")).select("fixture_id", "s.*")
     # Shots of the opponent in the match against ``team``.
-    shots = sides.join(totals.select("fixture_id", F.col("team_id").alias("opponent"), "shots"), ["fixture_id", "opponent"])
+    shots = join_within(sides, totals.select("fixture_id", F.col("team_id").alias("opponent"), "shots"), "fixture_id", ["opponent"])
     base = totals.agg(F.avg("shots").alias("global_mean"))  # one row
     loo = leave_one_out_mean(shots, "opponent", "team", "shots").join(F.broadcast(base), F.lit(True))
     faced = loo.select("team", "opponent", "n", "total", F.coalesce("rest_mean", "global_mean").alias("baseline"))

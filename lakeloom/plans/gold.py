@@ -69,7 +69,7 @@ def team_history(stats: DataFrame, fixtures: DataFrame, n: int = 5, exclude=None
     done = rules.completed_only(fixtures)
     sides = shape.unpivot_sides(done, ["fixture_id", "fixture_date"], {"team_id": "home_team_id", "opponent_team_id": "away_team_id"}, {"team_id": "away_team_id", "opponent_team_id": "home_team_id"})
     last = keyed.trailing_n(sides, ["team_id"], [F.desc("fixture_date"), F.desc("fixture_id")], n, exclude)
-    return rules.played_only(stats).join(last, ["fixture_id", "team_id"])
+    return keyed.join_within(rules.played_only(stats), last, "fixture_id", ["team_id"])
 
 
 def matchup_matrix(fixtures: DataFrame, stats: DataFrame, lineups: DataFrame, n: int = 5) -> DataFrame:
@@ -81,7 +81,7 @@ def matchup_matrix(fixtures: DataFrame, stats: DataFrame, lineups: DataFrame, n:
     pairs = sides.select(F.col("opponent_team_id").alias("team_id"), F.col("team_id").alias("rival_id"))
     factors = features.common_opponent_factors(fixtures, features.team_fixture_totals(stats), pairs=pairs)
     starters = lineups.where("is_starting").groupBy("fixture_id", "team_id", "player_id").agg(F.min("position").alias("position"))
-    rows = starters.join(sides, ["fixture_id", "team_id"]).join(rates, ["team_id", "player_id"], "left")
+    rows = keyed.join_within(starters, sides, "fixture_id", ["team_id"]).join(rates, ["team_id", "player_id"], "left")
     rows = shape.with_defaults(rows, {"minutes": 0.0, "shots": 0.0, "shots_on": 0.0, "goals": 0.0}, coalesce=True)
     against = factors.select(F.col("team_id").alias("opponent_team_id"), F.col("rival_id").alias("team_id"), "factor")
     rows = rows.join(against, ["opponent_team_id", "team_id"], "left")

@@ -50,7 +50,7 @@ def test_keyed_objects_hold_many_keys_a_file(spark, sf_dir):
     assert len(got.inputFiles()) <= 3 + keys // 10_000
 
 
-@pytest.mark.parametrize("name", ["lineup_resolution", "weighted_plus_minus", "team_match_result", "gold_chain"])
+@pytest.mark.parametrize("name", ["lineup_resolution", "weighted_plus_minus", "team_match_result", "gold_chain", "matchup_matrix"])
 def test_player_rows_are_dealt_by_fixture_once(name, spark, sf_dir):
     """No shuffle by fixture and team, whose share of a task would grow with the tables under a fixed number of partitions."""
     broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
