@@ -12,6 +12,7 @@ a merge costs what it holds and its share of as many rewrites as the table has t
 from __future__ import annotations
 
 import json
+import math
 import os
 import uuid
 from collections.abc import Callable, Sequence
@@ -27,6 +28,8 @@ FAN = 8
 KEPT_VERSIONS = 20
 #: Rows of increments up to which the table's largest one is read without a shuffle, its touched keys looked up.
 LOOKED_UP = 1_000_000
+#: Rows that a task resolves; where the session's shuffle partitions would hold more, rows are dealt over more of them.
+TASK_ROWS = 500_000
 #: Types of a first key whose range a manifest can hold.
 RANGED = ("byte", "short", "integer", "long", "string")
 
@@ -222,7 +225,7 @@ class IncrementTable:
                 return head
             schema = StructType.fromJson(head["schema"])
             seq, reset = fresh("seq", schema.names), fresh("reset", schema.names)
-            merged = self._write(self._resolve(self._union(full, schema, seq, reset), schema, seq, reset), seq, reset, True)
+            merged = self._write(self._resolve(self._union(full, schema, seq, reset), schema, seq, reset, sum(i["rows"] for i in full)), seq, reset, True)
             merged |= {"force": False, "version": max(i["version"] for i in full)}
             gone = {i["folder"] for i in full}
 
@@ -263,9 +266,17 @@ class IncrementTable:
             return self.spark.createDataFrame([], empty)
         return reduce(DataFrame.unionAll, parts)
 
-    def _resolve(self, rows: DataFrame, schema: StructType, seq: str, reset: str) -> DataFrame:
-        """One row a key by the table's rules, with ``seq`` and ``reset``: what it gives, later rows can be resolved with."""
+    def _resolve(self, rows: DataFrame, schema: StructType, seq: str, reset: str, size: int) -> DataFrame:
+        """One row a key by the table's rules, with ``seq`` and ``reset``: what it gives, later rows can be resolved with.
+
+        ``size`` bounds the number of ``rows``. Past TASK_ROWS a partition they are dealt over as many as they need, so no
+        task sorts, and spills, a share that grows with the table; an increment has a key once, so grouping it before the
+        shuffle would save nothing.
+        """
         keys = [F.col(f"`{k}`") for k in self.keys]
+        parts = math.ceil(size / TASK_ROWS)
+        if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            rows = rows.repartition(parts, *keys)
         rank = [F.col(seq)]
         if self.order is not None:
             rank.insert(0, F.col(f"`{self.order}`"))
@@ -309,13 +320,13 @@ class IncrementTable:
         rest = [i for i in increments if i is not largest]
         if not rest or sum(i["rows"] for i in rest) > LOOKED_UP:
             rows = self._union(increments, schema, seq, reset)
-            rows = self._resolve(rows, schema, seq, reset) if rest else rows
+            rows = self._resolve(rows, schema, seq, reset, sum(i["rows"] for i in increments)) if rest else rows
         else:
             base, new = self._union([largest], schema, seq, reset), self._union(rest, schema, seq, reset)
             touched = F.broadcast(new.select(*[F.col(f"`{k}`") for k in self.keys]).distinct()).alias("t")  # at most LOOKED_UP
             met = base.alias("b").join(touched, same_keys("b", "t", self.keys), "left_semi")
             kept = base.alias("b").join(touched, same_keys("b", "t", self.keys), "left_anti")
-            rows = kept.unionAll(self._resolve(met.unionAll(new), schema, seq, reset))
+            rows = kept.unionAll(self._resolve(met.unionAll(new), schema, seq, reset, 2 * sum(i["rows"] for i in rest)))
         rows = rows.select(*[F.col(f"`{n}`") for n in schema.names])
         if low is not None:
             rows = rows.where(key >= F.lit(low))

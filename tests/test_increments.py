@@ -190,3 +190,18 @@ def test_chosen_columns_alone_are_read(spark, tmp_path):
     assert rows_of(table.read(2, 2, columns=["v"])) == [(4,)]
     with pytest.raises(ValueError):
         table.read(columns=["gone"])
+
+
+def test_resolved_rows_are_dealt_by_the_tables_size(spark, tmp_path, monkeypatch):
+    """The session's partitions are a fixed number: past TASK_ROWS a partition, a task's share would grow with the table."""
+    monkeypatch.setattr(increments, "LOOKED_UP", 10)
+    monkeypatch.setattr(increments, "TASK_ROWS", 100)
+    table = IncrementTable(spark, f"file://{tmp_path}/t", ["k", "part"], order="at")
+    for at in (1, 2):
+        table.merge(spark.range(600).select((F.col("id") % 300).alias("k"), (F.col("id") % 2).alias("part"), F.lit(at).alias("at"), (F.col("id") * at).alias("v")))
+    for got in (table.read(), table.read(columns=["v"])):
+        assert "hashpartitioning(k" in (plan := got._jdf.queryExecution().executedPlan().toString()) and plan.count("Exchange") == 1
+        assert got.rdd.getNumPartitions() == 6
+    assert sorted(map(tuple, table.read(columns=["k", "at"]).collect())) == [(k, 2) for k in range(300)]
+    table.compact()
+    assert sorted(map(tuple, table.read(columns=["k", "at"]).collect())) == [(k, 2) for k in range(300)]
